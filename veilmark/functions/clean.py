@@ -168,6 +168,11 @@ def blank(value: Column, dtype: T.DataType) -> Column:
     return ~F.coalesce(not_blank(value, dtype), F.lit(False))
 
 
+def safe_timestamp(value: Column) -> Column:
+    """Timestamp of a text that starts with a full date, else NULL (a bare year is no timestamp)."""
+    return F.when(value.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}"), value.try_cast("timestamp"))
+
+
 def epoch_date(seconds: Column) -> Column:
     return F.to_date(F.timestamp_seconds(seconds))
 

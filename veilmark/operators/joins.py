@@ -72,7 +72,7 @@ def lookup_join(
         )
         build = (
             build.join(hot, build_hash == F.col("__hot"), "left")
-            .withColumn("__bsalt", F.explode(copies).cast("bigint"))
+            .withColumn("__bsalt", F.explode(copies.cast("array<bigint>")))
             .drop("__hot")
         )
 

@@ -99,7 +99,7 @@ def _children(df: DataFrame, array: str, alias: str) -> DataFrame:
 
 
 def _applicant_keys(try_cast: bool = False) -> list[Column]:
-    created = F.col("created_at").try_cast("timestamp") if try_cast else _stamp("created_at")
+    created = clean.safe_timestamp(F.col("created_at")) if try_cast else _stamp("created_at")
     return [
         F.col("data_id").cast("string").alias("data_id"),
         created.alias("applicant_created_at"),
@@ -156,8 +156,8 @@ def applications(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.col("data_id").cast("string").alias("data_id"),
         _stamp("timestamp").alias("application_created_at"),
-        nested.member(schema, "processed_datetime").try_cast("timestamp").alias("application_processed_at"),
-        nested.member(schema, "last_activity_datetime").try_cast("timestamp").alias("last_activity_datetime"),
+        clean.safe_timestamp(nested.member(schema, "processed_datetime")).alias("application_processed_at"),
+        clean.safe_timestamp(nested.member(schema, "last_activity_datetime")).alias("last_activity_datetime"),
         *[nested.member(schema, m).alias(n) for m, n in _renames(APPLICATION_MEMBERS)],
         *[nested.member(schema, f"visit.{m}").alias(n) for m, n in _renames(VISIT_MEMBERS, "visit_")],
         *[nested.member(schema, f"brand.{m}").alias(n) for m, n in _renames(BRAND_MEMBERS, "brand_")],
@@ -189,7 +189,7 @@ OFFER_COLUMNS = (
 
 
 def _timed_offers(raw: DataFrame) -> DataFrame:
-    timed = raw.withColumns({c: F.col(c).try_cast("timestamp") for c in OFFER_TIMES})
+    timed = raw.withColumns({c: clean.safe_timestamp(F.col(c)) for c in OFFER_TIMES})
     newest = F.coalesce("paid_datetime", "approved_datetime", "api_approved_datetime")
     return timed.withColumn("incremental_datetime", newest).withColumn("data_id", F.col("data_id").cast("string"))
 
