@@ -64,3 +64,16 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     import uuid
 
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python tasks (the job's ``--py-files``)."""
+    import shutil
+    from pathlib import Path
+
+    context = spark.sparkContext
+    if any("veilmark" in str(f) for f in context.listFiles):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="veilmark-ship-")) / "veilmark"
+    context.addPyFile(shutil.make_archive(str(target), "zip", root.parent, root.name))
