@@ -62,7 +62,7 @@ def lineage_edges(models: DataFrame, columns: DataFrame) -> DataFrame:
     select_list = F.regexp_extract("sql", r"(?is)SELECT\s+(.*?)\s+FROM", 1)
     derived = models.filter((F.col("resource_type") == "model") & F.col("sql").isNotNull())
 
-    item = F.trim(F.col("item"))
+    item = F.regexp_replace("item", r"^\s+|\s+$", "")
     pair = r"(?i)^(\w+)\s+AS\s+(\w+)"
     listed = (
         derived.filter(~is_star)

@@ -157,19 +157,49 @@ WHERE l_orderkey % 11 <> 0 AND l_orderkey % 13 <> 0""",
         (),
         """
 SELECT * FROM (VALUES (1, 'ring', 't1', 'email'), (2, 'widget', 't2', 'email'), (3, 'blue', 't3', 'phone'),
-  (4, 'bolt', 't4', 'ssn'), (5, 'red', 't5', 'name'), (6, 'small_ring', 't6', 'ssn'))
-  v(ordinal, display_name, policy_tag_id, parent)""",
+  (4, 'blue_bolt', 't4', 'ssn'), (5, 'red', 't5', 'name'), (6, 'Small_Ring', 't6', 'ssn'), (7, 'red_widget', 't7', 'phone'),
+  (8, 'smallring', 't8', 'ssn')) v(ordinal, display_name, policy_tag_id, parent)""",
     ),
     "part_columns": (
         (),
         """
-SELECT 'ds' || (p_partkey % 3) AS table_schema,
-  'tbl' || lower(replace(p_brand, '#', '')) || CASE p_size % 2 WHEN 0 THEN '_r' ELSE '_p' END AS table_name,
-  replace(p_name, ' ', '_') || CASE p_partkey % 5 WHEN 0 THEN '' WHEN 1 THEN '_no' ELSE (p_partkey % 7)::VARCHAR END
-    AS column_name,
+SELECT 'ds' || (p_partkey % 3) AS table_schema, 'tbl' || lower(replace(p_brand, '#', '')) ||
+  CASE p_size % 2 WHEN 0 THEN '_r' ELSE '_p' END AS table_name,
+  CASE WHEN p_partkey % 6 = 0 THEN 'payload' ELSE leaf END AS column_name,
+  CASE WHEN p_partkey % 6 = 0 THEN 'payload.' || leaf ELSE leaf END AS field_path, leaf,
   CASE p_size % 4 WHEN 0 THEN 'STRING' WHEN 1 THEN 'INT64' WHEN 2 THEN 'BOOL' ELSE 'STRING' END AS data_type,
   p_partkey AS ordinal
-FROM part""",
+FROM (SELECT *, CASE WHEN p_partkey % 97 = 0 THEN 'ssn' WHEN p_partkey % 89 = 1 THEN 'Email_Address'
+    WHEN p_partkey % 83 = 2 THEN 'mobile_phone' WHEN p_partkey % 79 = 3 THEN 'loan_application_id'
+    ELSE replace(p_name, ' ', '_') || CASE p_partkey % 5 WHEN 0 THEN '' WHEN 1 THEN '_no'
+      ELSE (p_partkey % 7)::VARCHAR END END AS leaf FROM part)""",
+    ),
+    "tree_rows": (
+        (),
+        """
+SELECT s_suppkey, 'high' AS level, 'PII' AS category, 'p' || s_suppkey AS parent, 'c' || s_suppkey || '_' || i AS child,
+  CASE WHEN i = 1 THEN 'SHA256' ELSE 'DEFAULT_MASKING_VALUE' END AS masking_rule, 'SHA256' AS parent_masking_rule
+FROM supplier, (VALUES (1), (2)) t(i) WHERE i <= s_suppkey % 3
+UNION ALL
+SELECT s_suppkey, 'medium', 'restricted', 'q' || s_suppkey, 'd' || s_suppkey, 'ALWAYS_NULL', 'DEFAULT_MASKING_VALUE'
+FROM supplier WHERE s_suppkey % 2 = 0""",
+    ),
+    "model_columns": (
+        (),
+        """
+SELECT 'm' || (p_partkey // 20) AS m, p_partkey AS pk, 'c' || p_partkey AS c,
+  CASE p_size % 3 WHEN 0 THEN 'STRING' WHEN 1 THEN 'INT64' ELSE 'TIMESTAMP' END AS data_type FROM part""",
+    ),
+    "edges": (
+        ("model_columns",),
+        """
+SELECT m || '_r' AS model, c AS target_column, m || '_r' AS source_model, c AS source_column, data_type FROM model_columns
+UNION ALL SELECT DISTINCT m || '_r', 'id', m || '_r', 'id', 'INT64' FROM model_columns
+UNION ALL SELECT m || '_p', CASE WHEN pk % 2 = 0 THEN 'x' || pk ELSE c END, m || '_r', c, data_type FROM model_columns
+  WHERE pk % 10 <> 3
+UNION ALL SELECT DISTINCT a.m || '_p', 'id', coalesce(b.m, a.m) || '_r', 'id', 'INT64' FROM model_columns a
+  LEFT JOIN (SELECT DISTINCT m FROM model_columns) b ON b.m = 'm' || (substring(a.m, 2)::INT + 1)
+UNION ALL SELECT m || '_s', c, m || '_p', c, data_type FROM model_columns""",
     ),
 }
 

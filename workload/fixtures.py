@@ -308,25 +308,123 @@ def part_columns(spark: SparkSession, sf: str) -> DataFrame:
     layer = F.when(F.col("p_size") % 2 == 0, F.lit("_r")).otherwise(F.lit("_p"))
     ending = F.when(p % 5 == 0, F.lit("")).when(p % 5 == 1, F.lit("_no")).otherwise(text(p % 7))
     kind = F.col("p_size") % 4
+    leaf = (
+        F.when(p % 97 == 0, F.lit("ssn"))
+        .when(p % 89 == 1, F.lit("Email_Address"))
+        .when(p % 83 == 2, F.lit("mobile_phone"))
+        .when(p % 79 == 3, F.lit("loan_application_id"))
+        .otherwise(F.concat(F.replace(F.col("p_name"), F.lit(" "), F.lit("_")), ending))
+    )
+    nested = p % 6 == 0
     return table(spark, sf, "part").select(
         F.concat(F.lit("ds"), text(p % 3)).alias("table_schema"),
         F.concat(F.lit("tbl"), brand, layer).alias("table_name"),
-        F.concat(F.replace(F.col("p_name"), F.lit(" "), F.lit("_")), ending).alias("column_name"),
+        F.when(nested, F.lit("payload")).otherwise(leaf).alias("column_name"),
+        F.when(nested, F.concat(F.lit("payload."), leaf)).otherwise(leaf).alias("field_path"),
+        leaf.alias("leaf"),
         F.when(kind == 1, F.lit("INT64")).when(kind == 2, F.lit("BOOL")).otherwise(F.lit("STRING")).alias("data_type"),
         p.alias("ordinal"),
-    ).withColumn("field_path", F.col("column_name"))
+    )
 
 
 TAG_ROWS = [
     (1, "ring", "t1", "email"),
     (2, "widget", "t2", "email"),
     (3, "blue", "t3", "phone"),
-    (4, "bolt", "t4", "ssn"),
+    (4, "blue_bolt", "t4", "ssn"),
     (5, "red", "t5", "name"),
-    (6, "small_ring", "t6", "ssn"),
+    (6, "Small_Ring", "t6", "ssn"),
+    (7, "red_widget", "t7", "phone"),
+    (8, "smallring", "t8", "ssn"),
 ]
 
 
 def tag_list(spark: SparkSession) -> DataFrame:
     """A short policy-tag list to match against the catalog."""
     return spark.createDataFrame(TAG_ROWS, "ordinal int, display_name string, policy_tag_id string, parent string")
+
+
+def model_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Twenty columns per model family."""
+    p = F.col("p_partkey")
+    kind = F.col("p_size") % 3
+    return table(spark, sf, "part").select(
+        F.concat(F.lit("m"), text(F.floor(p / 20))).alias("m"),
+        p.alias("pk"),
+        F.concat(F.lit("c"), text(p)).alias("c"),
+        F.when(kind == 0, F.lit("STRING")).when(kind == 1, F.lit("INT64")).otherwise(F.lit("TIMESTAMP")).alias("data_type"),
+    )
+
+
+def lineage_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """``(models, columns)``: raw, parsed and star models of every family."""
+    base = model_columns(spark, sf)
+    layers = F.explode(F.array(*[F.lit(x) for x in ("_r", "_p", "_s")]))
+    columns = base.withColumn("layer", layers).select(
+        F.concat("m", "layer").alias("model"), F.col("c").alias("column_name"), "data_type"
+    )
+    families = base.select("m").distinct()
+    ids = families.select(
+        F.concat("m", F.lit("_r")).alias("model"), F.lit("id").alias("column_name"), F.lit("INT64").alias("data_type")
+    )
+    pk, c = F.col("pk"), F.col("c")
+    item = (
+        F.when(pk % 10 == 3, F.concat(F.lit("max("), c, F.lit(")")))
+        .when(pk % 2 == 0, F.concat(c, F.lit(" as x"), text(pk)))
+        .otherwise(c)
+    )
+    lists = base.groupBy("m").agg(F.array_join(F.array_sort(F.collect_list(item)), ",\n  ").alias("items"))
+    following = F.concat(F.lit("m"), text(F.substring(F.col("m"), F.lit(2), F.length("m")).cast("int") + 1))
+    parsed = lists.select(
+        F.concat("m", F.lit("_p")).alias("model"),
+        F.lit("model").alias("resource_type"),
+        F.concat(F.lit("Select id, "), F.col("items"), F.lit("\nFrom raw")).alias("sql"),
+        F.array(F.concat("m", F.lit("_r")), F.concat(following, F.lit("_r"))).alias("depends_on"),
+    )
+    starred = families.select(
+        F.concat("m", F.lit("_s")).alias("model"),
+        F.lit("model").alias("resource_type"),
+        F.lit("select  *  from parsed").alias("sql"),
+        F.array(F.concat("m", F.lit("_p"))).alias("depends_on"),
+    )
+    raw = families.select(
+        F.concat("m", F.lit("_r")).alias("model"),
+        F.lit("source").alias("resource_type"),
+        F.lit(None).cast("string").alias("sql"),
+        F.array().cast("array<string>").alias("depends_on"),
+    )
+    return parsed.unionByName(starred).unionByName(raw), columns.unionByName(ids)
+
+
+def tag_trees(spark: SparkSession, sf: str) -> DataFrame:
+    """One tag tree as JSON text per supplier."""
+    s = text(F.col("s_suppkey"))
+
+    def quoted(*parts: Column) -> Column:
+        return F.concat(F.lit('"'), *parts, F.lit('"'))
+
+    def child(i: int) -> Column:
+        rule = "SHA256" if i == 1 else "DEFAULT_MASKING_VALUE"
+        body = f':{{"sensitivity":"high","masking_rule":"{rule}","type":"STRING"}}'
+        return F.when(F.col("s_suppkey") % 3 >= i, F.concat(quoted(F.lit("c"), s, F.lit(f"_{i}")), F.lit(body)))
+
+    high = F.concat(
+        F.lit('"high_sensitivity_tags":{"PII":{'),
+        quoted(F.lit("p"), s),
+        F.lit(':{"children":{'),
+        F.concat_ws(",", child(1), child(2)),
+        F.lit('},"sensitivity":"high","masking_rule":"SHA256","type":"STRING","category":"PII"}},"restricted":{}}'),
+    )
+    medium_child = F.when(
+        F.col("s_suppkey") % 2 == 0,
+        F.concat(quoted(F.lit("d"), s), F.lit(':{"masking_rule":"ALWAYS_NULL","type":"INT64"}')),
+    )
+    medium = F.concat(
+        F.lit('"medium_sensitivity_tags":{"restricted":{'),
+        quoted(F.lit("q"), s),
+        F.lit(':{"children":{'),
+        F.coalesce(medium_child, F.lit("")),
+        F.lit('},"masking_rule":"DEFAULT_MASKING_VALUE"}}}'),
+    )
+    tree = F.concat(F.lit('{"taxonomy_name":"demo",'), high, F.lit(","), medium, F.lit(',"low_sensitivity_tags":{}}'))
+    return table(spark, sf, "supplier").select("s_suppkey", tree.alias("tree"))
