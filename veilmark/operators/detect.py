@@ -133,17 +133,20 @@ def _stars(edges: DataFrame, large: bool, hot_share: float | None) -> DataFrame:
     else:
         neighbours = joined.select(F.col("dst").alias("src"), F.col("low").alias("dst"))
         moved = neighbours.unionByName(joined.select("src", F.col("low").alias("dst")))
-    return moved.filter(F.col("src") != F.col("dst")).distinct()
+    moved = moved.filter(F.col("src") != F.col("dst"))
+    # A large star keeps the number of edges; repeats go once per round, after the small one.
+    return moved if large else moved.distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 50, hot_share: float | None = 0.05) -> DataFrame:
+def components(edges: DataFrame, max_rounds: int = 50, hot_share: float | None = None) -> DataFrame:
     """Connected components ``(node, component)``; the component is its smallest node.
 
     Alternating star contraction: every round costs two aggregations with
     map-side combine and two joins, and the number of rounds grows with the
     logarithm of the graph, not with its diameter.  Each round is checkpointed
-    to the shared folder, so a lost executor repeats one round at most.  Hub
-    nodes are salted because stars pile up on the smallest nodes by design.
+    to the shared folder, so a lost executor repeats one round at most.  Stars
+    pile up on the smallest nodes by design: the adaptive skew join splits such
+    hubs at run time, and ``hot_share`` salts them beforehand.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)

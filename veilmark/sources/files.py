@@ -23,11 +23,11 @@ def _within_budget(df: DataFrame, max_bad: int, path: str) -> DataFrame:
     """Good rows only; fails when the budget is exceeded.
 
     One extra pass over the files, which stops as soon as ``max_bad + 1`` bad
-    records were seen.  The first column is selected along because a scan of
-    the corrupt column alone is not allowed.
+    records were seen.  The aggregate reads the first column along because a
+    scan of the corrupt column alone is not allowed.
     """
-    first = df.columns[0]
-    bad = df.select(first, CORRUPT).filter(F.col(CORRUPT).isNotNull()).limit(max_bad + 1).count()
+    found = df.filter(F.col(CORRUPT).isNotNull()).limit(max_bad + 1)
+    bad = found.agg(F.count(CORRUPT).alias("n"), F.max(F.col(df.columns[0]).cast("string"))).first().n
     if bad > max_bad:
         raise BadRecordBudgetExceeded(f"{path}: more than {max_bad} bad records")
     return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
@@ -64,8 +64,14 @@ def read_ndjson(
         reader = reader.option("basePath", base_path)
     if max_bad == 0:
         return reader.schema(schema).option("mode", "FAILFAST").json(path)
+    # Parsed from text with the whole schema: the JSON scan would only parse the
+    # selected columns, and which rows count as bad would depend on the query.
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = reader.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    lines = reader.text(path).filter(F.trim("value") != "")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parts = [c for c in lines.columns if c != "value"]
+    rows = lines.select(*parts, F.from_json("value", wide, options).alias("row"))
+    rows = rows.select("row.*", *parts)
     return _within_budget(rows, max_bad, path)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from veilmark import catalog, clean, detect, io, mask, report
 from veilmark.operators import latest, textmatch
+from veilmark.session import scratch_dir
 
 from . import fixtures as fx
 from .registry import query
@@ -340,7 +341,9 @@ SELECT DISTINCT seed, column_name FROM (
 )
 def keyword_groups(spark, sf):
     """Connected names of seeds, widened by every name that contains one of them."""
-    edges = detect.lineage_edges(*fx.lineage_inputs(spark, sf))
+    stored = scratch_dir(spark, "lineage")
+    detect.lineage_edges(*fx.lineage_inputs(spark, sf)).write.parquet(stored)
+    edges = spark.read.parquet(stored)
     parts = detect.components(detect.name_graph(edges))
     seeds = fx.model_columns(spark, sf).filter("pk % 90 = 10").select(
         F.col("c").alias("column_name"), F.col("pk").alias("ordinal")

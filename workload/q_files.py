@@ -1 +1,241 @@
-"""Placeholder."""
+"""Landing files, manifests and table sinks: written to a scratch folder and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from veilmark import io
+from veilmark.session import scratch_dir
+
+from . import fixtures as fx
+from .registry import query
+
+CUSTOMER_JSON = """[
+  {"name": "c_custkey", "type": "INTEGER", "mode": "NULLABLE"},
+  {"name": "c_name", "type": "STRING", "mode": "NULLABLE", "policyTags": {"names": ["tag/name"]}},
+  {"name": "c_acctbal", "type": "FLOAT", "mode": "NULLABLE"},
+  {"name": "country", "type": "STRING", "mode": "NULLABLE"},
+  {"name": "kind", "type": "INTEGER", "mode": "NULLABLE"}]"""
+PARTITIONS = ["country", "kind"]
+CUSTOMER_SQL = """
+SELECT c_custkey, c_name, c_acctbal, CASE c_nationkey % 4 WHEN 0 THEN 'SE' WHEN 1 THEN 'NO' WHEN 2 THEN 'FI' ELSE 'DK' END
+  AS country, c_custkey % 2 AS kind
+FROM customer"""
+
+
+def customers(spark, sf):
+    return fx.table(spark, sf, "customer").select(
+        "c_custkey",
+        "c_name",
+        "c_acctbal",
+        fx.market_of(F.col("c_nationkey")).alias("country"),
+        (F.col("c_custkey") % 2).cast("int").alias("kind"),
+    )
+
+
+def flat_schema():
+    return io.schema_from_json(CUSTOMER_JSON)
+
+
+@query("ndjson_scan", CUSTOMER_SQL)
+def ndjson_scan(spark, sf):
+    """Newline-delimited JSON, gzip, declared schema, strict about fields."""
+    root = scratch_dir(spark, "json")
+    customers(spark, sf).write.option("compression", "gzip").json(root)
+    return io.read_ndjson(spark, root, flat_schema())
+
+
+@query("json_budget", CUSTOMER_SQL + " WHERE c_custkey % 100 NOT IN (3, 4)")
+def json_budget(spark, sf):
+    """Broken JSON lines and wrong types within the budget are dropped."""
+    root = scratch_dir(spark, "badjson")
+    key, line = F.col("c_custkey"), F.to_json(F.struct(*flat_schema().names))
+    wrong = F.regexp_replace(line, '"c_acctbal":[-0-9.]+', '"c_acctbal":"much"')
+    value = F.when(key % 100 == 3, F.left(line, F.lit(20))).when(key % 100 == 4, wrong).otherwise(line)
+    customers(spark, sf).select(value.alias("value")).write.text(root)
+    return io.read_ndjson(spark, root, flat_schema(), max_bad=100_000, strict=False)
+
+
+@query("csv_roundtrip", CUSTOMER_SQL + " UNION ALL " + CUSTOMER_SQL)
+def csv_roundtrip(spark, sf):
+    """Delimited text with a header, and gzip text without one under an unusual delimiter."""
+    root = scratch_dir(spark, "csv")
+    customers(spark, sf).write.option("header", True).option("sep", ";").csv(f"{root}/semicolon")
+    customers(spark, sf).write.option("sep", "þ").option("compression", "gzip").csv(f"{root}/thorn")
+    plain = io.read_csv(spark, f"{root}/semicolon", flat_schema(), sep=";")
+    packed = io.read_csv(spark, f"{root}/thorn", flat_schema(), sep="þ", header=False)
+    return plain.unionByName(packed)
+
+
+@query("hive_partitions", CUSTOMER_SQL)
+def hive_partitions(spark, sf):
+    """Partition columns from folder names; they leave the declared schema."""
+    root = scratch_dir(spark, "hive")
+    customers(spark, sf).write.partitionBy(*PARTITIONS).option("header", True).csv(root)
+    schema = io.schema_from_json(CUSTOMER_JSON, drop=PARTITIONS)
+    return io.read_csv(spark, root, schema, base_path=root)
+
+
+@query("bad_record_budget", CUSTOMER_SQL + " WHERE c_custkey % 100 <> 3")
+def bad_record_budget(spark, sf):
+    """Unreadable rows within the budget are dropped."""
+    root = scratch_dir(spark, "bad")
+    key = F.col("c_custkey")
+    good = F.concat_ws(",", *[F.col(c).cast("string") for c in ("c_custkey", "c_name", "c_acctbal", "country", "kind")])
+    broken = F.concat(F.lit("broken,"), F.col("c_name"))
+    rows = customers(spark, sf).select(F.when(key % 100 == 3, broken).otherwise(good).alias("value"))
+    rows.write.text(root)
+    return io.read_csv(spark, root, flat_schema(), header=False, max_bad=100_000)
+
+
+@query("file_path", "SELECT c_custkey, CASE c_custkey % 2 WHEN 0 THEN 'kind=0' ELSE 'kind=1' END AS folder FROM customer")
+def file_path(spark, sf):
+    """Source file of every row."""
+    root = scratch_dir(spark, "paths")
+    customers(spark, sf).select("c_custkey", "kind").write.partitionBy("kind").parquet(root)
+    rows = io.with_file_path(spark.read.parquet(root))
+    return rows.select("c_custkey", F.regexp_extract("file_name", "/(kind=[0-9])/", 1).alias("folder"))
+
+
+@query(
+    "manifest_load",
+    "SELECT 'plain_r' AS source, count(*) AS n, sum(c_custkey)::BIGINT AS keys FROM customer UNION ALL\n"
+    "SELECT 'parted_r', count(*), sum(c_custkey)::BIGINT FROM customer UNION ALL\n"
+    "SELECT 'lines_r', count(*), sum(c_custkey)::BIGINT FROM customer",
+)
+def manifest_load(spark, sf):
+    """Several tables from one manifest: CSV, Hive-partitioned CSV and JSON."""
+    root = scratch_dir(spark, "manifest")
+    rows = customers(spark, sf)
+    rows.write.option("header", True).option("sep", ";").csv(f"{root}/plain")
+    rows.write.partitionBy(*PARTITIONS).option("header", True).csv(f"{root}/parted")
+    rows.write.json(f"{root}/lines")
+    lines = [
+        (f"plain_r,{root}/plain/*,0, CSV, ; ",),
+        (f"parted_r,{root}/parted/*,100, CSV, , ".replace(", , ", ", None "),),
+        (f"lines_r,{root}/lines/*,0,NEWLINE_DELIMITED_JSON, None ",),
+    ]
+    spark.createDataFrame(lines, "value string").coalesce(1).write.text(f"{root}/list")
+    schemas = {name: flat_schema() for name in ("plain_r", "parted_r", "lines_r")}
+    tables = io.load_manifest(spark, f"{root}/list", schemas, {"parted_r": PARTITIONS})
+    counted = [
+        df.agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("keys")).select(F.lit(name).alias("source"), "n", "keys")
+        for name, df in sorted(tables.items())
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
+@query(
+    "ddl_manifest",
+    """
+SELECT 't' || p_partkey || '_r' AS table_name, 'gs://sink/data/' || p_partkey || '/*' AS uri,
+  CASE WHEN p_partkey % 2 = 0 THEN p_size ELSE 0 END AS max_bad_records, 'CSV' AS file_format,
+  CASE WHEN p_partkey % 5 = 0 THEN ';' END AS field_delimiter
+FROM part WHERE p_partkey % 7 <> 0""",
+)
+def ddl_manifest(spark, sf):
+    """Manifest rows out of table definitions."""
+    p = F.col("p_partkey")
+    bucket = F.when(p % 7 == 0, F.lit("other")).otherwise(F.lit("landing"))
+    star = F.when(p % 3 == 0, F.lit("*")).otherwise(F.lit(""))
+    ddl = F.concat(
+        F.lit("CREATE EXTERNAL TABLE x OPTIONS(format=\"CSV\", uris=[\"gs://"),
+        bucket,
+        F.lit("/data/"),
+        fx.text(p),
+        F.lit("/"),
+        star,
+        F.lit('", "gs://landing/second/*"]'),
+        F.when(p % 2 == 0, F.concat(F.lit(", max_bad_records = "), fx.text(F.col("p_size")))).otherwise(F.lit("")),
+        F.when(p % 5 == 0, F.lit(', field_delimiter=";"')).otherwise(F.lit("")),
+        F.lit(")"),
+    )
+    rows = fx.table(spark, sf, "part").select(F.concat(F.lit("t"), fx.text(p), F.lit("_r")).alias("table_name"), ddl.alias("ddl"))
+    first_only = rows.filter(F.col("table_name").isNotNull() & (p % 7 != 0))
+    return io.manifest_from_ddl(first_only, "landing", "sink")
+
+
+@query(
+    "config_inputs",
+    """
+SELECT lower(replace(p_name, ' ', '_')) AS column_name FROM part WHERE p_partkey % 10 = 1
+  AND lower(replace(p_name, ' ', '_')) NOT IN (SELECT lower(replace(p_name, ' ', '_')) FROM part WHERE p_partkey % 250 = 7)""",
+)
+def config_inputs(spark, sf):
+    """Seed columns without blanks, minus an exclusion list."""
+    root = scratch_dir(spark, "config")
+    p = F.col("p_partkey")
+    name = F.replace(F.col("p_name"), F.lit(" "), F.lit("_"))
+    parts = fx.table(spark, sf, "part")
+    label = F.when(p % 10 == 1, name).when(p % 10 == 2, F.lit("NULL")).when(p % 10 == 3, F.lit(" "))
+    parts.select(p.alias("legacy model"), label.alias("legacy column name")).write.option("header", True).csv(f"{root}/seeds")
+    parts.filter(p % 250 == 7).select(F.concat(F.upper(name), F.lit(" "))).write.text(f"{root}/exclusions")
+    seeds = io.read_seed_columns(spark, f"{root}/seeds")
+    return seeds.join(io.read_exclusions(spark, f"{root}/exclusions"), "column_name", "left_anti")
+
+
+@query("write_partitioned", CUSTOMER_SQL)
+def write_partitioned(spark, sf):
+    """Partitioned, clustered write, then a replacement that reads its own table."""
+    root = f"{scratch_dir(spark, 'write')}/customers"
+    io.write_table(customers(spark, sf).filter("c_custkey % 2 = 0"), root, ["country"], ["c_custkey"])
+    odd = customers(spark, sf).filter("c_custkey % 2 = 1")
+    both = spark.read.parquet(root).unionByName(odd)
+    return io.replace_table(both, root, ["country"], ["c_custkey"])
+
+
+@query("copy_table", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def copy_table(spark, sf):
+    """Table copy."""
+    return io.copy_table(spark, f"{sf}/supplier.parquet", f"{scratch_dir(spark, 'copy')}/supplier")
+
+
+@query(
+    "insert_absent",
+    "SELECT o_custkey AS key, 'order' AS origin FROM orders GROUP BY 1 UNION ALL\n"
+    "SELECT c_custkey, 'customer' FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+)
+def insert_absent(spark, sf):
+    """Only unknown keys are added."""
+    known = fx.table(spark, sf, "orders").select(F.col("o_custkey").alias("key")).distinct().withColumn("origin", F.lit("order"))
+    new = fx.table(spark, sf, "customer").select(F.col("c_custkey").alias("key"), F.lit("customer").alias("origin"))
+    return io.insert_absent(known, new, ["key"])
+
+
+@query(
+    "update_where",
+    """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'closed' ELSE o_orderstatus END AS o_orderstatus,
+  CASE WHEN o_orderstatus = 'F' THEN 0 ELSE o_totalprice END AS o_totalprice FROM orders""",
+)
+def update_where(spark, sf):
+    """Conditional update as a projection."""
+    orders = fx.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    closed = F.when(F.col("o_orderkey") >= 0, F.col("o_orderstatus") == "F")
+    return io.update_where(orders, closed, {"o_orderstatus": F.lit("closed"), "o_totalprice": F.lit(0.0)})
+
+
+@query("export_csv", "SELECT n_nationkey::VARCHAR AS n_nationkey, n_name, c_name FROM nation JOIN customer ON c_nationkey = n_nationkey")
+def export_csv(spark, sf):
+    """Report export and its re-read."""
+    root = scratch_dir(spark, "export")
+    customers_of = fx.table(spark, sf, "customer").select("c_nationkey", "c_name")
+    nations = fx.table(spark, sf, "nation").select("n_nationkey", "n_name")
+    report = nations.join(customers_of, F.col("n_nationkey") == F.col("c_nationkey")).drop("c_nationkey")
+    io.export_csv(report, root)
+    return spark.read.option("header", True).csv(root)
+
+
+@query(
+    "schema_export",
+    "SELECT 'c_name' AS field, 'tag/name' AS tag, count(c_name) AS filled FROM customer",
+)
+def schema_export(spark, sf):
+    """Tagged schema to JSON and back, and the cells behind each tag."""
+    again = io.schema_from_json(io.schema_to_json(flat_schema()))
+    tagged = [(f.name, io.tag_of(f)[0]) for f in again.fields if io.tag_of(f)]
+    rows = customers(spark, sf).agg(*[F.count(name).alias(name) for name, _ in tagged])
+    cells = [
+        F.struct(F.lit(name).alias("field"), F.lit(tag).alias("tag"), F.col(name).alias("filled")) for name, tag in tagged
+    ]
+    return rows.select(F.inline(F.array(*cells)))
