@@ -32,20 +32,6 @@ def live(df: DataFrame) -> DataFrame:
     return df.filter(F.col("operationType") != DELETED)
 
 
-def _order(tiebreak: Sequence[Column]) -> Column:
-    floor = F.lit(latest.EPOCH_FLOOR).cast("timestamp")
-    parts = [
-        F.col("__v").alias("v"),
-        F.coalesce("updatedAt", floor).alias("u"),
-        F.coalesce("time_archived", floor).alias("a"),
-    ]
-    return F.struct(*parts, *[t.alias(f"t{i}") for i, t in enumerate(tiebreak)])
-
-
-def _is_live() -> Column:
-    return F.coalesce(F.col("operationType") != DELETED, F.lit(False))
-
-
 def _derived(df: DataFrame, brands: Brands) -> DataFrame:
     """Columns added to every current document."""
     return df.withColumns(
@@ -60,42 +46,21 @@ def _derived(df: DataFrame, brands: Brands) -> DataFrame:
     )
 
 
-def _reduced(raw: DataFrame, tiebreak: Sequence[Column], rectify: bool) -> DataFrame:
-    """One row per document with everything its versions contribute.
-
-    All four rankings share the document id, so they are maxima of one
-    aggregation: a single shuffle, and each input task sends at most one reduced
-    row per document however many versions it holds.
-    """
-    raw = nested.empty_for_null(raw)
-    order = _order(tiebreak)
-    alive = _is_live()
-    newest = F.max_by(F.struct(*[F.col(f"`{c}`") for c in raw.columns]), F.when(alive, order)).alias("doc")
-    # The longest array may come from a deleted version as well.
-    longest = F.max(F.struct(F.size("loans").alias("n"), F.col("loans"))).alias("longest")
-    aggregates = [newest, longest]
-    if rectify:
-        accepted_at, paid_at = F.col("acceptedBid.acceptedAt"), F.col("paymentStatus.date")
-        qualifies = alive & F.coalesce(accepted_at <= paid_at, F.lit(False))
-        accepted = F.struct(
-            accepted_at.alias("accepted_at"), F.col("acceptedBid.date").alias("bid_date"), paid_at.alias("paid_at")
-        )
-        letter = F.col("debtLetter.date")
-        aggregates += [
-            F.max_by(accepted, F.when(qualifies, order)).alias("accepted"),
-            F.max_by(letter, F.when(alive & letter.isNotNull(), order)).alias("letter_date"),
-        ]
-    return raw.groupBy(F.col("_id").alias("__id")).agg(*aggregates).filter(F.col("doc").isNotNull())
-
-
 def latest_documents(raw: DataFrame, brands: Brands = Brands(), tiebreak: Sequence[Column] = ()) -> DataFrame:
     """Newest live version per document, its loans repaired by the longest array seen.
 
-    Write this once and derive the child tables from it.
+    Both rankings keep one row per document and task before their shuffle, share
+    the document id as partitioning, and let unused columns be pruned down to the
+    scan.  Write this once and derive the child tables from it.
     """
-    reduced = _reduced(raw, tiebreak, rectify=False)
-    docs = reduced.select("doc.*", F.col("longest.loans").alias("__longest"))
-    docs = docs.withColumn("loans", nested.largest(F.col("__longest"), F.col("loans"))).drop("__longest")
+    raw = nested.empty_for_null(raw)
+    docs = latest.latest_by(raw, ["_id"], latest.version_order(), tiebreak, where=F.col("operationType") != DELETED)
+    # The longest array may come from a deleted version as well.
+    longest = latest.largest_array_by(raw, ["_id"], "loans").select(
+        F.col("_id").alias("__id"), F.col("loans").alias("__longest")
+    )
+    docs = docs.join(longest, F.col("_id") == F.col("__id"), "left")
+    docs = docs.withColumn("loans", nested.largest(F.col("__longest"), F.col("loans"))).drop("__longest", "__id")
     return _derived(docs, brands)
 
 
@@ -188,6 +153,25 @@ def _outer_columns(df: DataFrame, owner: str, also: Sequence[str] = ()) -> list[
     return [F.col(f"`{c}`") for c in df.columns if c.lower() not in hidden]
 
 
+def _rectified(raw: DataFrame, tiebreak: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
+    """Dates of the newest live version accepted before payment, and of the newest debt letter."""
+    order = latest.version_order()
+    accepted_at = nested.member(raw.schema, "acceptedBid.acceptedAt")
+    paid_at = nested.member(raw.schema, "paymentStatus.date")
+    letter = nested.member(raw.schema, "debtLetter.date")
+    live_rows = live(raw)
+    accepted = latest.latest_by(live_rows, ["_id"], order, tiebreak, where=accepted_at <= paid_at).select(
+        F.col("_id").alias("__accepted_id"),
+        accepted_at.alias("__accepted_at"),
+        nested.member(raw.schema, "acceptedBid.date").alias("__bid_date"),
+        paid_at.alias("__paid_at"),
+    )
+    letters = latest.latest_by(live_rows, ["_id"], order, tiebreak, where=letter.isNotNull()).select(
+        F.col("_id").alias("__letter_id"), letter.alias("__letter_date")
+    )
+    return accepted, letters
+
+
 def applications(
     raw: DataFrame, owner: str = "Owner", brands: Brands = Brands(), tiebreak: Sequence[Column] = ()
 ) -> DataFrame:
@@ -196,27 +180,32 @@ def applications(
     Accepted and paid dates come from the newest version where acceptance does
     not follow payment; without one, acceptance is capped at the payment date.
     """
-    reduced = _reduced(raw, tiebreak, rectify=True)
-    docs = _derived(reduced.select("doc.*", "accepted", "letter_date"), brands)
+    docs = latest.latest_by(raw, ["_id"], latest.version_order(), tiebreak, where=F.col("operationType") != DELETED)
+    accepted, letters = _rectified(raw, tiebreak)
+    # All three rankings leave their rows partitioned by document id.
+    docs = docs.join(accepted, F.col("_id") == F.col("__accepted_id"), "left")
+    docs = docs.join(letters, F.col("_id") == F.col("__letter_id"), "left")
+    docs = _derived(docs, brands)
     schema = docs.schema
     accepted_at = nested.member(schema, "acceptedBid.acceptedAt")
     paid_at = nested.member(schema, "paymentStatus.date")
-    fixed = F.col("accepted").isNotNull()
+    fixed = F.col("__accepted_id").isNotNull()
     capped = F.when(paid_at.isNotNull() & (accepted_at > paid_at), paid_at).otherwise(accepted_at)
-    helpers = ("accepted", "letter_date", "application_id", "versions", "updated_at", "is_status_sent")
+    helpers = [c for c in docs.columns if c.startswith("__") and c != "__v"]
+    helpers += ["application_id", "versions", "updated_at", "is_status_sent"]
     return docs.select(
         *_outer_columns(docs, owner, helpers),
         "application_id",
         "versions",
         "updated_at",
         *_flat_columns(docs, MEMBERS, owner),
-        F.when(fixed, F.col("accepted.accepted_at")).otherwise(capped).alias("acceptedAt"),
-        F.when(fixed, F.col("accepted.bid_date"))
+        F.when(fixed, F.col("__accepted_at")).otherwise(capped).alias("acceptedAt"),
+        F.when(fixed, F.col("__bid_date"))
         .otherwise(nested.member(schema, "acceptedBid.date"))
         .alias("acceptedBidDate"),
-        F.when(fixed, F.col("accepted.paid_at")).otherwise(paid_at).alias("paymentStatusDate"),
+        F.when(fixed, F.col("__paid_at")).otherwise(paid_at).alias("paymentStatusDate"),
         *[clean.click_id(F.col("originReference"), param).alias(name) for name, param in CLICK_IDS.items()],
-        F.coalesce(nested.member(schema, "debtLetter.date"), F.col("letter_date")).alias("debtLetterDate"),
+        F.coalesce(nested.member(schema, "debtLetter.date"), F.col("__letter_date")).alias("debtLetterDate"),
     )
 
 
