@@ -88,6 +88,12 @@ def absent(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFram
     return new.join(existing.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def few_values(df: DataFrame, col: str, limit: int = 1000) -> list | None:
+    """Distinct values of a column when there are at most ``limit``, else None."""
+    rows = df.select(col).distinct().limit(limit + 1).collect()
+    return [r[0] for r in rows] if len(rows) <= limit else None
+
+
 def union_keys(frames: Sequence[DataFrame], columns: Sequence[str], name: str, spark=None) -> DataFrame:
     """Distinct values of one column per frame; typed empty result for no frames."""
     if not frames:

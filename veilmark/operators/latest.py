@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 ColumnLike = Column | str
 EPOCH_FLOOR = "1990-01-01"
+# Counts of at most this many keys (a few megabytes) are broadcast.
+FEW_KEYS = 50_000
 
 
 def _col(value: ColumnLike) -> Column:
@@ -65,19 +67,30 @@ def last_match(df: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:
     return latest_by(df, keys, [F.col(ordinal).desc()])
 
 
-def partition_count(df: DataFrame, keys: Sequence[str], col: str, name: str = "n") -> DataFrame:
+def _attach(df: DataFrame, per_key: DataFrame, keys: Sequence[str], few: bool = False) -> DataFrame:
+    """Join one row per key back onto its rows; NULL keys meet each other."""
+    condition = F.lit(True)
+    for i, k in enumerate(keys):
+        same = F.col(k).eqNullSafe(F.col(f"__{k}"))
+        condition = same if i == 0 else condition & same
+    side = F.broadcast(per_key) if few else per_key
+    return df.join(side, condition, "left").drop(*[f"__{k}" for k in keys])
+
+
+def partition_count(
+    df: DataFrame, keys: Sequence[str], col: str, name: str = "n", few_keys: int = FEW_KEYS
+) -> DataFrame:
     """Non-null count of ``col`` per key on every row.
 
     Counted with a map-side aggregate and joined back instead of a window: a
     window would hold the whole group of a hot key in one task, while the join
-    only meets one counted row per key and its probe side can be split.
+    only meets one counted row per key.  A sketch over the key columns decides
+    whether the counts are few enough to broadcast, which spares the rows a
+    shuffle; otherwise both sides are shuffled and skewed partitions are split.
     """
     counts = df.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.count(col).alias(name))
-    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    condition = same[0]
-    for extra in same[1:]:
-        condition = condition & extra
-    return df.join(counts, condition, "left").drop(*[f"__{k}" for k in keys])
+    distinct = df.agg(F.approx_count_distinct(F.xxhash64(*keys))).first()[0]
+    return _attach(df, counts, keys, few=distinct < few_keys)
 
 
 def collect_over(df: DataFrame, keys: Sequence[str], col: str, name: str = "values") -> DataFrame:
@@ -88,11 +101,7 @@ def collect_over(df: DataFrame, keys: Sequence[str], col: str, name: str = "valu
     """
     distinct = df.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(col).alias("__value")).distinct()
     lists = distinct.groupBy(*[f"__{k}" for k in keys]).agg(F.array_sort(F.collect_list("__value")).alias(name))
-    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    condition = same[0]
-    for extra in same[1:]:
-        condition = condition & extra
-    return df.join(lists, condition, "left").drop(*[f"__{k}" for k in keys])
+    return _attach(df, lists, keys)
 
 
 def distinct_list(df: DataFrame, keys: Sequence[str], col: str, name: str, separator: str | None = None) -> DataFrame:

@@ -66,7 +66,7 @@ def build(
         F.col("email").alias("latest_email"),
         F.col("mobile_phone").alias("latest_mobile"),
         "compliance_event",
-    ).distinct()
+    )
     same = (F.col("national_id") == F.col("__id")) & (F.col("market") == F.col("__market"))
     joined = people.join(known, same, "left")
     keys = [

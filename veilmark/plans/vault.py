@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import crypto
 from ..operators import latest
-from ..operators.joins import absent, union_keys
+from ..operators.joins import absent, few_values, union_keys
 from ..sources.tables import update_where
 
 # Event kept out of the vault, mark of an unusable id, key columns of published views.
@@ -90,12 +90,21 @@ def mark_anonymised(
     by_other = [n for n, k in chosen.items() if k and k != key_candidates[0]]
     spark = vault.sparkSession
     ssns = union_keys([views[n] for n in by_ssn], [chosen[n] for n in by_ssn], "__ssn", spark)
-    others = union_keys([views[n] for n in by_other], [chosen[n] for n in by_other], "__market", spark)
-    marked = (
-        vault.join(ssns.withColumn("__hit_ssn", F.lit(True)), F.col("ssn") == F.col("__ssn"), "left")
-        .join(others.withColumn("__hit_market", F.lit(True)), F.col("market") == F.col("__market"), "left")
-    )
-    hit = F.coalesce("__hit_ssn", F.lit(False)) | F.coalesce("__hit_market", F.lit(False))
+    marked = vault.join(ssns.withColumn("__hit_ssn", F.lit(True)), F.col("ssn") == F.col("__ssn"), "left")
+    by_market = F.lit(False)
+    if by_other:
+        others = union_keys([views[n] for n in by_other], [chosen[n] for n in by_other], "__market", spark)
+        # A market holds a large share of the vault, so a shuffle by market is avoided:
+        # few values become a condition, many are joined.
+        values = few_values(others, "__market")
+        if values is not None:
+            by_market = F.coalesce(F.col("market").isin(values), F.lit(False)) if values else F.lit(False)
+        else:
+            marked = marked.join(
+                others.withColumn("__hit_market", F.lit(True)), F.col("market") == F.col("__market"), "left"
+            )
+            by_market = F.coalesce("__hit_market", F.lit(False))
+    hit = F.coalesce("__hit_ssn", F.lit(False)) | by_market
     unflagged = ~F.col("is_anonymized").eqNullSafe(True)
     stamp = as_of if as_of is not None else F.current_timestamp()
     updated = update_where(marked, unflagged & hit, {"is_anonymized": F.lit(True), "ingestion_timestamp": stamp})

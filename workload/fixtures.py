@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilmark import clean, vault
+from veilmark.session import scratch_dir
 
 MASTER_KEY = "fixture secret, not for production"
 AS_OF = "2024-01-01 00:00:00"
@@ -131,12 +134,30 @@ def as_of() -> Column:
     return F.lit(AS_OF).cast("timestamp")
 
 
-def key_vault(spark: SparkSession, sf: str) -> DataFrame:
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf: str, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived table that is written once per session and read by everything after it."""
+    key = (spark.sparkContext.applicationId, sf, label)
+    if key not in _STORED:
+        path = scratch_dir(spark, label)
+        build().write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
+def fresh_vault(spark: SparkSession, sf: str) -> DataFrame:
     """Vault of the fixture; every tenth person is missing so that lookups can fail."""
     events = compliance_events(spark, sf).filter(F.col("k") % 10 != 0).drop("k")
     return vault.build(events, MASTER_KEY, as_of())
 
 
+def key_vault(spark: SparkSession, sf: str) -> DataFrame:
+    """The vault as the table it is in production: built once, then looked up."""
+    return stored(spark, sf, "vault", lambda: fresh_vault(spark, sf))
+
+
 def change_events(spark: SparkSession, sf: str) -> DataFrame:
     """Change log: every event once, every fifth a second time from another source."""
     events = table(spark, sf, "events")

@@ -16,10 +16,15 @@ def stamp(column, fmt="yyyy-MM-dd"):
     return F.date_format(column, fmt)
 
 
-def current(spark, sf):
+def fresh(spark, sf):
     return documents.latest_documents(fx.documents(spark, sf), BRANDS)
 
 
+def current(spark, sf):
+    """Current documents, written once: every child table is derived from them."""
+    return fx.stored(spark, sf, "documents", lambda: fresh(spark, sf))
+
+
 @query(
     "latest_documents",
     """
@@ -31,7 +36,7 @@ FROM current_docs d LEFT JOIN (SELECT k, max(n) AS n FROM (SELECT k, __v, count(
 )
 def latest_documents(spark, sf):
     """Current documents with the longest loan array of any version."""
-    return current(spark, sf).select(
+    return fresh(spark, sf).select(
         "application_id",
         "versions",
         "is_status_sent",

@@ -22,7 +22,7 @@ FROM vault_people v LEFT JOIN (SELECT k, count(*) AS n FROM contacts GROUP BY k)
 )
 def vault_build(spark, sf):
     """One vault row per person and market; the encrypted id opens with its key."""
-    rows = fx.key_vault(spark, sf)
+    rows = fx.fresh_vault(spark, sf)
     return rows.select(
         "ssn",
         "market",
