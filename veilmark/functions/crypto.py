@@ -51,14 +51,14 @@ def cipher_key(key: Column) -> Column:
     return F.unhex(F.sha2(F.concat(F.hex(key), F.lit("|enc")), 256))
 
 
-def nonce_key(key: Column) -> Column:
-    """Nonce sub-key (hex)."""
-    return F.sha2(F.concat(F.hex(key), F.lit("|nonce")), 256)
+def nonce_key(key: Column, aad: Column) -> Column:
+    """Nonce sub-key (hex), bound to the associated data."""
+    return _keyed_hash(F.sha2(F.concat(F.hex(key), F.lit("|nonce")), 256), aad)
 
 
 def det_encrypt_with(text: Column, enc: Column, nonce: Column, aad: Column) -> Column:
     """Encrypt with sub-keys computed beforehand, once per person and not per field."""
-    digest = _keyed_hash(nonce, F.sha2(aad, 256), text)
+    digest = _keyed_hash(nonce, text)
     iv = F.substring(F.unhex(digest), 1, _NONCE_BYTES)
     sealed = F.aes_encrypt(text.cast("binary"), enc, F.lit("GCM"), F.lit("DEFAULT"), iv, aad.cast("binary"))
     return F.lower(F.hex(sealed))
@@ -66,7 +66,7 @@ def det_encrypt_with(text: Column, enc: Column, nonce: Column, aad: Column) -> C
 
 def det_encrypt(text: Column, key: Column, aad: Column) -> Column:
     """Lower-case hex ciphertext; NULL when any input is NULL."""
-    return det_encrypt_with(text, cipher_key(key), nonce_key(key), aad)
+    return det_encrypt_with(text, cipher_key(key), nonce_key(key, aad), aad)
 
 
 def det_decrypt_with(hex_text: Column, enc: Column, aad: Column) -> Column:

@@ -9,23 +9,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-NULL_SPREAD = 4096
-_ATOMIC = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType)
-
+from .latest import row_hash
 
-def _row_hash(df: DataFrame) -> Column:
-    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, _ATOMIC)]
-    return F.xxhash64(*plain) if plain else F.lit(0).cast("bigint")
+NULL_SPREAD = 4096
 
 
-def hot_keys(df: DataFrame, key: Column, share: float) -> DataFrame:
+def hot_keys(df: DataFrame, key: Column, share: float) -> list:
     """Keys that may hold at least ``share`` of the rows (one pass, no shuffle by key).
 
-    The frequent-items sketch has no false negatives and returns at most
-    ``1 / share`` items, which bounds whatever is broadcast from it.
+    The frequent-items sketch keeps at most ``1 / share`` items, so the list is
+    bounded.  It is taken once, here: both sides of a salted join must agree on
+    it, and evaluating the sketch twice could give two answers.
     """
     items = df.select(key.alias("k")).filter(F.col("k").isNotNull()).stat.freqItems(["k"], share)
-    return items.select(F.explode("k_freqItems").alias("k"))
+    return sorted(items.first()[0])
 
 
 def lookup_join(
@@ -45,10 +42,10 @@ def lookup_join(
     """
     names = [f"__k{i}" for i in range(len(on))]
     values = [c for c in lookup.columns if c not in {col for _, col in on}]
-    row_hash = _row_hash(df)
+    salt_of = row_hash(df)
     probe = df.withColumns({n: expr for n, (expr, _) in zip(names, on)})
     missing = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
-    null_salt = F.lit(1) + F.pmod(row_hash, F.lit(NULL_SPREAD))
+    null_salt = F.lit(1) + F.pmod(salt_of, F.lit(NULL_SPREAD))
     build = lookup.select(*[F.col(c).alias(f"__b{i}") for i, (_, c) in enumerate(on)], *values)
     build = build.dropna(subset=[f"__b{i}" for i in range(len(on))])
     build_hash = F.xxhash64(*[F.col(f"__b{i}") for i in range(len(on))])
@@ -59,22 +56,16 @@ def lookup_join(
         build = build.withColumn("__bsalt", F.pmod(build_hash, F.lit(1)).cast("bigint"))
     else:
         key_hash = F.when(~missing, F.xxhash64(*[F.col(n) for n in names]))
-        hot = F.broadcast(hot_keys(probe, key_hash, hot_share).select(F.col("k").alias("__hot")))
-        probe = probe.join(hot, key_hash == F.col("__hot"), "left").withColumn(
+        hot = hot_keys(probe, key_hash, hot_share)
+        probe = probe.withColumn(
             "__salt",
             F.when(missing, null_salt)
-            .when(F.col("__hot").isNotNull(), F.pmod(row_hash, F.lit(salts)))
+            .when(key_hash.isin(hot), F.pmod(salt_of, F.lit(salts)))
             .otherwise(F.lit(0))
             .cast("bigint"),
-        ).drop("__hot")
-        copies = F.when(F.col("__hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-            F.array(F.lit(0))
-        )
-        build = (
-            build.join(hot, build_hash == F.col("__hot"), "left")
-            .withColumn("__bsalt", F.explode(copies.cast("array<bigint>")))
-            .drop("__hot")
         )
+        copies = F.when(build_hash.isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        build = build.withColumn("__bsalt", F.explode(copies.cast("array<bigint>")))
 
     condition = F.col("__salt") == F.col("__bsalt")
     for i, n in enumerate(names):

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ColumnLike = Column | str
 EPOCH_FLOOR = "1990-01-01"
@@ -48,13 +49,20 @@ def version_order(version: str = "__v", updated: str = "updatedAt", archived: st
     ]
 
 
-def largest_array_by(
-    df: DataFrame, keys: Sequence[str], array_col: str, tiebreak: Sequence[Column] = ()
-) -> DataFrame:
-    """Key and the longest value of an array column over all rows of the key."""
-    narrow = df.select(*keys, array_col) if not tiebreak else df
+def row_hash(df: DataFrame) -> Column:
+    """Hash of the plain columns of a row: a stable last tiebreak and a salt."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    return F.xxhash64(*plain) if plain else F.lit(0).cast("bigint")
+
+
+def largest_array_by(df: DataFrame, keys: Sequence[str], array_col: str) -> DataFrame:
+    """Key and the longest value of an array column over all rows of the key.
+
+    Among equally long arrays the greatest one is taken, so the choice does not
+    depend on arrival order.
+    """
     size = F.size(F.coalesce(F.col(array_col), F.array()))
-    return latest_by(narrow, keys, [size.desc()], tiebreak).select(*keys, array_col)
+    return latest_by(df.select(*keys, array_col), keys, [size.desc()], [F.col(array_col).desc()])
 
 
 def first_match(df: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:

@@ -54,7 +54,8 @@ def latest_documents(raw: DataFrame, brands: Brands = Brands(), tiebreak: Sequen
     scan.  Write this once and derive the child tables from it.
     """
     raw = nested.empty_for_null(raw)
-    docs = latest.latest_by(raw, ["_id"], latest.version_order(), tiebreak, where=F.col("operationType") != DELETED)
+    ties = [*tiebreak, latest.row_hash(raw).desc()]
+    docs = latest.latest_by(raw, ["_id"], latest.version_order(), ties, where=F.col("operationType") != DELETED)
     # The longest array may come from a deleted version as well.
     longest = latest.largest_array_by(raw, ["_id"], "loans").select(
         F.col("_id").alias("__id"), F.col("loans").alias("__longest")
@@ -159,6 +160,7 @@ def _rectified(raw: DataFrame, tiebreak: Sequence[Column]) -> tuple[DataFrame, D
     accepted_at = nested.member(raw.schema, "acceptedBid.acceptedAt")
     paid_at = nested.member(raw.schema, "paymentStatus.date")
     letter = nested.member(raw.schema, "debtLetter.date")
+    tiebreak = [*tiebreak, latest.row_hash(raw).desc()]
     live_rows = live(raw)
     accepted = latest.latest_by(live_rows, ["_id"], order, tiebreak, where=accepted_at <= paid_at).select(
         F.col("_id").alias("__accepted_id"),
@@ -180,7 +182,8 @@ def applications(
     Accepted and paid dates come from the newest version where acceptance does
     not follow payment; without one, acceptance is capped at the payment date.
     """
-    docs = latest.latest_by(raw, ["_id"], latest.version_order(), tiebreak, where=F.col("operationType") != DELETED)
+    ties = [*tiebreak, latest.row_hash(raw).desc()]
+    docs = latest.latest_by(raw, ["_id"], latest.version_order(), ties, where=F.col("operationType") != DELETED)
     accepted, letters = _rectified(raw, tiebreak)
     # All three rankings leave their rows partitioned by document id.
     docs = docs.join(accepted, F.col("_id") == F.col("__accepted_id"), "left")

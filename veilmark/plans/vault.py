@@ -136,5 +136,5 @@ def lookup(vault: DataFrame, by: str, stack: str | None = None) -> DataFrame:
         "key",
         "uuid",
         crypto.cipher_key(F.col("aead_key")).alias("cipher_key"),
-        crypto.nonce_key(F.col("aead_key")).alias("nonce_key"),
+        crypto.nonce_key(F.col("aead_key"), F.col("uuid")).alias("nonce_key"),
     )

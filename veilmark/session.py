@@ -31,6 +31,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 256 << 20) -> int:
+    """Shuffle partitions for an input size, so that one fits a task's memory share."""
+    partitions = max(200, -(-input_bytes // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions
+
+
 def local_session(cpus: int | str = "*", app: str = "veilmark", memory: str = "12g") -> SparkSession:
     """Session for tests and local benchmarks; clusters bring their own."""
     partitions = str(cpus) if str(cpus).isdigit() else "8"
