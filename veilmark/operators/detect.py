@@ -308,7 +308,7 @@ def tag_tree(
     kept = exclude(members, types, exclusions)
     order = F.struct("ordinal", "seed", "extra", "extra_pos")
     claimed = kept.groupBy("column_name").agg(
-        F.min(order).alias("claim"), F.first("data_type", ignorenulls=True).alias("data_type")
+        F.min(order).alias("claim"), F.min("data_type").alias("data_type")
     )
     rows = classify(claimed.select("column_name", "data_type", "claim.*"))
     position = F.struct("extra", F.when(F.col("extra") == 1, F.col("extra_pos")), "column_name")

@@ -22,7 +22,7 @@ def hot_keys(df: DataFrame, key: Column, share: float) -> list:
     it, and evaluating the sketch twice could give two answers.
     """
     items = df.select(key.alias("k")).filter(F.col("k").isNotNull()).stat.freqItems(["k"], share)
-    return sorted(items.first()[0])
+    return sorted(items.first()[0] or [])
 
 
 def lookup_join(
