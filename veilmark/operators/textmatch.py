@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,8 @@ def containment(names: DataFrame, words: DataFrame, limit: int = VOCABULARY_LIMI
     words = words.select("word").filter(F.col("word").isNotNull() & (F.col("word") != "")).distinct()
     small = words.limit(limit + 1).collect()
     if len(small) <= limit:
-        vocabulary = F.array(*[F.lit(r.word) for r in small]).cast("array<string>")
+        # One literal that folds to a constant array, instead of one expression per word.
+        vocabulary = F.from_json(F.lit(json.dumps([r.word for r in small])), "array<string>")
         hits = F.filter(vocabulary, lambda w: F.col("name").contains(w))
         return names.select("name", F.explode(hits).alias("word"))
     lengths = [r.n for r in words.select(F.length("word").alias("n")).distinct().collect()]

@@ -158,11 +158,15 @@ def send_once(
     return False, attempts, status, error or f"status {status}"
 
 
-def send_all(df: DataFrame, transport: Transport, attempts: int, backoff: float = 1.0) -> DataFrame:
+def send_all(
+    df: DataFrame, transport: Transport, attempts: int, backoff: float = 1.0, senders: int | None = None
+) -> DataFrame:
     """Delivery results of ``(message_id, project, payload)`` rows, partition by partition.
 
-    Rows without a project fail at once.  Delivery is at least once: a retried
-    task sends again, so receivers must accept a message id twice.
+    Rows without a project fail at once.  ``senders`` sets how many tasks send at
+    a time; sending waits on the receiver, so few small partitions would be slow.
+    Delivery is at least once: a retried task sends again, so receivers must
+    accept a message id twice.
     """
 
     def run(batches: Iterator) -> Iterator:
@@ -181,7 +185,10 @@ def send_all(df: DataFrame, transport: Transport, attempts: int, backoff: float
             out["status"] = out["status"].astype("Int32")
             yield out
 
-    return df.select("message_id", "project", "payload").mapInPandas(run, RESULT_SCHEMA)
+    rows = df.select("message_id", "project", "payload")
+    if senders is not None:
+        rows = rows.repartition(senders, "message_id", "project")
+    return rows.mapInPandas(run, RESULT_SCHEMA)
 
 
 def deliver(
@@ -190,6 +197,7 @@ def deliver(
     attempts: int = HTTP_ATTEMPTS,
     backoff: float = 1.0,
     path: str | None = None,
+    senders: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Send everything once and return ``(delivered, dead_letter)``.
 
@@ -197,7 +205,7 @@ def deliver(
     not send the messages twice.
     """
     target = path or scratch_dir(df.sparkSession, "delivery")
-    send_all(df, transport, attempts, backoff).write.mode("overwrite").parquet(target)
+    send_all(df, transport, attempts, backoff, senders).write.mode("overwrite").parquet(target)
     results = df.sparkSession.read.schema(RESULT_SCHEMA).parquet(target)
     return results.filter("ok"), results.filter(~F.col("ok"))
 

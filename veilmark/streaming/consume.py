@@ -29,6 +29,7 @@ def consume_stream(
     attempts: int = events.HTTP_ATTEMPTS,
     backoff: float = 1.0,
     files_per_batch: int = 1000,
+    senders: int | None = None,
 ):
     """Drain the message folder and stop; results land in ``out`` by batch.
 
@@ -39,7 +40,7 @@ def consume_stream(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         routed = events.route(events.read_messages(batch), market_projects)
-        results = events.send_all(routed, transport, attempts, backoff)
+        results = events.send_all(routed, transport, attempts, backoff, senders)
         results.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
 
     return (

@@ -479,7 +479,7 @@ def delivery_counts(spark, sf):
     """Delivery outcomes counted per project and per message."""
     ship_package(spark)
     typed = events.read_messages(events.to_messages(fixture_events(spark, sf)))
-    delivered, dead = events.deliver(events.route(typed, MARKETS), flaky_transport(), attempts=2, backoff=0.0)
+    delivered, dead = events.deliver(events.route(typed, MARKETS), flaky_transport(), attempts=2, backoff=0.0, senders=8)
     return events.counts(delivered.unionByName(dead))
 
 
