@@ -7,8 +7,9 @@ import pytest
 
 import __spark_entry__ as entry
 from tools.check import TABLES, rows_of
+from workload import all_oracles, all_queries
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
