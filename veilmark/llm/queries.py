@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from veilmark.session import configure
 
-from . import exact_dup, mixing, near_dup, packing
+from . import exact_dup, html, mixing, near_dup, packing, topk
 from . import quality as quality_model
 from .scratch import table
 
@@ -56,6 +56,34 @@ def pack(spark, sf):
     return packing.pack(table(spark, sf, "documents"), with_ids=False)
 
 
+@query("op7_main_text")
+def main_text(spark, sf):
+    """Main text of every page."""
+    return html.main_texts(table(spark, sf, "pages"))
+
+
+@query(
+    "op9_top_k",
+    """
+WITH vectors AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q, vectors c WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score FROM scores
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 5""",
+)
+def top_k(spark, sf):
+    """Five best inner products of every fiftieth vector."""
+    vectors = topk.integer_vectors(table(spark, sf, "embeddings"))
+    return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 @query(
     "op10_exact_duplicates",
     r"""
