@@ -9,7 +9,7 @@
    and shares no key with probability 6e-7.
 3. Within a key every member is first compared with two pivots (smallest and largest id): linear in the members, and
    groups of near copies collapse into one component.  Then members of one key in different components are compared, all
-   of them, on a second signature of 256 symbols of 8 bits in numpy; only pairs below its distance limit leave the task.
+   of them, on a second signature of 512 symbols of 8 bits in numpy; only pairs below its distance limit leave the task.
    Keys with very many members are dealt out as pairs of blocks, so no task holds more than two blocks.
 4. Candidates are confirmed on their full shingle sets, and links become components by star contraction.
 
@@ -35,9 +35,9 @@ from .words import constants, groups, mix, shingles, words
 
 CHUNKS, CHUNK = 8, 5
 SYMBOLS = CHUNKS * CHUNK
-LONG_SYMBOLS = 256
-#: Of 256 symbols, 38 differ on average at similarity 0.85, with a deviation of 5.7.
-LONG_DISTANCE = 64
+LONG_SYMBOLS = 512
+#: Of 512 symbols, 77 differ on average at similarity 0.85, with a deviation of 8.1; 128 at similarity 0.75.
+LONG_DISTANCE = 112
 #: Members of one key that are compared in one task.
 BLOCK = 4096
 #: Links need 100 * intersection >= LINK * union.
@@ -83,21 +83,25 @@ def _details(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             full = np.flatnonzero(runs.counts)
             if not len(full):
                 continue
+            short = (minima(runs.hashes, runs.bounds[full], 0, SYMBOLS) >> np.uint64(48)).astype("<u2")
             longs = minima(runs.hashes, runs.bounds[full], SYMBOLS, LONG_SYMBOLS).astype(np.uint8)
             sets = [np.unique(runs.hashes[runs.bounds[i] : runs.bounds[i + 1]]).view(np.int64) for i in full]
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(start + full)), pa.array(sets, pa.list_(pa.int64())), pa.array([x.tobytes() for x in longs])],
-                ["id", "shingles", "long"],
-            )
+            columns = [ids.take(pa.array(start + full)), pa.array(sets, pa.list_(pa.int64()))]
+            columns += [pa.array([x.tobytes() for x in symbols]) for symbols in (short, longs)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "shingles", "symbols", "long"])
 
 
 def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one cell (rows come sorted by cell) in different components whose long signatures are close."""
+    """Pairs of one cell (rows come sorted by cell) in different components whose long signatures are close.
+
+    A pair shares several keys as a rule; only the cell of its first shared key gives it out.
+    """
 
     def compare(rows: pa.Table) -> pa.RecordBatch:
         cell = rows.column("cell").to_numpy()
         ids, component = rows.column("id").to_numpy(), rows.column("component").to_numpy()
-        side = rows.column("side").to_numpy()
+        side, place = rows.column("side").to_numpy(), rows.column("place").to_numpy()
+        symbols = np.frombuffer(b"".join(rows.column("symbols").to_pylist()), "<u2").reshape(len(rows), CHUNKS, CHUNK)
         longs = np.frombuffer(b"".join(rows.column("long").to_pylist()), np.uint8).reshape(len(rows), LONG_SYMBOLS)
         low, high = [], []
         left = np.arange(len(rows))
@@ -111,6 +115,10 @@ def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             here = left[across & (component[left] != component[left + shift])]
             for part in np.array_split(here, len(here) // 4096 + 1):
                 near = part[(longs[part] != longs[part + shift]).sum(1) <= LONG_DISTANCE]
+                wrong = symbols[near] != symbols[near + shift]
+                chunk = np.argmax(wrong.sum(2) <= 1, axis=1)
+                gap = np.argmax(wrong[np.arange(len(near)), chunk], axis=1)
+                near = near[chunk * CHUNK + gap == place[near]]
                 low.append(np.minimum(ids[near], ids[near + shift]))
                 high.append(np.maximum(ids[near], ids[near + shift]))
         pairs = np.unique(np.array([np.concatenate(low or [ids[:0]]), np.concatenate(high or [ids[:0]])]), axis=1)
@@ -130,7 +138,7 @@ def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _keys(nodes: DataFrame) -> DataFrame:
-    """``(key, id)``: every chunk with every symbol left out in turn."""
+    """``(place, key, id)``: every chunk with every symbol left out in turn."""
     keys = []
     for chunk in range(CHUNKS):
         start = 2 * CHUNK * chunk + 1
@@ -138,7 +146,7 @@ def _keys(nodes: DataFrame) -> DataFrame:
             before = F.substring("symbols", start, 2 * gap)
             after = F.substring("symbols", start + 2 * (gap + 1), 2 * (CHUNK - gap - 1))
             keys.append(F.xxhash64(F.lit(chunk * CHUNK + gap), before, after))
-    return nodes.select(F.explode(F.array(*keys)).alias("key"), "id")
+    return nodes.select(F.posexplode(F.array(*keys)).alias("place", "key"), "id")
 
 
 def _confirmed(pairs: DataFrame, details: DataFrame) -> DataFrame:
@@ -153,8 +161,8 @@ def _confirmed(pairs: DataFrame, details: DataFrame) -> DataFrame:
 
 def _cells(members: DataFrame, labels: DataFrame, details: DataFrame) -> DataFrame:
     """Members of keys that still hold several components, a cell per key, or per pair of blocks of a large key."""
-    labelled = members.select("key", "id").join(labels, members.id == labels.node, "left").select(
-        "key", "id", F.coalesce("component", "id").alias("component")
+    labelled = members.join(labels, members.id == labels.node, "left").select(
+        "place", "key", "id", F.coalesce("component", "id").alias("component")
     )
     open_keys = (
         labelled.groupBy("key")
@@ -168,8 +176,8 @@ def _cells(members: DataFrame, labels: DataFrame, details: DataFrame) -> DataFra
     low, high = F.least("own", "other"), F.greatest("own", "other")
     side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
     cell = F.when(F.col("blocks") == 1, F.col("key")).otherwise(F.xxhash64("key", low, high))
-    dealt = dealt.select(cell.alias("cell"), "id", "component", side.cast("int").alias("side"))
-    return dealt.join(details.select("id", "long"), "id").select("cell", "id", "component", "side", "long")
+    dealt = dealt.select(cell.alias("cell"), "place", "id", "component", side.cast("int").alias("side"))
+    return dealt.join(details.select("id", "symbols", "long"), "id")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -190,7 +198,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     candidates = members.select(F.col("id").alias("doc_id")).distinct()
     details = stored(
         texts.join(candidates, "doc_id", "left_semi")
-        .mapInArrow(_details, "id long, shingles array<bigint>, long binary")
+        .mapInArrow(_details, "id long, shingles array<bigint>, symbols binary, long binary")
         .dropDuplicates(["id", "long"]),
         "details",
     )
@@ -199,9 +207,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
     first = stored(_confirmed(pivots.filter("a < b").distinct(), details), "links")
     cells = _cells(members, components(first), details)
-    across = (
-        cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(_close_pairs, "a long, b long").distinct()
-    )
+    across = cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(_close_pairs, "a long, b long")
     second = stored(_confirmed(across, details), "links")
     labels = components(first.unionByName(second))
     of_class = classes.join(labels, classes.id == labels.node, "left").select(
