@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from .words import groups, mix, words
 
 #: Most labelled documents and lines in the training sample; a longer document is left out of training.
-SAMPLE_DOCUMENTS, SAMPLE_LINES = 6000, 400
-STEPS, RATE, PENALTY = 300, 0.05, 1e-3
+SAMPLE_DOCUMENTS, SAMPLE_LINES = 3000, 400
+STEPS, RATE, PENALTY = 200, 0.05, 1e-3
 
 _CLASSES = {
     "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ",
@@ -175,7 +175,13 @@ def train(texts: list[bytes], labels: list[int]) -> Model:
     if len(set(labels)) < 2:
         model.constant = float(good.mean()) if len(good) else 0.5
         return model
-    found = lines(texts)
+    parts = [lines(group) for _, group in groups(texts)]
+    counts = np.concatenate([np.diff(p.bounds) for p in parts])
+    found = Lines(
+        np.concatenate([p.features for p in parts]),
+        np.concatenate([p.length for p in parts]),
+        np.concatenate([[0], np.cumsum(counts)]),
+    )
     label = np.repeat(good, np.diff(found.bounds))
     observed = np.zeros((len(label), 2))
     observed[np.arange(len(label)), label] = 1
