@@ -228,8 +228,8 @@ def score(model: Model, texts: list[bytes | None]) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def training_sample(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE_DOCUMENTS) -> tuple[list, list]:
-    """Texts and labels of at most ``limit`` labelled documents, chosen by a hash of the id."""
+def training_sample(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE_DOCUMENTS) -> DataFrame:
+    """``doc_id, text, label`` of at most ``limit`` labelled documents, chosen by a hash of the id."""
     agreed = (
         labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)")
         .groupBy(F.col("doc_id").alias("labelled"))
@@ -241,8 +241,35 @@ def training_sample(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE
     # The limit bounds the chosen ids, so they go to every task.
     rows = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
     rows = rows.filter(F.length("text") - F.length(F.translate("text", "\n", "")) < SAMPLE_LINES)
-    rows = rows.dropDuplicates(["doc_id"]).orderBy("doc_id").select("text", "label").toArrow()
-    return rows.column("text").cast(pa.binary()).to_pylist(), rows.column("label").to_pylist()
+    return rows.dropDuplicates(["doc_id"]).select("doc_id", "text", "label")
+
+
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = []
+    for batch in batches:
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        rows += zip(batch.column("doc_id").to_pylist(), batch.column("label").to_pylist(), texts, strict=True)
+    rows.sort()
+    model = train([text for _, _, text in rows], [label for _, label, _ in rows])
+    yield pa.RecordBatch.from_pydict(
+        {
+            "weights": [model.weights.ravel()],
+            "transitions": [model.transitions.ravel()],
+            "slope": [model.slope],
+            "shift": [model.shift],
+            "constant": pa.array([model.constant], pa.float64()),
+        }
+    )
+
+
+def fitted(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE_DOCUMENTS) -> Model:
+    """The model of a training sample; one task trains it, the driver gets its weights."""
+    schema = "weights array<double>, transitions array<double>, slope double, shift double, constant double"
+    found = training_sample(documents, labels, limit).repartition(1).mapInArrow(_fit, schema).first()
+    if found is None:
+        return train([], [])
+    weights, transitions = np.array(found.weights).reshape(-1, 2), np.array(found.transitions).reshape(2, 2)
+    return Model(weights, transitions, found.slope, found.shift, found.constant)
 
 
 def scored(documents: DataFrame, model: Model) -> DataFrame:
@@ -265,7 +292,7 @@ def held_out(doc_id, parts: int, part: int):
 def quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted``; held-out documents are not learned from."""
     known = labels.filter(~held_out(F.col("doc_id"), 3, 1))
-    model = train(*training_sample(documents, known))
+    model = fitted(documents, known)
     return scored(documents, model).select(
         "doc_id",
         held_out(F.col("doc_id"), 3, 1).alias("held_out"),
@@ -277,7 +304,7 @@ def quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``documents`` with a score of at least 0.5, all columns."""
     known = labels.filter(~held_out(F.col("doc_id"), 3, 1))
-    model = train(*training_sample(documents, known))
+    model = fitted(documents, known)
 
     @F.pandas_udf("double")
     def predict(texts):
