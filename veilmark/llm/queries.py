@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from veilmark.session import configure
 
-from . import exact_dup, html, mixing, near_dup, packing, topk
+from . import exact_dup, html, lm, mixing, near_dup, packing, privacy, topk
 from . import quality as quality_model
 from .scratch import table
 
@@ -50,6 +50,18 @@ def mix(spark, sf):
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op4_personal_data")
+def personal_data(spark, sf):
+    """Personal data of every document and the terms that disclose it."""
+    return privacy.personal_data(table(spark, sf, "documents"))
+
+
+@query("op5_language_model")
+def language_model(spark, sf):
+    """Log probability of every document."""
+    return lm.corpus_scores(table(spark, sf, "documents"))
+
+
 @query("op6_packing")
 def pack(spark, sf):
     """Pieces of all documents and their places in sequences."""
