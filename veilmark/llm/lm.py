@@ -38,18 +38,22 @@ SHARD_TOKENS = 1 << 21
 END = constants(1, 40)[0]
 
 
-def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Token hashes of a group with an end after every text, the contexts before them, and each text's first place."""
+def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Token hashes of a group with an end after every text, and each text's first place."""
     found = words(texts)
     bounds = found.bounds + np.arange(len(found.bounds))
     tokens = np.full(bounds[-1], END, np.uint64)
     inside = np.ones(len(tokens), bool)
     inside[bounds[1:] - 1] = False
     tokens[inside] = found.hashes
-    context = np.empty_like(tokens)
-    context[1:] = tokens[:-1]
-    context[bounds[:-1]] = END
-    return tokens, context, bounds
+    return tokens, bounds
+
+
+def _before(ranks: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Rank of the token before each; a text's first token follows an end, as its last token is one."""
+    context = np.roll(ranks, 1)
+    context[bounds[:-1]] = ranks[-1]
+    return context
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
@@ -132,8 +136,9 @@ def _pair_counts(vocabulary, shards: int):
         parts, size = [], 0
         for batch in batches:
             for _, group in groups(_texts(batch)):
-                tokens, context, _ = _tokens(group)
-                word, before = ranks(tokens), ranks(context)
+                tokens, bounds = _tokens(group)
+                word = ranks(tokens)
+                before = _before(word, bounds)
                 both = (word >= 0) & (before >= 0)
                 parts.append(before[both] * len(hashes) + word[both])
                 size += len(parts[-1])
@@ -228,8 +233,9 @@ def _scores(trie):
         for batch in batches:
             ids, out = batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist()
             for start, group in groups(_texts(batch)):
-                tokens, context, bounds = _tokens(group)
-                word, before = model.words(tokens), model.words(context)
+                tokens, bounds = _tokens(group)
+                word = model.words(tokens)
+                before = _before(word, bounds)
                 known = word >= 0
                 after, found = model.bigrams(before, word)
                 unigram = np.where(known, model.unigram[word], 0) if len(base) else np.zeros(len(word))

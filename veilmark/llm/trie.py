@@ -63,15 +63,19 @@ class EliasFano:
         after = self._select(high, self.zeros, True) - high
         first = np.where(high > 0, self._select(np.maximum(high, 1) - 1, self.zeros, True) - high + 1, 0)
         at, stop = np.maximum(first, begin), np.minimum(after, end)
-        found = np.full(len(values), -1, np.int64)
-        open_ = np.flatnonzero(at < stop)
+        # Elements with the same high part are sorted by their low one: halve all ranges at once.
+        below, above = at.copy(), stop.copy()
+        open_ = np.flatnonzero(below < above)
         while len(open_):
-            here = self.low[at[open_]]
-            hit = here == low[open_]
-            found[open_[hit]] = at[open_[hit]]
-            open_ = open_[here < low[open_]]
-            at[open_] += 1
-            open_ = open_[at[open_] < stop[open_]]
+            middle = (below[open_] + above[open_]) >> 1
+            less = self.low[middle] < low[open_]
+            below[open_[less]] = middle[less] + 1
+            above[open_[~less]] = middle[~less]
+            open_ = open_[below[open_] < above[open_]]
+        inside = np.flatnonzero(below < stop)
+        hit = inside[self.low[below[inside]] == low[inside]]
+        found = np.full(len(values), -1, np.int64)
+        found[hit] = below[hit]
         return found
 
 
@@ -101,6 +105,7 @@ class Trie:
         books = levels.reshape(3, 256)
         self.unigram, self.backoff = books[0][codes], books[1][backoff]
         self.book = books[2]
+        self.begin = self.pointers.get(np.arange(len(self.hashes) + 1))
 
     def words(self, hashes: np.ndarray) -> np.ndarray:
         """Ranks of word hashes, -1 outside the vocabulary."""
@@ -114,9 +119,10 @@ class Trie:
         found = np.full(len(word), -1, np.int64)
         known = np.flatnonzero((context >= 0) & (word >= 0))
         if len(known) and len(self.codes):
-            c = context[known]
-            begin, end = self.pointers.get(c), self.pointers.get(c + 1)
-            found[known] = self.successors.find(c * len(self.hashes) + word[known], begin, end)
+            begin, end = self.begin[context[known]], self.begin[context[known] + 1]
+            some = begin < end
+            known, begin, end = known[some], begin[some], end[some]
+            found[known] = self.successors.find(context[known] * len(self.hashes) + word[known], begin, end)
         return self.book[self.codes[found]] if len(self.codes) else np.zeros(len(word)), found >= 0
 
 
