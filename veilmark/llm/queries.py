@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from veilmark.session import configure
 
-from . import exact_dup, html, lm, mixing, near_dup, packing, privacy, topk
+from . import exact_dup, html, licenses, lm, mixing, near_dup, packing, privacy, topk
 from . import quality as quality_model
 from .scratch import table
 
@@ -74,6 +74,12 @@ def main_text(spark, sf):
     return html.main_texts(table(spark, sf, "pages"))
 
 
+@query("op8_license_scan", licenses.oracle_sql())
+def license_scan(spark, sf):
+    """Known licences of every document."""
+    return licenses.license_scan(table(spark, sf, "documents"))
+
+
 @query(
     "op9_top_k",
     """
