@@ -56,11 +56,11 @@ def keep_first(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` without copies, all columns; of rows that repeat id and text one stays."""
     hash_name = "exact_dup_sha256"
     decisions = exact_duplicates(documents).filter("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n"))
-    decisions = stored(decisions, "kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_hash"), "n")
+    decisions = stored(decisions, "kept").select(F.col("doc_id").alias("exact_dup_id"), F.col("text_sha256").alias("exact_dup_hash"), F.col("n").alias("exact_dup_n"))
     rows = documents.withColumn(hash_name, F.sha2(normalised(F.col("text")), 256))
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col(hash_name) == F.col("kept_hash"))
-    stays = rows.join(decisions.filter("n = 1"), same, "left_semi")
-    if not decisions.filter("n > 1").isEmpty():
-        again = rows.join(decisions.filter("n > 1"), same, "left_semi").dropDuplicates(["doc_id", hash_name])
+    same = F.col("doc_id").eqNullSafe(F.col("exact_dup_id")) & (F.col(hash_name) == F.col("exact_dup_hash"))
+    stays = rows.join(decisions.filter("exact_dup_n = 1"), same, "left_semi")
+    if not decisions.filter("exact_dup_n > 1").isEmpty():
+        again = rows.join(decisions.filter("exact_dup_n > 1"), same, "left_semi").dropDuplicates(["doc_id", hash_name])
         stays = stays.unionByName(again)
     return stays.drop(hash_name)

@@ -14,8 +14,8 @@
 4. Candidates are confirmed on their full shingle sets, and links become components by star contraction.
 
 Links inside one component that cannot change the result are not tested.  Null and empty texts and texts without words
-have an empty set and no links.  Rows without an id are never linked and have no component; rows that share an id count
-as one document and share its component.
+have an empty set and no links.  Rows without an id are never linked and have no component.  Rows that share an id are
+separate texts that any link of the id joins; ``keep_one`` keeps such an id if one of its rows is kept.
 """
 
 from __future__ import annotations
@@ -223,5 +223,5 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` whose id stays: one document of each group of near copies, all columns."""
-    kept = near_duplicates(documents).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return documents.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    kept = near_duplicates(documents).filter("kept").select(F.col("doc_id").alias("near_dup_id")).distinct()
+    return documents.join(kept, F.col("doc_id").eqNullSafe(F.col("near_dup_id")), "left_semi")
