@@ -57,7 +57,9 @@ def test_flag_update_leaves_flagged_rows_alone(spark):
     twice = vault.mark_anonymised(once, {"v": view}, as_of=F.lit("2024-03-01").cast("timestamp"))
     flags = {r.ssn: (r.is_anonymized, r.ingestion_timestamp.month) for r in twice.collect()}
     assert flags == {"100000000001": (True, 2), "100000000002": (False, 1)}
-    assert vault.mark_anonymised(once, {"v": spark.range(1)}, as_of=later).count() == 2
+    assert vault.mark_anonymised(once, {"v": spark.range(1)}, as_of=later, keyless={"v"}).count() == 2
+    with pytest.raises(ValueError, match="without a key column"):
+        vault.mark_anonymised(once, {"v": spark.range(1)}, as_of=later)
 
 
 def test_lookup_has_one_row_per_key(spark):
@@ -83,12 +85,43 @@ def test_strategy_choice():
     assert kind("email_address notes") == "email"
     assert kind("mobile_phone notes") == "mobile"
     assert kind("puhelin notes") == "mobile"
-    assert kind("notes other") == "passthrough"
+    assert kind("notes other") == "unkeyed"
+    assert kind("ssn email", dataset="d", exclude_datasets={"d"}) == "passthrough"
     assert kind("other application_id") == "passthrough"
     assert kind("ssn email", exclude={"t"}) == "passthrough"
     assert kind("foreigner_ssn email") == "email"
 
 
+def test_tagged_table_without_a_key_is_refused(spark):
+    """A key inside an array names many people; the table must not be published in clear."""
+    schema = "id int, contacts array<struct<email:string,notes:string>>"
+    df = spark.createDataFrame([(1, [("a@x", "n")])], schema)
+    assert views.classify(df, {"email", "notes"}, "t").kind == "unkeyed"
+    with pytest.raises(ValueError, match="no key outside arrays"):
+        views.encrypted_view(df, "t", "SE", {"email", "notes"}, sample_vault(spark))
+    open_ = views.encrypted_view(df, "t", "SE", {"email"}, sample_vault(spark), dataset="d", exclude_datasets={"d"})
+    assert [r.is_anonymised for r in open_.collect()] == [False]
+
+
+def test_selecting_one_column_reads_it_and_the_key(spark, small):
+    customers = spark.read.parquet(f"{small}/customer.parquet").withColumnRenamed("c_phone", "ssn")
+    view = views.encrypted_view(customers, "t", "SE", {"ssn"}, sample_vault(spark)).select("c_name")
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    reads = [line for line in plan.splitlines() if "customer.parquet" in line]
+    assert len(reads) == 1 and "c_name" in reads[0] and "c_acctbal" not in reads[0] and "c_address" not in reads[0]
+
+
+def test_placeholder_ids_gather_no_history(spark):
+    """A third of the events without a real id: one row without history, everybody else complete."""
+    schema = (
+        "national_id string, market string, history array<struct<email:string>>, is_valid_national_id string, "
+        "compliance_event string"
+    )
+    rows = [(["0", "", str(i)][i % 3] if i % 3 else "0", "SE", [(f"{i}@x",)], "valid", "e") for i in range(60)]
+    built = {r.ssn: len(r.history) for r in vault.build(spark.createDataFrame(rows, schema), "secret").collect()}
+    assert built["0"] == built[""] == 0 and all(n == 1 for ssn, n in built.items() if ssn not in ("", "0"))
+
+
 def test_view_keeps_rows_orders_columns_and_types(spark):
     rows = [
         (1, "100000000001", "a@x", 10),

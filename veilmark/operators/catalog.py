@@ -50,7 +50,6 @@ PII_PARENTS = tuple(p for p in PII_PARENTS_OF_CHILDREN if p not in ("employer",
 PII_FORCING_CHILD = "last_application_employer_name"
 # Types that are not tagged for masking.
 NON_MASKABLE = ("NUMERIC", "BOOL", "INT64", "FLOAT64")
-PII_TAG_LIMIT = 100_000
 
 PATH_SCHEMA = T.StructType(
     [
@@ -139,14 +138,6 @@ def pii_tags(
     return children.unionByName(own)
 
 
-def tag_names(tags: DataFrame, limit: int = PII_TAG_LIMIT) -> set[str]:
-    """Normalised tag names for plan building; refuses to pull more than ``limit``."""
-    rows = tags.select(name_key(F.col("display_name")).alias("k")).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} policy tags")
-    return {r.k for r in rows}
-
-
 def with_parent_type(paths: DataFrame) -> DataFrame:
     """Parent path and its type within the same table (equi-join on the derived parent)."""
     last = F.length("field_path") - F.length(F.substring_index("field_path", ".", -1)) - 1

@@ -138,7 +138,7 @@ def _stars(edges: DataFrame, large: bool, hot_share: float | None) -> DataFrame:
     return moved if large else moved.distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 50, hot_share: float | None = None) -> DataFrame:
+def components(edges: DataFrame, hot_share: float | None = None) -> DataFrame:
     """Connected components ``(node, component)``; the component is its smallest node.
 
     Alternating star contraction: every round costs two aggregations with
@@ -164,14 +164,12 @@ def components(edges: DataFrame, max_rounds: int = 50, hot_share: float | None =
         return tuple(df.agg(F.count(F.lit(1)), hashed).first())
 
     seen = fingerprint(current)
-    for _ in range(max_rounds):
+    while True:
         current = _stars(_stars(current, True, hot_share), False, hot_share).checkpoint()
         now = fingerprint(current)
         if now == seen:
             break
         seen = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = current.select(F.col("src").alias("node"), F.col("dst").alias("component"))
     return nodes.join(roots, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 

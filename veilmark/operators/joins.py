@@ -11,8 +11,6 @@ from pyspark.sql import types as T
 
 from .latest import row_hash
 
-NULL_SPREAD = 4096
-
 
 def hot_keys(df: DataFrame, key: Column, share: float) -> list:
     """Keys that may hold at least ``share`` of the rows (one pass, no shuffle by key).
@@ -34,35 +32,32 @@ def lookup_join(
 ) -> DataFrame:
     """Left join to a lookup that has one row per key; keeps every left row once.
 
-    * Rows without a key cannot match; they get a random-looking salt so that a
-      large share of blanks spreads over all tasks instead of filling one.
-    * ``hot_share`` additionally salts keys holding at least that share of rows:
-      only those few lookup rows are copied ``salts`` times.  Without it the
-      adaptive skew join splits oversized probe partitions at run time.
+    * Rows without a key cannot match.  They meet in one partition, which the
+      adaptive skew join splits like that of any hot key, so the join reads no
+      column but its keys and those that are selected.
+    * ``hot_share`` salts keys holding at least that share of rows, and rows
+      without a key, by a hash of the whole row: only those few lookup rows are
+      copied ``salts`` times.
     """
     names = [f"__k{i}" for i in range(len(on))]
     values = [c for c in lookup.columns if c not in {col for _, col in on}]
-    salt_of = row_hash(df)
     probe = df.withColumns({n: expr for n, (expr, _) in zip(names, on)})
     missing = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
-    null_salt = F.lit(1) + F.pmod(salt_of, F.lit(NULL_SPREAD))
     build = lookup.select(*[F.col(c).alias(f"__b{i}") for i, (_, c) in enumerate(on)], *values)
     build = build.dropna(subset=[f"__b{i}" for i in range(len(on))])
     build_hash = F.xxhash64(*[F.col(f"__b{i}") for i in range(len(on))])
 
     if hot_share is None:
-        probe = probe.withColumn("__salt", F.when(missing, null_salt).otherwise(F.lit(0)).cast("bigint"))
+        probe = probe.withColumn("__salt", F.lit(0).cast("bigint"))
         # Always 0, but not a literal, so the optimizer keeps it as a join key.
         build = build.withColumn("__bsalt", F.pmod(build_hash, F.lit(1)).cast("bigint"))
     else:
         key_hash = F.when(~missing, F.xxhash64(*[F.col(n) for n in names]))
         hot = hot_keys(probe, key_hash, hot_share)
+        salt_of = F.pmod(row_hash(df), F.lit(salts))
         probe = probe.withColumn(
             "__salt",
-            F.when(missing, null_salt)
-            .when(key_hash.isin(hot), F.pmod(salt_of, F.lit(salts)))
-            .otherwise(F.lit(0))
-            .cast("bigint"),
+            F.when(missing | key_hash.isin(hot), salt_of).otherwise(F.lit(0)).cast("bigint"),
         )
         copies = F.when(build_hash.isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
         build = build.withColumn("__bsalt", F.explode(copies.cast("array<bigint>")))
@@ -79,12 +74,6 @@ def absent(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFram
     return new.join(existing.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def few_values(df: DataFrame, col: str, limit: int = 1000) -> list | None:
-    """Distinct values of a column when there are at most ``limit``, else None."""
-    rows = df.select(col).distinct().limit(limit + 1).collect()
-    return [r[0] for r in rows] if len(rows) <= limit else None
-
-
 def union_keys(frames: Sequence[DataFrame], columns: Sequence[str], name: str, spark=None) -> DataFrame:
     """Distinct values of one column per frame; typed empty result for no frames."""
     if not frames:

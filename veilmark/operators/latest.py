@@ -15,8 +15,6 @@ from pyspark.sql import types as T
 
 ColumnLike = Column | str
 EPOCH_FLOOR = "1990-01-01"
-# Counts of at most this many keys (a few megabytes) are broadcast.
-FEW_KEYS = 50_000
 
 
 def _col(value: ColumnLike) -> Column:
@@ -49,10 +47,18 @@ def version_order(version: str = "__v", updated: str = "updatedAt", archived: st
     ]
 
 
+def _has_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _has_map(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(_has_map(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, T.MapType)
+
+
 def row_hash(df: DataFrame) -> Column:
-    """Hash of the plain columns of a row: a stable last tiebreak and a salt."""
-    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
-    return F.xxhash64(*plain) if plain else F.lit(0).cast("bigint")
+    """Hash of a row, nested values included: a stable last tiebreak.  Maps have no order and are left out."""
+    values = [F.col(f"`{f.name}`") for f in df.schema.fields if not _has_map(f.dataType)]
+    return F.xxhash64(*values) if values else F.lit(0).cast("bigint")
 
 
 def largest_array_by(df: DataFrame, keys: Sequence[str], array_col: str) -> DataFrame:
@@ -67,38 +73,33 @@ def largest_array_by(df: DataFrame, keys: Sequence[str], array_col: str) -> Data
 
 def first_match(df: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:
     """First claim wins: the row with the lowest ordinal per key."""
-    return latest_by(df, keys, [F.col(ordinal).asc()])
+    return latest_by(df, keys, [F.col(ordinal).asc()], [row_hash(df)])
 
 
 def last_match(df: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:
     """Last claim wins: the row with the highest ordinal per key."""
-    return latest_by(df, keys, [F.col(ordinal).desc()])
+    return latest_by(df, keys, [F.col(ordinal).desc()], [row_hash(df)])
 
 
-def _attach(df: DataFrame, per_key: DataFrame, keys: Sequence[str], few: bool = False) -> DataFrame:
+def _attach(df: DataFrame, per_key: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join one row per key back onto its rows; NULL keys meet each other."""
     condition = F.lit(True)
     for i, k in enumerate(keys):
         same = F.col(k).eqNullSafe(F.col(f"__{k}"))
         condition = same if i == 0 else condition & same
-    side = F.broadcast(per_key) if few else per_key
-    return df.join(side, condition, "left").drop(*[f"__{k}" for k in keys])
+    return df.join(per_key, condition, "left").drop(*[f"__{k}" for k in keys])
 
 
-def partition_count(
-    df: DataFrame, keys: Sequence[str], col: str, name: str = "n", few_keys: int = FEW_KEYS
-) -> DataFrame:
+def partition_count(df: DataFrame, keys: Sequence[str], col: str, name: str = "n") -> DataFrame:
     """Non-null count of ``col`` per key on every row.
 
     Counted with a map-side aggregate and joined back instead of a window: a
     window would hold the whole group of a hot key in one task, while the join
-    only meets one counted row per key.  A sketch over the key columns decides
-    whether the counts are few enough to broadcast, which spares the rows a
-    shuffle; otherwise both sides are shuffled and skewed partitions are split.
+    only meets one counted row per key, and adaptive execution broadcasts the
+    counts where they turn out small or splits the skewed partitions.
     """
     counts = df.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.count(col).alias(name))
-    distinct = df.agg(F.approx_count_distinct(F.xxhash64(*keys))).first()[0]
-    return _attach(df, counts, keys, few=distinct < few_keys)
+    return _attach(df, counts, keys)
 
 
 def collect_over(df: DataFrame, keys: Sequence[str], col: str, name: str = "values") -> DataFrame:

@@ -2,35 +2,23 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-VOCABULARY_LIMIT = 2000
-
 
-def containment(names: DataFrame, words: DataFrame, limit: int = VOCABULARY_LIMIT) -> DataFrame:
+def containment(names: DataFrame, words: DataFrame) -> DataFrame:
     """Pairs ``(name, word)`` where the text ``name`` contains ``word``.
 
     ``names`` and ``words`` are one-column DataFrames (``name`` / ``word``); both
-    are made distinct first.  A vocabulary of at most ``limit`` words is checked
-    inside each row.  A larger one is matched by an equi-join between the words
-    and the substrings of each name that have the length of some word, so the
-    work follows the names and not names x words.
+    are made distinct first.  Words are matched by an equi-join with the
+    substrings of each name that have the length of some word, so the work
+    follows the names and not names x words.  The lengths come from an aggregate
+    inside the plan; there are at most as many as the longest word has characters.
     """
     names = names.select("name").filter(F.col("name").isNotNull()).distinct()
     words = words.select("word").filter(F.col("word").isNotNull() & (F.col("word") != "")).distinct()
-    small = words.limit(limit + 1).collect()
-    if len(small) <= limit:
-        # One literal that folds to a constant array, instead of one expression per word.
-        vocabulary = F.from_json(F.lit(json.dumps([r.word for r in small])), "array<string>")
-        hits = F.filter(vocabulary, lambda w: F.col("name").contains(w))
-        return names.select("name", F.explode(hits).alias("word"))
-    lengths = [r.n for r in words.select(F.length("word").alias("n")).distinct().collect()]
-    pieces = names.select("name", F.explode(F.array(*[F.lit(n) for n in sorted(lengths)])).alias("__n")).filter(
-        F.length("name") >= F.col("__n")
-    )
+    lengths = words.agg(F.sort_array(F.collect_set(F.length("word")))).scalar()
+    pieces = names.select("name", F.explode(lengths).alias("__n")).filter(F.length("name") >= F.col("__n"))
     starts = F.sequence(F.lit(1), F.length("name") - F.col("__n") + 1)
     grams = pieces.select(
         "name", F.explode(F.transform(starts, lambda i: F.substring(F.col("name"), i, F.col("__n")))).alias("word")

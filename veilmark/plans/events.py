@@ -36,9 +36,7 @@ OK_STATUS = 200
 Transport = Callable[[str, str], int]
 
 
-def build(
-    vault: DataFrame, compliance_events: DataFrame, as_of: Column, hours: int = 12, limit: int | None = None
-) -> DataFrame:
+def build(vault: DataFrame, compliance_events: DataFrame, as_of: Column, hours: int = 12) -> DataFrame:
     """One event per person, market and compliance row of recently anonymised people.
 
     The history is already an array per person, so distinct contacts are taken
@@ -82,8 +80,7 @@ def build(
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("emails")))).alias("emails"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("mobile_phones")))).alias("mobile_phones"),
     )
-    events = merged.select(*[f.name for f in MESSAGE_FIELDS])
-    return events if limit is None else events.limit(limit)
+    return merged.select(*[f.name for f in MESSAGE_FIELDS])
 
 
 def to_messages(events: DataFrame, key: Sequence[str] = ("national_id", "market", "customer_id")) -> DataFrame:

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import crypto
 from ..operators import latest
-from ..operators.joins import absent, few_values, union_keys
+from ..operators.joins import absent, union_keys
 from ..sources.tables import update_where
 
 # Event kept out of the vault, mark of an unusable id, key columns of published views.
 RETAINED_EVENT = "flag_gdpr_5_year_complaint"
 INVALID_ID = "invalid"
+PLACEHOLDER_IDS = ("", "0")
 KEY_CANDIDATES = ("ssn_clean", "secondary_column", "secondary_column_v2")
 VAULT_COLUMNS = (
     "uuid",
@@ -35,16 +36,19 @@ def build(events: DataFrame, master_key: str, as_of: Column | None = None) -> Da
     Only people with at least one valid id get a key.  Key and uuid are derived
     from the person and a master secret, so a retried task writes the same key;
     no random value has to be carried from one stage to the next.  Histories of
-    the same person and market are merged.
+    the same person and market are merged.  A blank or placeholder id stands for
+    nobody in particular: its events, which may be a large share of all, leave no
+    history to look anyone up by.
     """
     contacts = events.filter(F.col("compliance_event") != RETAINED_EVENT).withColumnRenamed("national_id", "ssn")
     valid = contacts.filter(F.col("is_valid_national_id") != INVALID_ID).select("ssn").distinct()
+    own = F.when(~F.trim("ssn").isin(*PLACEHOLDER_IDS), F.col("history"))
     # The semi join leaves the rows hashed by ssn, which also serves the grouping.
     people = (
         contacts.join(valid, "ssn", "left_semi")
         .groupBy("ssn", "market")
         .agg(
-            F.array_sort(F.array_distinct(F.flatten(F.collect_set("history")))).alias("history"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_set(own)))).alias("history"),
             F.max("is_valid_national_id").alias("is_valid_national_id"),
         )
     )
@@ -80,12 +84,18 @@ def mark_anonymised(
     key_candidates: Sequence[str] = KEY_CANDIDATES,
     as_of: Column | None = None,
     join_keys: Mapping[str, str] | None = None,
+    keyless: Collection[str] = (),
 ) -> DataFrame:
     """Flag people that occur in published views; already flagged rows keep their time.
 
-    Views keyed by the cleaned national id match on ssn, the others on market.
+    Views keyed by the cleaned national id match on ssn, the others on market.  A
+    view without a key column is an error unless it is named in ``keyless``:
+    nobody in it could be flagged.
     """
     chosen = {n: (join_keys or {}).get(n) or key_column(v, key_candidates) for n, v in views.items()}
+    unknown = sorted(n for n, k in chosen.items() if not k and n not in keyless)
+    if unknown:
+        raise ValueError(f"views without a key column: {unknown}; publish them with expose_join_key")
     by_ssn = [n for n, k in chosen.items() if k == key_candidates[0]]
     by_other = [n for n, k in chosen.items() if k and k != key_candidates[0]]
     spark = vault.sparkSession
@@ -94,16 +104,9 @@ def mark_anonymised(
     by_market = F.lit(False)
     if by_other:
         others = union_keys([views[n] for n in by_other], [chosen[n] for n in by_other], "__market", spark)
-        # A market holds a large share of the vault, so a shuffle by market is avoided:
-        # few values become a condition, many are joined.
-        values = few_values(others, "__market")
-        if values is not None:
-            by_market = F.coalesce(F.col("market").isin(values), F.lit(False)) if values else F.lit(False)
-        else:
-            marked = marked.join(
-                others.withColumn("__hit_market", F.lit(True)), F.col("market") == F.col("__market"), "left"
-            )
-            by_market = F.coalesce("__hit_market", F.lit(False))
+        hits = others.withColumn("__hit_market", F.lit(True))
+        marked = marked.join(hits, F.col("market") == F.col("__market"), "left")
+        by_market = F.coalesce("__hit_market", F.lit(False))
     hit = F.coalesce("__hit_ssn", F.lit(False)) | by_market
     unflagged = ~F.col("is_anonymized").eqNullSafe(True)
     stamp = as_of if as_of is not None else F.current_timestamp()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,16 @@ def _first(paths: Sequence[str], names: Sequence[str]) -> str | None:
     return next((p for p in paths if _key(p) in names), None)
 
 
+def _outside_arrays(schema: T.StructType, path: str) -> bool:
+    """Whether a row has one value at the path; a path below an array has many and cannot be a key."""
+    dtype: T.DataType = schema
+    for name in path.split("."):
+        if not isinstance(dtype, T.StructType):
+            return False
+        dtype = dtype[name].dataType
+    return not isinstance(dtype, T.ArrayType)
+
+
 def classify(
     df: DataFrame | T.StructType,
     tags: Collection[str],
@@ -46,15 +57,20 @@ def classify(
     exclude: Collection[str] = (),
     gate: str | None = None,
     ignore_columns: Collection[str] = (),
+    dataset: str | None = None,
+    exclude_datasets: Collection[str] = (),
 ) -> JoinPlan:
-    """Strategy from the schema: gated triple, ssn, app id, mobile+email, email, mobile, none.
+    """Strategy from the schema: gated triple, ssn, app id, mobile+email, email, mobile.
 
-    ``tags`` are normalised sensitive names.  Tables in ``exclude`` pass through.
+    ``tags`` are normalised sensitive names.  Tables in ``exclude`` and all tables
+    of ``exclude_datasets`` pass through, as do tables without tagged columns.  A
+    tagged table without a key outside arrays is ``unkeyed``: it cannot be
+    encrypted per person.
     """
     schema = df if isinstance(df, T.StructType) else df.schema
     known = {t.lower().replace("_", "") for t in tags}
     paths = [(p, f) for p, f in catalog.walk(schema) if p.split(".")[0] not in ignore_columns]
-    names = [p for p, _ in paths]
+    names = [p for p, _ in paths if _outside_arrays(schema, p)]
     leaves = {p for p, f in paths if not _contains_struct(f.dataType)}
     tagged = frozenset(p for p in leaves if _key(p) in known)
     top = [f.name for f in schema.fields if any(p.split(".")[0] == f.name for p in tagged)]
@@ -65,7 +81,7 @@ def classify(
         "mobile": _first(names, catalog.MOBILE_NAMES),
     }
     found = {k: v for k, v in keys.items() if v}
-    if table in exclude or not tagged:
+    if table in exclude or dataset in exclude_datasets or not tagged:
         kind = "passthrough"
     elif gate is not None:
         kind = "triple"
@@ -80,7 +96,7 @@ def classify(
     elif "mobile" in found:
         kind = "mobile"
     else:
-        kind = "passthrough"
+        kind = "unkeyed"
     return JoinPlan(kind, found, tagged, tuple(top), gate)
 
 
@@ -178,16 +194,21 @@ def encrypted_view(
     encrypt_blank: bool = False,
     hot_share: float | None = None,
     key: str | None = None,
+    dataset: str | None = None,
+    exclude_datasets: Collection[str] = (),
 ) -> DataFrame:
     """The published form of a table: encrypted columns, the other columns, the flag.
 
     Every input row appears exactly once: lookups hold one row per key.  The
-    vault side is reduced to key, uuid and sub-keys before the join, and rows
-    with blank keys are spread over all tasks (see ``lookup_join``).
+    vault side is reduced to key, uuid and sub-keys before the join.  A table
+    with tagged columns and no usable key is refused, as it would be published
+    in clear; exclude it by name where that is meant.
     """
-    plan = classify(df, tags, table, exclude, gate)
+    plan = classify(df, tags, table, exclude, gate, dataset=dataset, exclude_datasets=exclude_datasets)
     if plan.kind == "passthrough":
         return passthrough(df)
+    if plan.kind == "unkeyed":
+        raise ValueError(f"{table}: tagged columns {sorted(plan.tagged)} and no key outside arrays to encrypt them by")
     if key is not None:
         plan = replace(plan, keys={**plan.keys, plan.kind: key})
     raw = {k: F.col(p).cast("string") for k, p in plan.keys.items()}
@@ -228,13 +249,15 @@ def encrypted_view(
                 "mobile_clean": clean.phone(contact, market),
             }
         )
-        gated = {k: kind == v for k, v in GATED_TYPES.items()}
-        joined = _attach(work, vaults.lookup(vault, "ssn"), F.when(gated["ssn"], F.col("ssn_clean")), "s", hot_share)
-        joined = _attach(joined, vaults.lookup(vault, "email"), F.when(gated["email"], contact), "e", hot_share)
-        joined = _attach(
-            joined, vaults.lookup(vault, "mobile"), F.when(gated["mobile"], F.col("mobile_clean")), "m", hot_share
-        )
-        person, exposed = _person(["s", "e", "m"]), [F.col("ssn_clean"), F.col("mobile_clean")]
+        # A row has one type and so one key: the lookups together are one, and the rows move once.
+        keys = {"ssn": F.col("ssn_clean"), "email": contact, "mobile": F.col("mobile_clean")}
+        parts = [vaults.lookup(vault, by).withColumn("type", F.lit(value)) for by, value in GATED_TYPES.items()]
+        lookup = reduce(DataFrame.unionByName, parts)
+        lookup = lookup.select(*[F.col(c).alias(f"__g_{c}") for c in lookup.columns])
+        gated = F.coalesce(*[F.when(kind == value, keys[by]) for by, value in GATED_TYPES.items()])
+        on = [(_usable(gated), "__g_key"), (F.when(_usable(gated).isNotNull(), kind), "__g_type")]
+        joined = lookup_join(work, lookup, on, hot_share=hot_share)
+        person, exposed = _person(["g"]), [F.col("ssn_clean"), F.col("mobile_clean")]
         flag = _filled(contact) & person.uuid.isNotNull()
 
     encrypted = [

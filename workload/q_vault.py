@@ -53,13 +53,18 @@ def vault_insert_absent(spark, sf):
 def flagged_vault(spark, sf):
     """Vault after an update from one view keyed by id and one keyed by market."""
     people = fx.clean_people(spark, sf)
+    keys = fx.key_vault(spark, sf)
+
+    def view(rows):
+        return views.encrypted_view(rows, "people", F.col("market"), TAGS, keys, expose_join_key=True)
+
     published = {
-        "by_id": people.filter("k % 4 = 0").select(F.col("ssn").alias("ssn_clean"), "segment"),
-        "by_market": people.filter("market = 'DK'").select(F.col("market").alias("secondary_column")),
+        "by_id": view(fx.people(spark, sf).filter("k % 4 = 0")),
+        "by_market": view(fx.people(spark, sf).filter("market = 'DK'")).select(F.col("market").alias("secondary_column")),
         "no_key": people.select("segment"),
     }
     later = F.lit("2024-03-01 00:00:00").cast("timestamp")
-    return vault.mark_anonymised(fx.key_vault(spark, sf), published, as_of=later)
+    return vault.mark_anonymised(keys, published, as_of=later, keyless={"no_key"})
 
 
 @query(
@@ -288,6 +293,34 @@ def view_passthrough(spark, sf):
     return untagged.unionByName(excluded)
 
 
+@query(
+    "view_dataset_passthrough",
+    "SELECT k, name, email, FALSE AS is_anonymised FROM people",
+    "people",
+)
+def view_dataset_passthrough(spark, sf):
+    """All tables of an excluded dataset only get the flag, tagged or not."""
+    people = fx.people(spark, sf).select("k", "name", "email")
+    return views.encrypted_view(
+        people, "people", "SE", TAGS, fx.key_vault(spark, sf), dataset="open", exclude_datasets={"open"}
+    )
+
+
+@query(
+    "view_array_key",
+    """
+SELECT k, segment, k IN (SELECT k FROM vault_people) AND national_id <> '' AS sealed FROM clean_people""",
+    "vault_people clean_people",
+)
+def view_array_key(spark, sf):
+    """An email inside an array is encrypted by the row's own key and never chosen as one."""
+    contact = F.struct(F.col("name").alias("email"), F.lit("x").alias("notes"))
+    people = fx.people(spark, sf).select("k", "segment", "market", "national_id", F.array(contact).alias("contacts"))
+    view = views.encrypted_view(people, "people", F.col("market"), TAGS, fx.key_vault(spark, sf))
+    cell = F.col("contacts").getItem(0).getField("email")
+    return view.select("k", "segment", (cell.rlike("^[0-9a-f]{56,}$")).alias("sealed"))
+
+
 @query("view_plain", "SELECT n_nationkey, n_name, s_name FROM nation JOIN supplier ON s_nationkey = n_nationkey")
 def view_plain(spark, sf):
     """Registered views read lazily, published unchanged."""
@@ -387,9 +420,9 @@ EVENT_ROWS = """
 FROM vault_people v LEFT JOIN listed l ON l.k = v.k WHERE v.k % 4 = 0 OR v.market = 'DK'"""
 
 
-def fixture_events(spark, sf, limit=None):
+def fixture_events(spark, sf):
     as_of = F.lit("2024-03-01 06:00:00").cast("timestamp")
-    return events.build(flagged_vault(spark, sf), fx.compliance_events(spark, sf), as_of, limit=limit)
+    return events.build(flagged_vault(spark, sf), fx.compliance_events(spark, sf), as_of)
 
 
 @query(
