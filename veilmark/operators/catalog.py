@@ -306,7 +306,8 @@ def maskable(paths: DataFrame, non_maskable: Sequence[str] = NON_MASKABLE) -> Da
 
 def needs_tagging(paths: DataFrame, raw_suffix: str = "_r", target_suffix: str = "_p") -> DataFrame:
     """Downstream tables whose raw table has any tagged field (``tagged`` flag per path)."""
-    per_table = paths.groupBy("table_name").agg(F.bool_or("tagged").alias("has_tags"))
+    raw = paths.filter(F.col("table_name").endswith(raw_suffix))
+    per_table = raw.groupBy("table_name").agg(F.bool_or("tagged").alias("has_tags"))
     base = F.regexp_replace("table_name", raw_suffix + "$", "")
     return per_table.filter("has_tags").select("table_name", F.concat(base, F.lit(target_suffix)).alias("target_table"))
 

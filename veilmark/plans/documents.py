@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -65,92 +65,229 @@ def latest_documents(raw: DataFrame, brands: Brands = Brands(), tiebreak: Sequen
     return _derived(docs, brands)
 
 
-# Members of the application document and their published names.
-# One line per struct: "member" keeps its name, "member>name" renames it.
-MEMBERS = """
-acceptedBid: bankEffectiveInterest requires_extra_doc effectiveInterest placedBy.user>acceptedBiduser
-acceptedBid: placedBy.name>acceptedBidname integrationAcceptSent>acceptedBidintegrationAcceptSent signLink
-acceptedBid: bankMonthlyCost mustRefinanceAmount startupFee accepted comments>acceptedBidcomments
-acceptedBid: amount>acceptedBidamount bankNotInterested>acceptedBidbankNotInterested invitation fromInbox
-acceptedBid: amortizationType _id>acceptedBidId integrationAccentSent
-acceptedBid.requiredDocs: companyBalanceSheet ownCompanyBalance rentalIncome employerDoc retiredPaymentNotice
-acceptedBid.requiredDocs: companyMoreRecentProfitAndLossStatement taxReturn companyProfitAndLossStatement payslip
-acceptedBid.requiredDocs: companyBankStatements companyAdditionalGuarantor
-acceptedBid: bank>acceptedBidBank maximumAmount repaymentTime>acceptedBidrepaymentTime
-acceptedBid: externalApplicationId>acceptedBidexternalApplicationId interest>acceptedBidinterest adminFee
-agentFeedback: firstCallAnswered partnerWhenPossible notPrepared noAnswer correctExpectations
-agentFeedback: noPartnerWhenPossible customerSatisfied firstCallNotAnswered noInfoAboutLoan infoAboutLoan
-agentFeedback: wrongExpectations
-company: ngrams yearlyRevenue address monthlyRevenue entityType postalCode industryTypeOther market>companymarket
-company: organizationNumber _id>companyId name>companyName postalArea foundationDate industryType
-debtLetter: signed>debtLettersigned placedBy.name>name amount>debtLetteramount accepted>debtLetteraccepted
-debtLetter: integrationAcceptSent>debtLetterintegrationAcceptSent repaymentTime>debtLetterrepaymentTime
-debtLetter: sent>debtLettersent externalApplicationId>debtLetterexternalApplicationId
-debtLetter: acceptedAt>debtLetteracceptedAt _id>debtLetterId interest>debtLetterinterest bank>debtLetterBank
-debtLetter: bankNotInterested>debtLetterbankNotInterested
-lastPaidOutBy{owner}: bank>lastPaidOutBy{owner}bank date>lastPaidOutBy{owner}date amount>lastPaidOutBy{owner}amount
-lifeInsurance: signed>lifeInsurancesigned notInterested>lifeInsurancenotInterested signedAt>lifeInsurancesignedAt
-lifeInsurance: insuranceType premium notInterestedReason errorMessage compensation
-loanProtectionForPartner: notInterested>loanProtectionForPartnernotInterested
-loanProtectionForPartner: accepted>loanProtectionForPartneraccepted acceptedAt>loanProtectionForPartneracceptedAt
-loanProtectionForPartner: sentToBank>loanProtectionForPartnersentToBank person>loanProtectionForPartnerperson
-loanProtectionForPerson: notInterested>loanProtectionForPersonnotInterested
-loanProtectionForPerson: accepted>loanProtectionForPersonaccepted acceptedAt>loanProtectionForPersonacceptedAt
-loanProtectionForPerson: notApplicable sentToBank>loanProtectionForPersonsentToBank person
-loxyStatus: agentId status date>loxyStatusdate
-mortgageInfo: refinanceMortgage>mortgageInforefinanceMortgage propertyType daycare propertyValue
-mortgageInfo: monthlyCondoRent cars otherIncomes localTaxes condoRent
-partnerTracking: adservice.fp>partnerTrackingfp hypetraffic.cid>hypetrafficcid
-partnerTracking: responsefinance.transaction_id>transaction_id swegaming.sgclid>sgclid smartresponse.affid>affid
-partnerTracking: smartresponse.reqid>reqid smartresponse.cid>smartresponsecid trygglan.cid>trygglancid
-partnerTracking: unifinance.uuid>uuid adtraction.at_gd>at_gd adtraction.cn>cn adtraction.cv>cv
-paymentProtection: signed notInterested qualified.CTF>CTF qualified.CFTF>CFTF signedAt>paymentProtectionsignedAt
-paymentProtection: insuranceType>paymentProtectioninsuranceType premium>paymentProtectionpremium
-paymentProtection: notInterestedReason>paymentProtectionnotInterestedReason
-paymentProtection: errorMessage>paymentProtectionerrorMessage compensation>paymentProtectioncompensation
-paymentStatus: paidAccordingToBank>paymentStatuspaidAccordingToBank bank>paymentStatusBank paidAccordingToCustomer
-random: type>randomtype coordinates
-scheduledCall: date>scheduled_call_date
-status: rejectionReasonForInsurance active text supplement sent>statussent deactivationReason date>statusdate
-teamAttributes: teamLeader team
-utm: term cookieId adposition medium partner content campaign device gaCookie campaignId source domain
-utm: fbcCookie fbpCookie
-person: _id>applicant_id
-partner: _id>partner_id
-person: idNumber>national_id
-"""
+# Published names of the application document's members, and where they are.
+MEMBERS = {
+    "bankEffectiveInterest": "acceptedBid.bankEffectiveInterest",
+    "requires_extra_doc": "acceptedBid.requires_extra_doc",
+    "effectiveInterest": "acceptedBid.effectiveInterest",
+    "acceptedBiduser": "acceptedBid.placedBy.user",
+    "acceptedBidname": "acceptedBid.placedBy.name",
+    "acceptedBidintegrationAcceptSent": "acceptedBid.integrationAcceptSent",
+    "signLink": "acceptedBid.signLink",
+    "bankMonthlyCost": "acceptedBid.bankMonthlyCost",
+    "mustRefinanceAmount": "acceptedBid.mustRefinanceAmount",
+    "startupFee": "acceptedBid.startupFee",
+    "accepted": "acceptedBid.accepted",
+    "acceptedBidcomments": "acceptedBid.comments",
+    "acceptedBidamount": "acceptedBid.amount",
+    "acceptedBidbankNotInterested": "acceptedBid.bankNotInterested",
+    "invitation": "acceptedBid.invitation",
+    "fromInbox": "acceptedBid.fromInbox",
+    "amortizationType": "acceptedBid.amortizationType",
+    "acceptedBidId": "acceptedBid._id",
+    "integrationAccentSent": "acceptedBid.integrationAccentSent",
+    "companyBalanceSheet": "acceptedBid.requiredDocs.companyBalanceSheet",
+    "ownCompanyBalance": "acceptedBid.requiredDocs.ownCompanyBalance",
+    "rentalIncome": "acceptedBid.requiredDocs.rentalIncome",
+    "employerDoc": "acceptedBid.requiredDocs.employerDoc",
+    "retiredPaymentNotice": "acceptedBid.requiredDocs.retiredPaymentNotice",
+    "companyMoreRecentProfitAndLossStatement": "acceptedBid.requiredDocs.companyMoreRecentProfitAndLossStatement",
+    "taxReturn": "acceptedBid.requiredDocs.taxReturn",
+    "companyProfitAndLossStatement": "acceptedBid.requiredDocs.companyProfitAndLossStatement",
+    "payslip": "acceptedBid.requiredDocs.payslip",
+    "companyBankStatements": "acceptedBid.requiredDocs.companyBankStatements",
+    "companyAdditionalGuarantor": "acceptedBid.requiredDocs.companyAdditionalGuarantor",
+    "acceptedBidBank": "acceptedBid.bank",
+    "maximumAmount": "acceptedBid.maximumAmount",
+    "acceptedBidrepaymentTime": "acceptedBid.repaymentTime",
+    "acceptedBidexternalApplicationId": "acceptedBid.externalApplicationId",
+    "acceptedBidinterest": "acceptedBid.interest",
+    "adminFee": "acceptedBid.adminFee",
+    "firstCallAnswered": "agentFeedback.firstCallAnswered",
+    "partnerWhenPossible": "agentFeedback.partnerWhenPossible",
+    "notPrepared": "agentFeedback.notPrepared",
+    "noAnswer": "agentFeedback.noAnswer",
+    "correctExpectations": "agentFeedback.correctExpectations",
+    "noPartnerWhenPossible": "agentFeedback.noPartnerWhenPossible",
+    "customerSatisfied": "agentFeedback.customerSatisfied",
+    "firstCallNotAnswered": "agentFeedback.firstCallNotAnswered",
+    "noInfoAboutLoan": "agentFeedback.noInfoAboutLoan",
+    "infoAboutLoan": "agentFeedback.infoAboutLoan",
+    "wrongExpectations": "agentFeedback.wrongExpectations",
+    "ngrams": "company.ngrams",
+    "yearlyRevenue": "company.yearlyRevenue",
+    "address": "company.address",
+    "monthlyRevenue": "company.monthlyRevenue",
+    "entityType": "company.entityType",
+    "postalCode": "company.postalCode",
+    "industryTypeOther": "company.industryTypeOther",
+    "companymarket": "company.market",
+    "organizationNumber": "company.organizationNumber",
+    "companyId": "company._id",
+    "companyName": "company.name",
+    "postalArea": "company.postalArea",
+    "foundationDate": "company.foundationDate",
+    "industryType": "company.industryType",
+    "debtLettersigned": "debtLetter.signed",
+    "name": "debtLetter.placedBy.name",
+    "debtLetteramount": "debtLetter.amount",
+    "debtLetteraccepted": "debtLetter.accepted",
+    "debtLetterintegrationAcceptSent": "debtLetter.integrationAcceptSent",
+    "debtLetterrepaymentTime": "debtLetter.repaymentTime",
+    "debtLettersent": "debtLetter.sent",
+    "debtLetterexternalApplicationId": "debtLetter.externalApplicationId",
+    "debtLetteracceptedAt": "debtLetter.acceptedAt",
+    "debtLetterId": "debtLetter._id",
+    "debtLetterinterest": "debtLetter.interest",
+    "debtLetterBank": "debtLetter.bank",
+    "debtLetterbankNotInterested": "debtLetter.bankNotInterested",
+    "lastPaidOutBy{owner}bank": "lastPaidOutBy{owner}.bank",
+    "lastPaidOutBy{owner}date": "lastPaidOutBy{owner}.date",
+    "lastPaidOutBy{owner}amount": "lastPaidOutBy{owner}.amount",
+    "lifeInsurancesigned": "lifeInsurance.signed",
+    "lifeInsurancenotInterested": "lifeInsurance.notInterested",
+    "lifeInsurancesignedAt": "lifeInsurance.signedAt",
+    "insuranceType": "lifeInsurance.insuranceType",
+    "premium": "lifeInsurance.premium",
+    "notInterestedReason": "lifeInsurance.notInterestedReason",
+    "errorMessage": "lifeInsurance.errorMessage",
+    "compensation": "lifeInsurance.compensation",
+    "loanProtectionForPartnernotInterested": "loanProtectionForPartner.notInterested",
+    "loanProtectionForPartneraccepted": "loanProtectionForPartner.accepted",
+    "loanProtectionForPartneracceptedAt": "loanProtectionForPartner.acceptedAt",
+    "loanProtectionForPartnersentToBank": "loanProtectionForPartner.sentToBank",
+    "loanProtectionForPartnerperson": "loanProtectionForPartner.person",
+    "loanProtectionForPersonnotInterested": "loanProtectionForPerson.notInterested",
+    "loanProtectionForPersonaccepted": "loanProtectionForPerson.accepted",
+    "loanProtectionForPersonacceptedAt": "loanProtectionForPerson.acceptedAt",
+    "notApplicable": "loanProtectionForPerson.notApplicable",
+    "loanProtectionForPersonsentToBank": "loanProtectionForPerson.sentToBank",
+    "person": "loanProtectionForPerson.person",
+    "agentId": "loxyStatus.agentId",
+    "status": "loxyStatus.status",
+    "loxyStatusdate": "loxyStatus.date",
+    "mortgageInforefinanceMortgage": "mortgageInfo.refinanceMortgage",
+    "propertyType": "mortgageInfo.propertyType",
+    "daycare": "mortgageInfo.daycare",
+    "propertyValue": "mortgageInfo.propertyValue",
+    "monthlyCondoRent": "mortgageInfo.monthlyCondoRent",
+    "cars": "mortgageInfo.cars",
+    "otherIncomes": "mortgageInfo.otherIncomes",
+    "localTaxes": "mortgageInfo.localTaxes",
+    "condoRent": "mortgageInfo.condoRent",
+    "partnerTrackingfp": "partnerTracking.adservice.fp",
+    "hypetrafficcid": "partnerTracking.hypetraffic.cid",
+    "transaction_id": "partnerTracking.responsefinance.transaction_id",
+    "sgclid": "partnerTracking.swegaming.sgclid",
+    "affid": "partnerTracking.smartresponse.affid",
+    "reqid": "partnerTracking.smartresponse.reqid",
+    "smartresponsecid": "partnerTracking.smartresponse.cid",
+    "trygglancid": "partnerTracking.trygglan.cid",
+    "uuid": "partnerTracking.unifinance.uuid",
+    "at_gd": "partnerTracking.adtraction.at_gd",
+    "cn": "partnerTracking.adtraction.cn",
+    "cv": "partnerTracking.adtraction.cv",
+    "signed": "paymentProtection.signed",
+    "notInterested": "paymentProtection.notInterested",
+    "CTF": "paymentProtection.qualified.CTF",
+    "CFTF": "paymentProtection.qualified.CFTF",
+    "paymentProtectionsignedAt": "paymentProtection.signedAt",
+    "paymentProtectioninsuranceType": "paymentProtection.insuranceType",
+    "paymentProtectionpremium": "paymentProtection.premium",
+    "paymentProtectionnotInterestedReason": "paymentProtection.notInterestedReason",
+    "paymentProtectionerrorMessage": "paymentProtection.errorMessage",
+    "paymentProtectioncompensation": "paymentProtection.compensation",
+    "paymentStatuspaidAccordingToBank": "paymentStatus.paidAccordingToBank",
+    "paymentStatusBank": "paymentStatus.bank",
+    "paidAccordingToCustomer": "paymentStatus.paidAccordingToCustomer",
+    "randomtype": "random.type",
+    "coordinates": "random.coordinates",
+    "scheduled_call_date": "scheduledCall.date",
+    "rejectionReasonForInsurance": "status.rejectionReasonForInsurance",
+    "active": "status.active",
+    "text": "status.text",
+    "supplement": "status.supplement",
+    "statussent": "status.sent",
+    "deactivationReason": "status.deactivationReason",
+    "statusdate": "status.date",
+    "teamLeader": "teamAttributes.teamLeader",
+    "team": "teamAttributes.team",
+    "term": "utm.term",
+    "cookieId": "utm.cookieId",
+    "adposition": "utm.adposition",
+    "medium": "utm.medium",
+    "partner": "utm.partner",
+    "content": "utm.content",
+    "campaign": "utm.campaign",
+    "device": "utm.device",
+    "gaCookie": "utm.gaCookie",
+    "campaignId": "utm.campaignId",
+    "source": "utm.source",
+    "domain": "utm.domain",
+    "fbcCookie": "utm.fbcCookie",
+    "fbpCookie": "utm.fbpCookie",
+    "applicant_id": "person._id",
+    "partner_id": "partner._id",
+    "national_id": "person.idNumber",
+}
 # Bank account members published with the full history only.
-HISTORY_MEMBERS = "bankAccount: idNumber accountNumber yearsWithBank sinceYear clearingNumber bankName\n"
+HISTORY_MEMBERS = {
+    "idNumber": "bankAccount.idNumber",
+    "accountNumber": "bankAccount.accountNumber",
+    "yearsWithBank": "bankAccount.yearsWithBank",
+    "sinceYear": "bankAccount.sinceYear",
+    "clearingNumber": "bankAccount.clearingNumber",
+    "bankName": "bankAccount.bankName",
+}
 CURRENT_ONLY = ("fbcCookie", "fbpCookie")
 # Nested columns that do not appear in the flat tables.
 NESTED_COLUMNS = (
-    "_id scheduledCall person partner allPaidOutBy{owner} bids estates excludeBanks internalComments loans "
-    "scheduledCalls version acceptedBid adservice adtraction agentFeedback bankAccount company debtLetter "
-    "lastPaidOutBy{owner} lifeInsurance loanProtectionForPartner loanProtectionForPerson loxyStatus mortgageInfo "
-    "partnerTracking paymentProtection paymentStatus random status teamAttributes utm"
+    "_id",
+    "scheduledCall",
+    "person",
+    "partner",
+    "allPaidOutBy{owner}",
+    "bids",
+    "estates",
+    "excludeBanks",
+    "internalComments",
+    "loans",
+    "scheduledCalls",
+    "version",
+    "acceptedBid",
+    "adservice",
+    "adtraction",
+    "agentFeedback",
+    "bankAccount",
+    "company",
+    "debtLetter",
+    "lastPaidOutBy{owner}",
+    "lifeInsurance",
+    "loanProtectionForPartner",
+    "loanProtectionForPerson",
+    "loxyStatus",
+    "mortgageInfo",
+    "partnerTracking",
+    "paymentProtection",
+    "paymentStatus",
+    "random",
+    "status",
+    "teamAttributes",
+    "utm",
 )
 CLICK_IDS = {"gclid": "gclid", "fbclid": "fbclid", "snapchat_id": "scid", "microsoft_click_id": "msclkid"}
 
 
-def _members(text: str, owner: str) -> list[tuple[str, str]]:
-    """``(path, published name)`` pairs of a member table."""
-    pairs = []
-    for line in text.format(owner=owner).strip().splitlines():
-        struct, _, items = line.partition(": ")
-        for item in items.split():
-            member, _, name = item.partition(">")
-            pairs.append((f"{struct}.{member}", name or member))
-    return pairs
-
-
-def _flat_columns(df: DataFrame, text: str, owner: str, skip: Sequence[str] = ()) -> list[Column]:
+def _flat_columns(df: DataFrame, members: Mapping[str, str], owner: str, skip: Sequence[str] = ()) -> list[Column]:
     return [
-        nested.member(df.schema, path).alias(name) for path, name in _members(text, owner) if name not in skip
+        nested.member(df.schema, path.format(owner=owner)).alias(name.format(owner=owner))
+        for name, path in members.items()
+        if name not in skip
     ]
 
 
 def _outer_columns(df: DataFrame, owner: str, also: Sequence[str] = ()) -> list[Column]:
-    hidden = {c.lower() for c in [*NESTED_COLUMNS.format(owner=owner).split(), *also]}
+    hidden = {c.format(owner=owner).lower() for c in NESTED_COLUMNS} | {c.lower() for c in also}
     return [F.col(f"`{c}`") for c in df.columns if c.lower() not in hidden]
 
 
@@ -230,7 +367,7 @@ def all_versions(raw: DataFrame, slim: bool = False, owner: str = "Owner", brand
         *_outer_columns(derived, owner, helpers),
         "application_id",
         "versions",
-        *_flat_columns(derived, HISTORY_MEMBERS + MEMBERS.strip(), owner, skip=CURRENT_ONLY),
+        *_flat_columns(derived, HISTORY_MEMBERS | MEMBERS, owner, skip=CURRENT_ONLY),
         *[clean.click_id(F.col("originReference"), CLICK_IDS[c]).alias(c) for c in ("gclid", "fbclid")],
     )
 
@@ -261,12 +398,41 @@ def child_table(
 
 # Person members published with an applicant.
 PERSON_MEMBERS = (
-    "first_name last_name age citizenship postalArea address occupation civilStatus education email idNumber "
-    "employerPhone employer phoneNumber militaryService employedSince employedUntil workStatus workStatusSince "
-    "livingCost rent homeStatus homeSince monthlyIncome monthlyNetIncome spouseIncome politicallyExposedPerson "
-    "postalCode gender children hasacceptedcreditreport jojkaBlocklist extraIncome"
-).split()
-BANK_MEMBERS = "accountNumber yearsWithBank sinceYear clearingNumber bankName".split()
+    "first_name",
+    "last_name",
+    "age",
+    "citizenship",
+    "postalArea",
+    "address",
+    "occupation",
+    "civilStatus",
+    "education",
+    "email",
+    "idNumber",
+    "employerPhone",
+    "employer",
+    "phoneNumber",
+    "militaryService",
+    "employedSince",
+    "employedUntil",
+    "workStatus",
+    "workStatusSince",
+    "livingCost",
+    "rent",
+    "homeStatus",
+    "homeSince",
+    "monthlyIncome",
+    "monthlyNetIncome",
+    "spouseIncome",
+    "politicallyExposedPerson",
+    "postalCode",
+    "gender",
+    "children",
+    "hasacceptedcreditreport",
+    "jojkaBlocklist",
+    "extraIncome",
+)
+BANK_MEMBERS = ("accountNumber", "yearsWithBank", "sinceYear", "clearingNumber", "bankName")
 COMPANY_MEMBERS = {
     "business_organization_number": "company.organizationNumber",
     "employment_industry_text": "company.industryType",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,43 +53,106 @@ def _stamp(path: str) -> Column:
     return F.col(path).cast("timestamp")
 
 
-# Per child array of an applicant, its published members.
-# "member>name:timestamp" renames and casts.
+# Per child array of an applicant, the published names of its members.
 CHILD_MEMBERS = {
-    "cards": "id>card_id created_at>card_created_at:timestamp issuer>card_issuer card_type debt>card_debt "
-    "limit>card_limit",
-    "consents": "id>consent_id created_at>consent_created_at:timestamp accepted_datetime>consent_accepted_at "
-    "consent_type",
-    "financials": "id>financial_id created_at>financial_created_at:timestamp description>financial_description "
-    "issuer>financial_issuer amount_monthly>financial_amount_monthly money_type>financial_money_type "
-    "consolidation>financial_consolidation amount>financial_amount finance_source>financial_finance_source "
-    "finance_type>financial_finance_type",
-    "housings": "id>housing_id created_at>housing_created_at:timestamp moving_date>housing_moving_date "
-    "property_type>housing_property_type property_area>housing_property_area residency_type>housing_residency_type",
-    "employments": "id>employment_id created_at>employment_created_at:timestamp profession_area>employment_area "
-    "profession>employment_profession profession_class>employment_profession_class is_current>is_current_employment "
-    "start_date>employment_start_date business_id>employment_business_id occupation>employment_occupation employer "
-    "end_date>employment_end_date",
+    "cards": {
+        "card_id": "id",
+        "card_created_at": "created_at",
+        "card_issuer": "issuer",
+        "card_type": "card_type",
+        "card_debt": "debt",
+        "card_limit": "limit",
+    },
+    "consents": {
+        "consent_id": "id",
+        "consent_created_at": "created_at",
+        "consent_accepted_at": "accepted_datetime",
+        "consent_type": "consent_type",
+    },
+    "financials": {
+        "financial_id": "id",
+        "financial_created_at": "created_at",
+        "financial_description": "description",
+        "financial_issuer": "issuer",
+        "financial_amount_monthly": "amount_monthly",
+        "financial_money_type": "money_type",
+        "financial_consolidation": "consolidation",
+        "financial_amount": "amount",
+        "financial_finance_source": "finance_source",
+        "financial_finance_type": "finance_type",
+    },
+    "housings": {
+        "housing_id": "id",
+        "housing_created_at": "created_at",
+        "housing_moving_date": "moving_date",
+        "housing_property_type": "property_type",
+        "housing_property_area": "property_area",
+        "housing_residency_type": "residency_type",
+    },
+    "employments": {
+        "employment_id": "id",
+        "employment_created_at": "created_at",
+        "employment_area": "profession_area",
+        "employment_profession": "profession",
+        "employment_profession_class": "profession_class",
+        "is_current_employment": "is_current",
+        "employment_start_date": "start_date",
+        "employment_business_id": "business_id",
+        "employment_occupation": "occupation",
+        "employer": "employer",
+        "employment_end_date": "end_date",
+    },
 }
 # Applicant members and spouse members.
 APPLICANT_MEMBERS = (
-    "is_main_applicant first_name last_name gender dob age phone email ssn marital_status dependents city post_code "
-    "address education citizenship has_summer_house is_pep military adults bank_bic bank_iban has_credit_remarks "
-    "is_anonymized"
-).split()
-SPOUSE_MEMBERS = (
-    "id>spouse_id created_at>spouse_created_at:timestamp monthly_expenses>spouse_monthly_expenses "
-    "salary_monthly_net>spouse_salary_monthly_net salary_monthly_gross>spouse_salary_monthly_gross"
+    "is_main_applicant",
+    "first_name",
+    "last_name",
+    "gender",
+    "dob",
+    "age",
+    "phone",
+    "email",
+    "ssn",
+    "marital_status",
+    "dependents",
+    "city",
+    "post_code",
+    "address",
+    "education",
+    "citizenship",
+    "has_summer_house",
+    "is_pep",
+    "military",
+    "adults",
+    "bank_bic",
+    "bank_iban",
+    "has_credit_remarks",
+    "is_anonymized",
+)
+SPOUSE_MEMBERS = {
+    "spouse_id": "id",
+    "spouse_created_at": "created_at",
+    "spouse_monthly_expenses": "monthly_expenses",
+    "spouse_salary_monthly_net": "salary_monthly_net",
+    "spouse_salary_monthly_gross": "salary_monthly_gross",
+}
+# Published members that are times.
+TIMES = (
+    "card_created_at",
+    "consent_created_at",
+    "financial_created_at",
+    "housing_created_at",
+    "employment_created_at",
+    "spouse_created_at",
 )
 
 
-def _published(df: DataFrame, struct: str, spec: str) -> list[Column]:
+def _published(df: DataFrame, struct: str, members: Mapping[str, str]) -> list[Column]:
     columns = []
-    for item in spec.split():
-        member, _, rest = item.partition(">")
-        name, _, dtype = (rest or member).partition(":")
+    for name, member in members.items():
         value = nested.member(df.schema, f"{struct}.{member}")
-        columns.append((value.cast(dtype) if dtype else value).alias(name))
+        columns.append((value.cast("timestamp") if name in TIMES else value).alias(name))
     return columns
 
 
@@ -126,28 +189,69 @@ def applicant_table(df: DataFrame) -> DataFrame:
 
 
 # Application members, their published names, and struct members.
-APPLICATION_MEMBERS = (
-    "subid>application_subid subid2>application_subid2 subid3>application_subid3 subid4>application_subid4 "
-    "subid5>application_subid5 ip>ip_address loanpurpose>loan_purpose repaymenttime>repayment_time "
-    "loanamount>loan_amount cancelled decision submit_loan sent visit_id status hide_application datamd5>data_md5 "
-    "processed brand_id>source_brand_id offers"
-)
-VISIT_MEMBERS = (
-    "subid subid2 subid3 subid4 subid5 timestamp>updated_at created_at google_client_id hostname hostname2 "
-    "ip_address2 maxloan campaign_group campaign_term ip_address md5 referral campaign agent device_type brand"
-)
-BRAND_MEMBERS = (
-    "id http_auth double_redirect_url status_url reject_redirect_url google_ua is_active has_affiliate_sales settings "
-    "is_cpl visible>is_visible is_omatili house domain url omatili_url"
-)
-
-
-def _renames(spec: str, prefix: str = "") -> list[tuple[str, str]]:
-    pairs = []
-    for item in spec.split():
-        member, _, name = item.partition(">")
-        pairs.append((member, prefix + (name or member)))
-    return pairs
+APPLICATION_MEMBERS = {
+    "application_subid": "subid",
+    "application_subid2": "subid2",
+    "application_subid3": "subid3",
+    "application_subid4": "subid4",
+    "application_subid5": "subid5",
+    "ip_address": "ip",
+    "loan_purpose": "loanpurpose",
+    "repayment_time": "repaymenttime",
+    "loan_amount": "loanamount",
+    "cancelled": "cancelled",
+    "decision": "decision",
+    "submit_loan": "submit_loan",
+    "sent": "sent",
+    "visit_id": "visit_id",
+    "status": "status",
+    "hide_application": "hide_application",
+    "data_md5": "datamd5",
+    "processed": "processed",
+    "source_brand_id": "brand_id",
+    "offers": "offers",
+}
+VISIT_MEMBERS = {
+    "visit_subid": "subid",
+    "visit_subid2": "subid2",
+    "visit_subid3": "subid3",
+    "visit_subid4": "subid4",
+    "visit_subid5": "subid5",
+    "visit_updated_at": "timestamp",
+    "visit_created_at": "created_at",
+    "visit_google_client_id": "google_client_id",
+    "visit_hostname": "hostname",
+    "visit_hostname2": "hostname2",
+    "visit_ip_address2": "ip_address2",
+    "visit_maxloan": "maxloan",
+    "visit_campaign_group": "campaign_group",
+    "visit_campaign_term": "campaign_term",
+    "visit_ip_address": "ip_address",
+    "visit_md5": "md5",
+    "visit_referral": "referral",
+    "visit_campaign": "campaign",
+    "visit_agent": "agent",
+    "visit_device_type": "device_type",
+    "visit_brand": "brand",
+}
+BRAND_MEMBERS = {
+    "brand_id": "id",
+    "brand_http_auth": "http_auth",
+    "brand_double_redirect_url": "double_redirect_url",
+    "brand_status_url": "status_url",
+    "brand_reject_redirect_url": "reject_redirect_url",
+    "brand_google_ua": "google_ua",
+    "brand_is_active": "is_active",
+    "brand_has_affiliate_sales": "has_affiliate_sales",
+    "brand_settings": "settings",
+    "brand_is_cpl": "is_cpl",
+    "brand_is_visible": "visible",
+    "brand_is_omatili": "is_omatili",
+    "brand_house": "house",
+    "brand_domain": "domain",
+    "brand_url": "url",
+    "brand_omatili_url": "omatili_url",
+}
 
 
 def applications(raw: DataFrame) -> DataFrame:
@@ -158,9 +262,9 @@ def applications(raw: DataFrame) -> DataFrame:
         _stamp("timestamp").alias("application_created_at"),
         clean.safe_timestamp(nested.member(schema, "processed_datetime")).alias("application_processed_at"),
         clean.safe_timestamp(nested.member(schema, "last_activity_datetime")).alias("last_activity_datetime"),
-        *[nested.member(schema, m).alias(n) for m, n in _renames(APPLICATION_MEMBERS)],
-        *[nested.member(schema, f"visit.{m}").alias(n) for m, n in _renames(VISIT_MEMBERS, "visit_")],
-        *[nested.member(schema, f"brand.{m}").alias(n) for m, n in _renames(BRAND_MEMBERS, "brand_")],
+        *[nested.member(schema, m).alias(n) for n, m in APPLICATION_MEMBERS.items()],
+        *[nested.member(schema, f"visit.{m}").alias(n) for n, m in VISIT_MEMBERS.items()],
+        *[nested.member(schema, f"brand.{m}").alias(n) for n, m in BRAND_MEMBERS.items()],
         nested.member(schema, "brand.brand").alias("brand"),
     )
 
@@ -181,11 +285,34 @@ def commissions(raw: DataFrame) -> DataFrame:
 OFFER_TIMES = ("api_approved_datetime", "approved_datetime", "paid_datetime")
 # Published offer columns.
 OFFER_COLUMNS = (
-    "data_id incremental_datetime api_approved_datetime application user_selected_datetime approved api_approved "
-    "badges esign_link bank_id is_new_for_provider paid apr approved_amount approved_datetime interest_rate "
-    "administration_fee opening_fee status monthly_payment repayment_amount repayment_time esign_info "
-    "consolidation_amount topup_amount esign_txt paid_datetime"
-).split()
+    "data_id",
+    "incremental_datetime",
+    "api_approved_datetime",
+    "application",
+    "user_selected_datetime",
+    "approved",
+    "api_approved",
+    "badges",
+    "esign_link",
+    "bank_id",
+    "is_new_for_provider",
+    "paid",
+    "apr",
+    "approved_amount",
+    "approved_datetime",
+    "interest_rate",
+    "administration_fee",
+    "opening_fee",
+    "status",
+    "monthly_payment",
+    "repayment_amount",
+    "repayment_time",
+    "esign_info",
+    "consolidation_amount",
+    "topup_amount",
+    "esign_txt",
+    "paid_datetime",
+)
 
 
 def _timed_offers(raw: DataFrame) -> DataFrame:
@@ -236,9 +363,16 @@ def provider_commissions(raw: DataFrame) -> DataFrame:
 
 # Published credit remark columns.
 REMARK_COLUMNS = (
-    "ssn_id name bisnode_id payment_remark_latest payment_remarks_count other_remarks_count is_under_guardianship "
-    "is_banned_on_business_operations last_check"
-).split()
+    "ssn_id",
+    "name",
+    "bisnode_id",
+    "payment_remark_latest",
+    "payment_remarks_count",
+    "other_remarks_count",
+    "is_under_guardianship",
+    "is_banned_on_business_operations",
+    "last_check",
+)
 
 
 def credit_remarks(raw: DataFrame) -> DataFrame:

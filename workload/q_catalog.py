@@ -257,8 +257,8 @@ WHERE table_name LIKE '%\\_r' ESCAPE '\\' GROUP BY table_name HAVING bool_or(lea
 )
 def needs_tagging(spark, sf):
     """Downstream tables of raw tables with any tagged field."""
-    raw = fx.part_columns(spark, sf).filter(F.col("table_name").endswith("_r"))
-    return catalog.needs_tagging(raw.withColumn("tagged", F.col("leaf") == "ssn"))
+    columns = fx.part_columns(spark, sf)
+    return catalog.needs_tagging(columns.withColumn("tagged", F.col("leaf") == "ssn"))
 
 
 @query(
@@ -396,7 +396,7 @@ SELECT pk, column_name, data_type,
     AS masking_rule
 FROM c WHERE NOT starts_with(lower(column_name), 'num_') AND NOT contains(lower(column_name), 'hashed_')
   AND (lower(column_name) = 'is_pep' OR NOT (data_type IN ('BOOL', 'TIMESTAMP') OR starts_with(data_type, 'STRUCT')))
-  AND pk % 13 <> 0""",
+  AND NOT (pk % 13 = 0 AND NOT starts_with(column_name, 'is_pep'))""",
 )
 def classify_columns(spark, sf):
     """Exclusion rules, then sensitivity, category and masking rule."""
@@ -404,9 +404,8 @@ def classify_columns(spark, sf):
     types = spark.createDataFrame([("flagged", "bool"), ("other", "INT64")], "key string, data_type string")
     listed = columns.filter("pk % 13 = 0").select("column_name")
     # 'is_pep' is shared by many columns and must not be excluded by name.
-    kept = columns.filter("pk % 13 <> 0")
     listed = listed.filter(~F.col("column_name").startswith("is_pep"))
-    rows = detect.classify(detect.exclude(kept, types, listed))
+    rows = detect.classify(detect.exclude(columns, types, listed))
     return rows.select("pk", "column_name", "data_type", "sensitivity", "category", "masking_rule")
 
 

@@ -134,7 +134,7 @@ SELECT 't' || p_partkey || '_r' AS table_name, 'gs://sink/data/' || p_partkey ||
 FROM part WHERE p_partkey % 7 <> 0""",
 )
 def ddl_manifest(spark, sf):
-    """Manifest rows out of table definitions."""
+    """Manifest rows out of table definitions; those over another bucket are left out."""
     p = F.col("p_partkey")
     bucket = F.when(p % 7 == 0, F.lit("other")).otherwise(F.lit("landing"))
     star = F.when(p % 3 == 0, F.lit("*")).otherwise(F.lit(""))
@@ -145,14 +145,15 @@ def ddl_manifest(spark, sf):
         fx.text(p),
         F.lit("/"),
         star,
-        F.lit('", "gs://landing/second/*"]'),
+        F.lit('", "gs://'),
+        bucket,
+        F.lit('/second/*"]'),
         F.when(p % 2 == 0, F.concat(F.lit(", max_bad_records = "), fx.text(F.col("p_size")))).otherwise(F.lit("")),
         F.when(p % 5 == 0, F.lit(', field_delimiter=";"')).otherwise(F.lit("")),
         F.lit(")"),
     )
     rows = fx.table(spark, sf, "part").select(F.concat(F.lit("t"), fx.text(p), F.lit("_r")).alias("table_name"), ddl.alias("ddl"))
-    first_only = rows.filter(F.col("table_name").isNotNull() & (p % 7 != 0))
-    return io.manifest_from_ddl(first_only, "landing", "sink")
+    return io.manifest_from_ddl(rows, "landing", "sink")
 
 
 @query(
