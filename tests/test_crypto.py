@@ -48,3 +48,10 @@ def test_sha256_matches_the_standard(spark):
 
     row = spark.createDataFrame([("åäö",)], "v string").select(crypto.sha256_hex(F.col("v"))).first()
     assert row[0] == hashlib.sha256("åäö".encode()).hexdigest()
+
+
+def test_secret_is_in_no_plan(spark):
+    df = spark.range(1).select(crypto.derive_key("top-secret-word", F.lit("id")).alias("k"))
+    execution = df._jdf.queryExecution()
+    assert "top-secret-word" not in execution.toString() and df.first().k is not None
+    assert "top-secret-word" not in execution.toString()

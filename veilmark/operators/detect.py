@@ -58,6 +58,7 @@ def lineage_edges(models: DataFrame, columns: DataFrame) -> DataFrame:
     dependency wins when several offer the column.  Raw and source models map
     every column to itself.
     """
+    # The forms of a select list that a lineage is read from.
     is_star = F.col("sql").rlike(r"(?is)SELECT\s+\*\s+FROM")
     select_list = F.regexp_extract("sql", r"(?is)SELECT\s+(.*?)\s+FROM", 1)
     derived = models.filter((F.col("resource_type") == "model") & F.col("sql").isNotNull())

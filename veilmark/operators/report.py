@@ -92,24 +92,31 @@ def edge_cases(paths: DataFrame, tags: DataFrame) -> DataFrame:
     return leaves.join(names, leaf == F.col("__key"), "left_semi")
 
 
+# Fixed value: the form of a source call in the code of a model.
 SOURCE_CALL = r"\{\{source\('([^']+)',\s*'([^']+)'\)\}\}"
 
 
 def source_usage(models: DataFrame, tables: DataFrame, paths: DataFrame) -> DataFrame:
     """Per table: the models that read it and the id columns it holds.
 
-    ``models`` has ``model, raw_code``; a call names catalog and schema.
-    ``tables`` has ``table_catalog, table_schema, table_name``.
+    ``models`` has ``model, raw_code`` and may have ``sources``, an array of
+    ``(table_catalog, table_schema)`` structs that the model declares; a call in
+    the code names catalog and schema, too.  ``tables`` has ``table_catalog,
+    table_schema, table_name``.  Models are listed per schema before they meet
+    its tables, so no row per table and model is made.
     """
     calls = models.select("model", F.explode(F.regexp_extract_all("raw_code", F.lit(SOURCE_CALL), F.lit(0))).alias("call"))
     pairs = calls.select(
         "model",
         F.regexp_extract("call", SOURCE_CALL, 1).alias("table_catalog"),
         F.regexp_extract("call", SOURCE_CALL, 2).alias("table_schema"),
-    ).distinct()
-    used = tables.join(pairs, ["table_catalog", "table_schema"])
-    key = ["table_catalog", "table_schema", "table_name"]
-    models_of = latest.distinct_list(used, key, "model", "models", ", ")
+    )
+    if "sources" in models.columns:
+        declared = models.select("model", F.explode("sources").alias("s"))
+        pairs = pairs.unionByName(declared.select("model", "s.table_catalog", "s.table_schema"))
+    schema = ["table_catalog", "table_schema"]
+    readers = latest.distinct_list(pairs, schema, "model", "models", ", ")
+    models_of = tables.distinct().join(readers, schema)
     ids = paths.filter(path_name_key(F.col("field_path")).isin(list(ID_NAMES)))
     ids_of = latest.distinct_list(ids, ["table_schema", "table_name"], "field_path", "id_columns", ", ")
     return models_of.join(ids_of, ["table_schema", "table_name"], "left").withColumn(

@@ -75,6 +75,7 @@ def load_manifest(
 
 def manifest_from_ddl(df: DataFrame, from_bucket: str, to_bucket: str, scheme: str = "gs") -> DataFrame:
     """Manifest rows from ``(table_name, ddl)``: first uri, budget, format, delimiter."""
+    # The patterns follow the text format of the definitions.
     ddl = F.col("ddl")
     uri = F.regexp_extract(ddl, scheme + r'://[^"\[\],]+', 0)
     moved = F.replace(uri, F.lit(f"{scheme}://{from_bucket}"), F.lit(f"{scheme}://{to_bucket}"))

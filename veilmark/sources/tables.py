@@ -44,7 +44,9 @@ def replace_table(df: DataFrame, path: str, partition_by=None, sort_by=None) ->
     """Replace a table that the plan may itself read: write aside, then swap.
 
     The old data stays in place until the new data is complete, so losing an
-    executor (or the job) half way leaves the table as it was.
+    executor half way leaves the table as it was.  The swap itself is two renames
+    and not atomic: a reader in between finds no table, and on an object store a
+    rename copies.  Give tables with concurrent readers a new path per version.
     """
     spark = df.sparkSession
     staged, retired = path.rstrip("/") + ".staged", path.rstrip("/") + ".retired"

@@ -558,7 +558,7 @@ def stream_dedupe(spark, sf):
     changes = fx.change_events(spark, sf)
     changes.write.parquet(f"{root}/in")
     stream = spark.readStream.schema(changes.schema).parquet(f"{root}/in")
-    unique = dedupe_stream(stream, delay="3650 days").select("xid", "xoffset", "ts")
+    unique = dedupe_stream(stream).select("xid", "xoffset", "ts")
     unique.writeStream.format("parquet").option("checkpointLocation", f"{root}/state").option(
         "path", f"{root}/out"
     ).trigger(availableNow=True).start().awaitTermination()
