@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .words import slices
+
 LEAST_PAGES, LEAST_SHARE = 5, 0.2
 
 #: Element names by role; names follow the HTML standard.
@@ -211,7 +213,7 @@ HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         row, found = [], []
         for i, source in enumerate(batch.column("html").to_pylist()):
             own = Page(source or "").hashes
@@ -223,7 +225,7 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         sources, templates = batch.column("html").to_pylist(), batch.column("template").to_pylist()
         texts = [Page(s or "", frozenset(t or ())).main_text() for s, t in zip(sources, templates, strict=True)]
         yield pa.RecordBatch.from_arrays(

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .quality import held_out
 from .scratch import stored
 from .trie import Trie, build
-from .words import constants, groups, mix, words
+from .words import constants, groups, mix, slices, words
 
 #: Capacity of the model, and pairs that a task gathers before it passes them on.
 VOCABULARY, PAIRS, GATHER = 1 << 19, 1 << 22, 1 << 22
@@ -66,7 +66,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
 
     parts, size = [], 0
-    for batch in batches:
+    for batch in slices(batches):
         for _, group in groups(_texts(batch)):
             parts.append(_tokens(group)[0])
             size += len(parts[-1])
@@ -134,7 +134,7 @@ def _pair_counts(vocabulary, shards: int):
             )
 
         parts, size = [], 0
-        for batch in batches:
+        for batch in slices(batches):
             for _, group in groups(_texts(batch)):
                 tokens, bounds = _tokens(group)
                 word = ranks(tokens)
@@ -230,7 +230,7 @@ def _scores(trie):
             arrays = [pa.nulls(n, t) if c is None else pa.array(c, t) for c, (_, t) in zip(columns, types, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, [name for name, _ in types])
 
-        for batch in batches:
+        for batch in slices(batches):
             ids, out = batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist()
             for start, group in groups(_texts(batch)):
                 tokens, bounds = _tokens(group)

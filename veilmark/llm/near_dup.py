@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from veilmark.operators.detect import components
 
 from .scratch import stored
-from .words import constants, groups, mix, shingles, words
+from .words import constants, groups, mix, shingles, slices, words
 
 CHUNKS, CHUNK = 8, 5
 SYMBOLS = CHUNKS * CHUNK
@@ -55,7 +55,7 @@ def minima(hashes: np.ndarray, starts: np.ndarray, first: int, count: int) -> np
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         sizes, digests, symbols = [], [], []
         for _, group in groups(texts):
@@ -76,7 +76,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _details(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         ids, texts = batch.column("doc_id"), batch.column("text").cast(pa.binary()).to_pylist()
         for start, group in groups(texts):
             runs = shingles(words(group))

@@ -22,10 +22,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .words import slices
+
 #: Limits of a sequence: tokens, segments, loss-bearing tokens.
 TOKENS, SEGMENTS, LOSS = 2048, 256, 2048
 #: Items packed together in a task, and the smallest gap that is filled by cutting an item.
-WINDOW, LEAST_GAP = 4096, 8
+WINDOW, LEAST_GAP = 2048, 8
 END = 1
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -131,7 +133,7 @@ def _packed(limits: tuple[int, int, int], path: str | None, with_ids: bool):
             return pa.RecordBatch.from_pydict(columns)
 
         pieces: list[tuple] = []
-        for batch in batches:
+        for batch in slices(batches):
             texts, prompts = batch.column("text").to_pylist(), batch.column("prompt").to_pylist()
             for doc_id, text, prompt in zip(batch.column("doc_id").to_pylist(), texts, prompts, strict=True):
                 before = encoding.encode(prompt, allowed_special="all") if prompt else []
@@ -139,7 +141,7 @@ def _packed(limits: tuple[int, int, int], path: str | None, with_ids: bool):
                 pieces += packer.add((doc_id, ids), len(ids), len(before))
                 if len(packer.items) >= WINDOW:
                     pieces += packer.pack(WINDOW // 8)
-                if len(pieces) >= WINDOW:
+                if len(pieces) >= WINDOW // 4:
                     yield table(pieces)
                     pieces = []
         pieces += packer.pack(0)

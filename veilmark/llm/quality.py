@@ -12,7 +12,7 @@ Repeated rows get equal scores; a row without an id is scored and counts as not
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import groups, mix, words
+from .words import groups, mix, slices, words
 
 #: Most labelled documents and lines in the training sample; a longer document is left out of training.
 SAMPLE_DOCUMENTS, SAMPLE_LINES = 3000, 400
@@ -216,10 +216,10 @@ def train(texts: list[bytes], labels: list[int]) -> Model:
     return model
 
 
-def score(model: Model, texts: list[bytes | None]) -> np.ndarray:
+def score(model: Model, texts: Iterable[bytes | None]) -> np.ndarray:
     """Scores between 0 and 1, higher for better texts."""
     if model.constant is not None:
-        return np.full(len(texts), model.constant)
+        return np.array([model.constant for _ in texts])
     parts = [np.zeros(0)]
     for _, group in groups(texts):
         found = lines(group)
@@ -246,7 +246,7 @@ def training_sample(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = []
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         rows += zip(batch.column("doc_id").to_pylist(), batch.column("label").to_pylist(), texts, strict=True)
     rows.sort()
@@ -276,7 +276,7 @@ def scored(documents: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score`` for every row of ``documents``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = score(model, batch.column("text").cast(pa.binary()).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], ["doc_id", "score"])
 
@@ -310,6 +310,6 @@ def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
     def predict(texts):
         import pandas as pd
 
-        return pd.Series(score(model, [t.encode() if t is not None else None for t in texts]))
+        return pd.Series(score(model, (None if t is None else t.encode() for t in texts)))
 
     return documents.filter(predict(F.col("text")) >= 0.5)

@@ -6,13 +6,16 @@ multi-byte UTF-8 character, so working on bytes gives the same words as working
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
+#: Rows of a batch that are turned into Python objects at once.
+SLICE = 256
 #: Texts are worked on in groups of about this many bytes; a longer text is a group of its own.
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 18
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -68,7 +71,15 @@ class Words:
         return np.diff(self.bounds)
 
 
-def groups(texts: Sequence[bytes | None], limit: int = GROUP_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batches in short slices, so that a task holds few Python objects whatever the batch size."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+    pa.default_memory_pool().release_unused()
+
+
+def groups(texts: Iterable[bytes | None], limit: int = GROUP_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """Consecutive texts in groups of about ``limit`` bytes, with the position of the first; null is empty."""
     start, size, group = 0, 0, []
     for i, text in enumerate(texts):
