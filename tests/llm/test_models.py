@@ -71,7 +71,11 @@ def test_trie_finds_exactly_its_pairs():
     asked = np.concatenate([pairs, rng.integers(0, size * size, 30000)])
     got, found = model.bigrams(asked // size, asked % size)
     assert (found == np.isin(asked, pairs)).all()
-    exact = np.log10((times - trie.DISCOUNT) / counts[pairs // size])
+    context, word = pairs // size, pairs % size
+    left = trie.DISCOUNT * np.bincount(context, minlength=size) / counts
+    unigram = (counts + 1) / (counts.sum() + size + 1)
+    exact = np.log10((times - trie.DISCOUNT) / counts[context] + left[context] * unigram[word])
+    assert model.complete.all()
     assert np.abs(got[: len(pairs)] - exact).max() <= np.ptp(exact) / 255
     assert (model.successors.get(np.arange(len(pairs))) == pairs).all()
     assert (model.words(hashes) == np.arange(size)).all() and model.words(np.array([1], np.uint64))[0] == -1
@@ -81,7 +85,7 @@ def test_trie_finds_exactly_its_pairs():
 def test_probabilities_after_a_context_add_up(tmp_path):
     """Over the vocabulary and all other words; the file is read in place."""
     counts = np.array([50, 30, 20], np.int64)
-    pairs, times = np.array([0 * 3 + 1, 0 * 3 + 2, 1 * 3 + 0]), np.array([30, 10, 25])
+    pairs, times = np.array([0 * 3 + 1, 0 * 3 + 2, 1 * 3 + 0]), np.array([40, 10, 30])
     path = tmp_path / "model"
     path.write_bytes(trie.build(np.array([5, 7, 9], np.uint64), counts, 100, 3, pairs, times))
     model = trie.Trie(np.memmap(path, np.uint8, "r"))
@@ -92,28 +96,47 @@ def test_probabilities_after_a_context_add_up(tmp_path):
         assert abs(p.sum() + other * 10 ** model.backoff[context] - 1) < 0.03
 
 
-def brute_base(rows):
+def brute_scores(rows):
     tokens = {k: [*text_words(t), None] for k, (_, t) in enumerate(rows)}
     out = {k: i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for k, (i, _) in enumerate(rows)}
-    counts = Counter(w for k in tokens if not out[k] for w in tokens[k])
+    training = [tokens[k] for k in tokens if not out[k]]
+    counts = Counter(w for words in training for w in words)
+    pairs = Counter(p for words in training for p in itertools.pairwise([None, *words]))
+    successors = Counter(c for c, _ in pairs)
     total = sum(counts.values())
+
+    def unigram(w):
+        return (counts[w] + 1) / (total + len(counts) + 1)
+
+    def bigram(c, w):
+        if not counts[c]:
+            return unigram(w)
+        seen = max(pairs[c, w] - trie.DISCOUNT, 0)
+        return (seen + trie.DISCOUNT * successors[c] * unigram(w)) / counts[c]
+
     return [
         (i, out[k], len(tokens[k]), sum(w in counts for w in tokens[k]), total,
-         sum(math.log10((counts[w] + 1) / (total + len(counts) + 1)) for w in tokens[k]))
+         sum(math.log10(unigram(w)) for w in tokens[k]),
+         sum(math.log10(bigram(c, w)) for c, w in itertools.pairwise([None, *tokens[k]])))
         for k, (i, _) in enumerate(rows)
     ]
 
 
-@pytest.mark.parametrize("capacity", [1 << 19, 20])
-def test_language_model_base_scores(documents, odd_rows, monkeypatch, capacity):
-    monkeypatch.setattr(lm, "VOCABULARY", capacity)
+@pytest.mark.parametrize(("words", "pairs"), [(1 << 19, 1 << 22), (1 << 19, 12), (20, 12), (20, 0), (0, 0)])
+def test_language_model_scores_do_not_depend_on_the_trie(documents, odd_rows, monkeypatch, words, pairs):
+    """Words and pairs that find no room in the trie are scored like the others, but for its quantisation."""
+    monkeypatch.setattr(lm, "VOCABULARY", words)
+    monkeypatch.setattr(lm, "PAIRS", pairs)
     monkeypatch.setattr(lm, "GATHER", 500)
     rows = [r[:2] for r in odd_rows if r[0] != 6] + [(100 + i, f"the cat number {i} sat on mat {i % 7}") for i in range(60)]
     found = lm.corpus_scores(documents(rows)).collect()
-    got = sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in found), key=repr)
-    expected = sorted(brute_base(rows), key=repr)
+    columns = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    got = sorted((tuple(r[c] for c in columns) for r in found), key=repr)
+    expected = sorted(brute_scores(rows), key=repr)
     for a, b in zip(got, expected, strict=True):
         assert a[:5] == b[:5] and abs(a[5] - b[5]) < 1e-6 * max(1, abs(b[5]))
+        # Steps of one byte over about seven orders of magnitude, for two parts of a probability.
+        assert abs(a[6] - b[6]) < (0.03 if words else 1e-9) * a[2]
 
 
 def test_language_model_beats_its_base_on_held_out_text(spark):
@@ -126,6 +149,6 @@ def test_language_model_on_an_empty_table(documents):
 
 
 def test_packed_counts_round_trip():
-    keys = np.array([0, 5, 1 << 40, (1 << 40) + 3])
-    got = lm._unpacked(lm._packed(keys, np.array([1, 2, 3, 1 << 20])))
-    assert got[0].tolist() == keys.tolist() and got[1].tolist() == [1, 2, 3, 1 << 20]
+    keys, times = np.array([0, 5, 1 << 40, (1 << 40) + 3]), np.array([1, 2, 3, 1 << 40])
+    got = lm._unpacked(lm._packed(keys, times))
+    assert got[0].tolist() == keys.tolist() and got[1].tolist() == times.tolist()

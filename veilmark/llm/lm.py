@@ -1,13 +1,18 @@
 """Language-model scores: bigram counts of the whole corpus, an Elias-Fano trie, whole texts scored in place.
 
-1. Tasks count the words of the training documents, Spark adds the counts up.  The vocabulary is all words from the
-   count on at which at most ``VOCABULARY`` words are left; other words keep their exact counts in a table.
-2. Tasks count the pairs of vocabulary words, packed by shard of the pair's hash, so a frequent pair costs one entry per
-   task; every shard is added up by itself.  The trie takes all pairs from the count on at which at most ``PAIRS`` are
-   left.  These two sizes are the model's capacity: they bound what is broadcast, whatever the corpus.  What is not in
-   the trie is scored by backoff to the unigram probability with the word's exact count; no token is left out.
-3. A pass over all texts maps the trie into memory and adds up each document's probabilities.  Words outside the
-   vocabulary leave as rows of document and word and get their counts by a join.
+The model is absolute discounting with interpolation: after context c, word w has the probability
+``(n(c, w) - D) / n(c) + L(c) * u(w)`` with ``L(c) = D * successors(c) / n(c)`` and the add-one unigram probability u; a
+pair that was not seen has the second part only, and a context that was not seen has L = 1.
+
+1. Tasks count the words of the training documents, Spark adds the counts up.  All words keep their exact counts in a
+   table; the ``VOCABULARY`` most frequent ones get a rank.
+2. Tasks count all pairs, packed by shard of the pair's hash, so a frequent pair costs one entry per task; every shard is
+   added up by itself.  The trie takes the ``PAIRS`` most frequent pairs of ranked words.  All other pairs stay in a
+   table.  The two sizes bound what is broadcast and what one task builds; they decide where a pair is looked up, not
+   what is scored: results do not depend on them but for the quantisation of what is in the trie.
+3. A pass over all texts maps the trie into memory and adds up each document's probabilities.  A pair that is not in the
+   trie leaves as a row of document, context and word unless the trie holds all successors of its context; words and
+   contexts without a rank leave likewise.  Joins with the tables add what is missing.
 
 Tokens are the words in lower case and one end per document, which is also the context of the first word.  Null text is
 empty: its only token is the end.  Without training documents every probability is one.  Repeated rows count as
@@ -28,10 +33,10 @@ from pyspark.sql import functions as F
 
 from .quality import held_out
 from .scratch import stored
-from .trie import Trie, build
+from .trie import DISCOUNT, Trie, build
 from .words import constants, groups, mix, slices, words
 
-#: Capacity of the model, and pairs that a task gathers before it passes them on.
+#: Words and pairs in the trie, and pairs that a task gathers before it passes them on.
 VOCABULARY, PAIRS, GATHER = 1 << 19, 1 << 22, 1 << 22
 #: Training tokens per shard of the pair counts.
 SHARD_TOKENS = 1 << 21
@@ -50,7 +55,7 @@ def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _before(ranks: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Rank of the token before each; a text's first token follows an end, as its last token is one."""
+    """Rank or hash of the token before each; a text's first token follows an end, as its last token is one."""
     context = np.roll(ranks, 1)
     context[bounds[:-1]] = ranks[-1]
     return context
@@ -99,41 +104,71 @@ def _threshold(counts: DataFrame, capacity: int) -> int:
     return least
 
 
+def _planes(*columns: np.ndarray) -> bytes:
+    """Columns of 64-bit integers, bytes of equal weight together: short once compressed."""
+    return b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns)
+
+
+def _columns(blob: bytes, n: int) -> list[np.ndarray]:
+    """The ``n`` columns of a blob of :func:`_planes`."""
+    planes = np.frombuffer(blob, np.uint8).reshape(n, 8, -1)
+    return [np.ascontiguousarray(p.T).view(np.int64).ravel() for p in planes]
+
+
 def _packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted keys as differences, bytes of equal weight together: short once compressed."""
-    steps = np.diff(keys, prepend=0).astype("<u8").view(np.uint8).reshape(-1, 8).T
-    times = np.minimum(counts, (1 << 32) - 1).astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return steps.tobytes() + times.tobytes()
+    """Sorted keys as differences, and their counts."""
+    return _planes(np.diff(keys, prepend=0), counts)
 
 
 def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = len(blob) // 12
-    data = np.frombuffer(blob, np.uint8)
-    steps = np.ascontiguousarray(data[: 8 * n].reshape(8, n).T).view("<u8").ravel()
-    times = np.ascontiguousarray(data[8 * n :].reshape(4, n).T).view("<u4").ravel()
-    return np.cumsum(steps).astype(np.int64), times.astype(np.int64)
+    steps, times = _columns(blob, 2)
+    return np.cumsum(steps), times
+
+
+def _tallied(keys: list[np.ndarray], times: np.ndarray) -> list[np.ndarray]:
+    """Distinct rows of the key columns, sorted, and the sums of their times."""
+    order = np.lexsort(keys[::-1])
+    keys, times = [k[order] for k in keys], times[order]
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    first = np.flatnonzero(new)
+    return [*(k[first] for k in keys), np.add.reduceat(times, first) if len(first) else times]
+
+
+def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Every shard that occurs, with the places of its elements."""
+    order = np.argsort(shard, kind="stable")
+    found, starts = np.unique(shard[order], return_index=True)
+    return zip(found.tolist(), np.split(order, starts[1:]), strict=True) if len(order) else iter(())
 
 
 def _pair_counts(vocabulary, shards: int):
+    """Pairs of ranked words as ``context * V + word``, the rest as two hashes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = vocabulary.value
 
         def ranks(tokens: np.ndarray) -> np.ndarray:
+            if not len(hashes):
+                return np.full(len(tokens), -1)
             place = np.minimum(np.searchsorted(hashes, tokens), len(hashes) - 1)
             return np.where(hashes[place] == tokens, place, -1)
 
-        def dealt(parts: list[np.ndarray]) -> pa.RecordBatch:
+        def dealt(parts: list[np.ndarray], rare: list[np.ndarray]) -> pa.RecordBatch:
             pair, n = np.unique(np.concatenate(parts), return_counts=True)
-            shard = (mix(pair.astype(np.uint64)) % np.uint64(shards)).astype(np.int32)
-            order = np.argsort(shard, kind="stable")
-            bounds = np.searchsorted(shard[order], np.arange(shards + 1))
-            own = [order[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(shards, dtype=np.int32)), pa.array([_packed(pair[o], n[o]) for o in own], pa.binary())],
-                ["shard", "pairs"],
-            )
-
-        parts, size = [], 0
+            shard = mix(pair.astype(np.uint64)) % np.uint64(shards)
+            rows = [(s, _packed(pair[o], n[o]), None) for s, o in _by_shard(shard)]
+            both = np.concatenate(rare, axis=1)
+            first, second, n = _tallied([both[0], both[1]], np.ones(both.shape[1], np.int64))
+            shard = mix(first.view(np.uint64) + mix(second.view(np.uint64))) % np.uint64(shards)
+            rows += [(s, None, _planes(first[o], second[o], n[o])) for s, o in _by_shard(shard)]
+            own, pairs, rest = zip(*rows, strict=True)
+            columns = [pa.array(own, pa.int64()), pa.array(pairs, pa.binary()), pa.array(rest, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, ["shard", "pairs", "rest"])
+
+        parts, rare, size = [], [], 0
         for batch in slices(batches):
             for _, group in groups(_texts(batch)):
                 tokens, bounds = _tokens(group)
@@ -141,40 +176,71 @@ def _pair_counts(vocabulary, shards: int):
                 before = _before(word, bounds)
                 both = (word >= 0) & (before >= 0)
                 parts.append(before[both] * len(hashes) + word[both])
-                size += len(parts[-1])
+                rare.append(np.stack([_before(tokens, bounds)[~both], tokens[~both]]).view(np.int64))
+                size += len(tokens)
                 if size >= GATHER:
-                    yield dealt(parts)
-                    parts, size = [], 0
+                    yield dealt(parts, rare)
+                    parts, rare, size = [], [], 0
         if parts:
-            yield dealt(parts)
+            yield dealt(parts, rare)
 
     return run
 
 
 def _added(keys: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    key, time = np.concatenate(keys), np.concatenate(times)
-    order = np.argsort(key, kind="stable")
-    key, time = key[order], time[order]
-    first = np.flatnonzero(np.diff(key, prepend=-1))
-    return key[first], np.add.reduceat(time, first) if len(first) else time
+    key, time = _tallied([np.concatenate(keys)], np.concatenate(times))
+    return key, time
 
 
 def _merged(shard: pa.Table) -> pa.Table:
-    """All counts of a shard added up, as one row per count up to 16, and one for the rest."""
-    keys, times = zip(*(_unpacked(b) for b in shard.column("pairs").to_pylist()), strict=True)
-    key, time = _added(list(keys), list(times))
-    rows = {"n": [], "of": [], "pairs": []}
-    for n in np.unique(time):
-        own = time == n
-        rows["n"].append(int(n))
-        rows["of"].append(int(own.sum()))
-        rows["pairs"].append(_packed(key[own], time[own]))
-    return pa.table(
-        {"n": pa.array(rows["n"], pa.int64()), "of": pa.array(rows["of"], pa.int64()), "pairs": pa.array(rows["pairs"], pa.binary())}
-    )
+    """All counts of a shard added up: a row per count with the pairs of ranked words, and one row with the rest."""
+    found = [_unpacked(b) for b in shard.column("pairs").drop_null().to_pylist()]
+    rest = [_columns(b, 3) for b in shard.column("rest").drop_null().to_pylist()]
+    rows = []
+    if found:
+        key, time = _added(*map(list, zip(*found, strict=True)))
+        for n in np.unique(time):
+            own = time == n
+            rows.append((int(n), int(own.sum()), _packed(key[own], time[own]), None))
+    if rest:
+        first, second, n = (np.concatenate(c) for c in zip(*rest, strict=True))
+        rows.append((None, None, None, _planes(*_tallied([first, second], n))))
+    n, of, pairs, rest = zip(*rows, strict=True)
+    kinds = {"n": (n, pa.int64()), "of": (of, pa.int64()), "pairs": (pairs, pa.binary()), "rest": (rest, pa.binary())}
+    return pa.table({name: pa.array(values, kind) for name, (values, kind) in kinds.items()})
+
+
+def _hashed(batch: pa.RecordBatch, hashes: np.ndarray) -> Iterator[list[np.ndarray]]:
+    """Context hashes, word hashes and counts of every row of :func:`_merged`."""
+    words = hashes.view(np.int64)
+    for pairs, rest in zip(batch.column("pairs").to_pylist(), batch.column("rest").to_pylist(), strict=True):
+        if rest is not None:
+            yield _columns(rest, 3)
+        else:
+            key, time = _unpacked(pairs)
+            yield [words[key // len(words)], words[key % len(words)], time]
+
+
+def _successor_counts(vocabulary):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for context, _, _ in _hashed(batch, vocabulary.value):
+                found, d = np.unique(context, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(d)], ["context", "d"])
+
+    return run
 
 
-def _built(hashes, counts, total: int, distinct: int):
+def _pair_rows(vocabulary):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for columns in _hashed(batch, vocabulary.value):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["context", "word", "n"])
+
+    return run
+
+
+def _built(hashes, counts, successors, total: int, distinct: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for batch in batches:
@@ -182,33 +248,50 @@ def _built(hashes, counts, total: int, distinct: int):
                 key, time = _unpacked(blob)
                 keys.append(key)
                 times.append(time)
-        word, n = hashes.value, counts.value
-        yield pa.RecordBatch.from_pydict({"trie": [build(word, n, total, distinct, *_added(keys, times))]})
+        model = build(hashes.value, counts.value, total, distinct, *_added(keys, times), successors.value)
+        yield pa.RecordBatch.from_pydict({"trie": [model]})
 
     return run
 
 
-def trained(documents: DataFrame) -> tuple[bytes, DataFrame]:
-    """The trie of a corpus (``text``), and the exact counts of its words (``word, n``)."""
+def trained(documents: DataFrame) -> tuple[bytes, DataFrame, DataFrame]:
+    """The model of a corpus (``text``): its trie; all words as ``word, n, d`` (count and number of successors); and the
+    pairs outside the trie as ``context, word, gain``, log10 of what the pair's probability is above its backoff.
+    """
     context = documents.sparkSession.sparkContext
     counts = documents.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = stored(counts, "words")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     hashes, times = _vocabulary(counts)
-    if not len(hashes):
-        none = np.zeros(0, np.int64)
-        return build(hashes, times, total, distinct, none, none), counts
     shared, shared_times = context.broadcast(hashes), context.broadcast(times)
     shards = max(16, -(-total // SHARD_TOKENS))
-    pairs = documents.mapInArrow(_pair_counts(shared, shards), "shard int, pairs binary")
-    merged = stored(pairs.groupBy("shard").applyInArrow(_merged, "n long, of long, pairs binary"), "pairs")
-    chosen = merged.filter(F.col("n") >= _threshold(merged, PAIRS)).select("pairs")
-    # The capacity bounds what this one task gathers.
-    trie = chosen.repartition(1).mapInArrow(_built(shared, shared_times, total, distinct), "trie binary").first()
-    if trie is None:
-        none = np.zeros(0, np.int64)
-        return build(hashes, times, total, distinct, none, none), counts
-    return bytes(trie.trie), counts
+    pairs = documents.mapInArrow(_pair_counts(shared, shards), "shard long, pairs binary, rest binary")
+    merged = pairs.groupBy("shard").applyInArrow(_merged, "n long, of long, pairs binary, rest binary")
+    merged = stored(merged, "pairs")
+    least = _threshold(merged.filter("n IS NOT NULL").select("n", "of"), PAIRS)
+
+    successors = merged.select("pairs", "rest").mapInArrow(_successor_counts(shared), "context long, d long")
+    successors = successors.groupBy(F.col("context").alias("word")).agg(F.sum("d").alias("d"))
+    table = stored(counts.join(successors, "word", "left").select("word", "n", F.coalesce("d", F.lit(0)).alias("d")), "model")
+    # The words with a rank, whose number is bounded, in the order of their ranks.
+    ranked = table.filter(F.col("n") >= int(times.min())).select("word", "d").toArrow() if len(times) else None
+    own = np.zeros(0, np.int64)
+    if ranked is not None:
+        own = ranked.column("d").to_numpy()[np.argsort(ranked.column("word").to_numpy().view(np.uint64))]
+    # PAIRS bounds what this one task gathers.
+    chosen = merged.filter(F.col("n") >= least).select("pairs").repartition(1)
+    make = _built(shared, shared_times, context.broadcast(own), total, distinct)
+    trie = chosen.mapInArrow(make, "trie binary").first()
+    none = np.zeros(0, np.int64)
+    trie = build(hashes, times, total, distinct, none, none, own) if trie is None else bytes(trie.trie)
+
+    outside = merged.filter(F.col("n").isNull() | (F.col("n") < least)).select("pairs", "rest")
+    outside = outside.mapInArrow(_pair_rows(shared), "context long, word long, n long")
+    unigram = (F.col("of_word") + 1) / F.lit(float(total + distinct + 1))
+    gain = F.log10(1 + (F.col("n") - DISCOUNT) / (DISCOUNT * F.col("d") * unigram))
+    outside = outside.join(table.select("word", F.col("n").alias("of_word")), "word")
+    outside = outside.join(table.select(F.col("word").alias("context"), "d"), "context")
+    return trie, table, outside.select("context", "word", gain.alias("gain"))
 
 
 def _scores(trie):
@@ -223,7 +306,7 @@ def _scores(trie):
         row = TaskContext.get().partitionId() << 40
         types = [("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64())]
         types += [("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())]
-        types += [("word", pa.int64()), ("times", pa.int64())]
+        types += [("context", pa.int64()), ("word", pa.int64()), ("times", pa.int64())]
 
         def table(columns: list) -> pa.RecordBatch:
             n = max(len(c) for c in columns if c is not None)
@@ -237,19 +320,28 @@ def _scores(trie):
                 word = model.words(tokens)
                 before = _before(word, bounds)
                 known = word >= 0
+                ranked = before >= 0
                 after, found = model.bigrams(before, word)
                 unigram = np.where(known, model.unigram[word], 0) if len(base) else np.zeros(len(word))
-                backoff = np.where(before >= 0, model.backoff[before], 0) if len(base) else np.zeros(len(word))
+                backoff = np.where(ranked, model.backoff[before], 0) if len(base) else np.zeros(len(word))
                 score = np.where(found, after, unigram + backoff)
                 plain = np.where(known, base[word], 0) if len(base) else np.zeros(len(word))
                 sums = [np.add.reduceat(x, bounds[:-1]) for x in (known.astype(np.int64), plain, score)]
                 stop = start + len(group)
                 rows = row + np.arange(start, stop)
-                yield table([rows, ids[start:stop], out[start:stop], np.diff(bounds), *sums, None, None])
-                if not known.all():
-                    text = np.repeat(np.arange(len(group)), np.diff(bounds))[~known]
-                    rare, times = np.unique(np.stack([text, tokens[~known].view(np.int64)]), axis=1, return_counts=True)
-                    yield table([rows[rare[0]], None, None, None, None, None, None, rare[1], times])
+                yield table([rows, ids[start:stop], out[start:stop], np.diff(bounds), *sums, None, None, None])
+                outside = ~found & ~ranked
+                if len(base):
+                    outside |= ~found & ranked & ~model.complete[before]
+                text = np.repeat(np.arange(len(group)), np.diff(bounds))
+                after_word, own = _before(tokens, bounds).view(np.int64), tokens.view(np.int64)
+                for here, keys in ((outside, (after_word, own)), (~ranked, (after_word, None)), (~known, (None, own))):
+                    if here.any():
+                        asked = [text[here], *(k[here] for k in keys if k is not None)]
+                        document, *asked, times = _tallied(asked, np.ones(len(asked[0]), np.int64))
+                        asked = iter(asked)
+                        asked = [None if k is None else next(asked) for k in keys]
+                        yield table([rows[document], None, None, None, None, None, None, *asked, times])
             row += len(batch)
 
     return run
@@ -260,28 +352,42 @@ def scored(documents: DataFrame, training: DataFrame) -> DataFrame:
 
     ``training`` has the texts to learn from; ``held_out`` is taken over from ``documents``.
     """
-    trie, counts = trained(training)
+    trie, table, pairs = trained(training)
     total, distinct = Trie(trie).totals.tolist()
     shared = documents.sparkSession.sparkContext.broadcast(trie)
     schema = (
         "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, "
-        "word long, times long"
+        "context long, word long, times long"
     )
     rows = stored(documents.select("doc_id", "held_out", "text").mapInArrow(_scores(shared), schema), "scores")
-    rare = rows.filter("word IS NOT NULL").select("row", "word", "times").join(counts, "word", "left")
-    each = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(total + distinct + 1)))
-    rare = rare.groupBy(F.col("row").alias("of_row")).agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"),
-        F.sum(each * F.col("times")).alias("more"),
+    single = rows.filter("(context IS NULL) <> (word IS NULL)").select(
+        "row", F.coalesce("word", "context").alias("word"), F.col("word").isNotNull().alias("as_word"), "times"
+    )
+    unigram = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(total + distinct + 1)))
+    backoff = F.when(F.col("n").isNotNull(), F.log10(DISCOUNT * F.col("d") / F.col("n"))).otherwise(0.0)
+    single = single.join(table, "word", "left").select(
+        "row",
+        F.when(F.col("as_word") & F.col("n").isNotNull(), F.col("times")).otherwise(0).alias("more_known"),
+        F.when(F.col("as_word"), unigram * F.col("times")).otherwise(0.0).alias("more_base"),
+        (F.when(F.col("as_word"), unigram).otherwise(backoff) * F.col("times")).alias("more"),
+    )
+    double = rows.filter("context IS NOT NULL AND word IS NOT NULL").select("row", "context", "word", "times")
+    double = double.join(pairs, ["context", "word"]).select(
+        "row",
+        F.lit(0).cast("long").alias("more_known"),
+        F.lit(0.0).alias("more_base"),
+        (F.col("gain") * F.col("times")).alias("more"),
     )
-    whole = rows.filter("word IS NULL").join(rare, F.col("row") == F.col("of_row"), "left")
+    rest = single.unionByName(double).groupBy(F.col("row").alias("of_row"))
+    rest = rest.agg(*(F.sum(c).alias(c) for c in ("more_known", "more_base", "more")))
+    whole = rows.filter("context IS NULL AND word IS NULL").join(rest, F.col("row") == F.col("of_row"), "left")
     return whole.select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
+        (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
         (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
     )
 

@@ -102,6 +102,8 @@ class Trie:
         self.hashes, self.counts, self.totals, codes, backoff, levels, *rest = arrays
         self.pointers, self.successors = EliasFano(rest[0], rest[1]), EliasFano(rest[2], rest[3])
         self.codes = rest[4]
+        #: Contexts all of whose successors are here.
+        self.complete = rest[5].view(bool)
         books = levels.reshape(3, 256)
         self.unigram, self.backoff = books[0][codes], books[1][backoff]
         self.book = books[2]
@@ -129,19 +131,21 @@ class Trie:
 DISCOUNT = 0.75
 
 
-def build(hashes, counts, total: int, distinct: int, pairs: np.ndarray, times: np.ndarray) -> bytes:
+def build(hashes, counts, total: int, distinct: int, pairs: np.ndarray, times: np.ndarray, successors=None) -> bytes:
     """The buffer of a model: sorted word hashes with counts, sorted pairs ``context * V + word`` with counts.
 
-    Pairs are discounted; what they leave goes to the other words in proportion to their add-one unigram probability, so
-    the probabilities after a context add up to one.
+    ``successors`` is the number of different words after each context, also of those that are not among the pairs; by
+    default there are no others.  Pairs are discounted; what that leaves goes to all words by their add-one unigram
+    probability, so the probabilities after a context add up to one.
     """
     size = len(hashes)
     unigram = (counts + 1.0) / (total + distinct + 1.0)
     context, word = pairs // max(size, 1), pairs % max(size, 1)
-    seen = (times - DISCOUNT) / counts[context]
-    mass = np.bincount(context, seen, size)
-    share = np.bincount(context, unigram[word], size)
-    backoff = np.log10(np.maximum(1 - mass, 1e-9) / np.maximum(1 - share, 1e-9))
+    here = np.bincount(context, minlength=size)
+    successors = here if successors is None else successors
+    left = DISCOUNT * successors / counts
+    seen = (times - DISCOUNT) / counts[context] + left[context] * unigram[word]
+    backoff = np.log10(left, where=left > 0, out=np.zeros(size))
     codes, levels = zip(*(_quantised(x) for x in (np.log10(unigram), backoff, np.log10(seen))), strict=True)
     pointers = np.searchsorted(context, np.arange(size + 1))
     arrays = [
@@ -154,6 +158,7 @@ def build(hashes, counts, total: int, distinct: int, pairs: np.ndarray, times: n
         *EliasFano.parts(pointers, len(pairs) + 1),
         *EliasFano.parts(pairs, max(size, 1) ** 2),
         codes[2],
+        (here == successors).astype(np.uint8),
     ]
     types = (np.uint8, np.uint16, np.uint64, np.int64, np.float64)
     at, table, out = 16 + 24 * len(arrays), [], io.BytesIO()
