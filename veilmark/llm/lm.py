@@ -7,12 +7,15 @@ pair that was not seen has the second part only, and a context that was not seen
 1. Tasks count the words of the training documents, Spark adds the counts up.  All words keep their exact counts in a
    table; the ``VOCABULARY`` most frequent ones get a rank.
 2. Tasks count all pairs, packed by shard of the pair's hash, so a frequent pair costs one entry per task; every shard is
-   added up by itself.  The trie takes the ``PAIRS`` most frequent pairs of ranked words.  All other pairs stay in a
-   table.  The two sizes bound what is broadcast and what one task builds; they decide where a pair is looked up, not
-   what is scored: results do not depend on them but for the quantisation of what is in the trie.
+   added up by itself.  The trie takes the ``PAIRS`` most frequent pairs of ranked words; the other pairs of ranked words
+   stay in their shards, pairs with a word without a rank in a table.  The two sizes bound what is broadcast and what one
+   task builds; they decide where a pair is looked up, not what is scored: results do not depend on them but for the
+   quantisation of probabilities to one byte.
 3. A pass over all texts maps the trie into memory and adds up each document's probabilities.  A pair that is not in the
-   trie leaves as a row of document, context and word unless the trie holds all successors of its context; words and
-   contexts without a rank leave likewise.  Joins with the tables add what is missing.
+   trie is asked of its shard unless the trie holds all successors of its context.  Questions travel packed to the
+   shards, which hold the same Elias-Fano level for their own pairs, and sums of documents travel back.  Words without a
+   rank and pairs with such a word leave as rows, by their 64-bit hashes, and are joined with the tables.  A word is as
+   often a context in its document as it is a word, so one row stands for both.
 
 Tokens are the words in lower case and one end per document, which is also the context of the first word.  Null text is
 empty: its only token is the end.  Without training documents every probability is one.  Repeated rows count as
@@ -24,22 +27,27 @@ from __future__ import annotations
 import mmap
 import tempfile
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .quality import held_out
 from .scratch import stored
-from .trie import DISCOUNT, Trie, build
+from .trie import DISCOUNT, Level, Trie, build
 from .words import constants, groups, mix, slices, words
 
 #: Words and pairs in the trie, and pairs that a task gathers before it passes them on.
 VOCABULARY, PAIRS, GATHER = 1 << 19, 1 << 22, 1 << 22
-#: Training tokens per shard of the pair counts.
-SHARD_TOKENS = 1 << 21
+#: Training tokens per shard of the pair counts, and rows whose sums come back to one task.
+SHARD_TOKENS, BLOCK_BITS = 1 << 21, 10
+#: Ranks whose successors are added up together.
+RANKS = 1 << 13
+#: Sums of logarithms travel as integers, so their order does not matter.
+UNIT = float(1 << 24)
 END = constants(1, 40)[0]
 
 
@@ -105,13 +113,15 @@ def _threshold(counts: DataFrame, capacity: int) -> int:
 
 
 def _planes(*columns: np.ndarray) -> bytes:
-    """Columns of 64-bit integers, bytes of equal weight together: short once compressed."""
-    return b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns)
+    """Columns of 64-bit integers, bytes of equal weight together, compressed."""
+    raw = b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def _columns(blob: bytes, n: int) -> list[np.ndarray]:
     """The ``n`` columns of a blob of :func:`_planes`."""
-    planes = np.frombuffer(blob, np.uint8).reshape(n, 8, -1)
+    raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+    planes = np.frombuffer(raw, np.uint8).reshape(n, 8, -1)
     return [np.ascontiguousarray(p.T).view(np.int64).ravel() for p in planes]
 
 
@@ -137,6 +147,23 @@ def _tallied(keys: list[np.ndarray], times: np.ndarray) -> list[np.ndarray]:
     return [*(k[first] for k in keys), np.add.reduceat(times, first) if len(first) else times]
 
 
+def _ranks(hashes: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Ranks of word hashes, -1 for words without one."""
+    if not len(hashes):
+        return np.full(len(tokens), -1)
+    place = np.minimum(np.searchsorted(hashes, tokens), len(hashes) - 1)
+    return np.where(hashes[place] == tokens, place, -1)
+
+
+def _both(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """One hash for two."""
+    return mix(context.view(np.uint64) + mix(word.view(np.uint64))).view(np.int64)
+
+
+def _shard(pairs: np.ndarray, shards: int) -> np.ndarray:
+    return mix(pairs.astype(np.uint64)) % np.uint64(shards)
+
+
 def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Every shard that occurs, with the places of its elements."""
     order = np.argsort(shard, kind="stable")
@@ -150,19 +177,12 @@ def _pair_counts(vocabulary, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = vocabulary.value
 
-        def ranks(tokens: np.ndarray) -> np.ndarray:
-            if not len(hashes):
-                return np.full(len(tokens), -1)
-            place = np.minimum(np.searchsorted(hashes, tokens), len(hashes) - 1)
-            return np.where(hashes[place] == tokens, place, -1)
-
         def dealt(parts: list[np.ndarray], rare: list[np.ndarray]) -> pa.RecordBatch:
             pair, n = np.unique(np.concatenate(parts), return_counts=True)
-            shard = mix(pair.astype(np.uint64)) % np.uint64(shards)
-            rows = [(s, _packed(pair[o], n[o]), None) for s, o in _by_shard(shard)]
+            rows = [(s, _packed(pair[o], n[o]), None) for s, o in _by_shard(_shard(pair, shards))]
             both = np.concatenate(rare, axis=1)
             first, second, n = _tallied([both[0], both[1]], np.ones(both.shape[1], np.int64))
-            shard = mix(first.view(np.uint64) + mix(second.view(np.uint64))) % np.uint64(shards)
+            shard = _shard(_both(first, second), shards)
             rows += [(s, None, _planes(first[o], second[o], n[o])) for s, o in _by_shard(shard)]
             own, pairs, rest = zip(*rows, strict=True)
             columns = [pa.array(own, pa.int64()), pa.array(pairs, pa.binary()), pa.array(rest, pa.binary())]
@@ -172,7 +192,7 @@ def _pair_counts(vocabulary, shards: int):
         for batch in slices(batches):
             for _, group in groups(_texts(batch)):
                 tokens, bounds = _tokens(group)
-                word = ranks(tokens)
+                word = _ranks(hashes, tokens)
                 before = _before(word, bounds)
                 both = (word >= 0) & (before >= 0)
                 parts.append(before[both] * len(hashes) + word[both])
@@ -196,6 +216,7 @@ def _merged(shard: pa.Table) -> pa.Table:
     """All counts of a shard added up: a row per count with the pairs of ranked words, and one row with the rest."""
     found = [_unpacked(b) for b in shard.column("pairs").drop_null().to_pylist()]
     rest = [_columns(b, 3) for b in shard.column("rest").drop_null().to_pylist()]
+    own_shard = shard.column("shard")[0].as_py()
     rows = []
     if found:
         key, time = _added(*map(list, zip(*found, strict=True)))
@@ -207,39 +228,104 @@ def _merged(shard: pa.Table) -> pa.Table:
         rows.append((None, None, None, _planes(*_tallied([first, second], n))))
     n, of, pairs, rest = zip(*rows, strict=True)
     kinds = {"n": (n, pa.int64()), "of": (of, pa.int64()), "pairs": (pairs, pa.binary()), "rest": (rest, pa.binary())}
-    return pa.table({name: pa.array(values, kind) for name, (values, kind) in kinds.items()})
-
-
-def _hashed(batch: pa.RecordBatch, hashes: np.ndarray) -> Iterator[list[np.ndarray]]:
-    """Context hashes, word hashes and counts of every row of :func:`_merged`."""
-    words = hashes.view(np.int64)
-    for pairs, rest in zip(batch.column("pairs").to_pylist(), batch.column("rest").to_pylist(), strict=True):
-        if rest is not None:
-            yield _columns(rest, 3)
-        else:
-            key, time = _unpacked(pairs)
-            yield [words[key // len(words)], words[key % len(words)], time]
+    columns = {name: pa.array(values, kind) for name, (values, kind) in kinds.items()}
+    return pa.table({"shard": pa.array([own_shard] * len(rows), pa.int64()), **columns})
 
 
 def _successor_counts(vocabulary):
+    """Successors of ranked contexts as blocks of ranks, one set a task; those of other contexts as rows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["block", "ranked", "context", "d"]
+        hashes = vocabulary.value
+        total = np.zeros(len(hashes), np.int64)
         for batch in batches:
-            for context, _, _ in _hashed(batch, vocabulary.value):
-                found, d = np.unique(context, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(d)], ["context", "d"])
+            for pairs, rest in zip(batch.column("pairs").to_pylist(), batch.column("rest").to_pylist(), strict=True):
+                if rest is None:
+                    total += np.bincount(_unpacked(pairs)[0] // len(hashes), minlength=len(hashes))
+                    continue
+                contexts = _columns(rest, 3)[0]
+                rank = _ranks(hashes, contexts.view(np.uint64))
+                total += np.bincount(rank[rank >= 0], minlength=len(hashes))
+                found, d = np.unique(contexts[rank < 0], return_counts=True)
+                none = [pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.binary())]
+                yield pa.RecordBatch.from_arrays([*none, pa.array(found), pa.array(d)], names)
+        blocks = [b for b in range(0, len(hashes), RANKS) if total[b : b + RANKS].any()]
+        packed = pa.array([_planes(total[b : b + RANKS]) for b in blocks], pa.binary())
+        none = [pa.nulls(len(blocks), pa.int64())] * 2
+        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), packed, *none], names)
 
     return run
 
 
-def _pair_rows(vocabulary):
+def _block_sums(vocabulary):
+    def run(block: pa.Table) -> pa.Table:
+        first = block.column("block")[0].as_py()
+        hashes = vocabulary.value[first : first + RANKS].view(np.int64)
+        total = np.zeros(len(hashes), np.int64)
+        for blob in block.column("ranked").to_pylist():
+            total += _columns(blob, 1)[0]
+        return pa.table({"context": hashes, "d": total})
+
+    return run
+
+
+def _rest_rows(vocabulary, counts, successors, denominator: float):
+    """``pair, part, context, word`` of pairs with an unranked word; ranked ones are null and divide ``part`` already.
+
+    The gain of a pair is log10 of one and ``(n - D) / (D * d(context) * u(word))``.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, n, d = vocabulary.value, counts.value, successors.value
         for batch in batches:
-            for columns in _hashed(batch, vocabulary.value):
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["context", "word", "n"])
+            for blob in batch.column("rest").to_pylist():
+                context, word, times = _columns(blob, 3)
+                first, second = (_ranks(hashes, x.view(np.uint64)) for x in (context, word))
+                part = (times - DISCOUNT) * denominator / DISCOUNT
+                part[first >= 0] /= d[first[first >= 0]]
+                part[second >= 0] /= n[second[second >= 0]] + 1.0
+                columns = [pa.array(_both(context, word)), pa.array(part)]
+                columns += [pa.array(context, mask=first >= 0), pa.array(word, mask=second >= 0)]
+                yield pa.RecordBatch.from_arrays(columns, ["pair", "part", "context", "word"])
 
     return run
 
 
+def _looked_up(counts, successors, denominator: float):
+    """Sums of what the pairs of a shard give to the rows that asked, a blob for each block of rows."""
+
+    def run(asked: pa.Table, tail: pa.Table) -> pa.Table:
+        keys, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for blob in tail.column("pairs").to_pylist():
+            key, time = _unpacked(blob)
+            keys.append(key)
+            times.append(time)
+        key, time = _added(keys, times)
+        n, d = counts.value, successors.value
+        context, word = key // max(len(n), 1), key % max(len(n), 1)
+        gain = np.log10(1 + (time - DISCOUNT) * denominator / (DISCOUNT * d[context] * (n[word] + 1.0)))
+        level = Level(len(n), key, gain)
+        rows, sums = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for first, blob in zip(asked.column("row").to_pylist(), asked.column("asked").to_pylist(), strict=True):
+            steps, row, time = _columns(blob, 3)
+            value, found = level.values(np.cumsum(steps))
+            row, value = _tallied([row[found]], np.rint(value[found] * time[found] * UNIT).astype(np.int64))
+            rows.append(row + first)
+            sums.append(value)
+        row, value = _tallied([np.concatenate(rows)], np.concatenate(sums))
+        blocks = list(_by_shard(row >> BLOCK_BITS))
+        packed = [_packed(row[o], value[o]) for _, o in blocks]
+        return pa.table({"block": pa.array([b for b, _ in blocks], pa.int64()), "sums": pa.array(packed, pa.binary())})
+
+    return run
+
+
+def _summed(block: pa.Table) -> pa.Table:
+    row, value = _added(*map(list, zip(*(_unpacked(b) for b in block.column("sums").to_pylist()), strict=True)))
+    return pa.table({"row": row, "more": value / UNIT})
+
+
 def _built(hashes, counts, successors, total: int, distinct: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -254,10 +340,26 @@ def _built(hashes, counts, successors, total: int, distinct: int):
     return run
 
 
-def trained(documents: DataFrame) -> tuple[bytes, DataFrame, DataFrame]:
-    """The model of a corpus (``text``): its trie; all words as ``word, n, d`` (count and number of successors); and the
-    pairs outside the trie as ``context, word, gain``, log10 of what the pair's probability is above its backoff.
+@dataclass
+class Model:
+    """A trained model.
+
+    ``words``: all words as ``word, n, d`` (count and number of successors).  ``tail``: the pairs of ranked words outside
+    the trie, packed, as ``shard, pairs``.  ``pairs``: those with a word without a rank as ``pair, gain``, log10 of how far
+    the pair's probability is above its backoff.  ``counts`` and ``successors`` belong to the ranks.
     """
+
+    trie: bytes
+    words: DataFrame
+    tail: DataFrame
+    pairs: DataFrame
+    shards: int
+    counts: Broadcast
+    successors: Broadcast
+
+
+def trained(documents: DataFrame) -> Model:
+    """The model of a corpus (``text``)."""
     context = documents.sparkSession.sparkContext
     counts = documents.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = stored(counts, "words")
@@ -266,12 +368,18 @@ def trained(documents: DataFrame) -> tuple[bytes, DataFrame, DataFrame]:
     shared, shared_times = context.broadcast(hashes), context.broadcast(times)
     shards = max(16, -(-total // SHARD_TOKENS))
     pairs = documents.mapInArrow(_pair_counts(shared, shards), "shard long, pairs binary, rest binary")
-    merged = pairs.groupBy("shard").applyInArrow(_merged, "n long, of long, pairs binary, rest binary")
+    merged = pairs.groupBy("shard").applyInArrow(_merged, "shard long, n long, of long, pairs binary, rest binary")
     merged = stored(merged, "pairs")
     least = _threshold(merged.filter("n IS NOT NULL").select("n", "of"), PAIRS)
 
-    successors = merged.select("pairs", "rest").mapInArrow(_successor_counts(shared), "context long, d long")
-    successors = successors.groupBy(F.col("context").alias("word")).agg(F.sum("d").alias("d"))
+    found = merged.select("pairs", "rest").mapInArrow(
+        _successor_counts(shared), "block long, ranked binary, context long, d long"
+    )
+    found = stored(found, "successors")
+    ranked = found.filter("block IS NOT NULL").select("block", "ranked").groupBy("block")
+    other = found.filter("context IS NOT NULL").groupBy("context").agg(F.sum("d").alias("d"))
+    successors = ranked.applyInArrow(_block_sums(shared), "context long, d long").unionByName(other)
+    successors = successors.withColumnRenamed("context", "word")
     table = stored(counts.join(successors, "word", "left").select("word", "n", F.coalesce("d", F.lit(0)).alias("d")), "model")
     # The words with a rank, whose number is bounded, in the order of their ranks.
     ranked = table.filter(F.col("n") >= int(times.min())).select("word", "d").toArrow() if len(times) else None
@@ -280,21 +388,29 @@ def trained(documents: DataFrame) -> tuple[bytes, DataFrame, DataFrame]:
         own = ranked.column("d").to_numpy()[np.argsort(ranked.column("word").to_numpy().view(np.uint64))]
     # PAIRS bounds what this one task gathers.
     chosen = merged.filter(F.col("n") >= least).select("pairs").repartition(1)
-    make = _built(shared, shared_times, context.broadcast(own), total, distinct)
-    trie = chosen.mapInArrow(make, "trie binary").first()
+    own = context.broadcast(own)
+    trie = chosen.mapInArrow(_built(shared, shared_times, own, total, distinct), "trie binary").first()
     none = np.zeros(0, np.int64)
-    trie = build(hashes, times, total, distinct, none, none, own) if trie is None else bytes(trie.trie)
-
-    outside = merged.filter(F.col("n").isNull() | (F.col("n") < least)).select("pairs", "rest")
-    outside = outside.mapInArrow(_pair_rows(shared), "context long, word long, n long")
-    unigram = (F.col("of_word") + 1) / F.lit(float(total + distinct + 1))
-    gain = F.log10(1 + (F.col("n") - DISCOUNT) / (DISCOUNT * F.col("d") * unigram))
-    outside = outside.join(table.select("word", F.col("n").alias("of_word")), "word")
-    outside = outside.join(table.select(F.col("word").alias("context"), "d"), "context")
-    return trie, table, outside.select("context", "word", gain.alias("gain"))
+    trie = build(hashes, times, total, distinct, none, none, own.value) if trie is None else bytes(trie.trie)
 
-
-def _scores(trie):
+    rest = merged.filter("n IS NULL").select("rest")
+    rest = rest.mapInArrow(
+        _rest_rows(shared, shared_times, own, total + distinct + 1.0), "pair long, part double, context long, word long"
+    )
+    as_word = table.select("word", (F.col("n") + 1.0).alias("by"))
+    key = F.coalesce("word", "context").alias("word")
+    one = rest.filter("context IS NULL OR word IS NULL").select("pair", "part", key, F.col("word").isNotNull().alias("is_word"))
+    one = one.join(table, "word").select("pair", (F.col("part") / F.when(F.col("is_word"), F.col("n") + 1).otherwise(F.col("d"))).alias("part"))
+    two = rest.filter("context IS NOT NULL AND word IS NOT NULL").join(as_word, "word")
+    two = two.select("pair", "context", (F.col("part") / F.col("by")).alias("part"))
+    two = two.join(table.select(F.col("word").alias("context"), "d"), "context")
+    rest = one.unionByName(two.select("pair", (F.col("part") / F.col("d")).alias("part")))
+    rest = rest.select("pair", F.log10(1 + F.col("part")).alias("gain"))
+    tail = merged.filter(F.col("n") < least).select("shard", "pairs")
+    return Model(trie, table, tail, rest, shards, shared_times, own)
+
+
+def _scores(trie, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The levels are mapped from a file without a name, which goes with the task.
         file = tempfile.TemporaryFile()
@@ -306,13 +422,23 @@ def _scores(trie):
         row = TaskContext.get().partitionId() << 40
         types = [("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64())]
         types += [("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())]
-        types += [("context", pa.int64()), ("word", pa.int64()), ("times", pa.int64())]
+        types += [("pair", pa.int64()), ("word", pa.int64()), ("times", pa.int64())]
+        types += [("shard", pa.int64()), ("asked", pa.binary())]
 
-        def table(columns: list) -> pa.RecordBatch:
-            n = max(len(c) for c in columns if c is not None)
-            arrays = [pa.nulls(n, t) if c is None else pa.array(c, t) for c, (_, t) in zip(columns, types, strict=True)]
+        def table(**columns) -> pa.RecordBatch:
+            n = max(map(len, columns.values()))
+            arrays = [pa.array(columns[c], t) if columns.get(c) is not None else pa.nulls(n, t) for c, t in types]
             return pa.RecordBatch.from_arrays(arrays, [name for name, _ in types])
 
+        def dealt(pairs: list[np.ndarray], rows: list[np.ndarray]) -> pa.RecordBatch:
+            rows = np.concatenate(rows)
+            first = rows[0]
+            pair, asking, times = _tallied([np.concatenate(pairs), rows - first], np.ones(len(rows), np.int64))
+            parts = list(_by_shard(_shard(pair, shards)))
+            blobs = [_planes(np.diff(pair[o], prepend=0), asking[o], times[o]) for _, o in parts]
+            return table(row=np.full(len(parts), first), shard=np.array([s for s, _ in parts]), asked=blobs)
+
+        pairs, asking, size = [], [], 0
         for batch in slices(batches):
             ids, out = batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist()
             for start, group in groups(_texts(batch)):
@@ -329,20 +455,29 @@ def _scores(trie):
                 sums = [np.add.reduceat(x, bounds[:-1]) for x in (known.astype(np.int64), plain, score)]
                 stop = start + len(group)
                 rows = row + np.arange(start, stop)
-                yield table([rows, ids[start:stop], out[start:stop], np.diff(bounds), *sums, None, None, None])
+                documents = {"doc_id": ids[start:stop], "held_out": out[start:stop], "n_tokens": np.diff(bounds)}
+                yield table(row=rows, **documents, n_known=sums[0], base=sums[1], score=sums[2])
                 outside = ~found & ~ranked
                 if len(base):
                     outside |= ~found & ranked & ~model.complete[before]
                 text = np.repeat(np.arange(len(group)), np.diff(bounds))
-                after_word, own = _before(tokens, bounds).view(np.int64), tokens.view(np.int64)
-                for here, keys in ((outside, (after_word, own)), (~ranked, (after_word, None)), (~known, (None, own))):
-                    if here.any():
-                        asked = [text[here], *(k[here] for k in keys if k is not None)]
-                        document, *asked, times = _tallied(asked, np.ones(len(asked[0]), np.int64))
-                        asked = iter(asked)
-                        asked = [None if k is None else next(asked) for k in keys]
-                        yield table([rows[document], None, None, None, None, None, None, *asked, times])
+                here = outside & ranked & known
+                if here.any():
+                    pairs.append(before[here] * len(base) + word[here])
+                    asking.append(rows[text[here]])
+                    size += len(pairs[-1])
+                if size >= GATHER // 2:
+                    yield dealt(pairs, asking)
+                    pairs, asking, size = [], [], 0
+                here = outside & ~(ranked & known)
+                both = _both(_before(tokens, bounds)[here], tokens[here])
+                for name, there, keys in (("pair", here, both), ("word", ~known, tokens[~known].view(np.int64))):
+                    if len(keys):
+                        document, key, times = _tallied([text[there], keys], np.ones(len(keys), np.int64))
+                        yield table(row=rows[document], times=times, **{name: key})
             row += len(batch)
+        if pairs:
+            yield dealt(pairs, asking)
 
     return run
 
@@ -352,35 +487,38 @@ def scored(documents: DataFrame, training: DataFrame) -> DataFrame:
 
     ``training`` has the texts to learn from; ``held_out`` is taken over from ``documents``.
     """
-    trie, table, pairs = trained(training)
-    total, distinct = Trie(trie).totals.tolist()
-    shared = documents.sparkSession.sparkContext.broadcast(trie)
+    model = trained(training)
+    total, distinct = Trie(model.trie).totals.tolist()
+    shared = documents.sparkSession.sparkContext.broadcast(model.trie)
     schema = (
         "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, "
-        "context long, word long, times long"
-    )
-    rows = stored(documents.select("doc_id", "held_out", "text").mapInArrow(_scores(shared), schema), "scores")
-    single = rows.filter("(context IS NULL) <> (word IS NULL)").select(
-        "row", F.coalesce("word", "context").alias("word"), F.col("word").isNotNull().alias("as_word"), "times"
+        "pair long, word long, times long, shard long, asked binary"
     )
+    scores = documents.select("doc_id", "held_out", "text").mapInArrow(_scores(shared, model.shards), schema)
+    rows = stored(scores, "scores")
     unigram = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(total + distinct + 1)))
     backoff = F.when(F.col("n").isNotNull(), F.log10(DISCOUNT * F.col("d") / F.col("n"))).otherwise(0.0)
-    single = single.join(table, "word", "left").select(
+    single = rows.filter("word IS NOT NULL").select("row", "word", "times").join(model.words, "word", "left")
+    single = single.select(
         "row",
-        F.when(F.col("as_word") & F.col("n").isNotNull(), F.col("times")).otherwise(0).alias("more_known"),
-        F.when(F.col("as_word"), unigram * F.col("times")).otherwise(0.0).alias("more_base"),
-        (F.when(F.col("as_word"), unigram).otherwise(backoff) * F.col("times")).alias("more"),
+        F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0).alias("more_known"),
+        (unigram * F.col("times")).alias("more_base"),
+        ((unigram + backoff) * F.col("times")).alias("more"),
     )
-    double = rows.filter("context IS NOT NULL AND word IS NOT NULL").select("row", "context", "word", "times")
-    double = double.join(pairs, ["context", "word"]).select(
+    double = rows.filter("pair IS NOT NULL").select("row", "pair", "times").join(model.pairs, "pair").select(
         "row",
         F.lit(0).cast("long").alias("more_known"),
         F.lit(0.0).alias("more_base"),
         (F.col("gain") * F.col("times")).alias("more"),
     )
-    rest = single.unionByName(double).groupBy(F.col("row").alias("of_row"))
+    asked = rows.filter("shard IS NOT NULL").select("shard", "row", "asked").groupBy("shard")
+    find = _looked_up(model.counts, model.successors, total + distinct + 1.0)
+    sums = asked.cogroup(model.tail.groupBy("shard")).applyInArrow(find, "block long, sums binary")
+    sums = sums.groupBy("block").applyInArrow(_summed, "row long, more double")
+    sums = sums.select("row", F.lit(0).cast("long").alias("more_known"), F.lit(0.0).alias("more_base"), "more")
+    rest = single.unionByName(double).unionByName(sums).groupBy(F.col("row").alias("of_row"))
     rest = rest.agg(*(F.sum(c).alias(c) for c in ("more_known", "more_base", "more")))
-    whole = rows.filter("context IS NULL AND word IS NULL").join(rest, F.col("row") == F.col("of_row"), "left")
+    whole = rows.filter("n_tokens IS NOT NULL").join(rest, F.col("row") == F.col("of_row"), "left")
     return whole.select(
         "doc_id",
         "held_out",

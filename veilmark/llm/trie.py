@@ -88,6 +88,22 @@ def _quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.rint((values - low) / step).astype(np.uint8), low + step * np.arange(256)
 
 
+class Level:
+    """The last level alone, over some pairs ``context * V + word``, with one value quantised to a byte for each."""
+
+    def __init__(self, size: int, pairs: np.ndarray, values: np.ndarray):
+        self.successors = EliasFano(*EliasFano.parts(pairs, max(size, 1) ** 2))
+        self.codes, self.book = _quantised(values)
+
+    def values(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs' values, and whether they are here."""
+        if not len(self.codes):
+            return np.zeros(len(pairs)), np.zeros(len(pairs), bool)
+        begin = np.zeros(len(pairs), np.int64)
+        place = self.successors.find(pairs, begin, begin + len(self.codes))
+        return self.book[self.codes[place]], place >= 0
+
+
 class Trie:
     """Reads a buffer made by :func:`build`."""
 
