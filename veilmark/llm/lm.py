@@ -48,7 +48,9 @@ SHARD_TOKENS, BLOCK_BITS = 1 << 21, 10
 RANKS = 1 << 13
 #: Sums of logarithms travel as integers, so their order does not matter.
 UNIT = float(1 << 24)
-END = constants(1, 40)[0]
+#: Word hashes have the top bit, so that as signed numbers they are negative and ranks are not.
+TOP = np.uint64(1 << 63)
+END = constants(1, 40)[0] | TOP
 
 
 def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -58,7 +60,7 @@ def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     tokens = np.full(bounds[-1], END, np.uint64)
     inside = np.ones(len(tokens), bool)
     inside[bounds[1:] - 1] = False
-    tokens[inside] = found.hashes
+    tokens[inside] = found.hashes | TOP
     return tokens, bounds
 
 
@@ -135,6 +137,12 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(steps), times
 
 
+def _named_pairs(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts, words and counts of the rest of a shard."""
+    steps, word, times = _columns(blob, 3)
+    return np.cumsum(steps), word, times
+
+
 def _tallied(keys: list[np.ndarray], times: np.ndarray) -> list[np.ndarray]:
     """Distinct rows of the key columns, sorted, and the sums of their times."""
     order = np.lexsort(keys[::-1])
@@ -155,8 +163,13 @@ def _ranks(hashes: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return np.where(hashes[place] == tokens, place, -1)
 
 
+def _named(ranks: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """The rank of a word that has one, the hash of another."""
+    return np.where(ranks >= 0, ranks, tokens.view(np.int64))
+
+
 def _both(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """One hash for two."""
+    """One hash for the names of two words."""
     return mix(context.view(np.uint64) + mix(word.view(np.uint64))).view(np.int64)
 
 
@@ -172,7 +185,7 @@ def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _pair_counts(vocabulary, shards: int):
-    """Pairs of ranked words as ``context * V + word``, the rest as two hashes."""
+    """Pairs of ranked words as ``context * V + word``, the rest as two names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = vocabulary.value
@@ -183,7 +196,7 @@ def _pair_counts(vocabulary, shards: int):
             both = np.concatenate(rare, axis=1)
             first, second, n = _tallied([both[0], both[1]], np.ones(both.shape[1], np.int64))
             shard = _shard(_both(first, second), shards)
-            rows += [(s, None, _planes(first[o], second[o], n[o])) for s, o in _by_shard(shard)]
+            rows += [(s, None, _planes(np.diff(first[o], prepend=0), second[o], n[o])) for s, o in _by_shard(shard)]
             own, pairs, rest = zip(*rows, strict=True)
             columns = [pa.array(own, pa.int64()), pa.array(pairs, pa.binary()), pa.array(rest, pa.binary())]
             return pa.RecordBatch.from_arrays(columns, ["shard", "pairs", "rest"])
@@ -196,7 +209,8 @@ def _pair_counts(vocabulary, shards: int):
                 before = _before(word, bounds)
                 both = (word >= 0) & (before >= 0)
                 parts.append(before[both] * len(hashes) + word[both])
-                rare.append(np.stack([_before(tokens, bounds)[~both], tokens[~both]]).view(np.int64))
+                named = _named(word, tokens)
+                rare.append(np.stack([_before(named, bounds)[~both], named[~both]]))
                 size += len(tokens)
                 if size >= GATHER:
                     yield dealt(parts, rare)
@@ -215,7 +229,7 @@ def _added(keys: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray,
 def _merged(shard: pa.Table) -> pa.Table:
     """All counts of a shard added up: a row per count with the pairs of ranked words, and one row with the rest."""
     found = [_unpacked(b) for b in shard.column("pairs").drop_null().to_pylist()]
-    rest = [_columns(b, 3) for b in shard.column("rest").drop_null().to_pylist()]
+    rest = [_named_pairs(b) for b in shard.column("rest").drop_null().to_pylist()]
     own_shard = shard.column("shard")[0].as_py()
     rows = []
     if found:
@@ -225,7 +239,8 @@ def _merged(shard: pa.Table) -> pa.Table:
             rows.append((int(n), int(own.sum()), _packed(key[own], time[own]), None))
     if rest:
         first, second, n = (np.concatenate(c) for c in zip(*rest, strict=True))
-        rows.append((None, None, None, _planes(*_tallied([first, second], n))))
+        first, second, n = _tallied([first, second], n)
+        rows.append((None, None, None, _planes(np.diff(first, prepend=0), second, n)))
     n, of, pairs, rest = zip(*rows, strict=True)
     kinds = {"n": (n, pa.int64()), "of": (of, pa.int64()), "pairs": (pairs, pa.binary()), "rest": (rest, pa.binary())}
     columns = {name: pa.array(values, kind) for name, (values, kind) in kinds.items()}
@@ -244,10 +259,9 @@ def _successor_counts(vocabulary):
                 if rest is None:
                     total += np.bincount(_unpacked(pairs)[0] // len(hashes), minlength=len(hashes))
                     continue
-                contexts = _columns(rest, 3)[0]
-                rank = _ranks(hashes, contexts.view(np.uint64))
-                total += np.bincount(rank[rank >= 0], minlength=len(hashes))
-                found, d = np.unique(contexts[rank < 0], return_counts=True)
+                contexts = _named_pairs(rest)[0]
+                total += np.bincount(contexts[contexts >= 0], minlength=len(hashes))
+                found, d = np.unique(contexts[contexts < 0], return_counts=True)
                 none = [pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.binary())]
                 yield pa.RecordBatch.from_arrays([*none, pa.array(found), pa.array(d)], names)
         blocks = [b for b in range(0, len(hashes), RANKS) if total[b : b + RANKS].any()]
@@ -270,23 +284,23 @@ def _block_sums(vocabulary):
     return run
 
 
-def _rest_rows(vocabulary, counts, successors, denominator: float):
+def _rest_rows(counts, successors, denominator: float):
     """``pair, part, context, word`` of pairs with an unranked word; ranked ones are null and divide ``part`` already.
 
     The gain of a pair is log10 of one and ``(n - D) / (D * d(context) * u(word))``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, n, d = vocabulary.value, counts.value, successors.value
+        n, d = counts.value, successors.value
         for batch in batches:
             for blob in batch.column("rest").to_pylist():
-                context, word, times = _columns(blob, 3)
-                first, second = (_ranks(hashes, x.view(np.uint64)) for x in (context, word))
+                context, word, times = _named_pairs(blob)
+                first, second = context >= 0, word >= 0
                 part = (times - DISCOUNT) * denominator / DISCOUNT
-                part[first >= 0] /= d[first[first >= 0]]
-                part[second >= 0] /= n[second[second >= 0]] + 1.0
-                columns = [pa.array(_both(context, word)), pa.array(part)]
-                columns += [pa.array(context, mask=first >= 0), pa.array(word, mask=second >= 0)]
+                part[first] /= d[context[first]]
+                part[second] /= n[word[second]] + 1.0
+                columns = [pa.array(_both(context, word)), pa.array(part.astype(np.float32))]
+                columns += [pa.array(context, mask=first), pa.array(word, mask=second)]
                 yield pa.RecordBatch.from_arrays(columns, ["pair", "part", "context", "word"])
 
     return run
@@ -395,7 +409,7 @@ def trained(documents: DataFrame) -> Model:
 
     rest = merged.filter("n IS NULL").select("rest")
     rest = rest.mapInArrow(
-        _rest_rows(shared, shared_times, own, total + distinct + 1.0), "pair long, part double, context long, word long"
+        _rest_rows(shared_times, own, total + distinct + 1.0), "pair long, part float, context long, word long"
     )
     as_word = table.select("word", (F.col("n") + 1.0).alias("by"))
     key = F.coalesce("word", "context").alias("word")
@@ -405,7 +419,7 @@ def trained(documents: DataFrame) -> Model:
     two = two.select("pair", "context", (F.col("part") / F.col("by")).alias("part"))
     two = two.join(table.select(F.col("word").alias("context"), "d"), "context")
     rest = one.unionByName(two.select("pair", (F.col("part") / F.col("d")).alias("part")))
-    rest = rest.select("pair", F.log10(1 + F.col("part")).alias("gain"))
+    rest = rest.select("pair", F.log10(1 + F.col("part")).cast("float").alias("gain"))
     tail = merged.filter(F.col("n") < least).select("shard", "pairs")
     return Model(trie, table, tail, rest, shards, shared_times, own)
 
@@ -470,7 +484,8 @@ def _scores(trie, shards: int):
                     yield dealt(pairs, asking)
                     pairs, asking, size = [], [], 0
                 here = outside & ~(ranked & known)
-                both = _both(_before(tokens, bounds)[here], tokens[here])
+                named = _named(word, tokens)
+                both = _both(_before(named, bounds)[here], named[here])
                 for name, there, keys in (("pair", here, both), ("word", ~known, tokens[~known].view(np.int64))):
                     if len(keys):
                         document, key, times = _tallied([text[there], keys], np.ones(len(keys), np.int64))
