@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -71,6 +72,45 @@ def test_disclosing_terms_are_added_and_common_ones_are_not(documents):
     assert texts[10] == rows[4][1] and len(texts) == len(rows)
 
 
+def brute_terms(rows):
+    """Disclosing terms per row, from the definition."""
+    words = [{w.lower() for w in re.findall(r"[^\W_]+", t or "")} for _, t in rows]
+    held = [{(k, m.group().lower()) for k in PLAIN for m in re.finditer(PLAIN[k], t or "") if RIGHT[k](m.group())} for _, t in rows]
+    of_term, of_entity = Counter(w for ws in words for w in ws), Counter(e for es in held for e in es)
+    of_pair = Counter((e, w) for ws, es in zip(words, held, strict=True) for e in es for w in ws)
+    total, found = len(rows), set()
+    for (e, w), n in of_pair.items():
+        p, a = of_entity[e] / total, n / of_term[w]
+        if a > p and math.log2(a / p) >= privacy.DISCLOSURE * math.log2(1 / p) - 1e-12:
+            k = of_term[w]
+            if a < 1:
+                bits = k * (a * math.log2(a / p) + (1 - a) * math.log2((1 - a) / (1 - p)))
+            else:
+                bits = math.log2(math.comb(total, k) / math.comb(of_entity[e], k))
+            if bits >= math.log2(len(of_term) / privacy.CHANCE):
+                found.add((e, w))
+    return [{w for w in ws if any((e, w) in found for e in es)} for ws, es in zip(words, held, strict=True)]
+
+
+def test_terms_anywhere_in_a_text_disclose_entities_of_two_documents(documents):
+    filler = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, f"{filler} plain{i % 7}") for i in range(400)]
+    rows += [(1000 + i, f"Quillon at the top, {filler} and Quillon again {filler} q@example.org") for i in range(2)]
+    rows += [(1010 + i % 2, f"Brandt {filler} Brandt b@example.org 10.0.0.{i % 2 + 1}") for i in range(4)]
+    rows += [(1020 + i, f"Often {'Zed' if i else ''} {filler} o@example.org") for i in range(12)]
+    rows += [(1040, "Often Zed here"), (1041, f"once {filler} single@example.org"), (None, rows[400][1])]
+    expected = brute_terms(rows)
+    assert {"quillon", "top"} <= expected[400] and "word1" not in expected[400] and "brandt" in expected[402] and expected[-2] == set()
+    for row, (i, text) in zip(expected, rows, strict=True):
+        marks = [f"term:{m.start()}:{m.end()}" for m in re.finditer(r"[^\W_]+", text) if m.group().lower() in row]
+        inside = {f"term:{m.start() + a}:{m.start() + b}" for m in re.finditer(PLAIN["email"] + "|" + PLAIN["ip"], text)
+                  for a in range(len(m.group())) for b in range(a + 1, len(m.group()) + 1)}
+        rows[rows.index((i, text))] = (i, text, [m for m in marks if m not in inside])
+    found = privacy.personal_data(documents([r[:2] for r in rows])).collect()
+    got = Counter((r.doc_id, tuple(p for p in r.spans.split(",") if p.startswith("term"))) for r in found)
+    assert got == Counter((i, tuple(marks)) for i, _, marks in rows)
+
+
 def test_personal_data_of_an_empty_table(documents):
     assert privacy.personal_data(documents([])).count() == 0
 

@@ -6,9 +6,20 @@ the information that e holds,
 
     PMI(e; t) = log2(p(e, t) / (p(e) p(t)))  >=  DISCLOSURE * IC(e),    IC(e) = -log2 p(e),
 
-with probabilities estimated as shares of all documents of the corpus.  Terms are looked for near every entity; a
-term that discloses it there is generalised (numbers, names) or removed.  Pairs need ``SUPPORT`` documents, so nothing
-is concluded from a single occurrence, and only documents that hold the entity are changed.
+with probabilities estimated as shares of all documents of the corpus, wherever in a document entity and term stand.
+Every occurrence outside of entities of a term that discloses one of the document's entities is generalised (numbers,
+names) or removed; only documents that hold the entity are changed.
+
+A pair also has to be more than chance.  If entity and term were independent, so many common documents would have at
+most the probability ``2^-n_term KL(n_pair / n_term, n_entity / total)`` (Hoeffding's bound, which holds for draws without
+replacement; exact for up to 16 documents that all hold the entity); that times the number of distinct terms may be ``CHANCE``.  An entity of two documents is thus reached
+unless the corpus is small.  One of a single document is not while the corpus has more than ``CHANCE`` distinct terms a
+document: each of the words that occur there only would have all of its information, so that no word tells more of it
+than the others.
+
+Nothing is left out to save work: a pair needs ``n_term <= n_entity (total / n_entity)^(1 - DISCLOSURE)``, as ``n_pair`` is at
+most ``n_entity``, and the bound above at ``n_pair = n_term``; both follow from the counts alone and go before pairing.
+Entities in the same documents share all counts and are paired as one class.
 
 Null text is empty.  Repeated rows count as documents of their own and get equal results.  A row without an id is
 treated like any other.
@@ -16,7 +27,7 @@ treated like any other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import stored
@@ -35,8 +46,10 @@ PATTERNS = {
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 KINDS = tuple(PATTERNS)
 TERM = r"[\p{L}\p{N}]+"
-#: Share of an entity's information, documents a pair is seen in, characters on either side of an entity.
-DISCLOSURE, SUPPORT, REACH = 0.95, 3, 80
+#: Share of an entity's information, expected number of terms that disclose an entity by chance.
+DISCLOSURE, CHANCE = 0.95, 0.01
+#: Room for rounding where pairs are left out by a bound.
+SLACK = 1e-6
 
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
@@ -104,80 +117,107 @@ def _listed(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)))
 
 
-def _context(side: str) -> Column:
-    """Terms next to the entity ``e`` of a row, as spans of the whole text; words cut by the window's edge don't count."""
-    if side == "before":
-        start = F.greatest(F.lit(0), F.col("e.start") - REACH)
-        window = F.col("text").substr(start + 1, F.col("e.start") - start)
-        return F.transform(
-            F.filter(matches(window, TERM), lambda s: (s.start > 0) | (start == 0)),
-            lambda s: F.struct((s.start + start).alias("start"), (s.end + start).alias("end"), s.value.alias("value")),
-        )
-    start = F.col("e.end")
-    window = F.col("text").substr(start + 1, F.lit(REACH))
-    return F.transform(
-        F.filter(matches(window, TERM), lambda s: (s.end < REACH) | (start + REACH >= F.length("text"))),
-        lambda s: F.struct((s.start + start).alias("start"), (s.end + start).alias("end"), s.value.alias("value")),
+def _best(n_term: Column, n_entity: Column, total: Column) -> Column:
+    """Bits of chance against all of ``n_term`` documents holding the entity; the later factors by their bound."""
+    first = F.least(n_term, n_entity, F.lit(16))
+    exact = F.transform(F.sequence(F.lit(0), first.cast("int") - 1), lambda i: F.log2((total - i) / (n_entity - i)))
+    return F.aggregate(exact, F.lit(0.0), lambda a, b: a + b) + (n_term - first) * F.log2(total / n_entity)
+
+
+def _surprise(n_pair: Column, n_term: Column, n_entity: Column, total: Column) -> Column:
+    """Bits of chance against ``n_pair`` or more of ``n_term`` documents holding the entity: Hoeffding's bound but for all."""
+    share, part, rest = n_entity / total, n_pair / n_term, (n_term - n_pair) / n_term
+    some = n_term * (part * F.log2(part / share) + rest * F.log2(rest / (1 - share)))
+    return F.when(n_pair == n_term, _best(n_term, n_entity, total)).when(part > share, some).otherwise(0.0)
+
+
+def _places(marked: DataFrame, found: DataFrame) -> DataFrame:
+    """``marked_id, marked_key, added``: all occurrences outside entities of the marked terms of every text."""
+    listed = marked.select("marked_id", "marked_key").distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("marked_id")) & (F.col("text_key") == F.col("marked_key"))
+    texts = found.filter(F.size("base") > 0).dropDuplicates(["doc_id", "text_key"]).join(listed, same, "left_semi")
+    words = F.regexp_extract_all("text", F.lit(TERM), F.lit(0))
+    gaps = F.split("text", TERM, -1)
+    steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(words)), words, lambda g, w: F.struct(F.length(g).alias("gap"), w.alias("word")))
+    spans = F.transform("base", lambda s: F.struct(s.start.alias("start"), s.end.alias("end")))
+    tokens = texts.select("doc_id", "text_key", F.posexplode(steps).alias("place", "step"))
+    # A window never holds more than the words of one text.
+    here = Window.partitionBy("doc_id", "text_key").orderBy("place")
+    end = F.sum(F.col("step.gap") + F.length("step.word")).over(here).cast("int")
+    tokens = tokens.select("doc_id", "text_key", F.col("step.word").alias("word"), end.alias("end"))
+    tokens = tokens.withColumn("start", F.col("end") - F.length("word")).withColumn("term", F.lower("word"))
+    tokens = tokens.join(marked, same & (F.col("term") == F.col("marked_term")), "left_semi")
+    places = tokens.groupBy(F.col("doc_id").alias("marked_id"), F.col("text_key").alias("marked_key")).agg(
+        # Bounded by the words of one text.
+        F.sort_array(F.collect_set(F.struct("start", "end"))).alias("all")
     )
+    places = places.join(texts.select("doc_id", "text_key", spans.alias("spans")), same)
+    free = F.filter("all", lambda t: ~F.exists("spans", lambda s: (s.start < t.end) & (s.end > t.start)))
+    return places.select("marked_id", "marked_key", free.alias("added"))
 
 
-def spans(documents: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def spans(documents: DataFrame, disclosure: float = DISCLOSURE, chance: float = CHANCE) -> DataFrame:
     """``doc_id, text_key, base, added``: the entities of every row, and the terms that disclose one of them."""
     rows = documents.select(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     rows = rows.withColumn("text_key", F.xxhash64("text"))
     found = rows.withColumn("base", entities(F.col("text")))
     kept = F.when(F.size("base") > 0, F.col("text"))
     found = stored(found.select("doc_id", "text_key", "base", kept.alias("text")), "entities")
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
+    of_term = rows.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    of_term = stored(of_term, "terms")
+    total = F.lit(float(max(found.count(), 1)))
+    needed = F.log2(F.lit(max(of_term.count(), 1) / chance))
 
-    near = found.filter(F.size("base") > 0).select("doc_id", "text_key", "base", "text", F.explode("base").alias("e"))
-    near = near.withColumn("t", F.explode(F.concat(_context("before"), _context("after"))))
-    near = near.filter(~F.exists("base", lambda s: (s.start < F.col("t.end")) & (s.end > F.col("t.start"))))
-    near = near.select(
+    held = found.select(
         "doc_id",
         "text_key",
-        F.xxhash64(F.col("e.kind"), F.lower("e.value")).alias("entity"),
-        F.lower("t.value").alias("term"),
-        F.col("t.start").alias("start"),
-        F.col("t.end").alias("end"),
-    )
-    near = stored(near, "terms")
-    # Documents per entity, per pair, and per term over the whole corpus; each is combined before it is shuffled.
-    holds = found.select(
-        "doc_id",
         F.explode(F.array_distinct(F.transform("base", lambda s: F.xxhash64(s.kind, F.lower(s.value))))).alias("entity"),
     )
-    of_entity = holds.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).filter(F.col("n_entity") >= support)
-    pairs = (
-        near.groupBy("entity", "term", "doc_id", "text_key")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("entity", "term")
-        .agg(F.count(F.lit(1)).alias("n_pair"))
-        .filter(F.col("n_pair") >= support)
+    held = held.groupBy("doc_id", "text_key", "entity").agg(F.count(F.lit(1)).alias("copies"))
+    # Documents per entity, and sums of hashes that are equal for entities of the same documents.
+    hashes = [F.xxhash64(F.lit(i), "doc_id", "text_key") for i in range(2)]
+    parts = [p for h in hashes for p in (F.shiftrightunsigned(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF)))]
+    sums = [F.sum(F.col("copies") * p).alias(f"sum_{i}") for i, p in enumerate(parts)]
+    of_entity = held.groupBy("entity").agg(F.sum("copies").alias("n_entity"), *sums)
+    share = F.col("n_entity") / total
+    of_entity = of_entity.select(
+        "entity",
+        "n_entity",
+        F.xxhash64("n_entity", *[f"sum_{i}" for i in range(len(parts))]).alias("class"),
+        (F.col("n_entity") * F.pow(1 / share, F.lit(1 - disclosure))).alias("limit"),
+    ).filter((share < 1) & (_best(F.col("n_entity"), F.col("n_entity"), total) >= needed - SLACK))
+    held = stored(
+        held.join(of_entity, "entity")
+        .groupBy(F.col("doc_id").alias("held_id"), F.col("text_key").alias("held_key"), "class", "n_entity", "limit")
+        .agg(F.max("copies").alias("copies")),
+        "classes",
     )
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
-    of_term = rows.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = F.lit(float(max(found.count(), 1)))
+
+    most = held.agg(F.max("limit")).first()[0]
+    same = F.col("doc_id").eqNullSafe(F.col("held_id")) & (F.col("text_key") == F.col("held_key"))
+    texts = found.filter(F.size("base") > 0).join(held.select("held_id", "held_key").distinct(), same, "left_semi")
+    texts = texts.dropDuplicates(["doc_id", "text_key"]).select("doc_id", "text_key", F.explode(words).alias("term"))
+    rare = of_term.filter(F.col("n_term") <= F.lit(most or 0.0) + SLACK)
+    possible = _best(F.col("n_term"), F.col("n_entity"), total) >= needed - SLACK
+    pairs = texts.join(rare, "term").join(held, same & (F.col("n_term") <= F.col("limit") + SLACK) & possible)
+    pairs = stored(pairs.select("held_id", "held_key", "class", "term", "n_entity", "n_term", "copies"), "pairs")
+    counted = pairs.groupBy("class", "term", "n_entity", "n_term").agg(F.sum("copies").alias("n_pair"))
     information = F.log2(total / F.col("n_entity"))
     shared = F.log2(F.col("n_pair") * total / (F.col("n_entity") * F.col("n_term")))
-    disclosing = (
-        pairs.join(of_entity, "entity")
-        .join(of_term.filter(F.col("n_term") >= support), "term")
-        .filter((information > 0) & (shared >= disclosure * information))
-        .select("entity", "term")
-    )
-    marked = (
-        near.join(disclosing, ["entity", "term"])
-        .groupBy(F.col("doc_id").alias("marked_id"), F.col("text_key").alias("marked_key"))
-        # Bounded by the terms of one text.
-        .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("added"))
+    beyond = _surprise(F.col("n_pair"), F.col("n_term"), F.col("n_entity"), total) >= needed
+    disclosing = counted.filter((shared >= disclosure * information) & beyond).select("class", "term")
+    marked = pairs.join(disclosing, ["class", "term"]).select(
+        F.col("held_id").alias("marked_id"), F.col("held_key").alias("marked_key"), F.col("term").alias("marked_term")
     )
+    places = _places(stored(marked.distinct(), "marked"), found)
     same = F.col("doc_id").eqNullSafe(F.col("marked_id")) & (F.col("text_key") == F.col("marked_key"))
     added = F.transform(
         F.coalesce("added", F.array().cast("array<struct<start:int,end:int>>")),
         lambda s: F.struct(F.lit("term").alias("kind"), s.start.alias("start"), s.end.alias("end")),
     )
     base = F.transform("base", lambda s: F.struct(s.kind, s.start, s.end))
-    return found.join(marked, same, "left").select("doc_id", "text_key", base.alias("base"), added.alias("added"))
+    return found.join(places, same, "left").select("doc_id", "text_key", base.alias("base"), added.alias("added"))
 
 
 def personal_data(documents: DataFrame, **terms) -> DataFrame:
