@@ -183,6 +183,25 @@ def brute_top(vectors, asked, k):
     return out
 
 
+def test_whole_published_licences_titles_and_headers(documents):
+    mit = next(t for n, t in licenses.KNOWN if n == "MIT" and "Permission" in t)
+    rows = [(f.name.removesuffix(".txt"), f.read_text("utf-8")) for f in licenses.TEXTS.iterdir()]
+    apache = dict(rows)["Apache-2.0"]
+    rows += [("MIT", f"MIT License\n\nCopyright (c) 2020 Someone\n\n{mit}\n")]
+    rows += [("Apache-2.0", apache.replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2021 Someone"))]
+    rows += [("Apache-2.0", apache[: apache.index("APPENDIX")])]
+    rows += [("GPL-3.0", dict(rows)["GPL-3.0"].partition("\n\n")[2])]
+    rows += [(name, "Copyright 2019, Someone\n" + text.replace("\n", "\r\n")) for name, text in licenses.BODIES]
+    header = next(t for n, t in licenses.HEADERS if n == "Apache-2.0")
+    comment = "\n".join(f" * {line}" for line in header.split("\n"))
+    frame = documents([(i, text) for i, (_, text) in enumerate(rows)] + [(-1, f"/*\n{comment}\n */\n\nint main() {{}}\n")])
+    found = {r.doc_id: r for r in licenses.license_scan(frame).collect()}
+    names = {"Apache-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "CC0-1.0", "BSD-2-Clause", "BSD-3-Clause", "Zlib", "Unlicense"}
+    assert names <= {n for n, _ in rows}
+    assert [found[i].whole_license for i in range(len(rows))] == [n for n, _ in rows]
+    assert found[-1].licenses == "Apache-2.0" and found[-1].whole_license == ""
+
+
 @pytest.mark.parametrize(("count", "block"), [(3, 2048), (400, 2048), (400, 60)])
 def test_top_k_with_ties_and_odd_vectors(spark, monkeypatch, count, block):
     import random
