@@ -138,6 +138,22 @@ def test_main_text_of_one_page(source, text):
     assert html.Page(source or "").main_text() == text
 
 
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<main class='with-sidebar'><p>yes</main>", "yes"),
+        ("<div class='content no-sidebar'><p>yes</div>", "yes"),
+        ("<article class='post category-social tag-promo promo'><h1 class='header'>T</h1><p>yes</article>", "T\nyes"),
+        ("<article><section id='related-work'><p>yes</section><div class='x Related'>no</div></article>", "yes"),
+        ("<div class='widget'><p>no</p><article><p>yes</article><p>no</p></div>", "yes"),
+        ("<article><p>yes</article><div id=comments><article><p>no</article></div>", "yes"),
+        ("<div role=dialog><article><p>no</article></div><p>yes", "yes"),
+    ],
+)
+def test_names_of_boilerplate_are_whole_tokens_and_spare_articles(source, text):
+    assert html.Page(page(source)).main_text() == text
+
+
 def test_templates_go_and_quoted_paragraphs_stay(spark):
     rows = [
         (i, f"http://h{i % 2}.example/{i}", page(f"<div>Site line</div><div>own {i} words</div><p>said {i}</p>"), "x")

@@ -4,7 +4,9 @@
 2. Spark counts the pages of each host that hold a subtree.  One that recurs on at least ``LEAST_PAGES`` pages and
    ``LEAST_SHARE`` of the host's pages belongs to the site's template.
 3. The page is parsed again, without template subtrees and without elements that are boilerplate by name or role (menus,
-   forms, adverts, comments, ...).  If the page marks an article, only text inside it counts; paragraphs and headings
+   forms, adverts, comments, ...).  Names are whole tokens of a class or id; they say nothing of articles, main parts
+   and headings.  If the page marks an article, only text inside it counts, and text of articles within elements that
+   are boilerplate by such a token only if the page has no other article; paragraphs and headings
    of an article always stay, also where several pages quote them.
 
 Blocks are joined by line feeds, with white space inside a block as one space.  Null and empty pages give an empty text.
@@ -37,10 +39,12 @@ BLOCK = frozenset(
 )
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote figure figcaption".split())
 ROOTS = frozenset("html body article main".split())
+#: Elements that no token of their class or id drops.
+UNMARKED = ROOTS | frozenset("h1 h2 h3 h4 h5 h6".split())
 LEFT_OUT = frozenset(
     "head nav footer aside form menu dialog search button select datalist object video audio canvas map".split()
 )
-#: Words of a class or id, and roles, that mark boilerplate.
+#: Tokens of a class or id, and roles, that mark boilerplate.
 MARKS = frozenset(
     "ad ads advert advertisement advertising adverts banner sponsor sponsored promo promotion menu nav navbar "
     "navigation breadcrumb breadcrumbs header masthead footer sidebar cookie cookies consent notice notices popup modal "
@@ -70,16 +74,21 @@ _TAG = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_PART = re.compile(r"[A-Za-z0-9]+")
 
 
 def _is_marked(attributes: str) -> bool:
+    """By a token of its class or id."""
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id") and not MARKS.isdisjoint((a or b or c).lower().split()):
+            return True
+    return False
+
+
+def _is_out(attributes: str) -> bool:
+    """By its role, or hidden."""
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
-        if name in ("class", "id"):
-            if any(part.lower() in MARKS for part in _PART.findall(value)):
-                return True
-        elif name == "role":
+        if name == "role":
             if value.lower() in ROLES:
                 return True
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
@@ -94,8 +103,10 @@ class Element:
     """An open element, with what its subtree hash is made of."""
 
     name: str
-    dropped: bool = False
-    content: bool = False
+    out: bool = False
+    marked: bool = False
+    #: 0 outside articles, 1 in an article inside a marked element, 2 in another article.
+    content: int = 0
     parts: list[str] = field(default_factory=list)
     first_block: int = 0
 
@@ -106,8 +117,8 @@ class Page:
     def __init__(self, source: str, template: frozenset[int] = frozenset()):
         self.template = template
         self.hashes: set[int] = set()
-        self.blocks: list[tuple[bool, str]] = []
-        self.article = False
+        self.blocks: list[tuple[int, str]] = []
+        self.article = 0
         self.open = [Element("")]
         self.inline: list[str] = []
         at = 0
@@ -146,7 +157,7 @@ class Page:
         if words:
             top = self.open[-1]
             top.parts.append(words)
-            if not top.dropped:
+            if not (top.out or top.marked):
                 self.blocks.append((top.content, words))
 
     def start(self, name: str, attributes: str) -> None:
@@ -161,12 +172,17 @@ class Page:
         if name in ENDS:
             self._end_open(ENDS[name], name)
         parent = self.open[-1]
-        content = parent.content or name in ("article", "main")
+        content, marked = parent.content, parent.marked
+        if name in ("article", "main") and not content:
+            # What contains an article is no boilerplate by its class or id.
+            content, marked = 1 if marked else 2, False
         in_article = parent.content and name == "header"
         out = name in LEFT_OUT or (name == "header" and not in_article)
-        out = out or (name not in ("html", "body") and _is_marked(attributes))
-        element = Element(name, parent.dropped or out, content, first_block=len(self.blocks))
-        self.article = self.article or (content and not element.dropped)
+        out = out or (name not in ("html", "body") and _is_out(attributes))
+        marked = marked or (name not in UNMARKED and _is_marked(attributes))
+        element = Element(name, parent.out or out, marked, content, first_block=len(self.blocks))
+        if content and not (element.out or element.marked):
+            self.article = max(self.article, content)
         self.open.append(element)
 
     def _end_open(self, names: tuple[str, ...], opening: str) -> None:
@@ -206,7 +222,7 @@ class Page:
             del self.blocks[element.first_block :]
 
     def main_text(self) -> str:
-        return "\n".join(words for content, words in self.blocks if content or not self.article)
+        return "\n".join(words for content, words in self.blocks if content == self.article)
 
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
