@@ -1,13 +1,15 @@
 """Main text of web pages, with a site's templates found by counting element subtrees per host.
 
-1. Every page is parsed once; each block-level element outside the article's own paragraphs gives a hash of its subtree.
-2. Spark counts the pages of each host that hold a subtree.  One that recurs on at least ``LEAST_PAGES`` pages and
-   ``LEAST_SHARE`` of the host's pages belongs to the site's template.
+1. Every page is parsed once; each block-level element gives a hash of its subtree.
+2. Spark counts the pages of each host that hold a subtree.  One belongs to the site's template that recurs on
+   ``MANY_PAGES`` pages, or on ``LEAST_PAGES`` and ``LEAST_SHARE`` of the host's pages.  Cells and items of an article need
+   the share in any case, as short ones (a "yes", a nought) recur on many pages without being a template.  An article's
+   own paragraphs and headings need both ``MANY_PAGES`` and ``LEAST_SHARE``.
 3. The page is parsed again, without template subtrees and without elements that are boilerplate by name or role (menus,
    forms, adverts, comments, ...).  Names are whole tokens of a class or id; they say nothing of articles, main parts
    and headings.  If the page marks an article, only text inside it counts, and text of articles within elements that
    are boilerplate by such a token only if the page has no other article; paragraphs and headings
-   of an article always stay, also where several pages quote them.
+   of an article stay where several pages quote them.
 
 Blocks are joined by line feeds, with white space inside a block as one space.  Null and empty pages give an empty text.
 Pages without a host in their url have no template.  Repeated rows count as pages of their own and give equal texts.
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .words import slices
 
-LEAST_PAGES, LEAST_SHARE = 5, 0.2
+LEAST_PAGES, LEAST_SHARE, MANY_PAGES = 5, 0.2, 100
 
 #: Element names by role; names follow the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -38,6 +40,9 @@ BLOCK = frozenset(
     "section summary table tbody td tfoot th thead tr ul".split()
 )
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote figure figcaption".split())
+CELLS = frozenset("caption dd dt legend li option summary tbody td tfoot th thead tr".split())
+#: The two lowest bits of a counted hash: cells and paragraphs of articles have other rules than other subtrees.
+PLAIN, CELL, PARAGRAPH = 0, 1, 2
 ROOTS = frozenset("html body article main".split())
 #: Elements that no token of their class or id drops.
 UNMARKED = ROOTS | frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -215,8 +220,12 @@ class Page:
         digest = hashlib.blake2b(f"{element.name}\0{'\0'.join(element.parts)}".encode(), digest_size=8).digest()
         number = int.from_bytes(digest, "little", signed=True)
         self.open[-1].parts.append(f"<{number}>")
-        if element.name in ROOTS or (element.content and element.name in PARAGRAPHS):
+        if element.name in ROOTS:
             return
+        kind = PLAIN
+        if element.content:
+            kind = PARAGRAPH if element.name in PARAGRAPHS else CELL if element.name in CELLS else PLAIN
+        number = number & ~3 | kind
         self.hashes.add(number)
         if number in self.template:
             del self.blocks[element.first_block :]
@@ -236,8 +245,8 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row += [i] * len(own)
             found += own
         picked = pa.array(row, pa.int64())
-        columns = [batch.column(n).take(picked) for n in ("host", "page_id", "url")]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.int64())], ["host", "page_id", "url", "subtree"])
+        columns = [batch.column(n).take(picked) for n in ("host_key", "page_key")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.int64())], ["host_key", "page_key", "subtree"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,24 +258,30 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def main_texts(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+def main_texts(
+    pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE, many_pages: int = MANY_PAGES
+) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages`` (columns ``page_id, url, html``)."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST, 1))
     rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html")).withColumn("host", host)
-    hosted = rows.filter("host <> ''")
     types = dict(pages.dtypes)
-    schema = f"host string, page_id {types['page_id']}, url {types['url']}, subtree long"
-    subtrees = hosted.mapInArrow(_hashes, schema)
-    counts = subtrees.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages)
-    sizes = hosted.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    template = counts.join(sizes, "host").filter(F.col("n") >= F.col("pages") * least_share).select("host", "subtree")
+    # Hosts and pages are counted and joined by 64-bit hashes: the rows of subtrees are many.
+    keys = [F.xxhash64("host").alias("host_key"), F.xxhash64("page_id", "url").alias("page_key")]
+    hosted = rows.filter("host <> ''").select(*keys, "html")
+    subtrees = hosted.mapInArrow(_hashes, "host_key long, page_key long, subtree long")
+    counts = subtrees.groupBy("host_key", "subtree").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages)
+    sizes = hosted.groupBy("host_key").agg(F.count(F.lit(1)).alias("pages"))
+    kind, shared = F.col("subtree").bitwiseAND(F.lit(3)), F.col("n") >= F.col("pages") * least_share
+    many = F.col("n") >= many_pages
+    recurs = F.when(kind == PLAIN, shared | many).when(kind == CELL, shared).otherwise(shared & many)
+    template = counts.join(sizes, "host_key").filter(recurs).select("host_key", "subtree")
     # One short list per page: at most the page's own elements.
     marked = (
-        subtrees.join(template, ["host", "subtree"])
-        .groupBy(F.col("page_id").alias("marked_id"), F.col("url").alias("marked_url"))
+        subtrees.join(template, ["host_key", "subtree"])
+        .groupBy(F.col("page_key").alias("marked_key"))
         .agg(F.collect_set("subtree").alias("template"))
     )
-    same = F.col("page_id").eqNullSafe(F.col("marked_id")) & (F.col("url") == F.col("marked_url"))
+    same = F.xxhash64("page_id", "url") == F.col("marked_key")
     texts = (
         rows.join(marked, same, "left")
         .select("page_id", "url", "html", "template")
