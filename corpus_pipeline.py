@@ -25,8 +25,8 @@ def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near copies the one with the smallest id."""
-    return near_dup.keep_one(docs)
+    """Of near copies, from a similarity of 0.8 on, the one with the smallest id."""
+    return near_dup.keep_one(docs, link=80)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

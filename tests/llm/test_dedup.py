@@ -138,3 +138,14 @@ def test_close_pairs_are_given_out_once():
     batch = pa.RecordBatch.from_pydict({n: list(c) for n, c in zip(names, zip(*rows, strict=True), strict=True)})
     out = [p for b in near_dup._close_pairs(iter([batch.slice(0, 4), batch.slice(4)])) for p in b.to_pylist()]
     assert sorted((p["a"], p["b"]) for p in out) == [(0, 1), (0, 2), (1, 2)]
+
+
+def test_threshold_is_an_argument_and_the_stage_takes_080(documents, spark):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(200)]
+    copy = [f"e{i}" if i in (20, 70, 120, 170) else w for i, w in enumerate(words)]
+    frame = documents([(1, " ".join(words)), (2, " ".join(copy))])
+    assert sorted(r.component_id for r in near_dup.near_duplicates(frame).collect()) == [1, 2]
+    assert [r.component_id for r in near_dup.near_duplicates(frame, link=80).collect()] == [1, 1]
+    assert [r.doc_id for r in corpus_pipeline.distinct(spark, frame, "").collect()] == [1]

@@ -21,7 +21,9 @@ separate texts that any link of the id joins; ``keep_one`` keeps such an id if o
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +38,11 @@ from .words import constants, groups, mix, shingles, slices, words
 CHUNKS, CHUNK = 8, 5
 SYMBOLS = CHUNKS * CHUNK
 LONG_SYMBOLS = 512
-#: Of 512 symbols, 77 differ on average at similarity 0.85, with a deviation of 8.1; 128 at similarity 0.75.
-LONG_DISTANCE = 112
+#: Chance that two texts at the threshold differ in more of the long symbols than ``long_distance`` allows.
+LONG_MISS = 1e-7
 #: Members of one key that are compared in one task.
 BLOCK = 4096
-#: Links need 100 * intersection >= LINK * union.
+#: Links need 100 * intersection >= LINK * union, if no other threshold is given.
 LINK = 85
 
 _FACTORS, _ADDENDS = constants(LONG_SYMBOLS + SYMBOLS, 11), constants(LONG_SYMBOLS + SYMBOLS, 12)
@@ -54,6 +56,18 @@ def minima(hashes: np.ndarray, starts: np.ndarray, first: int, count: int) -> np
     return mix(found)
 
 
+def long_distance(link: int) -> int:
+    """Long symbols that may differ: at similarity ``link / 100`` more do with a probability below ``LONG_MISS``."""
+    p = (1 - link / 100) * (1 - 1 / 256)
+    limit, tail = LONG_SYMBOLS, 0.0
+    while limit > 0:
+        tail += math.comb(LONG_SYMBOLS, limit) * p**limit * (1 - p) ** (LONG_SYMBOLS - limit)
+        if tail >= LONG_MISS:
+            break
+        limit -= 1
+    return limit
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         texts = batch.column("text").cast(pa.binary()).to_pylist()
@@ -91,7 +105,7 @@ def _details(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["id", "shingles", "symbols", "long"])
 
 
-def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _close_pairs(batches: Iterator[pa.RecordBatch], link: int = LINK) -> Iterator[pa.RecordBatch]:
     """Pairs of one cell (rows come sorted by cell) in different components whose long signatures are close.
 
     A pair shares several keys as a rule; only the cell of its first shared key gives it out.
@@ -114,7 +128,7 @@ def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             across = (side[left] == 0) | (side[left] != side[left + shift])
             here = left[across & (component[left] != component[left + shift])]
             for part in np.array_split(here, len(here) // 4096 + 1):
-                near = part[(longs[part] != longs[part + shift]).sum(1) <= LONG_DISTANCE]
+                near = part[(longs[part] != longs[part + shift]).sum(1) <= limit]
                 wrong = symbols[near] != symbols[near + shift]
                 chunk = np.argmax(wrong.sum(2) <= 1, axis=1)
                 gap = np.argmax(wrong[np.arange(len(near)), chunk], axis=1)
@@ -124,7 +138,7 @@ def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = np.unique(np.array([np.concatenate(low or [ids[:0]]), np.concatenate(high or [ids[:0]])]), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
-    rest = None
+    limit, rest = long_distance(link), None
     for batch in batches:
         rows = pa.Table.from_batches([batch])
         rows = rows if rest is None else pa.concat_tables([rest, rows])
@@ -149,13 +163,13 @@ def _keys(nodes: DataFrame) -> DataFrame:
     return nodes.select(F.posexplode(F.array(*keys)).alias("place", "key"), "id")
 
 
-def _confirmed(pairs: DataFrame, details: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, details: DataFrame, link: int) -> DataFrame:
     """The pairs whose full shingle sets meet the threshold, as ``(src, dst)``."""
     a = details.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
     b = details.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
     common = F.size(F.array_intersect("left", "right"))
     sides = pairs.join(a, "a").join(b, "b").withColumn("common", common)
-    linked = F.lit(100) * F.col("common") >= F.lit(LINK) * (F.size("left") + F.size("right") - F.col("common"))
+    linked = F.lit(100) * F.col("common") >= F.lit(link) * (F.size("left") + F.size("right") - F.col("common"))
     return sides.filter(linked).select(F.col("a").alias("src"), F.col("b").alias("dst"))
 
 
@@ -180,11 +194,11 @@ def _cells(members: DataFrame, labels: DataFrame, details: DataFrame) -> DataFra
     return dealt.join(details.select("id", "symbols", "long"), "id")
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
+def near_duplicates(documents: DataFrame, link: int = LINK) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``documents`` (columns ``doc_id, text``).
 
     ``component_id`` is the smallest id linked to the document directly or through others, itself included;
-    ``kept`` marks the document with that id.
+    ``kept`` marks the document with that id.  Texts are linked from a similarity of ``link`` percent on.
     """
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = stored(
@@ -205,10 +219,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     pivots = members.select(F.col("first").alias("a"), F.col("id").alias("b")).unionByName(
         members.select(F.col("id").alias("a"), F.col("last").alias("b"))
     )
-    first = stored(_confirmed(pivots.filter("a < b").distinct(), details), "links")
+    first = stored(_confirmed(pivots.filter("a < b").distinct(), details, link), "links")
     cells = _cells(members, components(first), details)
-    across = cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(_close_pairs, "a long, b long")
-    second = stored(_confirmed(across, details), "links")
+    close = partial(_close_pairs, link=link)
+    across = cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(close, "a long, b long")
+    second = stored(_confirmed(across, details, link), "links")
     labels = components(first.unionByName(second))
     of_class = classes.join(labels, classes.id == labels.node, "left").select(
         "digest", F.coalesce("component", "id").alias("component")
@@ -221,7 +236,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
 
 
-def keep_one(documents: DataFrame) -> DataFrame:
+def keep_one(documents: DataFrame, link: int = LINK) -> DataFrame:
     """The rows of ``documents`` whose id stays: one document of each group of near copies, all columns."""
-    kept = near_duplicates(documents).filter("kept").select(F.col("doc_id").alias("near_dup_id")).distinct()
+    kept = near_duplicates(documents, link).filter("kept").select(F.col("doc_id").alias("near_dup_id")).distinct()
     return documents.join(kept, F.col("doc_id").eqNullSafe(F.col("near_dup_id")), "left_semi")
