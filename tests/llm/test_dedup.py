@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter
@@ -149,3 +150,11 @@ def test_threshold_is_an_argument_and_the_stage_takes_080(documents, spark):
     assert sorted(r.component_id for r in near_dup.near_duplicates(frame).collect()) == [1, 2]
     assert [r.component_id for r in near_dup.near_duplicates(frame, link=80).collect()] == [1, 1]
     assert [r.doc_id for r in corpus_pipeline.distinct(spark, frame, "").collect()] == [1]
+
+
+@pytest.mark.parametrize(("link", "mean"), [(85, 76.5), (80, 102)])
+def test_long_distance_keeps_pairs_at_the_threshold(link, mean):
+    p = (1 - link / 100) * 255 / 256
+    limit, n = near_dup.long_distance(link), near_dup.LONG_SYMBOLS
+    tail = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(limit + 1, n + 1))
+    assert mean < limit and tail < 1e-7

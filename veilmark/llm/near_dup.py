@@ -6,10 +6,11 @@
 2. The signature is split into 8 chunks of 5 symbols.  By the pigeonhole principle two signatures that differ in at
    most 15 symbols have a chunk with at most one error; all single errors of a chunk are enumerated by leaving out each
    symbol in turn, so every such pair shares one of 40 keys.  A pair at similarity 0.85 differs in 6 symbols on average
-   and shares no key with probability 6e-7.
+   and shares no key with probability 6e-7 (2.3e-5 at 0.80).
 3. Within a key every member is first compared with two pivots (smallest and largest id): linear in the members, and
    groups of near copies collapse into one component.  Then members of one key in different components are compared, all
-   of them, on a second signature of 512 symbols of 8 bits in numpy; only pairs below its distance limit leave the task.
+   of them, on a second signature of 512 symbols of 8 bits in numpy; only pairs below its distance limit leave the task,
+   which drops a pair at the threshold with a probability below ``LONG_MISS``, 1e-7, besides.
    Keys with very many members are dealt out as pairs of blocks, so no task holds more than two blocks.
 4. Candidates are confirmed on their full shingle sets, and links become components by star contraction.
 
