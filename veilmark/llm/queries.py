@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from veilmark.session import configure
 
-from . import exact_dup, html, licenses, lm, mixing, near_dup, packing, privacy, topk
+from . import conversations, exact_dup, html, licenses, lm, mixing, near_dup, packing, privacy, topk, warc, whitening
 from . import quality as quality_model
 from .scratch import table
 
@@ -113,3 +114,34 @@ WINDOW same AS (PARTITION BY body)""",
 def exact_duplicates(spark, sf):
     """Group of equal texts of every document."""
     return exact_dup.exact_duplicates(table(spark, sf, "documents"))
+
+
+@query(
+    "op11_archives",
+    """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS body, octet_length(encode(coalesce(html, ''))) AS size FROM pages
+), groups AS (
+  SELECT *, CASE WHEN size >= 1000 THEN max(page_id) OVER (PARTITION BY body) END AS kept FROM payloads
+)
+SELECT page_id, size::BIGINT AS payload_bytes, sha1(body) AS payload_digest,
+       CASE WHEN kept IS NULL OR page_id = kept THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN kept IS NULL OR page_id = kept THEN NULL ELSE kept END AS refers_to
+FROM groups""",
+)
+def archives(spark, sf):
+    """Every page's record, from the merged index of the archives."""
+    index = warc.capture_index(table(spark, sf, "pages"), warc.stand_in_time(F.col("page_id")))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op12_whitening")
+def whitening_components(spark, sf):
+    """Sixteen whitened components of every usable vector."""
+    return whitening.whitened(table(spark, sf, "embeddings"))
+
+
+@query("op13_conversation_repair")
+def conversation_repair(spark, sf):
+    """Faults, cheapest edits and repaired digest of every damaged conversation."""
+    return conversations.repair_damaged(table(spark, sf, "conversations"))

@@ -11,18 +11,24 @@ from veilmark.session import scratch_dir
 _WRITTEN: list[tuple[SparkSession, str]] = []
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables."""
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: later jobs start here, also after a lost executor."""
-    spark = df.sparkSession
+def folder(spark: SparkSession, label: str) -> str:
+    """Fresh folder below the shared one, deleted by ``clear``."""
     path = scratch_dir(spark, f"llm-{label}")
     if not _WRITTEN:
         atexit.register(clear)
     _WRITTEN.append((spark, path))
+    return path
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: later jobs start here, also after a lost executor."""
+    spark = df.sparkSession
+    path = folder(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
