@@ -314,6 +314,41 @@ def test_longest_array_may_come_from_a_deleted_version(spark):
     assert got == {"d": (3, [1, 2, 3, 4], "first"), "null": (1, [], "first")}
 
 
+def plan_of(df):
+    """Parts of the plan before adaptive execution: scans and shuffles."""
+    df._jdf.queryExecution().executedPlan()
+    text = df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    return text.count("FileScan parquet"), text.count("Exchange hashpartitioning"), text
+
+
+def test_current_documents_take_one_scan_and_one_shuffle(spark, small, tmp_path):
+    import workload.fixtures as fx
+
+    fx.documents(spark, small).write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    for df in (documents.latest_documents(raw), documents.applications(raw)):
+        assert plan_of(df)[:2] == (1, 1)
+    *counts, plan = plan_of(documents.latest_documents(raw).select("_id", "brand"))
+    read = plan.split("ReadSchema: ")[1].split("\n")[0]
+    assert counts == [1, 1] and not any(c in read for c in ("loans", "bids", "estates", "person", "history", "acceptedBid"))
+    # The flat table reads members, never whole arrays.
+    read = plan_of(documents.applications(raw))[2].split("ReadSchema: ")[1].split("\n")[0]
+    assert not any(c in read for c in ("loans", "bids", "estates", "creditReports", "history"))
+
+
+def test_versions_that_tie(spark):
+    rows = [("a", 1, "update", i, [i]) for i in range(50)] + [("b", 1, None, 1, [1]), (None, 1, "update", 1, None)]
+    df = spark.createDataFrame(rows, "_id string, __v int, operationType string, amount int, loans array<int>").withColumns(
+        {"updatedAt": F.lit(None).cast("timestamp"), "time_archived": F.lit(None).cast("timestamp")}
+    )
+    columns = ["_id", "amount", F.to_json(F.struct("loans"))]
+    first = {tuple(r) for r in documents.latest_documents(df).select(*columns).collect()}
+    again = documents.latest_documents(df.repartition(7, "amount")).select(*columns)
+    assert first == {tuple(r) for r in again.collect()} and {r[0] for r in first} == {"a", None}
+    chosen = documents.latest_documents(df, tiebreak=[F.col("amount")]).filter("_id = 'a'").first()
+    assert chosen.amount == 49
+
+
 def test_flat_columns_have_distinct_names(spark, small):
     import workload.fixtures as fx
 

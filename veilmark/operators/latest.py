@@ -7,7 +7,8 @@ sends at most one row per task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,6 +38,51 @@ def latest_by(
     return ranked if keep_rn else ranked.drop(rn_name)
 
 
+@dataclass(frozen=True)
+class Pick:
+    """Values taken from the row with the greatest ``order``; rows where it is NULL do not stand.
+
+    A struct as order compares member by member and NULL members come last.
+    """
+
+    order: Column
+    values: Mapping[str, Column]
+
+    @staticmethod
+    def newest(order: Sequence[Column], values: Mapping[str, Column], where: Column | None = None) -> Pick:
+        """Greatest in several columns, among the rows that satisfy ``where``."""
+        key = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+        return Pick(key if where is None else F.when(where, key), values)
+
+
+def pick_by(df: DataFrame, keys: Mapping[str, Column], picks: Sequence[Pick]) -> DataFrame:
+    """One row per key with the values of several greatest rows, from one scan and one shuffle.
+
+    Every task reduces its rows to one per key before the shuffle, so a hot key sends one row per task.  Each value is
+    an aggregate of its own: the optimizer drops those that nobody reads, down to the scan.  All values of a pick
+    compare the same orders in the same sequence, so they come from the same row even where orders tie.
+    """
+    # Orders and values are columns of their own first, so that no aggregate evaluates them again.
+    orders = {f"__order{i}": pick.order for i, pick in enumerate(picks)}
+    values = {name: value for pick in picks for name, value in pick.values.items()}
+    rows = df.select(*[c.alias(name) for name, c in {**keys, **orders, **values}.items()])
+    found = [F.max_by(F.col(f"`{v}`"), f"__order{i}").alias(v) for i, pick in enumerate(picks) for v in pick.values]
+    return rows.groupBy(*keys).agg(*found)
+
+
+def version_key(version: str = "__v", updated: str = "updatedAt", archived: str = "time_archived") -> list[Column]:
+    """The order of ``version_order`` as values of which the greatest is the newest."""
+    floor = F.lit(EPOCH_FLOOR).cast("timestamp")
+    return [F.col(version), F.coalesce(F.col(updated), floor), F.coalesce(F.col(archived), floor)]
+
+
+def flat_hash(df: DataFrame) -> Column:
+    """Hash of a row's flat columns: a compact tiebreak that reads no nested value."""
+    nested = (T.ArrayType, T.StructType, T.MapType)
+    values = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, nested)]
+    return F.xxhash64(*values) if values else F.lit(0).cast("bigint")
+
+
 def version_order(version: str = "__v", updated: str = "updatedAt", archived: str = "time_archived") -> list[Column]:
     """Newest document version first; missing times count as the floor date."""
     floor = F.lit(EPOCH_FLOOR).cast("timestamp")

@@ -46,23 +46,28 @@ def _derived(df: DataFrame, brands: Brands) -> DataFrame:
     )
 
 
+def _newest(raw: DataFrame, tiebreak: Sequence[Column], values: Mapping[str, Column], where: Column | None = None):
+    """Pick of the newest live version; ties go by the caller's columns, then by the flat columns."""
+    live_rows = F.col("operationType") != DELETED
+    order = [*latest.version_key(), *tiebreak, latest.flat_hash(raw)]
+    return latest.Pick.newest(order, values, live_rows if where is None else live_rows & where)
+
+
 def latest_documents(raw: DataFrame, brands: Brands = Brands(), tiebreak: Sequence[Column] = ()) -> DataFrame:
     """Newest live version per document, its loans repaired by the longest array seen.
 
-    Both rankings keep one row per document and task before their shuffle, share
-    the document id as partitioning, and let unused columns be pruned down to the
-    scan.  Write this once and derive the child tables from it.
+    One scan and one shuffle: each task keeps one row per document for both choices, and columns that nobody reads are
+    pruned down to the scan.  Versions that agree in number, both times and all flat columns tie; ``tiebreak`` (greatest
+    first) decides between them where their nested values differ.  Write this once and derive the child tables from it.
     """
     raw = nested.empty_for_null(raw)
-    ties = [*tiebreak, latest.row_hash(raw).desc()]
-    docs = latest.latest_by(raw, ["_id"], latest.version_order(), ties, where=F.col("operationType") != DELETED)
-    # The longest array may come from a deleted version as well.
-    longest = latest.largest_array_by(raw, ["_id"], "loans").select(
-        F.col("_id").alias("__id"), F.col("loans").alias("__longest")
-    )
-    docs = docs.join(longest, F.col("_id") == F.col("__id"), "left")
-    docs = docs.withColumn("loans", nested.largest(F.col("__longest"), F.col("loans"))).drop("__longest", "__id")
-    return _derived(docs, brands)
+    values = {c: F.col(f"`{c}`") for c in raw.columns if c != "_id"}
+    # The longest array may come from a deleted version as well; of equally long ones it is the greatest.
+    longest = latest.Pick.newest([F.size("loans"), F.col("loans")], {"__longest": F.col("loans")})
+    picks = [_newest(raw, tiebreak, values | {"__live": F.lit(True)}), longest]
+    docs = latest.pick_by(raw, {"_id": F.col("_id")}, picks).filter("__live").drop("__live")
+    docs = docs.withColumn("loans", nested.largest(F.col("__longest"), F.col("loans"))).drop("__longest")
+    return _derived(docs.select(*raw.columns), brands)
 
 
 # Published names of the application document's members, and where they are.
@@ -291,26 +296,6 @@ def _outer_columns(df: DataFrame, owner: str, also: Sequence[str] = ()) -> list[
     return [F.col(f"`{c}`") for c in df.columns if c.lower() not in hidden]
 
 
-def _rectified(raw: DataFrame, tiebreak: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
-    """Dates of the newest live version accepted before payment, and of the newest debt letter."""
-    order = latest.version_order()
-    accepted_at = nested.member(raw.schema, "acceptedBid.acceptedAt")
-    paid_at = nested.member(raw.schema, "paymentStatus.date")
-    letter = nested.member(raw.schema, "debtLetter.date")
-    tiebreak = [*tiebreak, latest.row_hash(raw).desc()]
-    live_rows = live(raw)
-    accepted = latest.latest_by(live_rows, ["_id"], order, tiebreak, where=accepted_at <= paid_at).select(
-        F.col("_id").alias("__accepted_id"),
-        accepted_at.alias("__accepted_at"),
-        nested.member(raw.schema, "acceptedBid.date").alias("__bid_date"),
-        paid_at.alias("__paid_at"),
-    )
-    letters = latest.latest_by(live_rows, ["_id"], order, tiebreak, where=letter.isNotNull()).select(
-        F.col("_id").alias("__letter_id"), letter.alias("__letter_date")
-    )
-    return accepted, letters
-
-
 def applications(
     raw: DataFrame, owner: str = "Owner", brands: Brands = Brands(), tiebreak: Sequence[Column] = ()
 ) -> DataFrame:
@@ -318,34 +303,55 @@ def applications(
 
     Accepted and paid dates come from the newest version where acceptance does
     not follow payment; without one, acceptance is capped at the payment date.
+
+    Versions are made flat before they are compared, so nested columns are read member by member, and the newest
+    version, the newest with rectified dates and the newest debt letter come out of one scan and one shuffle.
     """
-    ties = [*tiebreak, latest.row_hash(raw).desc()]
-    docs = latest.latest_by(raw, ["_id"], latest.version_order(), ties, where=F.col("operationType") != DELETED)
-    accepted, letters = _rectified(raw, tiebreak)
-    # All three rankings leave their rows partitioned by document id.
-    docs = docs.join(accepted, F.col("_id") == F.col("__accepted_id"), "left")
-    docs = docs.join(letters, F.col("_id") == F.col("__letter_id"), "left")
-    docs = _derived(docs, brands)
-    schema = docs.schema
+    flat = _derived(raw, brands)
+    schema = flat.schema
     accepted_at = nested.member(schema, "acceptedBid.acceptedAt")
+    bid_date = nested.member(schema, "acceptedBid.date")
     paid_at = nested.member(schema, "paymentStatus.date")
-    fixed = F.col("__accepted_id").isNotNull()
-    capped = F.when(paid_at.isNotNull() & (accepted_at > paid_at), paid_at).otherwise(accepted_at)
-    helpers = [c for c in docs.columns if c.startswith("__") and c != "__v"]
-    helpers += ["application_id", "versions", "updated_at", "is_status_sent"]
-    return docs.select(
-        *_outer_columns(docs, owner, helpers),
-        "application_id",
-        "versions",
-        "updated_at",
-        *_flat_columns(docs, MEMBERS, owner),
-        F.when(fixed, F.col("__accepted_at")).otherwise(capped).alias("acceptedAt"),
-        F.when(fixed, F.col("__bid_date"))
-        .otherwise(nested.member(schema, "acceptedBid.date"))
-        .alias("acceptedBidDate"),
-        F.when(fixed, F.col("__paid_at")).otherwise(paid_at).alias("paymentStatusDate"),
+    letter = nested.member(schema, "debtLetter.date")
+    derived = ("application_id", "versions", "updated_at", "is_status_sent")
+    dates = {"__accepted": accepted_at, "__bid": bid_date, "__paid": paid_at, "__letter": letter}
+    outer = [
+        *_outer_columns(flat, owner, derived),
+        F.col("versions"),
+        F.col("updated_at"),
         *[clean.click_id(F.col("originReference"), param).alias(name) for name, param in CLICK_IDS.items()],
-        F.coalesce(nested.member(schema, "debtLetter.date"), F.col("__letter_date")).alias("debtLetterDate"),
+        F.lit(True).alias("__live"),
+        *[date.alias(name) for name, date in dates.items()],
+    ]
+    # One value per nested column, with the members published of it, and one for all flat columns.
+    packs, published = {"__outer": F.struct(*outer)}, []
+    for parent in dict.fromkeys(path.format(owner=owner).split(".")[0] for path in MEMBERS.values()):
+        inside = {n: p for n, p in MEMBERS.items() if p.format(owner=owner).split(".")[0] == parent}
+        known = [n for n, p in inside.items() if nested.has_path(schema, p.format(owner=owner))]
+        if known:
+            packs[f"__{parent}"] = F.struct(*_flat_columns(flat, {n: MEMBERS[n] for n in known}, owner))
+        for name in (n.format(owner=owner) for n in inside):
+            found = F.col(f"`__{parent}`.`{name}`") if name in [n.format(owner=owner) for n in known] else F.lit(None).cast("string")
+            published.append(found.alias(name))
+    fixed = {"__fixed": F.lit(True), "__fixed_accepted": accepted_at, "__fixed_bid": bid_date, "__fixed_paid": paid_at}
+    picks = [
+        _newest(raw, tiebreak, packs),
+        _newest(raw, tiebreak, fixed, accepted_at <= paid_at),
+        _newest(raw, tiebreak, {"__newest_letter": letter}, letter.isNotNull()),
+    ]
+    docs = latest.pick_by(flat, {"application_id": F.col("_id")}, picks).filter("__outer.__live")
+    own = docs.withColumns({name: F.col(f"__outer.{name}") for name in dates})
+    capped = F.when(F.col("__paid").isNotNull() & (F.col("__accepted") > F.col("__paid")), F.col("__paid"))
+    is_fixed = F.col("__fixed").isNotNull()
+    inner = {"__live", *dates}
+    return own.select(
+        "application_id",
+        *[F.col(f"__outer.`{c}`") for c in docs.schema["__outer"].dataType.names if c not in inner],
+        *published,
+        F.when(is_fixed, F.col("__fixed_accepted")).otherwise(F.coalesce(capped, "__accepted")).alias("acceptedAt"),
+        F.when(is_fixed, F.col("__fixed_bid")).otherwise(F.col("__bid")).alias("acceptedBidDate"),
+        F.when(is_fixed, F.col("__fixed_paid")).otherwise(F.col("__paid")).alias("paymentStatusDate"),
+        F.coalesce("__letter", "__newest_letter").alias("debtLetterDate"),
     )
 
 

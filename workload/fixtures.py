@@ -237,6 +237,35 @@ def plain_versions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: Members that carry a date, a flag or the brand; all others hold their path, key and version.
+REAL_MEMBERS = {
+    "acceptedBid.acceptedAt": "accepted_at",
+    "acceptedBid.date": "bid_date",
+    "paymentStatus.date": "paid_at",
+    "debtLetter.date": "letter_date",
+    "status.sent": "sent",
+    "utm.domain": "domain",
+}
+
+
+def member_versions(spark: SparkSession, sf: str, paths: list[str]) -> DataFrame:
+    """Document versions with a value at every path of the published members."""
+    tree: dict = {}
+    for path in [*paths, *REAL_MEMBERS]:
+        *outer, leaf = path.split(".")
+        node = tree
+        for part in outer:
+            node = node.setdefault(part, {})
+        label = F.concat(F.lit(f"{path}-"), text(F.col("k")), F.lit("-"), text(F.col("__v")))
+        node[leaf] = F.col(REAL_MEMBERS[path]) if path in REAL_MEMBERS else label
+
+    def build(node) -> Column:
+        return F.struct(*[build(v).alias(name) for name, v in node.items()]) if isinstance(node, dict) else node
+
+    plain = ["_id", "__v", "operationType", "updatedAt", "time_archived", "createdAt", "amount", "market", "originReference"]
+    return plain_versions(spark, sf).select(*plain, *[build(v).alias(name) for name, v in tree.items()])
+
+
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     """Nested document versions with loans, bids, people, credit reports and dates."""
     base = plain_versions(spark, sf).join(lines(spark, sf), F.col("k") == F.col("lk"), "left").drop("lk")
@@ -322,6 +351,11 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def raw_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The document versions as the table they are in production."""
+    return stored(spark, sf, "raw-documents", lambda: documents(spark, sf))
+
+
 def part_columns(spark: SparkSession, sf: str) -> DataFrame:
     """A large column catalog: every part is a column of one of a few dozen tables."""
     p = F.col("p_partkey")

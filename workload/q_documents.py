@@ -17,7 +17,7 @@ def stamp(column, fmt="yyyy-MM-dd"):
 
 
 def fresh(spark, sf):
-    return documents.latest_documents(fx.documents(spark, sf), BRANDS)
+    return documents.latest_documents(fx.raw_documents(spark, sf), BRANDS)
 
 
 def current(spark, sf):
@@ -70,7 +70,7 @@ FROM current_docs d LEFT JOIN fixed f ON f._id = d._id LEFT JOIN letters l ON l.
 )
 def applications(spark, sf):
     """Flat applications with rectified dates and click ids."""
-    rows = documents.applications(fx.documents(spark, sf), "Owner", BRANDS)
+    rows = documents.applications(fx.raw_documents(spark, sf), "Owner", BRANDS)
     dates = [stamp(c).alias(c) for c in ("acceptedAt", "acceptedBidDate", "paymentStatusDate", "debtLetterDate")]
     return rows.select(
         "application_id",
@@ -102,10 +102,82 @@ FROM live_versions""",
 )
 def all_versions(spark, sf):
     """Every live version, flat."""
-    rows = documents.all_versions(fx.documents(spark, sf), brands=BRANDS)
+    rows = documents.all_versions(fx.raw_documents(spark, sf), brands=BRANDS)
     return rows.select("application_id", "versions", "amount", "market", "statussent", "domain", "brand", "fbclid")
 
 
+def member_sql(members: dict[str, str], row: str, skip: tuple[str, ...] = ()) -> str:
+    """Every published member of a fixture row, as a select list."""
+    parts = []
+    for name, path in members.items():
+        name, path = name.format(owner="Owner"), path.format(owner="Owner")
+        if name in skip:
+            continue
+        real = fx.REAL_MEMBERS.get(path)
+        parts.append((f"{row}.{real}" if real else f"'{path}-' || {row}.k || '-' || {row}.__v") + f' AS "{name}"')
+    return ", ".join(parts)
+
+
+OUTER_SQL = """{row}.__v, {row}.operationType AS "operationType", strftime({row}.updatedAt, '%Y-%m-%d') AS "updatedAt",
+  strftime({row}.time_archived, '%Y-%m-%d') AS time_archived, strftime({row}.createdAt, '%Y-%m-%d') AS "createdAt",
+  {row}.amount, {row}.market, {row}.originReference AS "originReference", {row}._id AS application_id,
+  {row}.__v AS versions, CASE WHEN {row}.domain LIKE '%second%' THEN 'second' ELSE 'first' END AS brand,
+  'mongodb' AS source_database"""
+
+
+def click_sql(row: str, names: tuple[str, ...]) -> str:
+    return ", ".join(
+        f"CASE WHEN {row}.originReference LIKE '%{p}=%' THEN regexp_extract({row}.originReference, '{p}=([^&]*)', 1) END AS {n}"
+        for n, p in documents.CLICK_IDS.items()
+        if n in names
+    )
+
+
+def all_paths() -> list[str]:
+    return [p.format(owner="Owner") for p in (documents.MEMBERS | documents.HISTORY_MEMBERS).values()]
+
+
+def stamped(df):
+    """Times as dates, so that both engines show them alike."""
+    times = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp"]
+    return df.withColumns({c: stamp(c) for c in times})
+
+
+@query(
+    "applications_full",
+    f"""
+WITH fixed AS (SELECT _id, accepted_at, bid_date, paid_at FROM live_versions
+    WHERE accepted_at <= paid_at QUALIFY row_number() OVER (PARTITION BY _id ORDER BY __v DESC) = 1),
+  letters AS (SELECT _id, letter_date FROM live_versions WHERE letter_date IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY _id ORDER BY __v DESC) = 1)
+SELECT {OUTER_SQL.format(row="d")}, strftime(d.updatedAt, '%Y-%m-%d') AS updated_at,
+  {member_sql(documents.MEMBERS, "d")}, {click_sql("d", tuple(documents.CLICK_IDS))},
+  strftime(CASE WHEN f._id IS NOT NULL THEN f.accepted_at WHEN d.accepted_at > d.paid_at THEN d.paid_at
+    ELSE d.accepted_at END, '%Y-%m-%d') AS "acceptedAt",
+  strftime(CASE WHEN f._id IS NOT NULL THEN f.bid_date ELSE d.bid_date END, '%Y-%m-%d') AS "acceptedBidDate",
+  strftime(CASE WHEN f._id IS NOT NULL THEN f.paid_at ELSE d.paid_at END, '%Y-%m-%d') AS "paymentStatusDate",
+  strftime(coalesce(d.letter_date, l.letter_date), '%Y-%m-%d') AS "debtLetterDate"
+FROM current_docs d LEFT JOIN fixed f ON f._id = d._id LEFT JOIN letters l ON l._id = d._id""",
+    "current_docs",
+)
+def applications_full(spark, sf):
+    """Every column of the flat applications, all published members present."""
+    return stamped(documents.applications(fx.member_versions(spark, sf, all_paths()), "Owner", BRANDS))
+
+
+@query(
+    "all_versions_full",
+    f"""
+SELECT {OUTER_SQL.format(row="v")}, {member_sql(documents.HISTORY_MEMBERS | documents.MEMBERS, "v", documents.CURRENT_ONLY)},
+  {click_sql("v", ("gclid", "fbclid"))}
+FROM live_versions v""",
+    "live_versions",
+)
+def all_versions_full(spark, sf):
+    """Every column of every live version, all published members present."""
+    return stamped(documents.all_versions(fx.member_versions(spark, sf, all_paths()), brands=BRANDS))
+
+
 @query(
     "all_versions_slim",
     """
@@ -116,7 +188,7 @@ FROM live_versions""",
 )
 def all_versions_slim(spark, sf):
     """Six columns of every live version without repeats."""
-    rows = documents.all_versions(fx.documents(spark, sf), slim=True)
+    rows = documents.all_versions(fx.raw_documents(spark, sf), slim=True)
     return rows.select(
         "application_id",
         "amount",
