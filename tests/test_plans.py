@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from veilmark import crypto, events, io, jsonx, vault, views
 from veilmark.plans import cdc, documents, loans
+from veilmark.sources import files, versioned
 from veilmark.streaming import consume_stream
 
 HISTORY = "array<struct<email:string,mobile_phone:string,stack:string,created_at:timestamp,loan_application_oid:string>>"
@@ -196,31 +197,71 @@ SCHEMA = io.schema_from_json('[{"name":"a","type":"INTEGER"},{"name":"b","type":
 
 def test_bad_record_budget(spark, tmp_path):
     path = write_lines(tmp_path, "bad", ["1,x", "oops,y", "2,z", "nope,w"])
-    assert io.read_csv(spark, path, SCHEMA, header=False, max_bad=2).select("b").count() == 2
-    with pytest.raises(io.BadRecordBudgetExceeded):
-        io.read_csv(spark, path, SCHEMA, header=False, max_bad=1)
-    with pytest.raises(Exception, match="(?i)malformed|FAILED_READ_FILE"):
+    landing = io.scan_csv(spark, path, SCHEMA, header=False, max_bad=2)
+    assert landing.rows.select("b").count() == 2 and landing.check() == {"rows": 4, "bad": 2}
+    with pytest.raises(io.BadRecordBudgetExceeded, match="2 bad records, 1 allowed"):
+        io.scan_csv(spark, path, SCHEMA, header=False, max_bad=1).land(f"{tmp_path}/over")
+    with pytest.raises(ValueError, match="holds no table"):
+        versioned.read(spark, f"{tmp_path}/over")
+    with pytest.raises(Exception, match="malformed record"):
         io.read_csv(spark, path, SCHEMA, header=False).collect()
 
 
 def test_json_budget_counts_all_columns(spark, tmp_path):
     path = write_lines(tmp_path, "json", ['{"a":1,"b":"x"}', '{"a":"y","b":"z"}', "{broken"])
-    good = io.read_ndjson(spark, path, SCHEMA, max_bad=2, strict=False)
+    good = io.scan_ndjson(spark, path, SCHEMA, max_bad=2).land(f"{tmp_path}/landed")
     assert [r.b for r in good.select("b").collect()] == ["x"]
     with pytest.raises(io.BadRecordBudgetExceeded):
-        io.read_ndjson(spark, path, SCHEMA, max_bad=1, strict=False)
+        io.scan_ndjson(spark, path, SCHEMA, max_bad=1).land(f"{tmp_path}/landed")
+    # The refused batch left the table as it was.
+    assert versioned.read(spark, f"{tmp_path}/landed").count() == 1 and versioned.version(spark, f"{tmp_path}/landed").number == 1
+
+
+def test_landing_reads_the_files_once(spark, tmp_path):
+    path = write_lines(tmp_path, "once", [f'{{"a":{i},"b":"x"}}' for i in range(100)])
+    landing = io.scan_ndjson(spark, path, SCHEMA, max_bad=5)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("landing", "one read")
+    try:
+        before = len(tracker.getJobIdsForGroup("landing"))
+        io.scan_ndjson(spark, path, SCHEMA, max_bad=5)
+        io.read_ndjson(spark, path, SCHEMA)
+        assert len(tracker.getJobIdsForGroup("landing")) == before
+        plan = landing.rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan text") == 1
+        assert landing.land(f"{tmp_path}/landed").count() == 100
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_unknown_fields_are_refused(spark, tmp_path):
-    path = write_lines(tmp_path, "extra", ['{"a":1,"b":"x","c":2}'])
-    with pytest.raises(io.UnknownFields, match="c"):
-        io.read_ndjson(spark, path, SCHEMA)
-    assert io.read_ndjson(spark, path, SCHEMA, strict=False).count() == 1
+    path = write_lines(tmp_path, "extra", ['{"a":1,"b":"x"}', '{"a":1,"b":"x","c":2}'])
+    with pytest.raises(io.UnknownFields, match="c to c"):
+        io.scan_ndjson(spark, path, SCHEMA).land(f"{tmp_path}/t")
+    with pytest.raises(Exception, match="undeclared fields c"):
+        io.read_ndjson(spark, path, SCHEMA).collect()
+    assert io.read_ndjson(spark, path, SCHEMA, strict=False).count() == 2
     header = write_lines(tmp_path, "header", ["b,a", "x,1"])
     with pytest.raises(Exception, match="(?i)header"):
         io.read_csv(spark, header, SCHEMA).collect()
 
 
+def test_undeclared_paths_at_any_depth(spark):
+    schema = T.StructType.fromDDL("a struct<x:int,y:struct<z:int>>, l array<struct<p:int,q:array<struct<r:int>>>>, m string, n array<int>")
+    texts = {
+        '{"a":{"x":1,"y":{"z":2}},"l":[{"p":1,"q":[{"r":1}]}],"m":"s","n":[1]}': [],
+        '{"A":{"X":1},"M":null,"l":null}': [],
+        '{"a":{"x":1,"w":1,"y":{"z":2,"v":{}}},"k":1}': ["k", "a.w", "a.y.v"],
+        '{"l":[{"p":1},{"s":1,"q":[{"r":1},{"t":1}]}]}': ["l.s", "l.q.t"],
+        '{"a":[1],"l":{"p":1},"m":{"inner":1},"n":"x"}': [],
+        "[1]": [],
+        "{broken": [],
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    found = df.select("v", files.undeclared(F.try_parse_json("v"), schema).alias("u")).collect()
+    assert {r.v: sorted(r.u) for r in found} == {t: sorted(u) for t, u in texts.items()}
+
+
 def test_schema_json_roundtrip():
     text = json.dumps(
         [
@@ -241,11 +282,58 @@ def test_schema_json_roundtrip():
     assert io.schema_from_json(text, drop=["id"]).fieldNames() == ["amount", "items"]
 
 
-def test_replace_table_may_read_itself(spark, tmp_path):
+def test_a_replacement_may_read_its_own_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    versioned.replace(spark.range(5).toDF("id"), path)
+    again = versioned.replace(versioned.read(spark, path).filter("id < 3"), path)
+    assert again.count() == 3 and versioned.read(spark, path, 1).count() == 5
+
+
+def test_readers_see_whole_versions(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    versioned.replace(spark.range(5).toDF("id"), path)
+    reader = versioned.read(spark, path)
+    last = versioned.version(spark, path)
+    # Staged and not committed: nobody sees it.  Committed: only new readers do.
+    staged = versioned.stage(spark.range(50).toDF("id"), path, last)
+    assert versioned.read(spark, path).count() == 5
+    versioned.commit(spark, path, last, staged)
+    assert versioned.read(spark, path).count() == 50 and reader.count() == 5
+    # A second writer that started from the same version fails, and the table stays.
+    late = versioned.stage(spark.range(7).toDF("id"), path, last)
+    with pytest.raises(versioned.ConcurrentCommit):
+        versioned.commit(spark, path, last, late)
+    assert versioned.read(spark, path).count() == 50
+    # A writer that dies between staging and commit leaves the table as it was.
+    monkeypatch.setattr(versioned, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        versioned.replace(spark.range(9).toDF("id"), path)
+    monkeypatch.undo()
+    assert versioned.read(spark, path).count() == 50
+    assert versioned.expire(spark, path, keep=1) == 1 and versioned.read(spark, path).count() == 50
+    with pytest.raises(ValueError, match="no version 1"):
+        versioned.read(spark, path, 1)
+
+
+def test_updates_write_hit_buckets_only(spark, tmp_path):
     path = str(tmp_path / "t")
-    io.write_table(spark.range(5), path)
-    again = io.replace_table(spark.read.parquet(path).filter("id < 3"), path)
-    assert again.count() == 3
+    rows = spark.range(100).select("id", (F.col("id") % 10).alias("g"), F.lit("old").alias("v"))
+    versioned.replace(rows.union(spark.createDataFrame([(None, None, "old")], "id long, g long, v string")), path, "id % 8")
+    before = versioned.version(spark, path)
+    assert len(before.folders) == 9
+    after = versioned.update(spark, path, F.col("id").isin(8, 16, 19), {"v": F.lit("new")})
+    changed = {b for b in after.folders if after.folders[b] != before.folders[b]}
+    assert changed == {"0", "3"} and set(after.folders) == set(before.folders)
+    found = {r.id: r.v for r in versioned.read(spark, path).collect()}
+    assert len(found) == 101 and {i for i, v in found.items() if v == "new"} == {8, 16, 19}
+    assert versioned.update(spark, path, F.col("id") > 1000, {"v": F.lit("none")}) == after
+    nulls = versioned.update(spark, path, F.col("id").isNull(), {"v": F.lit("null")})
+    assert sum(nulls.folders[b] != after.folders[b] for b in nulls.folders) == 1
+    with pytest.raises(ValueError, match="moves rows"):
+        versioned.rewrite(spark, path, lambda t: t.filter("id = 1"), lambda t: t.withColumn("id", F.col("id") + 1))
+    emptied = versioned.rewrite(spark, path, lambda t: t.filter("id % 8 = 1"), lambda t: t.filter("id < 0"))
+    assert "1" not in emptied.folders and versioned.read(spark, path).filter("id % 8 = 1").count() == 0
+    assert versioned.expire(spark, path, keep=1) == 3 and versioned.read(spark, path).count() == 88
 
 
 def test_view_names_carry_market_suffixes():

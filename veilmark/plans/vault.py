@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import crypto
 from ..operators import latest
 from ..operators.joins import absent, union_keys
+from ..sources import versioned
 from ..sources.tables import update_where
 
 # Event kept out of the vault, mark of an unusable id, key columns of published views.
@@ -78,20 +79,14 @@ def key_column(view: DataFrame, candidates: Sequence[str] = KEY_CANDIDATES) -> s
     return next((c for c in candidates if c in view.columns), None)
 
 
-def mark_anonymised(
+def _to_flag(
     vault: DataFrame,
     views: Mapping[str, DataFrame],
-    key_candidates: Sequence[str] = KEY_CANDIDATES,
-    as_of: Column | None = None,
-    join_keys: Mapping[str, str] | None = None,
-    keyless: Collection[str] = (),
+    key_candidates: Sequence[str],
+    join_keys: Mapping[str, str] | None,
+    keyless: Collection[str],
 ) -> DataFrame:
-    """Flag people that occur in published views; already flagged rows keep their time.
-
-    Views keyed by the cleaned national id match on ssn, the others on market.  A
-    view without a key column is an error unless it is named in ``keyless``:
-    nobody in it could be flagged.
-    """
+    """The vault with ``__flag``: people of the views who are not flagged yet."""
     chosen = {n: (join_keys or {}).get(n) or key_column(v, key_candidates) for n, v in views.items()}
     unknown = sorted(n for n, k in chosen.items() if not k and n not in keyless)
     if unknown:
@@ -109,11 +104,49 @@ def mark_anonymised(
         by_market = F.coalesce("__hit_market", F.lit(False))
     hit = F.coalesce("__hit_ssn", F.lit(False)) | by_market
     unflagged = ~F.col("is_anonymized").eqNullSafe(True)
+    return marked.select(*vault.columns, (unflagged & hit).alias("__flag"))
+
+
+def mark_anonymised(
+    vault: DataFrame,
+    views: Mapping[str, DataFrame],
+    key_candidates: Sequence[str] = KEY_CANDIDATES,
+    as_of: Column | None = None,
+    join_keys: Mapping[str, str] | None = None,
+    keyless: Collection[str] = (),
+) -> DataFrame:
+    """Flag people that occur in published views; already flagged rows keep their time.
+
+    Views keyed by the cleaned national id match on ssn, the others on market.  A
+    view without a key column is an error unless it is named in ``keyless``:
+    nobody in it could be flagged.
+    """
+    marked = _to_flag(vault, views, key_candidates, join_keys, keyless)
     stamp = as_of if as_of is not None else F.current_timestamp()
-    updated = update_where(marked, unflagged & hit, {"is_anonymized": F.lit(True), "ingestion_timestamp": stamp})
+    updated = update_where(marked, F.col("__flag"), {"is_anonymized": F.lit(True), "ingestion_timestamp": stamp})
     return updated.select(*vault.columns)
 
 
+def mark_stored(
+    spark: SparkSession,
+    path: str,
+    views: Mapping[str, DataFrame],
+    key_candidates: Sequence[str] = KEY_CANDIDATES,
+    as_of: Column | None = None,
+    join_keys: Mapping[str, str] | None = None,
+    keyless: Collection[str] = (),
+) -> versioned.Version:
+    """``mark_anonymised`` on a vault kept in versions: only buckets with a person to flag are written."""
+
+    def touched(vault: DataFrame) -> DataFrame:
+        return _to_flag(vault, views, key_candidates, join_keys, keyless).filter("__flag").drop("__flag")
+
+    def change(vault: DataFrame) -> DataFrame:
+        return mark_anonymised(vault, views, key_candidates, as_of, join_keys, keyless)
+
+    return versioned.rewrite(spark, path, touched, change)
+
+
 def lookup(vault: DataFrame, by: str, stack: str | None = None) -> DataFrame:
     """One row per lookup key with the person's uuid and sub-keys.
 

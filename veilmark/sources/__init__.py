@@ -1,7 +1,18 @@
 """Scans, sinks, schemas and manifests."""
 
-from .files import BadRecordBudgetExceeded, UnknownFields, read_csv, read_ndjson, with_file_path, with_partition_date
-from .manifest import load_manifest, manifest_from_ddl, read_manifest
+from . import versioned
+from .files import (
+    BadRecordBudgetExceeded,
+    Landing,
+    UnknownFields,
+    read_csv,
+    read_ndjson,
+    scan_csv,
+    scan_ndjson,
+    with_file_path,
+    with_partition_date,
+)
+from .manifest import load_manifest, manifest_from_ddl, read_manifest, scan_manifest
 from .schema import drop_fields, schema_from_json, schema_to_json, tag_of
 from .tables import (
     copy_table,
@@ -12,7 +23,6 @@ from .tables import (
     read_exclusions,
     read_seed_columns,
     register_views,
-    replace_table,
     update_where,
     view_id,
     write_table,
@@ -20,7 +30,12 @@ from .tables import (
 
 __all__ = [
     "BadRecordBudgetExceeded",
+    "Landing",
     "UnknownFields",
+    "scan_csv",
+    "scan_manifest",
+    "scan_ndjson",
+    "versioned",
     "copy_table",
     "drop_fields",
     "export_csv",
@@ -35,7 +50,6 @@ __all__ = [
     "read_ndjson",
     "read_seed_columns",
     "register_views",
-    "replace_table",
     "schema_from_json",
     "schema_to_json",
     "tag_of",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .files import read_csv, read_ndjson
+from .files import Landing, scan_csv, scan_ndjson
 from .schema import drop_fields, schema_from_json
 
 # Columns of a manifest line, in order, and format names.
@@ -32,14 +32,14 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     ).filter(F.col("table_name").isNotNull())
 
 
-def load_manifest(
+def scan_manifest(
     spark: SparkSession,
     manifest_path: str,
     schemas: str | Mapping[str, T.StructType],
     partition_columns: Mapping[str, list[str]] | None = None,
     header: bool = True,
-) -> dict[str, DataFrame]:
-    """One lazily read DataFrame per manifest line.
+) -> dict[str, Landing]:
+    """One landing per manifest line, with the line's budget; only the manifest and schemas are read here.
 
     ``schemas`` is a folder of ``<table>_schema.json`` files or a mapping.
     Tables named in ``partition_columns`` are Hive partitioned: those columns
@@ -55,24 +55,30 @@ def load_manifest(
         parts = (partition_columns or {}).get(line.table_name, [])
         schema = drop_fields(schema, parts)
         base = line.uri.rstrip("*").rstrip("/")
-        path = base if parts else line.uri
+        path, base_path = (base, base) if parts else (line.uri, None)
+        budget = line.max_bad_records or 0
         if line.file_format == CSV_FORMAT:
-            tables[line.table_name] = read_csv(
-                spark,
-                path,
-                schema,
-                sep=line.field_delimiter or ",",
-                header=header,
-                max_bad=line.max_bad_records,
-                base_path=base if parts else None,
-            )
+            sep = line.field_delimiter or ","
+            landing = scan_csv(spark, path, schema, sep=sep, header=header, max_bad=budget, base_path=base_path)
         else:
-            tables[line.table_name] = read_ndjson(
-                spark, path, schema, max_bad=line.max_bad_records, base_path=base if parts else None
-            )
+            landing = scan_ndjson(spark, path, schema, max_bad=budget, base_path=base_path)
+        tables[line.table_name] = landing
     return tables
 
 
+def load_manifest(
+    spark: SparkSession,
+    manifest_path: str,
+    schemas: str | Mapping[str, T.StructType],
+    into: str,
+    partition_columns: Mapping[str, list[str]] | None = None,
+    header: bool = True,
+) -> dict[str, DataFrame]:
+    """Land every table of a manifest as the next version of ``into/<table>``; each file is read once."""
+    landings = scan_manifest(spark, manifest_path, schemas, partition_columns, header)
+    return {name: landing.land(f"{into.rstrip('/')}/{name}") for name, landing in landings.items()}
+
+
 def manifest_from_ddl(df: DataFrame, from_bucket: str, to_bucket: str, scheme: str = "gs") -> DataFrame:
     """Manifest rows from ``(table_name, ddl)``: first uri, budget, format, delimiter."""
     # The patterns follow the text format of the definitions.

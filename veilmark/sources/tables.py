@@ -34,36 +34,6 @@ def write_table(
     writer.parquet(path)
 
 
-def _filesystem(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm
-
-
-def replace_table(df: DataFrame, path: str, partition_by=None, sort_by=None) -> DataFrame:
-    """Replace a table that the plan may itself read: write aside, then swap.
-
-    The old data stays in place until the new data is complete, so losing an
-    executor half way leaves the table as it was.  The swap itself is two renames
-    and not atomic: a reader in between finds no table, and on an object store a
-    rename copies.  Give tables with concurrent readers a new path per version.
-    """
-    spark = df.sparkSession
-    staged, retired = path.rstrip("/") + ".staged", path.rstrip("/") + ".retired"
-    fs, jvm = _filesystem(spark, path)
-    as_path = jvm.org.apache.hadoop.fs.Path
-    write_table(df, staged, partition_by, sort_by)
-    if fs.exists(as_path(retired)):
-        fs.delete(as_path(retired), True)
-    if fs.exists(as_path(path)):
-        fs.rename(as_path(path), as_path(retired))
-    fs.rename(as_path(staged), as_path(path))
-    if fs.exists(as_path(retired)):
-        fs.delete(as_path(retired), True)
-    spark.catalog.refreshByPath(path)
-    return spark.read.parquet(path)
-
-
 def copy_table(spark: SparkSession, src: str, dst: str) -> DataFrame:
     """Copy a table, replacing the target."""
     spark.read.parquet(src).write.mode("overwrite").parquet(dst)

@@ -53,7 +53,8 @@ def json_budget(spark, sf):
     wrong = F.regexp_replace(line, '"c_acctbal":[-0-9.]+', '"c_acctbal":"much"')
     value = F.when(key % 100 == 3, F.left(line, F.lit(20))).when(key % 100 == 4, wrong).otherwise(line)
     customers(spark, sf).select(value.alias("value")).write.text(root)
-    return io.read_ndjson(spark, root, flat_schema(), max_bad=100_000, strict=False)
+    landing = io.scan_ndjson(spark, root, flat_schema(), max_bad=100_000, strict=False)
+    return landing.land(scratch_dir(spark, "landed"))
 
 
 @query("csv_roundtrip", CUSTOMER_SQL + " UNION ALL " + CUSTOMER_SQL)
@@ -85,7 +86,70 @@ def bad_record_budget(spark, sf):
     broken = F.concat(F.lit("broken,"), F.col("c_name"))
     rows = customers(spark, sf).select(F.when(key % 100 == 3, broken).otherwise(good).alias("value"))
     rows.write.text(root)
-    return io.read_csv(spark, root, flat_schema(), header=False, max_bad=100_000)
+    return io.scan_csv(spark, root, flat_schema(), header=False, max_bad=100_000).land(scratch_dir(spark, "landed"))
+
+
+NESTED_JSON = """[
+  {"name": "id", "type": "INTEGER"},
+  {"name": "person", "type": "RECORD", "fields": [
+    {"name": "name", "type": "STRING"},
+    {"name": "address", "type": "RECORD", "fields": [{"name": "country", "type": "STRING"}]}]},
+  {"name": "accounts", "type": "RECORD", "mode": "REPEATED", "fields": [{"name": "balance", "type": "FLOAT"}]}]"""
+
+
+def outcome(landing, target: str) -> tuple[str, int]:
+    """What became of a landing: its rows, or the kind of refusal."""
+    try:
+        return "landed", landing.land(target).count()
+    except (io.BadRecordBudgetExceeded, io.UnknownFields) as refused:
+        return type(refused).__name__, 0
+
+
+@query(
+    "landing_outcomes",
+    """
+SELECT 'budget met' AS landing, 'landed' AS outcome, count(*) FILTER (c_custkey % 100 <> 3) AS n FROM customer
+UNION ALL SELECT 'budget exceeded', CASE WHEN count(*) FILTER (c_custkey % 100 = 3) > 0 THEN 'BadRecordBudgetExceeded'
+  ELSE 'landed' END, 0 FROM customer
+UNION ALL SELECT 'unknown in a struct', 'UnknownFields', 0
+UNION ALL SELECT 'unknown in an array', 'UnknownFields', 0
+UNION ALL SELECT 'unknown, not strict', 'landed', count(*) FROM customer
+UNION ALL SELECT 'after a refusal', 'landed', count(*) FROM customer""",
+)
+def landing_outcomes(spark, sf):
+    """Nested JSON with bad lines that meet and exceed the budget, and with undeclared members at two depths."""
+    root, key = scratch_dir(spark, "outcomes"), F.col("c_custkey")
+    schema = io.schema_from_json(NESTED_JSON)
+    rows = customers(spark, sf)
+    good = F.to_json(
+        F.struct(
+            key.alias("id"),
+            F.struct(F.col("c_name").alias("name"), F.struct("country").alias("address")).alias("person"),
+            F.array(F.struct(F.col("c_acctbal").alias("balance"))).alias("accounts"),
+        )
+    )
+    lines = {
+        "bad": F.when(key % 100 == 3, F.left(good, F.lit(20))).otherwise(good),
+        "struct": F.when(key % 50 == 1, F.replace(good, F.lit('"country"'), F.lit('"city":"x","country"'))).otherwise(good),
+        "array": F.when(key % 50 == 1, F.replace(good, F.lit('"balance"'), F.lit('"owner":1,"balance"'))).otherwise(good),
+        "good": good,
+    }
+    for name, value in lines.items():
+        rows.select(value.alias("value")).write.text(f"{root}/{name}")
+    bad = rows.filter(key % 100 == 3).count()
+
+    def scan(name, **options):
+        return io.scan_ndjson(spark, f"{root}/{name}", schema, **options)
+
+    results = {
+        "budget met": outcome(scan("bad", max_bad=bad), f"{root}/met"),
+        "budget exceeded": outcome(scan("bad", max_bad=bad - 1), f"{root}/exceeded"),
+        "unknown in a struct": outcome(scan("struct"), f"{root}/refused"),
+        "unknown in an array": outcome(scan("array", max_bad=bad), f"{root}/refused"),
+        "unknown, not strict": outcome(scan("struct", strict=False), f"{root}/lenient"),
+        "after a refusal": outcome(scan("good"), f"{root}/refused"),
+    }
+    return spark.createDataFrame([(k, *v) for k, v in results.items()], "landing string, outcome string, n long")
 
 
 @query("file_path", "SELECT c_custkey, CASE c_custkey % 2 WHEN 0 THEN 'kind=0' ELSE 'kind=1' END AS folder FROM customer")
@@ -117,7 +181,7 @@ def manifest_load(spark, sf):
     ]
     spark.createDataFrame(lines, "value string").coalesce(1).write.text(f"{root}/list")
     schemas = {name: flat_schema() for name in ("plain_r", "parted_r", "lines_r")}
-    tables = io.load_manifest(spark, f"{root}/list", schemas, {"parted_r": PARTITIONS})
+    tables = io.load_manifest(spark, f"{root}/list", schemas, f"{root}/tables", {"parted_r": PARTITIONS})
     counted = [
         df.agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("keys")).select(F.lit(name).alias("source"), "n", "keys")
         for name, df in sorted(tables.items())
@@ -178,11 +242,12 @@ def config_inputs(spark, sf):
 @query("write_partitioned", CUSTOMER_SQL)
 def write_partitioned(spark, sf):
     """Partitioned, clustered write, then a replacement that reads its own table."""
-    root = f"{scratch_dir(spark, 'write')}/customers"
-    io.write_table(customers(spark, sf).filter("c_custkey % 2 = 0"), root, ["country"], ["c_custkey"])
+    root = scratch_dir(spark, "write")
+    io.write_table(customers(spark, sf).filter("c_custkey % 2 = 0"), f"{root}/plain", ["country"], ["c_custkey"])
+    table = f"{root}/versions"
+    io.versioned.replace(spark.read.parquet(f"{root}/plain"), table)
     odd = customers(spark, sf).filter("c_custkey % 2 = 1")
-    both = spark.read.parquet(root).unionByName(odd)
-    return io.replace_table(both, root, ["country"], ["c_custkey"])
+    return io.versioned.replace(io.versioned.read(spark, table).unionByName(odd), table)
 
 
 @query("copy_table", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
@@ -216,6 +281,35 @@ def update_where(spark, sf):
     return io.update_where(orders, closed, {"o_orderstatus": F.lit("closed"), "o_totalprice": F.lit(0.0)})
 
 
+BUCKETS = 16
+
+
+@query(
+    "update_buckets",
+    f"""
+WITH t AS (SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderkey % {BUCKETS} AS bucket,
+    o_orderstatus = 'F' AND o_orderkey % {BUCKETS} IN (3, 5) AS hit FROM orders)
+SELECT o_orderkey, CASE WHEN hit THEN 'closed' ELSE o_orderstatus END AS o_orderstatus,
+  CASE WHEN hit THEN 0 ELSE o_totalprice END AS o_totalprice, bool_or(hit) OVER (PARTITION BY bucket) AS rewritten
+FROM t""",
+)
+def update_buckets(spark, sf):
+    """Conditional update that writes only the buckets with a hit; every row tells whether its file is new."""
+    path = scratch_dir(spark, "buckets")
+    orders = fx.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    first = io.versioned.replace(orders, path, f"o_orderkey % {BUCKETS}")
+    old = set(io.versioned.version(spark, path).folders.values())
+    hit = (F.col("o_orderstatus") == "F") & (F.col("o_orderkey") % BUCKETS).isin(3, 5)
+    new = io.versioned.update(spark, path, hit, {"o_orderstatus": F.lit("closed"), "o_totalprice": F.lit(0.0)})
+    assert first.columns == orders.columns
+    fresh = [folder for folder in new.folders.values() if folder not in old]
+    name = F.col("_metadata.file_path")
+    is_new = F.lit(False)
+    for folder in fresh:
+        is_new = is_new | name.contains(folder.split("/data-")[1] + "/")
+    return io.versioned.read(spark, path).withColumn("rewritten", is_new)
+
+
 @query("export_csv", "SELECT n_nationkey::VARCHAR AS n_nationkey, n_name, c_name FROM nation JOIN customer ON c_nationkey = n_nationkey")
 def export_csv(spark, sf):
     """Report export and its re-read."""

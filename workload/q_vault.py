@@ -50,21 +50,27 @@ def vault_insert_absent(spark, sf):
     return grown.select("ssn", F.date_format("ingestion_timestamp", "yyyy-MM-dd").alias("day"))
 
 
-def flagged_vault(spark, sf):
-    """Vault after an update from one view keyed by id and one keyed by market."""
-    people = fx.clean_people(spark, sf)
+LATER = "2024-03-01 00:00:00"
+
+
+def published_views(spark, sf):
+    """One view keyed by id, one keyed by market, one without a key."""
     keys = fx.key_vault(spark, sf)
 
     def view(rows):
         return views.encrypted_view(rows, "people", F.col("market"), TAGS, keys, expose_join_key=True)
 
-    published = {
+    return {
         "by_id": view(fx.people(spark, sf).filter("k % 4 = 0")),
         "by_market": view(fx.people(spark, sf).filter("market = 'DK'")).select(F.col("market").alias("secondary_column")),
-        "no_key": people.select("segment"),
+        "no_key": fx.clean_people(spark, sf).select("segment"),
     }
-    later = F.lit("2024-03-01 00:00:00").cast("timestamp")
-    return vault.mark_anonymised(keys, published, as_of=later, keyless={"no_key"})
+
+
+def flagged_vault(spark, sf):
+    """Vault after an update from the published views."""
+    later = F.lit(LATER).cast("timestamp")
+    return vault.mark_anonymised(fx.key_vault(spark, sf), published_views(spark, sf), as_of=later, keyless={"no_key"})
 
 
 @query(
@@ -81,6 +87,28 @@ def vault_flag_update(spark, sf):
     return rows.select("ssn", "is_anonymized", F.date_format("ingestion_timestamp", "yyyy-MM-dd").alias("day"))
 
 
+@query(
+    "vault_flag_stored",
+    """
+SELECT national_id AS ssn, k % 4 = 0 OR market = 'DK' AS is_anonymized,
+  CASE WHEN k % 4 = 0 OR market = 'DK' THEN '2024-03-01' ELSE '2024-01-01' END AS day,
+  bool_or(k % 4 = 0 OR market = 'DK') OVER (PARTITION BY right(national_id, 2)) AS rewritten
+FROM vault_people""",
+    "vault_people",
+)
+def vault_flag_stored(spark, sf):
+    """The same update on a vault kept in buckets; every row tells whether its bucket was written."""
+    path = scratch_dir(spark, "vault-versions")
+    io.versioned.replace(fx.key_vault(spark, sf), path, "right(ssn, 2)")
+    old = io.versioned.version(spark, path).folders
+    later = F.lit(LATER).cast("timestamp")
+    new = vault.mark_stored(spark, path, published_views(spark, sf), as_of=later, keyless={"no_key"}).folders
+    written = [name for name, folder in new.items() if old[name] != folder]
+    day = F.date_format("ingestion_timestamp", "yyyy-MM-dd").alias("day")
+    rewritten = F.right("ssn", F.lit(2)).isin(written).alias("rewritten")
+    return io.versioned.read(spark, path).select("ssn", "is_anonymized", day, rewritten)
+
+
 # ------------------------------------------------------------------ views
 
 TAGS = {"ssn", "national_id", "email", "phone", "name", "notes", "contact_detail", "comments", "quantity"}
