@@ -377,6 +377,27 @@ def test_parsed_table_types_cleans_and_floors(spark):
     assert (row.natural_key, row.id, row.accepted, float(row.amount), row.source, row.rn) == ("116", 2, True, 10.25, "zz", 1)
 
 
+def test_change_tables_read_the_log_once(spark, small, tmp_path):
+    from workload import q_changes
+
+    specs = q_changes.specs()
+    assert {s.table for s in specs} == {r.table or n for n, r in cdc.TABLE_RULES.items()} and len(specs) == 24
+    q_changes.change_log(spark, small).write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    assert plan_of(cdc.change_tables(log, specs))[:2] == (1, 1)
+    cdc.write_change_tables(log, specs, str(tmp_path / "tables"))
+    for spec in specs:
+        found = cdc.read_change_table(spark, str(tmp_path / "tables"), spec)
+        assert found.columns == cdc.parsed_table(log, spec).columns
+        scans, shuffles, plan = plan_of(found)
+        assert (scans, shuffles) == (1, 0) and f"(table#" in plan.split("PartitionFilters: ")[1].split("\n")[0]
+        read = plan.split("ReadSchema: ")[1].split("\n")[0]
+        assert read.startswith(f"struct<{spec.table}:struct<")
+    bids = next(s for s in specs if s.table == "bids")
+    one = cdc.read_change_table(spark, str(tmp_path / "tables"), bids).collect()
+    assert sorted(map(tuple, one)) == sorted(map(tuple, cdc.parsed_table(log, bids).collect())) and one
+
+
 def test_json_scalars_only(spark):
     rows = [('{"a":{"x":1},"b":"{curly}","c":[1],"d":5,"e":null}',)]
     spec = [jsonx.JsonField(k) for k in "abcdef"]

@@ -54,23 +54,26 @@ def scalar_only(member: Column, document: Column, key: str) -> Column:
     return F.when(looks_nested, F.when(~nested, member)).otherwise(member)
 
 
-def parse_typed(df: DataFrame, col: str, spec: Sequence[JsonField], keep: Sequence[str] = ()) -> DataFrame:
-    """Typed columns from a JSON text column, followed by the columns in ``keep``.
+def typed_columns(parsed: str, document: Column, spec: Sequence[JsonField]) -> list[Column]:
+    """Columns of a spec from the struct ``parsed`` that ``text_fields`` made of ``document``.
 
     The parse is all text because sources quote numbers inconsistently; casts
     follow ANSI rules, so dirty values fail unless their field has a cleaner.
     """
-    parsed = "__parsed"
-    document = F.col(col)
     columns = []
     for field in spec:
         value = scalar_only(F.col(f"{parsed}.`{field.json_key}`"), document, field.json_key)
         if field.cleaner is not None:
             value = field.cleaner(value)
         columns.append(value.cast(field.type).alias(field.name))
-    return df.withColumn(parsed, text_fields(document, [f.json_key for f in spec])).select(
-        *columns, *[F.col(c) for c in keep]
-    )
+    return columns
+
+
+def parse_typed(df: DataFrame, col: str, spec: Sequence[JsonField], keep: Sequence[str] = ()) -> DataFrame:
+    """Typed columns from a JSON text column, followed by the columns in ``keep``."""
+    parsed = "__parsed"
+    rows = df.withColumn(parsed, text_fields(F.col(col), [f.json_key for f in spec]))
+    return rows.select(*typed_columns(parsed, F.col(col), spec), *[F.col(c) for c in keep])
 
 
 # Where the report list sits in the envelope, and its member names.

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import clean, jsonx
 from ..functions.jsonx import JsonField
 from ..operators import latest
+from ..sources import tables
 
 ENVELOPE = ("database", "table", "type", "ts", "xid", "xoffset", "data", "event_date", "source", "file_name")
 # Time limits of the history, and the label of the history source.
@@ -68,10 +69,15 @@ def event_log(
     return from_files.unionByName(from_history).filter(day <= F.lit(ceiling).cast("date"))
 
 
-def dedupe_changes(events: DataFrame, keep_rn: bool = False, tiebreak: Sequence[Column] = ()) -> DataFrame:
-    """One row per change key ``(xid, xoffset, ts)``; the greatest source name wins."""
+CHANGE_KEY = ("xid", "xoffset", "ts")
+
+
+def dedupe_changes(
+    events: DataFrame, keep_rn: bool = False, tiebreak: Sequence[Column] = (), within: Sequence[str] = ()
+) -> DataFrame:
+    """One row per change key ``(xid, xoffset, ts)``, per table with ``within``; the greatest source name wins."""
     ties = tiebreak or ([F.col("data").desc()] if "data" in events.columns else [])
-    return latest.latest_by(events, ["xid", "xoffset", "ts"], [F.col("source").desc()], ties, keep_rn=keep_rn)
+    return latest.latest_by(events, [*within, *CHANGE_KEY], [F.col("source").desc()], ties, keep_rn=keep_rn)
 
 
 @dataclass(frozen=True)
@@ -193,30 +199,75 @@ def spec_from_schema(name: str, schema: T.StructType, rule: TableRule | None = N
     )
 
 
+def _layout(spec: TableSpec) -> tuple[list[str], list[str]]:
+    """Columns before and after those from the JSON."""
+    tail = ["ts", "timestamp_ts", *(["rn"] if spec.keep_rn else []), "source", *CHANGE_KEY[:2]]
+    return ["natural_key"] if spec.natural_key else [], tail
+
+
+def _keyed(rows: DataFrame, specs: Sequence[TableSpec]) -> DataFrame:
+    rows = rows.withColumn("timestamp_ts", clean.epoch_date(F.col("ts")))
+    separators = {s.separator for s in specs if s.natural_key}
+    if len(separators) > 1:
+        raise ValueError("tables of one log share the separator of their natural keys")
+    for sep in separators:
+        parts = [F.col(c).cast("string") for c in CHANGE_KEY]
+        rows = rows.withColumn("natural_key", F.concat(parts[0], F.lit(sep), parts[1], F.lit(sep), parts[2]))
+    return rows
+
+
 def parsed_table(events: DataFrame, spec: TableSpec) -> DataFrame:
     """Typed rows of one source table, one per change.
 
     Duplicates go first, on the narrow envelope, so that only surviving rows are
     parsed.
     """
-    needed = ["ts", "xid", "xoffset", "source", "data"]
+    needed = [*CHANGE_KEY, "source", "data"]
     rows = dedupe_changes(events.filter(F.col("table") == spec.table).select(*needed), keep_rn=True)
-    tail = ["ts", "timestamp_ts", "rn", "source", "xid", "xoffset"]
-    if not spec.keep_rn:
-        tail.remove("rn")
-    rows = rows.withColumn("timestamp_ts", clean.epoch_date(F.col("ts")))
-    head: list[str] = []
-    if spec.natural_key:
-        parts = [F.col(c).cast("string") for c in ("xid", "xoffset", "ts")]
-        sep = F.lit(spec.separator)
-        rows = rows.withColumn("natural_key", F.concat(parts[0], sep, parts[1], sep, parts[2]))
-        head = ["natural_key"]
-    parsed = jsonx.parse_typed(rows, "data", spec.fields, keep=[*head, *tail])
+    head, tail = _layout(spec)
+    parsed = jsonx.parse_typed(_keyed(rows, [spec]), "data", spec.fields, keep=[*head, *tail])
     if spec.floor is not None:
         parsed = parsed.filter(F.to_date("created_at") >= F.lit(spec.floor).cast("date"))
     return parsed.select(*head, *[f.name for f in spec.fields], *tail)
 
 
-def parsed_tables(events: DataFrame, specs: Sequence[TableSpec]) -> dict[str, DataFrame]:
-    """All parsed tables; store the log partitioned by ``table`` so each reads its own part."""
-    return {spec.table: parsed_table(events, spec) for spec in specs}
+def change_tables(events: DataFrame, specs: Sequence[TableSpec]) -> DataFrame:
+    """All parsed tables from one scan and one shuffle of the log: ``table`` and a struct column per table.
+
+    Duplicates go over all tables at once.  A row is parsed by the rule of its own table only and fills that table's
+    struct; the others are NULL, which costs nothing in parquet.  Rows of other tables and below a table's floor are
+    left out.
+    """
+    if len({s.table for s in specs}) != len(specs):
+        raise ValueError("one spec per table of the log")
+    names = [s.table for s in specs]
+    rows = events.filter(F.col("table").isin(names)).select("table", *CHANGE_KEY, "source", "data")
+    rows = _keyed(dedupe_changes(rows, keep_rn=True, within=["table"]), specs)
+    # One parse per row; the structs on top read it member by member.
+    own = {s.table: F.col("table") == s.table for s in specs}
+    parsed = {f"__{s.table}": F.when(own[s.table], jsonx.text_fields(F.col("data"), [f.json_key for f in s.fields])) for s in specs}
+    rows = rows.withColumns(parsed)
+    structs = []
+    for spec in specs:
+        head, tail = _layout(spec)
+        columns = jsonx.typed_columns(f"__{spec.table}", F.col("data"), spec.fields)
+        row = F.when(own[spec.table], F.struct(*head, *columns, *tail))
+        structs.append(row.alias(spec.table))
+    typed = rows.select("table", *structs)
+    kept = F.lit(False)
+    for spec in specs:
+        floor = F.lit(True)
+        if spec.floor is not None:
+            floor = F.to_date(F.col(f"{spec.table}.created_at")) >= F.lit(spec.floor).cast("date")
+        kept = F.when(F.col("table") == spec.table, floor).otherwise(kept)
+    return typed.filter(kept)
+
+
+def write_change_tables(events: DataFrame, specs: Sequence[TableSpec], path: str) -> None:
+    """Parse the log once and write every table's rows to its own partition of ``path``."""
+    tables.write_table(change_tables(events, specs), path, partition_by=["table"])
+
+
+def read_change_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+    """One parsed table of ``write_change_tables``; reads its own partition and column only."""
+    return spark.read.parquet(path).filter(F.col("table") == spec.table).select(F.col(f"`{spec.table}`.*"))

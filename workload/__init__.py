@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("q_values", "q_rows", "q_documents", "q_vault", "q_catalog", "q_files")
+MODULES = ("q_values", "q_rows", "q_documents", "q_changes", "q_vault", "q_catalog", "q_files")
 
 
 def _load() -> None:
