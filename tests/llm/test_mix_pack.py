@@ -140,3 +140,24 @@ def test_packing_empty_table_and_repeated_rows(documents):
     assert packing.pack(documents([])).count() == 0
     twice = packing.pack(documents([(1, "a b c", "s"), (1, "a b c", "s"), (None, None, None)])).collect()
     assert sum(p.length for p in twice) == sum(p.doc_tokens for p in twice) == 2 * 4 + 1
+
+
+def test_long_white_space_gives_the_ids_of_the_library():
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    tokenizer, encoding = Tokenizer.from_file(public.path(packing.VOCABULARY)), packing.encoder()
+
+    def same(text):
+        ids, expected = packing.encode(encoding, text), tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(ids) == len(expected) and ids == expected
+
+    for space in (" ", "\t", "\n"):
+        run = space * 1_500_000
+        for text in (run, run + "word", "word" + run, f"a{run}b{run}"):
+            same(text)
+    for space in (" ", "\n", "\r\n", "\x0b", "\x85", "\xa0", " ", "　", " \n\t", "​", "\x1c"):
+        for count in (998, 999, 1000, 1001):
+            run = space * count
+            for after in ("", "word", "7", "...", "'s", "<|endoftext|>", "é", "\x1c", "​", "😀"):
+                same(f"Some text  {run}{after}{run} x")

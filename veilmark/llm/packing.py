@@ -6,13 +6,16 @@ demand has the largest dot product with that room goes in.  A gap that no item f
 largest item left, whose tail stays an item.  Items left in a window go on to the next one, so a task holds one window,
 and only the last sequence of a partition can be short.
 
-Null and empty texts have the end id alone.  Repeated rows are packed like any others.  For the same files and the same
-read settings, reruns and retried tasks give the same sequences.
+Null and empty texts have the end id alone; an empty table gives no rows.  A null id stays null.  Repeated rows are
+packed like any others.  Texts of any length are encoded whole, runs of white space of any length included.  Items that
+score alike go in the order they came.  Columns other than ``doc_id``, ``text`` and the given prompt are not read.  For
+the same files and the same read settings, reruns and retried tasks give the same sequences.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,6 +33,10 @@ TOKENS, SEGMENTS, LOSS = 2048, 256, 2048
 WINDOW, LEAST_GAP = 2048, 8
 END = 1
 VOCABULARY = "byte_bpe_50k.json"
+#: White space as the tokenizer's pattern knows it.  The pattern looks back over a run of it, which fails for long runs,
+#: so runs from this length on are cut out first.
+SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = re.compile(f"[{SPACE}]{{1000,}}")
 
 
 def encoder(path: str | None = None):
@@ -52,6 +59,21 @@ def encoder(path: str | None = None):
     return tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
 
+def encode(encoding, text: str) -> list[int]:
+    """Ids of a text of any length.
+
+    In the tokenizer's pattern a run of white space is one piece, but for its last character where a word follows.
+    """
+    ids, at = [], 0
+    for run in LONG_RUN.finditer(text):
+        start, end = run.span()
+        followed = end < len(text) and not text.startswith(tuple(encoding.special_tokens_set), end)
+        ids += encoding.encode(text[at:start], allowed_special="all")
+        at = end - followed
+        ids += encoding._encode_single_piece(text[start:at].encode())
+    return ids + encoding.encode(text[at:], allowed_special="all")
+
+
 class Packer:
     """Fills sequences from the items it is given."""
 
@@ -136,8 +158,8 @@ def _packed(limits: tuple[int, int, int], path: str | None, with_ids: bool):
         for batch in slices(batches):
             texts, prompts = batch.column("text").to_pylist(), batch.column("prompt").to_pylist()
             for doc_id, text, prompt in zip(batch.column("doc_id").to_pylist(), texts, prompts, strict=True):
-                before = encoding.encode(prompt, allowed_special="all") if prompt else []
-                ids = np.array([*before, *encoding.encode(text or "", allowed_special="all"), END], "<u4")
+                before = encode(encoding, prompt) if prompt else []
+                ids = np.array([*before, *encode(encoding, text or ""), END], "<u4")
                 pieces += packer.add((doc_id, ids), len(ids), len(before))
                 if len(packer.items) >= WINDOW:
                     pieces += packer.pack(WINDOW // 8)
