@@ -7,7 +7,9 @@ forward-backward pass, weighted by line length, and calibrated by logistic regre
 
 Null and empty texts are one empty line.  Without labels of both kinds there is nothing to learn: every score is then
 the share of good labels, or 0.5 without any.  Rows that contradict each other about a document's label are not used.
-Repeated rows get equal scores; a row without an id is scored and counts as not held out.
+Repeated rows get equal scores; a row without an id is scored and counts as not held out.  Texts of any length are
+scored whole.  Of several texts of one labelled id the one with the least hash is learned from.  An empty table gives no
+rows.  Columns other than ``doc_id`` and ``text`` are not read; ``keep_good`` returns them all, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,8 +24,9 @@ from pyspark.sql import functions as F
 
 from .words import groups, mix, slices, words
 
-#: Most labelled documents and lines in the training sample; a longer document is left out of training.
-SAMPLE_DOCUMENTS, SAMPLE_LINES = 3000, 400
+#: Most labelled documents in the training sample, and most lines of them all together: documents go in by the hash of
+#: their id until the lines are spent, whatever their own length.
+SAMPLE_DOCUMENTS, SAMPLE_LINES = 3000, 120_000
 STEPS, RATE, PENALTY = 200, 0.05, 1e-3
 
 _CLASSES = {
@@ -240,15 +243,20 @@ def training_sample(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE
     texts = documents.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     # The limit bounds the chosen ids, so they go to every task.
     rows = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
-    rows = rows.filter(F.length("text") - F.length(F.translate("text", "\n", "")) < SAMPLE_LINES)
-    return rows.dropDuplicates(["doc_id"]).select("doc_id", "text", "label")
+    # Of several texts of one id the one with the least hash stands.
+    one = rows.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    return one.select("doc_id", F.col("least.text").alias("text"), "label")
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = []
+    rows, left = [], SAMPLE_LINES
+    # The documents come in the order of their hash.
     for batch in slices(batches):
         texts = batch.column("text").cast(pa.binary()).to_pylist()
-        rows += zip(batch.column("doc_id").to_pylist(), batch.column("label").to_pylist(), texts, strict=True)
+        for doc_id, label, text in zip(batch.column("doc_id").to_pylist(), batch.column("label").to_pylist(), texts, strict=True):
+            if left > 0:
+                rows.append((doc_id, label, text))
+            left -= text.count(b"\n") + 1
     rows.sort()
     model = train([text for _, _, text in rows], [label for _, label, _ in rows])
     yield pa.RecordBatch.from_pydict(
@@ -265,7 +273,9 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fitted(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE_DOCUMENTS) -> Model:
     """The model of a training sample; one task trains it, the driver gets its weights."""
     schema = "weights array<double>, transitions array<double>, slope double, shift double, constant double"
-    found = training_sample(documents, labels, limit).repartition(1).mapInArrow(_fit, schema).first()
+    sample = training_sample(documents, labels, limit)
+    ordered = sample.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
+    found = ordered.mapInArrow(_fit, schema).first()
     if found is None:
         return train([], [])
     weights, transitions = np.array(found.weights).reshape(-1, 2), np.array(found.transitions).reshape(2, 2)
