@@ -5,7 +5,10 @@ Runs of white space count as one space and null as empty.  A first pass over the
 told apart by their bytes.  All other rows find their group by the hash alone, so no text travels twice.
 
 Rows without an id never stand for a group that has an id; a group of such rows only has a null ``keep_id`` and all of
-them are ``kept``.  Rows that repeat id and text are the same document: each carries the same decision.
+them are ``kept``.  Rows that repeat id and text are the same document: each carries the same decision.  Texts of any
+length are hashed whole.  The smallest id decides, so nothing depends on ties.  An empty table gives no rows.  Columns
+other than ``doc_id`` and ``text`` are not read; ``keep_first`` returns them all, whatever their names (of rows that
+repeat id and text but differ in other columns, any one stays).
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import stored
+from .scratch import fresh, stored
 
 WHITE = r"[\x20\x09-\x0D]+"
 BITS = 128
@@ -54,13 +57,13 @@ def exact_duplicates(documents: DataFrame, bits: int = BITS) -> DataFrame:
 
 def keep_first(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` without copies, all columns; of rows that repeat id and text one stays."""
-    hash_name = "exact_dup_sha256"
+    own, kept_id, kept_hash, times = fresh(documents.columns, "own_hash", "kept_id", "kept_hash", "times")
     decisions = exact_duplicates(documents).filter("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n"))
-    decisions = stored(decisions, "kept").select(F.col("doc_id").alias("exact_dup_id"), F.col("text_sha256").alias("exact_dup_hash"), F.col("n").alias("exact_dup_n"))
-    rows = documents.withColumn(hash_name, F.sha2(normalised(F.col("text")), 256))
-    same = F.col("doc_id").eqNullSafe(F.col("exact_dup_id")) & (F.col(hash_name) == F.col("exact_dup_hash"))
-    stays = rows.join(decisions.filter("exact_dup_n = 1"), same, "left_semi")
-    if not decisions.filter("exact_dup_n > 1").isEmpty():
-        again = rows.join(decisions.filter("exact_dup_n > 1"), same, "left_semi").dropDuplicates(["doc_id", hash_name])
+    decisions = stored(decisions, "kept").select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_hash), F.col("n").alias(times))
+    rows = documents.withColumn(own, F.sha2(normalised(F.col("text")), 256))
+    same = F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col(own) == F.col(kept_hash))
+    stays = rows.join(decisions.filter(F.col(times) == 1), same, "left_semi")
+    if not decisions.filter(F.col(times) > 1).isEmpty():
+        again = rows.join(decisions.filter(F.col(times) > 1), same, "left_semi").dropDuplicates(["doc_id", own])
         stays = stays.unionByName(again)
-    return stays.drop(hash_name)
+    return stays.drop(own)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import stored
+from .scratch import fresh, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -107,14 +107,17 @@ def mix_sources(documents: DataFrame, bits: int = RANGE_BITS, **terms) -> DataFr
 def mixed(documents: DataFrame, **terms) -> DataFrame:
     """The mix itself: the columns of ``documents``, a row per copy; a cut copy has its first words only."""
     names = documents.columns
-    clash = {n: f"mix_in_{n}" for n in names if n in ("size", "source_size", "target", "taken", "epochs", "rest")}
+    added = ["size", "source_size", "target", "taken", "epochs", "rest"]
+    clashing = [n for n in names if n.lower() in added]
+    *renamed, copy = fresh([*names, *added], *[f"in_{n}" for n in clashing], "copy")
+    clash = dict(zip(clashing, renamed, strict=True))
     rows = mix_sources(documents.withColumnsRenamed(clash), **terms)
     copies = F.col("epochs") + (F.col("rest") > 0).cast("long")
-    rows = rows.filter(copies > 0).withColumn("mix_copy", F.explode(F.sequence(F.lit(1), copies)))
+    rows = rows.filter(copies > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), copies)))
     # Pieces that end where a word ends, so the first words keep their white space.
     pieces = F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
     first = F.concat_ws("", F.slice(pieces, 1, F.col("rest").cast("int")))
-    cut = (F.col("mix_copy") > F.col("epochs")) & (F.col("rest") < F.col("size"))
+    cut = (F.col(copy) > F.col("epochs")) & (F.col("rest") < F.col("size"))
     rows = rows.withColumn("text", F.when(cut, first).otherwise(F.col("text")))
     if "n_chars" in names:
         rows = rows.withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars")))

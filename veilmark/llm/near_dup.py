@@ -16,7 +16,10 @@
 
 Links inside one component that cannot change the result are not tested.  Null and empty texts and texts without words
 have an empty set and no links.  Rows without an id are never linked and have no component.  Rows that share an id are
-separate texts that any link of the id joins; ``keep_one`` keeps such an id if one of its rows is kept.
+separate texts that any link of the id joins; ``keep_one`` keeps such an id if one of its rows is kept.  Repeated rows
+have equal sets and one component.  Texts of any length are read whole.  Of equal or linked texts the smallest id stands
+for all, so nothing depends on ties.  An empty table gives no rows.  Columns other than ``doc_id`` and ``text`` are not
+read; ``keep_one`` returns them all, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 
 from veilmark.operators.detect import components
 
-from .scratch import stored
+from .scratch import fresh, stored
 from .words import constants, groups, mix, shingles, slices, words
 
 CHUNKS, CHUNK = 8, 5
@@ -239,5 +242,6 @@ def near_duplicates(documents: DataFrame, link: int = LINK) -> DataFrame:
 
 def keep_one(documents: DataFrame, link: int = LINK) -> DataFrame:
     """The rows of ``documents`` whose id stays: one document of each group of near copies, all columns."""
-    kept = near_duplicates(documents, link).filter("kept").select(F.col("doc_id").alias("near_dup_id")).distinct()
-    return documents.join(kept, F.col("doc_id").eqNullSafe(F.col("near_dup_id")), "left_semi")
+    (own,) = fresh(documents.columns, "near_dup_id")
+    kept = near_duplicates(documents, link).filter("kept").select(F.col("doc_id").alias(own)).distinct()
+    return documents.join(kept, F.col("doc_id").eqNullSafe(F.col(own)), "left_semi")

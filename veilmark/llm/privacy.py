@@ -22,7 +22,9 @@ most ``n_entity``, and the bound above at ``n_pair = n_term``; both follow from
 Entities in the same documents share all counts and are paired as one class.
 
 Null text is empty.  Repeated rows count as documents of their own and get equal results.  A row without an id is
-treated like any other.
+treated like any other.  Texts of any length are searched whole.  Spans that start together are listed by their end;
+pairs that reach the bounds exactly count.  An empty table gives no rows.  Columns other than ``doc_id`` and ``text`` are
+not read; ``sanitised`` returns them all, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import stored
+from .scratch import fresh, stored
 
 #: The patterns have to find the same spans as: email [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+, ip
 #: [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+), card [0-9]([\x20-]?[0-9])+ of 16 to 19 digits, phone
@@ -236,16 +238,17 @@ def personal_data(documents: DataFrame, **terms) -> DataFrame:
 
 def sanitised(documents: DataFrame, **terms) -> DataFrame:
     """The columns of ``documents`` with its text sanitised: entities by their kind, numbers and names generalised."""
+    found_id, found_key, found_spans = fresh(documents.columns, "found_id", "found_key", "found_spans")
     found = spans(documents, **terms).dropDuplicates(["doc_id", "text_key"])
     found = found.select(
-        F.col("doc_id").alias("found_id"),
-        F.col("text_key").alias("found_key"),
+        F.col("doc_id").alias(found_id),
+        F.col("text_key").alias(found_key),
         F.array_sort(
             F.transform(F.concat("base", "added"), lambda s: F.struct(s.start.alias("start"), s.end.alias("end"), s.kind))
-        ).alias("found_spans"),
+        ).alias(found_spans),
     )
     text = F.coalesce(F.col("text"), F.lit(""))
-    same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.xxhash64(text) == F.col("found_key"))
+    same = F.col("doc_id").eqNullSafe(F.col(found_id)) & (F.xxhash64(text) == F.col(found_key))
 
     def put(done, span):
         value = text.substr(span.start + 1, span.end - span.start)
@@ -257,9 +260,9 @@ def sanitised(documents: DataFrame, **terms) -> DataFrame:
         return F.struct(F.greatest(done.at, span.end).alias("at"), out.alias("out"))
 
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = F.aggregate("found_spans", begin, put, lambda d: F.concat(d.out, text.substr(d.at + 1, F.length(text))))
+    rest = F.aggregate(found_spans, begin, put, lambda d: F.concat(d.out, text.substr(d.at + 1, F.length(text))))
     names = documents.columns
     joined = documents.join(found, same, "left").withColumn(
-        "text", F.when(F.size("found_spans") > 0, rest).otherwise(F.col("text"))
+        "text", F.when(F.size(found_spans) > 0, rest).otherwise(F.col("text"))
     )
     return joined.select(names)

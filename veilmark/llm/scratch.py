@@ -33,6 +33,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """The names, lengthened until no column is called so."""
+    taken = {c.lower() for c in columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def clear() -> None:
     """Delete every stored table; results that still read them must have been written before."""
     while _WRITTEN:
