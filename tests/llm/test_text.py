@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -154,6 +155,48 @@ def test_names_of_boilerplate_are_whole_tokens_and_spare_articles(source, text):
     assert html.Page(page(source)).main_text() == text
 
 
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<p>yes<div class='comment-body'>no</div><ul class=comments-list><li>no</ul><ol class=commentlist><li>no</ol>", "yes"),
+        ("<div id=cookie-banner>no</div><p>yes</p><div class='site-footer-links'>no</div>", "yes"),
+        ("<div class='no-sidebar tag-comments content_with_sidebar'><p>yes</div><div class='legal_notice'>no</div>", "yes"),
+        ("<article class=category-comments><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold.</article>", "Let x=2 hold."),
+        ("<article><math><semantics><mi>x</mi><annotation>\\x</annotation></semantics></math></article>", "x"),
+        ("<article><figure><img><noscript>A caption</noscript></figure></article><noscript>no</noscript>", "A caption"),
+        ("<p>a<xmp><b>1 &amp; 2</b></xmp>b", "a\n<b>1 &amp; 2</b>\nb"),
+        ("<p>Text <button>no</button>more<select><option>no<option>no</select> <audio><p>no</p></audio>end", "Text more end"),
+        ("<p>Intro before the article.</p><article><p>It.</article><p>After.", "Intro before the article.\nIt.\nAfter."),
+        ("<div class='page-header'><h1>T</h1></div><p>yes", "T\nyes"),
+        ("<div class='top-menu'>no</div><article><div class='post-header'><h1>T</h1></div><p>yes</article>", "T\nyes"),
+        ("<script src=//cdn.x/y/>var no=1;</script><p>yes<svg/> too<svg viewBox='0' ><text>no</text></svg>", "yes too"),
+        ("<p>1 < 2 and 3 <4</p>", "1 < 2 and 3 <4"),
+        ("<p title='a > b'>yes</p><a href=\"x>y</a>", "yes\ny"),
+    ],
+)
+def test_contract_of_main_text(source, text):
+    assert html.Page(page(source)).main_text() == text
+
+
+@pytest.mark.parametrize(
+    "form",
+    [
+        lambda n: '<a href="' * n, lambda n: '<a href="' * n + ">", lambda n: "<a 'x\"" * n + ">", lambda n: "<" * n,
+        lambda n: "<div>" * n + "</ul>" * n, lambda n: "<blockquote>" * n + "<p>x</h1>" * n, lambda n: "<!--" * n,
+        lambda n: "<h1><div>" + "<blockquote>" * n + "</h1>" * n, lambda n: "<script>" + "</script " * n,
+        lambda n: "<object>" * n + "<p>x" * n, lambda n: "<p>" + "word " * n, lambda n: "&amp" * n,
+    ],
+)
+def test_time_grows_with_the_length_of_a_page(form):
+    def seconds(n):
+        start = time.process_time()
+        html.Page(form(n))
+        return time.process_time() - start
+
+    # Four times the page in far less than sixteen times the time; at least a second's worth of slack for noise.
+    assert seconds(80_000) < 8 * seconds(20_000) + 1
+
+
 def test_templates_go_and_quoted_paragraphs_stay(spark):
     rows = [
         (i, f"http://h{i % 2}.example/{i}", page(f"<div>Site line</div><div>own {i} words</div><p>said {i}</p>"), "x")
@@ -210,7 +253,7 @@ def test_templates_of_large_hosts_are_found_by_their_count(spark):
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
     found = {r.page_id: r.text for r in html.main_texts(frame).collect()}
     assert found[0] == "quoted\nown 0\n0" and found[115] == "own 115\n115"
-    assert found[130] == "own 130\nrare\n130" and found[999] == "own 999\n999"
+    assert found[130] == "rare\nown 130\nrare\n130" and found[999] == "own 999\n999"
 
 
 def test_whole_published_licences_titles_and_headers(documents):

@@ -1,18 +1,22 @@
 """Main text of web pages, with a site's templates found by counting element subtrees per host.
 
-1. Every page is parsed once; each block-level element gives a hash of its subtree.
+1. Every page is parsed once for its hashes, which are stored; each block-level element gives one of its subtree.
 2. Spark counts the pages of each host that hold a subtree.  One belongs to the site's template that recurs on
    ``MANY_PAGES`` pages, or on ``LEAST_PAGES`` and ``LEAST_SHARE`` of the host's pages.  Cells and items of an article need
    the share in any case, as short ones (a "yes", a nought) recur on many pages without being a template.  An article's
    own paragraphs and headings need both ``MANY_PAGES`` and ``LEAST_SHARE``.
 3. The page is parsed again, without template subtrees and without elements that are boilerplate by name or role (menus,
-   forms, adverts, comments, ...).  Names are whole tokens of a class or id; they say nothing of articles, main parts
-   and headings.  If the page marks an article, only text inside it counts, and text of articles within elements that
-   are boilerplate by such a token only if the page has no other article; paragraphs and headings
-   of an article stay where several pages quote them.
+   forms, controls, adverts, comments, ...).  Names are tokens of a class or id, and of some words (``STRONG``) also
+   the parts of a compound token such as ``comment-body``, unless ``no``, ``with`` or the like stands before them
+   (``no-sidebar``, ``tag-comments``); they say nothing of articles, main parts and headings.  Text beside an article
+   counts like any other, unless a part of a compound token names boilerplate of any kind (``site-header``).  An article within an element that is boilerplate by such a token counts only if the page has
+   no other article; paragraphs and headings of an article stay where several pages quote them.
 
 Blocks are joined by line feeds, with white space inside a block as one space.  Null and empty pages give an empty text.
 Pages without a host in their url have no template.  Repeated rows count as pages of their own and give equal texts.
+Pages of any length are read whole, in time that grows with their length whatever is open or unclosed.  Counts that
+reach a bound exactly make a template.  An empty table gives no rows.  Columns other than ``page_id``, ``url`` and
+``html`` are not read.
 """
 
 from __future__ import annotations
@@ -27,13 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import stored
 from .words import slices
 
 LEAST_PAGES, LEAST_SHARE, MANY_PAGES = 5, 0.2, 100
 
 #: Element names by role; names follow the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript iframe noframes xmp template svg math".split())
+RAW = frozenset("script style title textarea iframe noframes template svg annotation annotation-xml".split())
+#: Elements whose text is taken as it stands; and one that only counts inside an article, where it holds captions.
+LITERAL, FALLBACK = "xmp", "noscript"
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search "
@@ -46,9 +53,9 @@ PLAIN, CELL, PARAGRAPH = 0, 1, 2
 ROOTS = frozenset("html body article main".split())
 #: Elements that no token of their class or id drops.
 UNMARKED = ROOTS | frozenset("h1 h2 h3 h4 h5 h6".split())
-LEFT_OUT = frozenset(
-    "head nav footer aside form menu dialog search button select datalist object video audio canvas map".split()
-)
+LEFT_OUT = frozenset("head nav footer aside form menu dialog search".split())
+#: Elements inside a block that are left out without ending it.
+CONTROLS = frozenset("button select datalist object video audio canvas map".split())
 #: Tokens of a class or id, and roles, that mark boilerplate.
 MARKS = frozenset(
     "ad ads advert advertisement advertising adverts banner sponsor sponsored promo promotion menu nav navbar "
@@ -56,6 +63,14 @@ MARKS = frozenset(
     "newsletter subscribe subscription comment comments disqus reply replies respond share sharing social related "
     "recommended widget toolbar copyright login signup hidden".split()
 )
+#: Marks that also count as a part of a compound token, and parts before them that take the meaning away.
+STRONG = frozenset(
+    "comment comments commentlist cookie cookies consent footer sidebar notice notices newsletter breadcrumb breadcrumbs "
+    "disqus popup modal navbar advert adverts advertisement".split()
+)
+#: Marks that count as a part of a compound token only outside the article of a page that has one.
+BESIDE = MARKS - STRONG
+SPARING = frozenset("no without with has category tag".split())
 ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split()
 )
@@ -73,22 +88,32 @@ ENDS = {
 }
 BARRIERS = frozenset("html body article main div section nav aside footer header form table ul ol dl".split())
 
-_TAG = re.compile(
-    r"<!--(?:.*?-->|.*)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
-    re.S,
-)
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_UNQUOTED = re.compile(r"[^>\"']*")
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
-def _is_marked(attributes: str) -> bool:
-    """By a token of its class or id."""
-    for name, a, b, c in _ATTRIBUTE.findall(attributes):
-        if name.lower() in ("class", "id") and not MARKS.isdisjoint((a or b or c).lower().split()):
+def _part_of(token: str, words: frozenset[str]) -> bool:
+    before = ""
+    for part in re.split("[-_]+", token):
+        if before in SPARING:
+            return False
+        if part in words:
             return True
+        before = part
     return False
 
 
+def _tokens(attributes: str) -> list[str]:
+    """Tokens of its class and id."""
+    found = _ATTRIBUTE.findall(attributes)
+    return [t for name, a, b, c in found if name.lower() in ("class", "id") for t in (a or b or c).lower().split()]
+
+
+def _is_marked(tokens: list[str]) -> bool:
+    return any(t in MARKS or t in STRONG or _part_of(t, STRONG) for t in tokens)
+
+
 def _is_out(attributes: str) -> bool:
     """By its role, or hidden."""
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
@@ -110,7 +135,9 @@ class Element:
     name: str
     out: bool = False
     marked: bool = False
-    #: 0 outside articles, 1 in an article inside a marked element, 2 in another article.
+    control: bool = False
+    #: 0 outside articles, -1 there in an element with a compound mark, 1 in an article inside a marked element, 2 in
+    #: another article.
     content: int = 0
     parts: list[str] = field(default_factory=list)
     first_block: int = 0
@@ -126,36 +153,82 @@ class Page:
         self.article = 0
         self.open = [Element("")]
         self.inline: list[str] = []
+        self.controls = 0
+        # Places in ``open`` by name, and of the barriers among them.
+        self.where: dict[str, list[int]] = {}
+        self.barriers = [0]
+        # What is known of the rest of the page: its last ">", quotes that never close, a tag that never ended.
+        self.last, self.unclosed, self.unquoted = source.rfind(">"), set(), False
         at = 0
         while at < len(source):
-            tag = _TAG.search(source, at)
-            if tag is None:
+            tag = source.find("<", at)
+            if tag < 0 or tag > self.last:
                 self.text(source[at:])
                 break
-            self.text(source[at : tag.start()])
-            at = tag.end()
-            name = (tag[2] or tag[5] or "").lower()
-            if not name:
-                continue
-            if tag[1] or tag[4]:
-                self.end(name)
-                continue
-            attributes = tag[3] or tag[6] or ""
-            if name in RAW and not attributes.endswith("/"):
-                close = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(source, at)
-                at = close.end() if close else len(source)
-            else:
-                self.start(name, attributes)
+            self.text(source[at:tag])
+            at = self.markup(source, tag)
         while len(self.open) > 1:
             self.close()
         self.flush()
 
+    def markup(self, source: str, at: int) -> int:
+        """Take a tag, a comment or a declaration; returns where it ends."""
+        if source.startswith("<!--", at):
+            end = source.find("-->", at + 4)
+            return len(source) if end < 0 else end + 3
+        if source[at + 1] in "!?":
+            return source.find(">", at) + 1
+        found = _NAME.match(source, at)
+        if found is None:
+            self.text("<")
+            return at + 1
+        name, end = found[1].lower(), self.tag_end(source, found.end())
+        attributes = source[found.end() : end - 1]
+        if source[at + 1] == "/":
+            self.end(name)
+        elif name in RAW or name == LITERAL or (name == FALLBACK and self.open[-1].content <= 0):
+            # Only drawings may close themselves; in other tags a slash at the end belongs to a value.
+            if name == "svg" and re.search(r"(^|[\s\"'])/\s*$", attributes):
+                return end
+            close = re.compile(rf"</{re.escape(name)}(?![a-z0-9-])", re.I).search(source, end)
+            if name == LITERAL:
+                self.flush()
+                self.text(entities.escape(source[end : close.start() if close else len(source)]))
+                self.flush()
+            after = source.find(">", close.end()) if close else -1
+            return after + 1 or len(source)
+        else:
+            self.start(name, attributes)
+        return end
+
+    def tag_end(self, source: str, at: int) -> int:
+        """Where a tag ends, quoted values passed over.  There is a ">" behind ``at``."""
+        place = at
+        while not self.unquoted:
+            place = _UNQUOTED.match(source, place).end()
+            if place == len(source):
+                # Quotes do not pair up: from here on the next ">" ends a tag.
+                self.unquoted = True
+            elif source[place] == ">":
+                return place + 1
+            elif source[place] in self.unclosed:
+                place += 1
+            else:
+                close = source.find(source[place], place + 1)
+                if close < 0:
+                    self.unclosed.add(source[place])
+                place = max(place, close) + 1
+        end = source.find(">", at)
+        return end + 1 if end >= 0 else len(source)
+
     def text(self, raw: str) -> None:
-        if raw:
+        if raw and not self.controls:
             self.inline.append(raw)
 
     def flush(self) -> None:
-        """End the current block."""
+        """End the current block; inside a control there is none to end."""
+        if self.controls:
+            return
         joined = "".join(self.inline)
         self.inline.clear()
         words = " ".join(entities.unescape(joined).split())
@@ -168,6 +241,10 @@ class Page:
     def start(self, name: str, attributes: str) -> None:
         if name == "br":
             self.inline.append(" ")
+        if name in CONTROLS:
+            parent = self.open[-1]
+            self.controls += 1
+            self.push(Element(name, True, parent.marked, True, parent.content, first_block=len(self.blocks)))
         if name not in BLOCK:
             return
         self.flush()
@@ -178,44 +255,56 @@ class Page:
             self._end_open(ENDS[name], name)
         parent = self.open[-1]
         content, marked = parent.content, parent.marked
-        if name in ("article", "main") and not content:
+        if name in ("article", "main") and content <= 0:
             # What contains an article is no boilerplate by its class or id.
             content, marked = 1 if marked else 2, False
-        in_article = parent.content and name == "header"
+        in_article = parent.content > 0 and name == "header"
         out = name in LEFT_OUT or (name == "header" and not in_article)
         out = out or (name not in ("html", "body") and _is_out(attributes))
-        marked = marked or (name not in UNMARKED and _is_marked(attributes))
-        element = Element(name, parent.out or out, marked, content, first_block=len(self.blocks))
-        if content and not (element.out or element.marked):
+        if attributes and name not in UNMARKED:
+            tokens = _tokens(attributes)
+            marked = marked or _is_marked(tokens)
+            if content == 0 and any(_part_of(t, BESIDE) for t in tokens):
+                content = -1
+        element = Element(name, parent.out or out, marked, content=content, first_block=len(self.blocks))
+        if content > 0 and not (element.out or element.marked):
             self.article = max(self.article, content)
+        self.push(element)
+
+    def push(self, element: Element) -> None:
+        place = len(self.open)
         self.open.append(element)
+        self.where.setdefault(element.name, []).append(place)
+        if element.control or element.name in BARRIERS:
+            self.barriers.append(place)
+
+    def close_to(self, place: int) -> None:
+        while len(self.open) > place:
+            self.close()
 
     def _end_open(self, names: tuple[str, ...], opening: str) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].name in names:
-                while len(self.open) > i:
-                    self.close()
-                return
-            if self.open[i].name in BARRIERS:
-                return
+        place = max((self.where[n][-1] for n in names if self.where.get(n)), default=0)
+        if place > self.barriers[-1]:
+            self.close_to(place)
 
     def end(self, name: str) -> None:
-        if name not in BLOCK:
+        if name not in BLOCK and name not in CONTROLS:
             return
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].name == name:
-                while len(self.open) > i:
-                    self.close()
-                return
-            if name in PARAGRAPHS and self.open[i].name in BARRIERS:
-                break
-        self.flush()
+        places = self.where.get(name)
+        if places and not (name in PARAGRAPHS and self.barriers[-1] > places[-1]):
+            self.close_to(places[-1])
+        elif name in BLOCK:
+            self.flush()
 
     def close(self) -> None:
         """End the innermost open element: its hash is counted, and a template subtree loses its blocks."""
         self.flush()
         element = self.open.pop()
-        if not element.parts:
+        self.where[element.name].pop()
+        if self.barriers[-1] == len(self.open):
+            self.barriers.pop()
+        self.controls -= element.control
+        if element.control or not element.parts:
             return
         digest = hashlib.blake2b(f"{element.name}\0{'\0'.join(element.parts)}".encode(), digest_size=8).digest()
         number = int.from_bytes(digest, "little", signed=True)
@@ -223,7 +312,7 @@ class Page:
         if element.name in ROOTS:
             return
         kind = PLAIN
-        if element.content:
+        if element.content > 0:
             kind = PARAGRAPH if element.name in PARAGRAPHS else CELL if element.name in CELLS else PLAIN
         number = number & ~3 | kind
         self.hashes.add(number)
@@ -231,7 +320,8 @@ class Page:
             del self.blocks[element.first_block :]
 
     def main_text(self) -> str:
-        return "\n".join(words for content, words in self.blocks if content == self.article)
+        counted = (0, self.article) if self.article else (0, -1)
+        return "\n".join(words for content, words in self.blocks if content in counted)
 
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
@@ -239,14 +329,9 @@ HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        row, found = [], []
-        for i, source in enumerate(batch.column("html").to_pylist()):
-            own = Page(source or "").hashes
-            row += [i] * len(own)
-            found += own
-        picked = pa.array(row, pa.int64())
-        columns = [batch.column(n).take(picked) for n in ("host_key", "page_key")]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.int64())], ["host_key", "page_key", "subtree"])
+        found = [list(Page(source or "").hashes) for source in batch.column("html").to_pylist()]
+        keys = [batch.column(n) for n in ("host_key", "page_key")]
+        yield pa.RecordBatch.from_arrays([*keys, pa.array(found, pa.list_(pa.int64()))], ["host_key", "page_key", "subtrees"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,9 +353,10 @@ def main_texts(
     # Hosts and pages are counted and joined by 64-bit hashes: the rows of subtrees are many.
     keys = [F.xxhash64("host").alias("host_key"), F.xxhash64("page_id", "url").alias("page_key")]
     hosted = rows.filter("host <> ''").select(*keys, "html")
-    subtrees = hosted.mapInArrow(_hashes, "host_key long, page_key long, subtree long")
+    hashed = stored(hosted.mapInArrow(_hashes, "host_key long, page_key long, subtrees array<long>"), "subtrees")
+    subtrees = hashed.select("host_key", "page_key", F.explode("subtrees").alias("subtree"))
     counts = subtrees.groupBy("host_key", "subtree").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages)
-    sizes = hosted.groupBy("host_key").agg(F.count(F.lit(1)).alias("pages"))
+    sizes = hashed.groupBy("host_key").agg(F.count(F.lit(1)).alias("pages"))
     kind, shared = F.col("subtree").bitwiseAND(F.lit(3)), F.col("n") >= F.col("pages") * least_share
     many = F.col("n") >= many_pages
     recurs = F.when(kind == PLAIN, shared | many).when(kind == CELL, shared).otherwise(shared & many)
