@@ -292,3 +292,9 @@ def test_top_k_with_ties_and_odd_vectors(spark, monkeypatch, count, block):
     assert {tuple(r) for r in got} == brute_top(vectors, [i for i in vectors if i % 50 == 0], 5)
     none = usable.limit(0)
     assert topk.top_k(none, none).count() == 0
+
+
+def test_scores_that_may_not_fit_are_refused(spark):
+    vectors = spark.createDataFrame([(0, [1 << 40] * 4), (50, [1 << 40] * 4)], "vec_id long, vector array<long>")
+    with pytest.raises(Exception, match="may not fit a long"):
+        topk.top_k(vectors, vectors).collect()

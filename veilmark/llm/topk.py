@@ -13,7 +13,9 @@ by key.
 
 Components are floor(256 * x), with x as double.  Null vectors, vectors with null or non-finite components and rows
 without an id take no part; shorter vectors count as padded with zeros.  Rows that repeat an id and its vector count
-once, and no candidate has the query's own id.  Scores must fit a long.
+once, and no candidate has the query's own id.  Vectors so large that a score might not fit a long raise an error.  Of
+equal scores the smaller id comes first.  An empty table, or one without queries, gives no rows.  Columns other than
+``vec_id`` and ``embedding`` are not read.
 """
 
 from __future__ import annotations
@@ -43,6 +45,8 @@ def _cells(queries: pa.Table, vectors: pa.Table):
     """Per part of a cell's queries: ids, partial scores (lists x queries x vectors), cutoffs; and the vectors' ids."""
     width = max((len(v) for t in (queries, vectors) for v in t.column("vector").to_pylist()), default=0)
     left, right = _matrix(queries, width), _matrix(vectors, width)
+    if width * float(np.abs(left).max(initial=0)) * float(np.abs(right).max(initial=0)) >= 2**62:
+        raise OverflowError("an inner product may not fit a long")
     ids, own = vectors.column("vec_id").to_numpy(), queries.column("vec_id").to_numpy()
     edges = np.linspace(0, width, LISTS + 1).astype(int)
     for start in range(0, len(own), AT_ONCE):
