@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veilmark import catalog, clean, detect, io, mask, report
 from veilmark.operators import latest, textmatch
@@ -289,6 +290,42 @@ def tag_flatten(spark, sf):
     return rows.agg(*cells).select(F.inline(F.array(*shown)))
 
 
+@query(
+    "tag_branches",
+    """
+SELECT unnest([{'field': 'ssn', 'tag': 'tag-id', 'filled': count(c_custkey)},
+  {'field': 'national_id', 'tag': 'tag-national', 'filled': count(c_custkey)},
+  {'field': 'person.valid_national_id', 'tag': 'tag-valid', 'filled': count(c_custkey)},
+  {'field': 'person.phone_number', 'tag': 'tag-phone', 'filled': count(c_custkey)},
+  {'field': 'phone_number', 'tag': 'tag-text', 'filled': count(c_custkey)},
+  {'field': 'name', 'tag': 'tag-old', 'filled': count(c_name)},
+  {'field': 'segment', 'tag': 'tag-new', 'filled': count(c_mktsegment)}], recursive := true) FROM customer
+UNION ALL SELECT 'name, replaced', 'tag-new', 1""",
+)
+def tag_branches(spark, sf):
+    """Ids and phones that are no text take their own tags; an existing tag is kept or replaced."""
+    k = F.col("c_custkey")
+    rows = fx.table(spark, sf, "customer").select(
+        k.alias("ssn"),
+        fx.text(k).alias("national_id"),
+        F.struct((k > 0).alias("valid_national_id"), k.alias("phone_number")).alias("person"),
+        fx.text(k).alias("phone_number"),
+        F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("segment"),
+        F.col("c_acctbal").alias("balance"),
+    )
+    tags = {"nationalid": "tag-national", "validnationalid": "tag-valid", "phonenumber": "tag-text"}
+    schema = catalog.apply_tags(rows.select("name").schema, {"name": "tag-old"})
+    old = T.StructType([schema[f.name] if f.name == "name" else f for f in rows.schema.fields])
+    tags |= {"ssn": "tag-ssn", "name": "tag-new", "segment": "tag-new"}
+    branches = {"id_tag": "tag-id", "phone_tag": "tag-phone"}
+    kept = catalog.tagged_columns(catalog.apply_tags(old, tags, keep_existing=True, **branches))
+    replaced = dict(catalog.tagged_columns(catalog.apply_tags(old, tags, **branches)))
+    cells = [F.struct(F.lit(p).alias("field"), F.lit(t[0]).alias("tag"), F.count(p).alias("filled")) for p, t in kept]
+    again = F.struct(F.lit("name, replaced").alias("field"), F.lit(replaced["name"][0]).alias("tag"), F.lit(1).cast("bigint").alias("filled"))
+    return rows.agg(F.array(*cells, again).alias("cells")).select(F.inline("cells"))
+
+
 # ---------------------------------------------------------------- lineage
 
 
@@ -336,16 +373,16 @@ SELECT DISTINCT seed, column_name FROM (
 
 @query(
     "keyword_groups",
-    "WITH seeds AS (SELECT pk FROM model_columns WHERE pk % 90 = 10)" + GROUPS_SQL,
+    "WITH seeds AS (SELECT pk FROM model_columns)" + GROUPS_SQL,
     "model_columns",
 )
 def keyword_groups(spark, sf):
-    """Connected names of seeds, widened by every name that contains one of them."""
+    """Connected names of every column, widened by every name that contains one of them."""
     stored = scratch_dir(spark, "lineage")
     detect.lineage_edges(*fx.lineage_inputs(spark, sf)).write.parquet(stored)
     edges = spark.read.parquet(stored)
     parts = detect.components(detect.name_graph(edges))
-    seeds = fx.model_columns(spark, sf).filter("pk % 90 = 10").select(
+    seeds = fx.model_columns(spark, sf).select(
         F.col("c").alias("column_name"), F.col("pk").alias("ordinal")
     )
     groups = detect.reachable(parts, seeds)
@@ -427,12 +464,14 @@ TREE_SQL = """
 WITH g AS (SELECT DISTINCT 's' || (p_size % 8) AS seed, p_size % 8 AS ordinal,
     replace(p_name, ' ', '_') || CASE WHEN p_partkey % 3 = 0 THEN '_email' ELSE '' END || (p_partkey % 40) AS column_name
     FROM part),
+  lone AS (SELECT p_partkey AS k FROM part WHERE p_partkey % 40 = 9),
   claimed AS (SELECT column_name, min(ordinal) AS ordinal FROM g GROUP BY 1),
   parents AS (SELECT ordinal, min(column_name) AS parent FROM claimed GROUP BY 1)
 SELECT 's' || c.ordinal AS seed, parent, column_name AS child,
   CASE WHEN contains(parent, 'email') THEN 'high' ELSE 'medium' END AS sensitivity,
   CASE WHEN contains(column_name, 'email') THEN 'SHA256' ELSE 'DEFAULT_MASKING_VALUE' END AS child_masking_rule
-FROM claimed c JOIN parents USING (ordinal) WHERE column_name <> parent"""
+FROM claimed c JOIN parents USING (ordinal) WHERE column_name <> parent
+UNION ALL SELECT 't' || k, 'lone_email_' || k, NULL, 'high', NULL FROM lone"""
 
 
 def tree_groups(spark, sf):
@@ -440,9 +479,17 @@ def tree_groups(spark, sf):
     tail = F.when(p % 3 == 0, F.lit("_email")).otherwise(F.lit(""))
     name = F.concat(F.replace(F.col("p_name"), F.lit(" "), F.lit("_")), tail, fx.text(p % 40))
     group = F.col("p_size") % 8
-    return fx.table(spark, sf, "part").select(
-        F.concat(F.lit("s"), fx.text(group)).alias("seed"), group.alias("ordinal"), name.alias("column_name")
+    parts = fx.table(spark, sf, "part")
+    groups = parts.select(
+        F.concat(F.lit("s"), fx.text(group)).alias("seed"), group.cast("bigint").alias("ordinal"), name.alias("column_name")
     ).distinct()
+    # Groups of one column: parents without children.
+    lone = parts.filter(p % 40 == 9).select(
+        F.concat(F.lit("t"), fx.text(p)).alias("seed"),
+        (p + 100).cast("bigint").alias("ordinal"),
+        F.concat(F.lit("lone_email_"), fx.text(p)).alias("column_name"),
+    )
+    return groups.unionByName(lone)
 
 
 def tag_rows(spark, sf):
@@ -453,7 +500,7 @@ def tag_rows(spark, sf):
 @query("tag_tree", TREE_SQL)
 def tag_tree(spark, sf):
     """First claim of every column; parents and their children."""
-    return tag_rows(spark, sf).filter("child IS NOT NULL").select(
+    return tag_rows(spark, sf).select(
         "seed", "parent", "child", "sensitivity", "child_masking_rule"
     )
 
@@ -466,7 +513,7 @@ def tag_tree(spark, sf):
 )
 def parent_promotion(spark, sf):
     """Canonical children become parents."""
-    tree = tag_rows(spark, sf).filter("child IS NOT NULL")
+    tree = tag_rows(spark, sf)
     return detect.promote_parents(tree, ("blue_bolt1", "red_widget2", "small_ring4")).select(
         "sensitivity", "parent", "child"
     )

@@ -239,6 +239,22 @@ def config_inputs(spark, sf):
     return seeds.join(io.read_exclusions(spark, f"{root}/exclusions"), "column_name", "left_anti")
 
 
+@query(
+    "column_mapping",
+    """
+SELECT p_brand AS canonical, name AS alias, row_number() OVER (PARTITION BY p_brand ORDER BY name) - 1 AS ordinal
+FROM (SELECT DISTINCT p_brand, replace(p_name, ' ', '_') AS name FROM part)""",
+)
+def column_mapping(spark, sf):
+    """A mapping file of canonical columns and their aliases, as rows in the file's order."""
+    root = scratch_dir(spark, "mapping")
+    names = F.array_sort(F.collect_set(F.replace(F.col("p_name"), F.lit(" "), F.lit("_"))))
+    brands = fx.table(spark, sf, "part").groupBy("p_brand").agg(names.alias("names"))
+    mapping = brands.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("p_brand", "names")))).alias("value"))
+    mapping.coalesce(1).write.text(root)
+    return io.read_config_json(spark, root).withColumn("ordinal", F.col("ordinal").cast("bigint"))
+
+
 @query("write_partitioned", CUSTOMER_SQL)
 def write_partitioned(spark, sf):
     """Partitioned, clustered write, then a replacement that reads its own table."""
