@@ -565,6 +565,63 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     assert sorted(map(str, streamed.collect())) == sorted(map(str, batch.collect()))
 
 
+def test_a_replayed_batch_sends_only_what_is_open(spark, tmp_path, monkeypatch):
+    source, out, state, log = (str(tmp_path / n) for n in ("in", "out", "state", "received"))
+
+    def receive(payload, project):
+        with open(log, "a") as file:
+            file.write(f"{project}|{payload}\n")
+        return 500 if project == "bad" else 200
+
+    rows = [(str(i), i, ["a"], ["SE", "NO", "DK", "XX"][i % 4], f"m{i}") for i in range(60)]
+    columns = [f.name for f in events.MESSAGE_FIELDS]
+    full = spark.createDataFrame(rows, "national_id string, customer_id long, emails array<string>, market string, latest_email string")
+    full = full.select(*[F.col(c) if c in full.columns else F.lit(None).cast(f.type).alias(c) for c, f in zip(columns, events.MESSAGE_FIELDS)])
+    messages = events.to_messages(full)
+    messages.write.json(source)
+    projects = {"SE": ["p1", "p2"], "NO": "p1", "DK": "bad"}
+    run = lambda: consume_stream(
+        spark, source, projects, receive, out, state, attempts=1, backoff=0, chunk_rows=10
+    ).awaitTermination()
+
+    send, done = events._send_chunk, []
+
+    def lost_after_three(*args):
+        if len(done) == 3:
+            raise RuntimeError("driver lost")
+        send(*args)
+        done.append(args[1])
+
+    monkeypatch.setattr(events, "_send_chunk", lost_after_three)
+    with pytest.raises(Exception, match="driver lost"):
+        run()
+    first = open(log).read().splitlines()
+    assert 0 < len(first) < 60 and events.delivered(spark, out).count() >= len(first)
+    monkeypatch.undo()
+    run()
+    received = open(log).read().splitlines()
+    # 15 messages to two projects, 15 to one, 15 refused; each key once over both runs.
+    assert len(received) == len(set(received)) == 60 and received[: len(first)] == first
+    results = events.delivered(spark, out)
+    assert results.count() == 75 and results.filter("ok").count() == 45
+    # The same messages in a later batch: what was delivered is not sent again, what failed is.
+    messages.write.mode("append").json(source)
+    run()
+    again = open(log).read().splitlines()[60:]
+    assert len(again) == 15 and all(line.startswith("bad|") for line in again)
+
+
+def test_placeholder_ids_meet_no_events(spark):
+    keys = sample_vault(spark).withColumn("is_anonymized", F.lit(True)).withColumn("ssn", F.lit("0"))
+    known = spark.createDataFrame(
+        [("0", m, 1, "b", "m", "p", "e") for m in ("SE", "NO")] * 50,
+        "national_id string, market string, customer_id long, last_brand_interaction string, email string, "
+        "mobile_phone string, compliance_event string",
+    )
+    found = events.build(keys, known, F.lit("2024-01-01 11:00:00").cast("timestamp")).collect()
+    assert len(found) == 2 and {r.customer_id for r in found} == {None}
+
+
 def test_event_set_substitutes_missing_contacts(spark):
     keys = sample_vault(spark).withColumn("is_anonymized", F.lit(True))
     known = spark.createDataFrame(

@@ -5,13 +5,14 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import crypto, jsonx
 from ..functions.jsonx import MessageField
 from ..session import scratch_dir
+from .vault import PLACEHOLDER_IDS
 
 # The message record.
 MESSAGE_FIELDS = (
@@ -29,6 +30,8 @@ NULL_TEXT = "null"
 ALL_MARKETS = "ALL"
 # Delivery behaviour.
 PUBLISH_ATTEMPTS = 2
+#: Messages sent between two entries in a ledger.
+CHUNK_ROWS = 100_000
 HTTP_ATTEMPTS = 6
 RETRY_STATUSES = (500, 502, 503, 504)
 OK_STATUS = 200
@@ -65,6 +68,8 @@ def build(vault: DataFrame, compliance_events: DataFrame, as_of: Column, hours:
         F.col("mobile_phone").alias("latest_mobile"),
         "compliance_event",
     )
+    # A placeholder stands for nobody: all events of such ids would meet in one key.
+    known = known.filter(~F.col("__id").isin(*PLACEHOLDER_IDS))
     same = (F.col("national_id") == F.col("__id")) & (F.col("market") == F.col("__market"))
     joined = people.join(known, same, "left")
     keys = [
@@ -207,6 +212,62 @@ def deliver(
     return results.filter("ok"), results.filter(~F.col("ok"))
 
 
+def _committed(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` was completed."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def delivered(spark: SparkSession, ledger: str) -> DataFrame:
+    """All results of a ledger, one row per (message, project) sent or refused."""
+    if not _exists(spark, ledger):
+        return spark.createDataFrame([], RESULT_SCHEMA)
+    return spark.read.schema(RESULT_SCHEMA).parquet(ledger).select(*RESULT_SCHEMA.names)
+
+
+def _send_chunk(rows: DataFrame, path: str, transport: Transport, attempts: int, backoff: float, senders: int | None) -> None:
+    send_all(rows, transport, attempts, backoff, senders).write.mode("overwrite").parquet(path)
+
+
+def deliver_batch(
+    routed: DataFrame,
+    transport: Transport,
+    ledger: str,
+    batch: int,
+    attempts: int = HTTP_ATTEMPTS,
+    backoff: float = 1.0,
+    senders: int | None = None,
+    chunk_rows: int = CHUNK_ROWS,
+) -> None:
+    """Send a batch under a ledger: what is to be sent is written before, the results after, chunk by chunk.
+
+    The batch is opened once: one row per (message, project) that no earlier batch delivered, dealt into chunks by a hash
+    of that key.  A chunk with a completed results folder is never sent again, so a batch that is replayed after a
+    failure sends only what is open; at most one chunk is in doubt, and its messages carry the ids they had before.
+    Failed deliveries count as done; replaying those is a separate step.
+    """
+    spark, ledger = routed.sparkSession, ledger.rstrip("/")
+    opened, results = f"{ledger}/_opened/batch_id={batch}", f"{ledger}/batch_id={batch}"
+    if not _committed(spark, opened):
+        before = delivered(spark, ledger).filter("ok").select(F.col("message_id").alias("__m"), F.col("project").alias("__p"))
+        same = (F.col("message_id") == F.col("__m")) & (F.col("project") == F.col("__p"))
+        new = routed.select("message_id", "project", "payload").dropDuplicates(["message_id", "project"])
+        new.join(before, same, "left_anti").write.mode("overwrite").parquet(opened)
+    rows = spark.read.schema(routed.select("message_id", "project", "payload").schema).parquet(opened)
+    chunks = -(-rows.count() // chunk_rows)
+    # The number of chunks follows from the opened rows, so a replay deals them out alike.
+    chunk = F.pmod(F.xxhash64("message_id", "project"), F.lit(max(chunks, 1)))
+    for number in range(chunks):
+        path = f"{results}/chunk={number}"
+        if not _committed(spark, path):
+            _send_chunk(rows.filter(chunk == number), path, transport, attempts, backoff, senders)
+
+
 def publish(
     events: DataFrame, transport: Transport, topic: str = "events", backoff: float = 1.0, path: str | None = None
 ) -> tuple[DataFrame, DataFrame]:

@@ -30,18 +30,18 @@ def consume_stream(
     backoff: float = 1.0,
     files_per_batch: int = 1000,
     senders: int | None = None,
+    chunk_rows: int = events.CHUNK_ROWS,
 ):
     """Drain the message folder and stop; results land in ``out`` by batch.
 
-    Every batch writes its own partition and replaces it when replayed, so a
-    restart after a lost driver neither loses nor repeats result rows.  Failed
-    deliveries stay in the results table; replaying them is a separate step.
+    ``out`` is a ledger (``events.deliver_batch``): a batch that is replayed after a lost driver sends only what has no
+    result yet, and a message that an earlier batch delivered is not sent again.  Failed deliveries stay in the results
+    table; replaying them is a separate step.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         routed = events.route(events.read_messages(batch), market_projects)
-        results = events.send_all(routed, transport, attempts, backoff, senders)
-        results.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
+        events.deliver_batch(routed, transport, out, batch_id, attempts, backoff, senders, chunk_rows)
 
     return (
         message_stream(spark, path, files_per_batch)
