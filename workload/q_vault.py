@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from veilmark import crypto, events, io, vault, views
 from veilmark.session import scratch_dir, ship_package
-from veilmark.streaming import consume_stream, dedupe_stream
+from veilmark.streaming import consume_stream, dedupe_stream, settled, write_canonical
 
 from . import fixtures as fx
 from .registry import query
@@ -591,3 +591,27 @@ def stream_dedupe(spark, sf):
         "path", f"{root}/out"
     ).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{root}/out")
+
+
+@query(
+    "stream_canonical",
+    """
+SELECT xid, xoffset, ts, source, data
+FROM (SELECT xid, xoffset, ts, source, CASE WHEN source = 'replica' THEN NULL ELSE data END AS data FROM change_events)
+QUALIFY row_number() OVER (PARTITION BY xid, xoffset, ts ORDER BY source DESC, data DESC NULLS LAST) = 1""",
+    "change_events",
+)
+def stream_canonical(spark, sf):
+    """Differing repeats over two drains of a stream: in time, out of order and after the watermark, as the batch form."""
+    ship_package(spark)
+    root = scratch_dir(spark, "canonical")
+    changes = fx.change_events(spark, sf).select(
+        "xid", "xoffset", "ts", "source", F.when(F.col("source") != "replica", F.col("data")).alias("data")
+    )
+    # Two thirds of the repeats from the replica come with the second drain, when the watermark has passed most of them.
+    second = (F.col("source") == "replica") & (F.col("xoffset") % 3 != 0)
+    for part in (changes.filter(~second), changes.filter(second)):
+        part.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(changes.schema).parquet(f"{root}/in")
+        write_canonical(stream, f"{root}/out", f"{root}/state", delay="1 day").awaitTermination()
+    return settled(spark, f"{root}/out", f"{root}/state", changes.schema)
