@@ -2,25 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Words of one automaton and names read against it in one go; they bound the memory of a task.
+SHARD_WORDS, BLOCK_NAMES = 50_000, 200_000
 
-def containment(names: DataFrame, words: DataFrame) -> DataFrame:
+
+def containment(
+    names: DataFrame, words: DataFrame, shard_words: int = SHARD_WORDS, block_names: int = BLOCK_NAMES
+) -> DataFrame:
     """Pairs ``(name, word)`` where the text ``name`` contains ``word``.
 
-    ``names`` and ``words`` are one-column DataFrames (``name`` / ``word``); both
-    are made distinct first.  Words are matched by an equi-join with the
-    substrings of each name that have the length of some word, so the work
-    follows the names and not names x words.  The lengths come from an aggregate
-    inside the plan; there are at most as many as the longest word has characters.
+    ``names`` and ``words`` are one-column DataFrames (``name`` / ``word``); both are made distinct first.  NULL and
+    the empty word match nothing.  Words are dealt to shards and names to blocks by hash; a task builds the
+    Aho-Corasick automaton of a shard and reads every name of a block once, whatever the number of words.  What is
+    shuffled are the names once per shard and the words once per block: no substring, no pair that does not match.
+    The numbers of shards and blocks come from counts inside the plan.  Tasks need ``pyahocorasick``.
     """
     names = names.select("name").filter(F.col("name").isNotNull()).distinct()
     words = words.select("word").filter(F.col("word").isNotNull() & (F.col("word") != "")).distinct()
-    lengths = words.agg(F.sort_array(F.collect_set(F.length("word")))).scalar()
-    pieces = names.select("name", F.explode(lengths).alias("__n")).filter(F.length("name") >= F.col("__n"))
-    starts = F.sequence(F.lit(1), F.length("name") - F.col("__n") + 1)
-    grams = pieces.select(
-        "name", F.explode(F.transform(starts, lambda i: F.substring(F.col("name"), i, F.col("__n")))).alias("word")
-    ).distinct()
-    return grams.join(words, "word", "left_semi").select("name", "word")
+
+    def groups(df: DataFrame, size: int) -> Column:
+        return df.agg(F.greatest(F.ceil(F.count(F.lit(1)) / size), F.lit(1)).cast("int")).scalar()
+
+    shards, blocks = groups(words, shard_words), groups(names, block_names)
+
+    def dealt(df: DataFrame, text: str, own: tuple[str, Column], every: tuple[str, Column]) -> DataFrame:
+        place = F.pmod(F.xxhash64(text), own[1]).cast("int").alias(own[0])
+        return df.select(text, place, F.explode(F.sequence(F.lit(0), every[1] - 1)).alias(every[0]))
+
+    left = dealt(names, "name", ("block", blocks), ("shard", shards)).groupBy("shard", "block")
+    right = dealt(words, "word", ("shard", shards), ("block", blocks)).groupBy("shard", "block")
+
+    # Nested, so that it travels with the job.
+    def read(block: pa.Table, shard: pa.Table) -> pa.Table:
+        import ahocorasick
+
+        found_names, found_words = [], []
+        if block.num_rows and shard.num_rows:
+            automaton = ahocorasick.Automaton()
+            for word in shard.column("word").to_pylist():
+                automaton.add_word(word, word)
+            automaton.make_automaton()
+            for name in block.column("name").to_pylist():
+                hits = {word for _, word in automaton.iter(name)}
+                found_names.extend([name] * len(hits))
+                found_words.extend(hits)
+        return pa.table({"name": pa.array(found_names, pa.string()), "word": pa.array(found_words, pa.string())})
+
+    return left.cogroup(right).applyInArrow(read, "name string, word string")
