@@ -117,6 +117,35 @@ def test_components_equal_union_find(spark, seed, share):
     assert got == brute_components(edges)
 
 
+@pytest.mark.parametrize("seed,share", [(1, None), (2, 0.05)])
+def test_extended_components_equal_a_full_run(spark, seed, share):
+    rng = random.Random(seed)
+    edges = [(rng.randrange(80), rng.randrange(80)) for _ in range(50)] + [(7, 7), (300, 300)]
+    old, new = edges[:25], edges[25:]
+    stored = detect.components(spark.createDataFrame(old, "src int, dst int"))
+    added = spark.createDataFrame([*new, (None, 3), (4, None), new[0]], "src int, dst int")
+    got = [tuple(r) for r in detect.extend_components(stored, added, share).collect()]
+    assert len(got) == len(dict(got)) and dict(got) == brute_components(edges)
+    same = detect.extend_components(stored, added.limit(0))
+    assert {tuple(r) for r in same.collect()} == set(brute_components(old).items())
+    whole = detect.extend_components(stored.limit(0), added)
+    assert {tuple(r) for r in whole.collect()} == set(brute_components(new).items())
+
+
+def test_extending_takes_the_rounds_of_the_new_edges(spark, monkeypatch):
+    rounds, stars = [], detect._stars
+    monkeypatch.setattr(detect, "_stars", lambda *args: rounds.append(1) or stars(*args))
+    chain = [(i, i + 1) for i in range(400)]
+    halves = spark.createDataFrame([e for e in chain if e[0] != 200], "src int, dst int")
+    stored = detect.components(halves).checkpoint()
+    full = len(rounds)
+    rounds.clear()
+    got = detect.extend_components(stored, spark.createDataFrame([(200, 201)], "src int, dst int"))
+    assert {r.component for r in got.collect()} == {0} and got.count() == 401
+    # Two stars a round, and the one round that finds nothing to do.
+    assert len(rounds) <= 4 < full
+
+
 def test_reachable_reports_unknown_seeds(spark):
     parts = spark.createDataFrame([("a", "a"), ("b", "a"), ("z", "z")], "node string, component string")
     seeds = spark.createDataFrame([("t.B", 1)], "column_name string, ordinal int")
@@ -135,6 +164,16 @@ def test_containment(spark):
     pairs = textmatch.containment(n, w)
     assert {tuple(r) for r in pairs.collect()} == want
     assert textmatch.containment(n, w.limit(0)).count() == 0
+    assert textmatch.containment(n.limit(0), w).count() == 0
+    # Many shards and blocks give the same pairs, each once.
+    split = textmatch.containment(n, w, shard_words=4, block_names=30)
+    assert sorted(map(tuple, split.collect())) == sorted(want)
+    wide = spark.createDataFrame([("Größe \U0001f600x",), ("",)], "name string")
+    hits = textmatch.containment(wide, spark.createDataFrame([("öß",), ("\U0001f600",), ("X",)], "word string"))
+    assert {r.word for r in hits.collect()} == {"öß", "\U0001f600"}
+    # The only rows made are copies of names per shard and of words per block.
+    plan = plan_of(textmatch.containment(n, w))
+    assert plan.count("Generate") == 2 and "substring" not in plan
     assert "NestedLoop" not in plan_of(pairs) and "Cartesian" not in plan_of(pairs)
 
 

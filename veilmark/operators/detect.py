@@ -175,22 +175,55 @@ def components(edges: DataFrame, hot_share: float | None = None) -> DataFrame:
     return nodes.join(roots, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
 
-def reachable(component_rows: DataFrame, seeds: DataFrame) -> DataFrame:
-    """``(seed, ordinal, column_name)``: every name connected to each seed column.
+def extend_components(stored: DataFrame, edges: DataFrame, hot_share: float | None = None) -> DataFrame:
+    """Components after adding ``edges`` to a stored result ``(node, component)``; equal to a run over all edges.
+
+    New edges are contracted first: each end becomes its stored component, a new node stays itself.  The star rounds
+    run on these few edges only and their number grows with the logarithm of the contracted graph, however large or
+    deep the stored one is.  The stored table is read twice, once to look up the ends and once to rename components
+    that merged; a giant component is one key of the second join, which ``hot_share`` salts.
+    Edges with a NULL end are ignored; an empty ``edges`` returns the stored rows.
+    """
+    ensure_checkpoint_dir(edges.sparkSession)
+    plain = edges.select("src", "dst").filter(F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct()
+    ends = plain.select(F.col("src").alias("end")).unionByName(plain.select(F.col("dst").alias("end"))).distinct()
+    known = stored.select("node", F.col("component").alias("own"))
+    # Written, since three later plans read it.
+    placed = ends.join(known, ends["end"] == known["node"], "left").select(
+        "end", F.coalesce("own", "end").alias("own"), F.col("own").isNull().alias("fresh")
+    )
+    placed = placed.checkpoint()
+
+    def contract(df: DataFrame, column: str) -> DataFrame:
+        return lookup_join(df, placed.select("end", F.col("own").alias(f"__{column}")), [(F.col(column), "end")], hot_share)
+
+    contracted = contract(contract(plain, "src"), "dst").select(F.col("__src").alias("src"), F.col("__dst").alias("dst"))
+    merged = components(contracted.distinct(), hot_share).select("node", F.col("component").alias("__into")).checkpoint()
+    rows = stored.select("node", "component").unionByName(
+        placed.filter("fresh").select(F.col("end").alias("node"), F.col("own").alias("component"))
+    )
+    renamed = lookup_join(rows, merged, [(F.col("component"), "node")], hot_share)
+    return renamed.select("node", F.coalesce("__into", "component").alias("component"))
+
 
-    ``seeds`` has ``column_name, ordinal``.  A seed that is not in the graph is
-    an error, as it points to a misspelt column.
+def seed_components(component_rows: DataFrame, seeds: DataFrame) -> DataFrame:
+    """``(seed, ordinal, component)``: where each seed column lies; its names are the members of that component.
+
+    With the component table this is all that ``reachable`` says, in one row per seed.
+    ``seeds`` has ``column_name, ordinal``.  A seed that is not in the graph is an error, as it points to a misspelt
+    column.
     """
     wanted = seeds.select(F.col("column_name").alias("seed"), "ordinal", bare(F.col("column_name")).alias("node"))
     unknown = wanted.join(component_rows, "node", "left_anti").limit(5).collect()
     if unknown:
         raise ValueError(f"columns not in the lineage graph: {sorted(r.seed for r in unknown)}")
-    return (
-        wanted.join(component_rows, "node")
-        .select("seed", "ordinal", "component")
-        .join(component_rows, "component")
-        .select("seed", "ordinal", F.col("node").alias("column_name"))
-    )
+    return wanted.join(component_rows, "node").select("seed", "ordinal", "component")
+
+
+def reachable(component_rows: DataFrame, seeds: DataFrame) -> DataFrame:
+    """``(seed, ordinal, column_name)``: every name connected to each seed column (see ``seed_components``)."""
+    members = component_rows.select("component", F.col("node").alias("column_name"))
+    return seed_components(component_rows, seeds).join(members, "component").select("seed", "ordinal", "column_name")
 
 
 # ---------------------------------------------------------------- grouping

@@ -362,6 +362,23 @@ def chain_components(spark, sf):
     return detect.components(chain.unionByName(hub))
 
 
+@query(
+    "extended_components",
+    """
+SELECT o_orderkey AS node, CASE WHEN (o_orderkey // 50) % 3 = 0 THEN -1 ELSE o_orderkey - o_orderkey % 50 END AS component
+FROM orders UNION ALL SELECT -1, -1""",
+)
+def extended_components(spark, sf):
+    """The same components in two days: chains cut in pieces of ten are stored, the links between them and the hub come later."""
+    o = F.col("o_orderkey")
+    orders = fx.table(spark, sf, "orders").select(o)
+    chain = orders.filter(o % 50 != 0).select(o.alias("src"), (o - 1).alias("dst"))
+    hub = orders.filter((o % 50 == 0) & (F.floor(o / 50) % 3 == 0)).select(o.alias("src"), F.lit(-1).cast("bigint").alias("dst"))
+    path = scratch_dir(spark, "components")
+    detect.components(chain.filter(F.col("src") % 10 != 0)).write.parquet(path)
+    return detect.extend_components(spark.read.parquet(path), chain.filter(F.col("src") % 10 == 0).unionByName(hub))
+
+
 GROUPS_SQL = """
 SELECT DISTINCT seed, column_name FROM (
   SELECT 'c' || pk AS seed, 'c' || pk AS column_name FROM seeds
