@@ -1,6 +1,7 @@
 """Scans, sinks, schemas and manifests."""
 
 from . import versioned
+from .clustered import file_ranges, write_clustered
 from .files import (
     BadRecordBudgetExceeded,
     Landing,
@@ -39,6 +40,7 @@ __all__ = [
     "copy_table",
     "drop_fields",
     "export_csv",
+    "file_ranges",
     "insert_absent",
     "list_tables",
     "load_manifest",
@@ -57,5 +59,6 @@ __all__ = [
     "view_id",
     "with_file_path",
     "with_partition_date",
+    "write_clustered",
     "write_table",
 ]

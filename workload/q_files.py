@@ -266,6 +266,31 @@ def write_partitioned(spark, sf):
     return io.versioned.replace(io.versioned.read(spark, table).unionByName(odd), table)
 
 
+@query(
+    "write_clustered",
+    """
+SELECT 'o_custkey' AS filter, count(*) AS n, TRUE AS skips_half FROM orders WHERE o_custkey <= (SELECT max(o_custkey) // 50 FROM orders)
+UNION ALL
+SELECT 'o_orderdate', count(*), TRUE FROM orders WHERE o_orderdate < (SELECT min(o_orderdate) FROM orders) + INTERVAL 30 DAY""",
+)
+def write_clustered(spark, sf):
+    """Files along a curve over two columns: a filter on either one skips at least half of them."""
+    path = scratch_dir(spark, "clustered")
+    orders = fx.table(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    ends = orders.agg(F.max("o_custkey").alias("most"), F.min("o_orderdate").alias("first")).first()
+    io.write_clustered(orders, path, ["o_custkey", "o_orderdate"], files=16)
+    until = F.lit(ends.first) + F.expr("INTERVAL 30 DAYS")
+    filters = {"o_custkey": lambda c: c <= ends.most // 50, "o_orderdate": lambda c: c < until}
+    files = io.file_ranges(spark, path, list(filters))
+    rows = spark.read.parquet(path)
+    parts = []
+    for column, holds in filters.items():
+        skipped = files.agg((F.count_if(~holds(F.col(f"min_{column}"))) * 2 >= F.count(F.lit(1))).alias("skips_half"))
+        counted = rows.filter(holds(F.col(column))).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(counted.select(F.lit(column).alias("filter"), "n", skipped.scalar().alias("skips_half")))
+    return parts[0].unionByName(parts[1])
+
+
 @query("copy_table", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def copy_table(spark, sf):
     """Table copy."""
