@@ -248,3 +248,12 @@ def test_snapshot_diff_labels(spark):
     after = spark.createDataFrame([(2, None), (3, "c")], "k int, v string")
     rows = {r.k: (r.before, r.after, r.comparison) for r in report.snapshot_diff(before, after, ["k"]).collect()}
     assert rows == {1: ("a", "N/A", "Changed"), 2: (None, None, "No Change"), 3: ("N/A", "c", "Changed")}
+
+
+def test_lone_parents_are_no_group_of_names(spark, small):
+    from workload import q_catalog
+
+    names = q_catalog.distinct_names(spark, small).collect()
+    assert {r.seed for r in names} <= {f"s{i}" for i in range(8)}
+    lone = q_catalog.tree_groups(spark, small).filter("seed LIKE 't%'")
+    assert lone.count() > 0

@@ -491,22 +491,27 @@ FROM claimed c JOIN parents USING (ordinal) WHERE column_name <> parent
 UNION ALL SELECT 't' || k, 'lone_email_' || k, NULL, 'high', NULL FROM lone"""
 
 
-def tree_groups(spark, sf):
+def name_groups(spark, sf):
+    """Column names of every part, in eight groups."""
     p = F.col("p_partkey")
     tail = F.when(p % 3 == 0, F.lit("_email")).otherwise(F.lit(""))
     name = F.concat(F.replace(F.col("p_name"), F.lit(" "), F.lit("_")), tail, fx.text(p % 40))
     group = F.col("p_size") % 8
     parts = fx.table(spark, sf, "part")
-    groups = parts.select(
+    return parts.select(
         F.concat(F.lit("s"), fx.text(group)).alias("seed"), group.cast("bigint").alias("ordinal"), name.alias("column_name")
     ).distinct()
+
+
+def tree_groups(spark, sf):
+    p = F.col("p_partkey")
     # Groups of one column: parents without children.
-    lone = parts.filter(p % 40 == 9).select(
+    lone = fx.table(spark, sf, "part").filter(p % 40 == 9).select(
         F.concat(F.lit("t"), fx.text(p)).alias("seed"),
         (p + 100).cast("bigint").alias("ordinal"),
         F.concat(F.lit("lone_email_"), fx.text(p)).alias("column_name"),
     )
-    return groups.unionByName(lone)
+    return name_groups(spark, sf).unionByName(lone)
 
 
 def tag_rows(spark, sf):
@@ -726,4 +731,4 @@ SELECT seed, string_agg(column_name, '|' ORDER BY column_name) AS names FROM (SE
 )
 def distinct_names(spark, sf):
     """Sorted distinct names of a group."""
-    return latest.distinct_list(tree_groups(spark, sf), ["seed"], "column_name", "names", "|")
+    return latest.distinct_list(name_groups(spark, sf), ["seed"], "column_name", "names", "|")
