@@ -634,3 +634,32 @@ def test_event_set_substitutes_missing_contacts(spark):
     assert rows["100000000001"].mobile_phones == ["+46701", "null"]
     assert rows["100000000001"].customer_id == 1 and rows["100000000002"].customer_id is None
     assert events.build(keys, known, F.lit("2024-01-01 13:00:00").cast("timestamp")).count() == 0
+
+
+def test_documents_are_dealt_before_they_are_widened(spark, small):
+    import workload.fixtures as fx
+    from workload import q_documents
+
+    nested_rows, members = fx.documents(spark, small), fx.member_versions(spark, small, q_documents.all_paths())
+    grouped = [
+        q_documents.current(spark, small),
+        documents.child_table(q_documents.current(spark, small), "loans"),
+        documents.credit_reports(q_documents.current(spark, small)),
+        documents.applications(nested_rows),
+        documents.applications(members),
+        documents.all_versions(nested_rows, slim=True),
+    ]
+    for df in grouped:
+        plan = plan_of(df)[2]
+        # The shuffles are those of the narrow orders and lines; none follows for the versions.
+        moved = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+        assert moved and all("REPARTITION_BY_NUM" in line for line in moved)
+
+
+def test_tasks_grow_with_the_documents(spark, small, monkeypatch):
+    import workload.fixtures as fx
+
+    few = fx.document_orders(spark, small).rdd.getNumPartitions()
+    monkeypatch.setattr(fx, "DOCUMENTS_PER_TASK", 50)
+    assert few == spark.sparkContext.defaultParallelism
+    assert fx.document_orders(spark, small).rdd.getNumPartitions() == -(-fx.table(spark, small, "orders").count() // 50)
