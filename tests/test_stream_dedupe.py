@@ -98,3 +98,40 @@ def test_an_empty_stream(spark, tmp_path):
         (1, BASE + 5 * HOUR, "history", "b"),
     ]
     assert late_rows(spark, f"{root}/out", ROW).count() == 0
+
+
+def test_a_drain_calls_no_python_and_a_replayed_batch_changes_nothing(spark, tmp_path):
+    from veilmark.streaming import canonical
+
+    root = str(tmp_path)
+    deliver(spark, root, [(i, 1, BASE + i, "history", "a", None) for i in range(100)])
+    deliver(spark, root, [(i, 1, BASE + i, "replica", "b", None) for i in range(50)] + [(7, 7, BASE + 9 * HOUR, "x", "y", None)])
+    deliver(spark, root, [(1, 1, BASE + 1, "zulu", "late", None), (1, 1, BASE + 1, "zulu", "later", None)])
+    states = canonical._states(spark, f"{root}/state")
+    assert [s[:2] for s in states] == [(1, BASE + 8 * HOUR), (2, BASE + 8 * HOUR)]
+    seen = found(settled(spark, f"{root}/out", f"{root}/state", ROW))
+    assert found(late_rows(spark, f"{root}/out", ROW)) == [(1, BASE + 1, "zulu", "later")]
+    replay = spark.createDataFrame([(1, 1, BASE + 1, "zulu", "later", None)], ROW)
+    canonical.settle_batch(replay, 2, f"{root}/out", f"{root}/state", "1 hour")
+    assert found(settled(spark, f"{root}/out", f"{root}/state", ROW)) == seen
+    assert published(spark, f"{root}/out", ROW).count() == 100 and len(seen) == 101
+    plan = waiting(spark, f"{root}/state")._jdf.queryExecution().toString()
+    assert "statestore" not in plan.lower()
+
+
+def test_the_drain_equals_the_stateful_stream(spark, tmp_path):
+    from veilmark.streaming import canonical_stream
+
+    root = str(tmp_path)
+    for rows in (
+        [(i, 1, BASE + 60 * i, "history", "a", None) for i in range(200)],
+        [(i, 1, BASE + 60 * i, "replica", "b", None) for i in range(0, 300, 3)] + [(1, 1, None, "history", None, None)],
+    ):
+        deliver(spark, root, rows)
+        stream = canonical_stream(spark.readStream.schema(ROW).parquet(f"{root}/in"))
+        stream.writeStream.format("parquet").option("path", f"{root}/plain").option(
+            "checkpointLocation", f"{root}/plain-state"
+        ).trigger(availableNow=True).start().awaitTermination()
+    plain = spark.read.parquet(f"{root}/plain")
+    assert found(published(spark, f"{root}/out", ROW)) == found(plain.filter("NOT late"))
+    assert found(late_rows(spark, f"{root}/out", ROW)) == found(plain.filter("late"))

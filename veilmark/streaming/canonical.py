@@ -1,8 +1,11 @@
 """Deduplication of a change stream that settles on the same row as the batch form.
 
-``dedupe_stream`` keeps the first arrival.  Here a key's canonical repeat is kept: its best row so far waits in state
-until the watermark passes the change, then it is published and the state ends.  What arrives after that goes to a side
+``dedupe_stream`` keeps the first arrival.  Here a key's canonical repeat is kept: its best row so far waits
+until the watermark passes the change, then it is published.  What arrives after that goes to a side
 table.  Published, late and still waiting rows together give what ``cdc.dedupe_changes`` gives for the whole log.
+
+``canonical_stream`` holds the waiting rows in Spark's state store, with a few calls per change from Python.
+``write_canonical`` drains a stream of any size: it deduplicates whole micro-batches and holds the waiting rows as files.
 """
 
 from __future__ import annotations
@@ -22,6 +25,9 @@ STORE_CLASS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 STORE_SETTING = "spark.sql.streaming.stateStore.providerClass"
 VARIABLE = "best"
 PREFERENCE = ("source", "data")
+# Folders of the drain.
+BATCH = "__batch"
+WAITING = "waiting"
 
 
 def _rank(row: Row | tuple, places: list[int]) -> tuple:
@@ -106,13 +112,73 @@ def canonical_stream(changes: DataFrame, delay: str = "1 hour") -> DataFrame:
     )
 
 
+def _file_system(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _states(spark: SparkSession, checkpoint: str) -> list[tuple[int, int, str]]:
+    """``(batch, watermark in seconds, folder)`` of the waiting rows kept, oldest first."""
+    fs, folder = _file_system(spark, f"{checkpoint}/{WAITING}")
+    names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    found = [(n.split("-"), n) for n in names if n.startswith("batch-")]
+    return sorted((int(batch), int(until), f"{checkpoint}/{WAITING}/{n}") for (_, batch, until), n in found)
+
+
+def _write_once(rows: DataFrame, target: str, *partitions: str) -> None:
+    """A folder that appears whole; one that a replayed batch finds is left as it is."""
+    spark = rows.sparkSession
+    fs, path = _file_system(spark, target)
+    if fs.exists(path):
+        return
+    staging = spark._jvm.org.apache.hadoop.fs.Path(path.getParent(), f"_writing-{path.getName().replace('=', '-')}")
+    rows.write.mode("overwrite").partitionBy(*partitions).parquet(staging.toString())
+    if not fs.rename(staging, path):
+        raise RuntimeError(f"could not rename {staging} to {path}")
+
+
+def _best(rows: DataFrame) -> DataFrame:
+    return cdc.dedupe_changes(rows, tiebreak=[F.col(c).desc() for c in PREFERENCE[1:]])
+
+
+def settle_batch(batch: DataFrame, batch_id: int, out: str, checkpoint: str, delay: str) -> None:
+    """Publish what the watermark passes with this batch, write its late rows and what waits after it.
+
+    Rows are late by the watermark before the batch, as in ``canonical_stream``.  A change is published or waits by its
+    own time, so a batch that is replayed after either write gives the other one as it would have been.
+    """
+    if "late" in batch.columns:
+        raise ValueError("the change stream has a column named late")
+    spark = batch.sparkSession
+    earlier = [s for s in _states(spark, checkpoint) if s[0] < batch_id]
+    _, watermark, folder = earlier[-1] if earlier else (None, 0, None)
+    behind = F.unix_seconds(F.timestamp_seconds("ts") - F.expr(f"INTERVAL {delay}"))
+    reached = max(watermark, batch.agg(F.max(behind)).first()[0] or 0)
+    in_time = F.coalesce(F.col("ts") > watermark, F.lit(False))
+    rows = batch.filter(in_time)
+    if folder:
+        rows = rows.unionByName(spark.read.schema(batch.schema).parquet(folder))
+    closed = _best(rows.filter(F.col("ts") <= reached)).withColumn("late", F.lit(False))
+    late = _best(batch.filter(~in_time)).withColumn("late", F.lit(True))
+    _write_once(closed.unionByName(late), f"{out}/{BATCH}={batch_id}", "late")
+    _write_once(_best(rows.filter(F.col("ts") > reached)), f"{checkpoint}/{WAITING}/batch-{batch_id}-{reached}")
+    for _, _, old in earlier[:-1]:
+        fs, path = _file_system(spark, old)
+        fs.delete(path, True)
+
+
 def write_canonical(changes: DataFrame, out: str, checkpoint: str, delay: str = "1 hour"):
-    """Drain the stream into ``out``, partitioned by ``late``; the file sink writes each batch exactly once."""
+    """Drain the stream into ``out``, by batch and ``late``; what ``canonical_stream`` publishes, without Python rows.
+
+    A batch costs one shuffle of its rows and of the rows inside the delay, which are written anew below ``checkpoint``.
+    Its folders appear whole and once.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        settle_batch(batch, batch_id, out, checkpoint, delay)
+
     return (
-        canonical_stream(changes, delay)
-        .writeStream.format("parquet")
-        .partitionBy("late")
-        .option("path", out)
+        changes.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -121,7 +187,7 @@ def write_canonical(changes: DataFrame, out: str, checkpoint: str, delay: str =
 
 def _partition(spark: SparkSession, out: str, schema: T.StructType, late: bool) -> DataFrame:
     rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("late", T.BooleanType())])).parquet(out)
-    return rows.filter(F.col("late") == late).drop("late")
+    return rows.filter(F.col("late") == late).select(*[F.col(f"`{c}`") for c in schema.names])
 
 
 def published(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
@@ -135,12 +201,11 @@ def late_rows(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
 
 
 def waiting(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """Best rows so far of changes the watermark has not passed, read from the state of the stream's last batch."""
-    return spark.read.format("statestore").option("stateVarName", VARIABLE).load(checkpoint).select("value.*")
+    """Best rows so far of changes the watermark has not passed, after the stream's last batch."""
+    return spark.read.parquet(_states(spark, checkpoint)[-1][2])
 
 
 def settled(spark: SparkSession, out: str, checkpoint: str, schema: T.StructType) -> DataFrame:
     """What the batch form gives for everything that has arrived: published, late and waiting rows, deduplicated."""
     rows = published(spark, out, schema).unionByName(late_rows(spark, out, schema))
-    preference = [F.col(c).desc() for c in PREFERENCE[1:]]
-    return cdc.dedupe_changes(rows.unionByName(waiting(spark, checkpoint)), tiebreak=preference)
+    return _best(rows.unionByName(waiting(spark, checkpoint)))
