@@ -663,3 +663,12 @@ def test_tasks_grow_with_the_documents(spark, small, monkeypatch):
     monkeypatch.setattr(fx, "DOCUMENTS_PER_TASK", 50)
     assert few == spark.sparkContext.defaultParallelism
     assert fx.document_orders(spark, small).rdd.getNumPartitions() == -(-fx.table(spark, small, "orders").count() // 50)
+
+
+def test_contact_blocks_are_opened_by_one_join(spark, small):
+    from workload import q_vault
+
+    plan = plan_of(q_vault.view_triple(spark, small))[2]
+    tree = plan.split("== Initial Plan ==")[-1]
+    # One lookup seals and one opens; none leaves the rows of other types without a key.
+    assert sum("Join" in line and "LeftOuter" in line for line in tree.split("\n")) == 2

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilmark import crypto, events, io, vault, views
+from veilmark import crypto, events, io, joins, vault, views
 from veilmark.session import scratch_dir, ship_package
 from veilmark.streaming import consume_stream, dedupe_stream, settled, write_canonical
 
@@ -279,26 +282,30 @@ def view_triple(spark, sf):
         rows, "contact_blocks", F.col("market"), TAGS, keys, gate="payload.type", expose_join_key=True
     )
     kind = F.col("payload.type")
-    # Open with whichever lookup the type selects.
-    lookups = [("ssn", F.col("ssn_clean"), "post"), ("email", None, "email"), ("mobile", F.col("mobile_clean"), "mobile_phone")]
+    # Open with the lookup the type selects.  The three are joined as one: every row has a key in it, while three joins
+    # would each send the rows of the other types, which have none, to one task.
     email_of = fx.people(spark, sf).select(F.col("k").alias("ek"), F.col("email").alias("clear_email"))
     opened = view.join(email_of, F.col("k") == F.col("ek"))
-    clear, notes = [], []
-    for by, key, value in lookups:
-        found = vault.lookup(keys, by).select(*[F.col(c).alias(f"{by}_{c}") for c in ("key", "uuid", "cipher_key")])
-        wanted = F.when(kind == value, key if key is not None else F.col("clear_email"))
-        opened = opened.join(found, wanted == F.col(f"{by}_key"), "left")
-        for target, member in ((clear, "contact_detail"), (notes, "notes")):
-            target.append(
-                crypto.det_decrypt_with(F.col(f"payload.{member}"), F.col(f"{by}_cipher_key"), F.col(f"{by}_uuid"))
-            )
+    wanted = {"post": F.col("ssn_clean"), "email": F.col("clear_email"), "mobile_phone": F.col("mobile_clean")}
+    parts = [
+        vault.lookup(keys, by).select("key", "uuid", "cipher_key", F.lit(value).alias("type"))
+        for by, value in (("ssn", "post"), ("email", "email"), ("mobile", "mobile_phone"))
+    ]
+    found = reduce(DataFrame.unionByName, parts)
+    key = F.coalesce(*[F.when(kind == value, column) for value, column in wanted.items()])
+    opened = joins.lookup_join(opened, found, [(key, "key"), (kind, "type")])
+
+    def clear(member):
+        return crypto.det_decrypt_with(F.col(f"payload.{member}"), F.col("cipher_key"), F.col("uuid"))
+
+    contact, notes = clear("contact_detail"), clear("notes")
     return opened.select(
         "k",
         kind.alias("type"),
-        F.coalesce(*clear, F.col("payload.contact_detail")).alias("contact"),
-        F.coalesce(*clear).isNotNull().alias("contact_sealed"),
-        F.coalesce(*notes, F.col("payload.notes")).alias("segment"),
-        F.coalesce(*notes).isNotNull().alias("notes_sealed"),
+        F.coalesce(contact, F.col("payload.contact_detail")).alias("contact"),
+        contact.isNotNull().alias("contact_sealed"),
+        F.coalesce(notes, F.col("payload.notes")).alias("segment"),
+        notes.isNotNull().alias("notes_sealed"),
         "date_partition",
         "is_anonymised",
     )
