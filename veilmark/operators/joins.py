@@ -23,10 +23,14 @@ def hot_keys(df: DataFrame, key: Column, share: float) -> list:
     return sorted(items.first()[0] or [])
 
 
+def _named(column: str) -> Column:
+    return F.col(f"`{column}`")
+
+
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
-    on: Sequence[tuple[Column, str]],
+    on: Sequence[tuple[Column | str, str]],
     hot_share: float | None = None,
     salts: int = 64,
 ) -> DataFrame:
@@ -38,11 +42,14 @@ def lookup_join(
     * ``hot_share`` salts keys holding at least that share of rows, and rows
       without a key, by a hash of the whole row: only those few lookup rows are
       copied ``salts`` times.
+    * A key given by its column's name is compared as it is.  The rows then stay
+      dealt by that column, and a later join on it moves them no more.
     """
-    names = [f"__k{i}" for i in range(len(on))]
+    made = {f"__k{i}": expr for i, (expr, _) in enumerate(on) if not isinstance(expr, str)}
+    names = [expr if isinstance(expr, str) else f"__k{i}" for i, (expr, _) in enumerate(on)]
     values = [c for c in lookup.columns if c not in {col for _, col in on}]
-    probe = df.withColumns({n: expr for n, (expr, _) in zip(names, on)})
-    missing = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
+    probe = df.withColumns(made) if made else df
+    missing = reduce(lambda a, b: a | b, [_named(n).isNull() for n in names])
     build = lookup.select(*[F.col(c).alias(f"__b{i}") for i, (_, c) in enumerate(on)], *values)
     build = build.dropna(subset=[f"__b{i}" for i in range(len(on))])
     build_hash = F.xxhash64(*[F.col(f"__b{i}") for i in range(len(on))])
@@ -52,7 +59,7 @@ def lookup_join(
         # Always 0, but not a literal, so the optimizer keeps it as a join key.
         build = build.withColumn("__bsalt", F.pmod(build_hash, F.lit(1)).cast("bigint"))
     else:
-        key_hash = F.when(~missing, F.xxhash64(*[F.col(n) for n in names]))
+        key_hash = F.when(~missing, F.xxhash64(*[_named(n) for n in names]))
         hot = hot_keys(probe, key_hash, hot_share)
         salt_of = F.pmod(row_hash(df), F.lit(salts))
         probe = probe.withColumn(
@@ -64,9 +71,9 @@ def lookup_join(
 
     condition = F.col("__salt") == F.col("__bsalt")
     for i, n in enumerate(names):
-        condition = condition & (F.col(n) == F.col(f"__b{i}"))
+        condition = condition & (_named(n) == F.col(f"__b{i}"))
     joined = probe.join(build, condition, "left")
-    return joined.drop("__salt", "__bsalt", *names, *[f"__b{i}" for i in range(len(on))])
+    return joined.drop("__salt", "__bsalt", *made, *[f"__b{i}" for i in range(len(on))])
 
 
 def absent(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -151,12 +151,14 @@ def lookup(vault: DataFrame, by: str, stack: str | None = None) -> DataFrame:
     """One row per lookup key with the person's uuid and sub-keys.
 
     ``by`` is ``ssn``, ``app`` (application id within ``stack``), ``email`` or
-    ``mobile``; the latest contact wins.  Sub-keys are derived here, once per
-    person, and not per encrypted field.
+    ``mobile``; the latest contact wins.  Blanks and the placeholder '0' stand for
+    nobody and are no keys.  Sub-keys are derived here, once per person, and not
+    per encrypted field.
     """
     material = ["uuid", "aead_key"]
+    usable = F.col("key").isNotNull() & ~F.col("key").isin(*PLACEHOLDER_IDS)
     if by == "ssn":
-        rows = vault.select(F.col("ssn").alias("key"), *material, "ingestion_timestamp")
+        rows = vault.select(F.col("ssn").alias("key"), *material, "ingestion_timestamp").filter(usable)
         keyed = latest.latest_by(rows, ["key"], [F.col("ingestion_timestamp").asc(), F.col("uuid").asc()])
     else:
         column = {"app": "loan_application_oid", "email": "email", "mobile": "mobile_phone"}[by]
@@ -166,7 +168,7 @@ def lookup(vault: DataFrame, by: str, stack: str | None = None) -> DataFrame:
                 raise ValueError("application id lookups need the stack label of the table")
             entries = entries.filter(F.col("h.stack") == stack)
         rows = entries.select(F.col(f"h.{column}").cast("string").alias("key"), *material, F.col("h.created_at").alias("__at"))
-        rows = rows.filter(F.col("key").isNotNull() & (F.col("key") != ""))
+        rows = rows.filter(usable)
         keyed = latest.latest_by(rows, ["key"], [F.col("__at").desc(), F.col("uuid").asc()])
     return keyed.select(
         "key",

@@ -168,8 +168,12 @@ def _flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False)).alias(FLAG)
 
 
-def _attach(df: DataFrame, lookup: DataFrame, key: Column, tag: str, hot_share: float | None) -> DataFrame:
+def _attach(df: DataFrame, lookup: DataFrame, key: Column | str, tag: str, hot_share: float | None) -> DataFrame:
+    """Join a lookup, which has usable keys only; a column given by its name leaves the rows dealt by that column."""
     renamed = lookup.select(*[F.col(c).alias(f"__{tag}_{c}") for c in lookup.columns])
+    if isinstance(key, str) and hot_share is None:
+        return lookup_join(df, renamed, [(key, f"__{tag}_key")])
+    key = F.col(f"`{key}`") if isinstance(key, str) else key
     return lookup_join(df, renamed, [(_usable(key), f"__{tag}_key")], hot_share=hot_share)
 
 
@@ -212,31 +216,34 @@ def encrypted_view(
     if key is not None:
         plan = replace(plan, keys={**plan.keys, plan.kind: key})
     raw = {k: F.col(p).cast("string") for k, p in plan.keys.items()}
+    # A key that is a text column of the table itself is joined by its name.
+    flat = {f.name for f in df.schema.fields if f.dataType == T.StringType()}
+    by_name = {k: p if p in flat else raw[k] for k, p in plan.keys.items()}
     exposed: list[Column] = []
 
     if plan.kind == "ssn":
         work = df.withColumn("ssn_clean", clean.national_id(F.col(plan.keys["ssn"]), market))
-        joined = _attach(work, vaults.lookup(vault, "ssn"), F.col("ssn_clean"), "s", hot_share)
+        joined = _attach(work, vaults.lookup(vault, "ssn"), "ssn_clean", "s", hot_share)
         person, exposed = _person(["s"]), [F.col("ssn_clean")]
         flag = (_filled(raw["ssn"]) & person.uuid.isNotNull()) | _said_anonymised(raw["ssn"])
     elif plan.kind == "app":
-        joined = _attach(df, vaults.lookup(vault, "app", stack), raw["app"], "a", hot_share)
+        joined = _attach(df, vaults.lookup(vault, "app", stack), by_name["app"], "a", hot_share)
         person, exposed = _person(["a"]), [F.lit(stack).alias("stack")]
         flag = (_filled(raw["app"]) & person.uuid.isNotNull()) | _said_anonymised(raw["app"])
     elif plan.kind == "email":
-        joined = _attach(df, vaults.lookup(vault, "email"), raw["email"], "e", hot_share)
+        joined = _attach(df, vaults.lookup(vault, "email"), by_name["email"], "e", hot_share)
         person = _person(["e"])
         flag = (_filled(raw["email"]) & person.uuid.isNotNull()) | _said_anonymised(raw["email"])
     elif plan.kind == "mobile":
         work = df.withColumn("mobile_clean", clean.phone(raw["mobile"], market))
-        joined = _attach(work, vaults.lookup(vault, "mobile"), F.col("mobile_clean"), "m", hot_share)
+        joined = _attach(work, vaults.lookup(vault, "mobile"), "mobile_clean", "m", hot_share)
         person, exposed = _person(["m"]), [F.col("mobile_clean")]
         seen = F.col("mobile_clean") if flag_on_clean_phone else raw["mobile"]
         flag = (_filled(seen) & person.uuid.isNotNull()) | _said_anonymised(seen)
     elif plan.kind == "double":
         work = df.withColumn("mobile_clean", clean.phone(raw["mobile"], market))
-        joined = _attach(work, vaults.lookup(vault, "email"), raw["email"], "e", hot_share)
-        joined = _attach(joined, vaults.lookup(vault, "mobile"), F.col("mobile_clean"), "m", hot_share)
+        joined = _attach(work, vaults.lookup(vault, "email"), by_name["email"], "e", hot_share)
+        joined = _attach(joined, vaults.lookup(vault, "mobile"), "mobile_clean", "m", hot_share)
         person, exposed = _person(["e", "m"]), [F.col("mobile_clean")]
         known = (_filled(F.col("mobile_clean")) | _filled(raw["email"])) & person.uuid.isNotNull()
         flag = _or(known, _said_anonymised(F.col("mobile_clean")), _said_anonymised(raw["email"]))

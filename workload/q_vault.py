@@ -167,11 +167,14 @@ def view_ssn_published(spark, sf):
     )
 
 
-def orders_with_app_id(spark, sf):
+def app_id():
     o = F.col("o_orderkey")
-    app = F.when(o % 23 == 0, F.lit("")).when(o % 29 == 0, F.lit("ANONYMIZED")).otherwise(fx.text(o))
+    return F.when(o % 23 == 0, F.lit("")).when(o % 29 == 0, F.lit("ANONYMIZED")).otherwise(fx.text(o))
+
+
+def orders_with_app_id(spark, sf):
     return fx.table(spark, sf, "orders").select(
-        "o_orderkey", app.alias("application_id"), F.col("o_orderpriority").alias("notes")
+        "o_orderkey", app_id().alias("application_id"), F.col("o_orderpriority").alias("notes")
     )
 
 
@@ -387,11 +390,9 @@ LEFT JOIN (SELECT l_orderkey, count(*) AS n,
 def encrypt_arrays(spark, sf):
     """Arrays of text and of structs encrypted element by element, then opened again."""
     keys = fx.key_vault(spark, sf)
-    apps = orders_with_app_id(spark, sf).select(F.col("o_orderkey").alias("ok"), "application_id")
-    orders = fx.nested_orders(spark, sf).select(
-        "o_orderkey", F.array("o_orderpriority", F.lit("")).alias("comments"), "lines"
+    rows = fx.nested_orders(spark, sf).select(
+        "o_orderkey", F.array("o_orderpriority", F.lit("")).alias("comments"), "lines", app_id().alias("application_id")
     )
-    rows = orders.join(apps, F.col("ok") == F.col("o_orderkey")).drop("ok")
     view = views.encrypted_view(rows, "applications", "SE", TAGS, keys, stack=fx.STACK)
     found = vault.lookup(keys, "app", fx.STACK).select("key", "uuid", "cipher_key")
     opened = view.join(found, F.col("application_id") == F.col("key"), "left")
