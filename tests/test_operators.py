@@ -257,3 +257,25 @@ def test_lone_parents_are_no_group_of_names(spark, small):
     assert {r.seed for r in names} <= {f"s{i}" for i in range(8)}
     lone = q_catalog.tree_groups(spark, small).filter("seed LIKE 't%'")
     assert lone.count() > 0
+
+
+@pytest.mark.parametrize("hot_rows", [100_000, 40])
+def test_rows_of_hot_partitions_are_dealt_over_tasks(spark, hot_rows):
+    from pyspark.sql import functions as F
+
+    # Three keys, one NULL, hold everything; equal rows are among them.
+    key = F.when(F.col("id") % 3 != 0, F.concat(F.lit("k"), (F.col("id") % 3).cast("string")))
+    df = spark.range(600).select(key.alias("k"), (F.col("id") % 60).alias("v"), F.when(F.col("id") % 5 > 0, 1).alias("c"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        counted = latest.partition_count(df, ["k"], "c", hot_rows=hot_rows)
+        rows = counted.withColumn("task", F.spark_partition_id()).collect()
+        listed = latest.collect_over(df, ["k"], "v", hot_rows=hot_rows).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(rows) == len(listed) == 600 and {r.n for r in rows} == {160}
+    assert all(r["values"] == [v for v in range(60) if v % 3 == r.v % 3] for r in listed)
+    tasks = {k: len({r.task for r in rows if r.k == k}) for k in (None, "k1", "k2")}
+    assert all((n == 1) if hot_rows > 600 else (n > 1) for n in tasks.values())

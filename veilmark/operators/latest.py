@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -127,36 +128,68 @@ def last_match(df: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:
     return latest_by(df, keys, [F.col(ordinal).desc()], [row_hash(df)])
 
 
-def _attach(df: DataFrame, per_key: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join one row per key back onto its rows; NULL keys meet each other."""
-    condition = F.lit(True)
-    for i, k in enumerate(keys):
-        same = F.col(k).eqNullSafe(F.col(f"__{k}"))
-        condition = same if i == 0 else condition & same
-    return df.join(per_key, condition, "left").drop(*[f"__{k}" for k in keys])
+#: A key with more rows than this meets its value in several tasks, if it is one of the so many largest.
+HOT_ROWS, HOT_KEYS = 100_000, 1_000
 
 
-def partition_count(df: DataFrame, keys: Sequence[str], col: str, name: str = "n") -> DataFrame:
+def _attach(df: DataFrame, per_key: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Join one row per key back onto its rows; NULL keys meet each other.
+
+    ``per_key`` has the keys as ``__<key>`` and their rows as ``__rows``.  Of the largest keys, at most ``HOT_KEYS``,
+    every ``hot_rows`` rows get a copy of the value: a hash of the row says which.  So a task reads about as much
+    whatever the number of keys; a key that is not among the largest holds at most a thousandth of the table.
+    """
+    tags = [f"__{k}" for k in keys]
+
+    def same(left: Sequence[str], right: Sequence[str]) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(f"`{x}`").eqNullSafe(F.col(f"`{y}`")) for x, y in zip(left, right)])
+
+    largest = per_key.filter(F.col("__rows") > hot_rows).orderBy(F.col("__rows").desc(), *[F.col(f"`{t}`") for t in tags])
+    copies = F.ceil(F.col("__rows") / hot_rows).cast("bigint").alias("__copies")
+    hot = largest.limit(HOT_KEYS).select(*[F.col(f"`{t}`").alias(f"__hot{t}") for t in tags], copies)
+    # Bounded by construction, so both sides learn the hot keys by broadcast.
+    hot, names = F.broadcast(hot), [f"__hot{t}" for t in tags]
+    spread = df.join(hot, same(keys, names), "left").drop(*names)
+    spread = spread.withColumn("__salt", F.coalesce(F.pmod(row_hash(df), "__copies"), F.lit(0).cast("bigint"))).drop("__copies")
+    first = F.lit(0).cast("bigint")
+    every = F.explode(F.sequence(first, F.coalesce("__copies", F.lit(1)) - 1)).alias("__bsalt")
+    values = [F.col(f"`{c}`") for c in per_key.columns if c != "__rows"]
+    copied = per_key.join(hot, same(tags, names), "left").select(*values, every)
+    condition = same(keys, tags) & (F.col("__salt") == F.col("__bsalt"))
+    return spread.join(copied, condition, "left").drop("__salt", "__bsalt", *tags)
+
+
+def partition_count(
+    df: DataFrame, keys: Sequence[str], col: str, name: str = "n", hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Non-null count of ``col`` per key on every row.
 
     Counted with a map-side aggregate and joined back instead of a window: a
     window would hold the whole group of a hot key in one task, while the join
-    only meets one counted row per key, and adaptive execution broadcasts the
-    counts where they turn out small or splits the skewed partitions.
+    only meets one counted row per key, and the rows of a hot key are dealt over
+    several tasks.
     """
-    counts = df.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.count(col).alias(name))
-    return _attach(df, counts, keys)
+    counts = df.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(
+        F.count(col).alias(name), F.count(F.lit(1)).alias("__rows")
+    )
+    return _attach(df, counts, keys, hot_rows)
 
 
-def collect_over(df: DataFrame, keys: Sequence[str], col: str, name: str = "values") -> DataFrame:
+def collect_over(
+    df: DataFrame, keys: Sequence[str], col: str, name: str = "values", hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Sorted distinct values of ``col`` per key on every row.
 
     Values are made distinct before they are collected, so the array grows with
     the number of different values (columns of a table, say) and not with rows.
     """
-    distinct = df.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(col).alias("__value")).distinct()
-    lists = distinct.groupBy(*[f"__{k}" for k in keys]).agg(F.array_sort(F.collect_list("__value")).alias(name))
-    return _attach(df, lists, keys)
+    tags = [f"__{k}" for k in keys]
+    distinct = df.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(col).alias("__value"))
+    distinct = distinct.groupBy(*tags, "__value").agg(F.count(F.lit(1)).alias("__rows"))
+    lists = distinct.groupBy(*tags).agg(
+        F.array_sort(F.collect_list("__value")).alias(name), F.sum("__rows").alias("__rows")
+    )
+    return _attach(df, lists, keys, hot_rows)
 
 
 def distinct_list(df: DataFrame, keys: Sequence[str], col: str, name: str, separator: str | None = None) -> DataFrame:
