@@ -279,3 +279,11 @@ def test_rows_of_hot_partitions_are_dealt_over_tasks(spark, hot_rows):
     assert all(r["values"] == [v for v in range(60) if v % 3 == r.v % 3] for r in listed)
     tasks = {k: len({r.task for r in rows if r.k == k}) for k in (None, "k1", "k2")}
     assert all((n == 1) if hot_rows > 600 else (n > 1) for n in tasks.values())
+
+
+def test_a_star_round_reads_edges_in_one_direction(spark):
+    edges = spark.createDataFrame([(3, 1), (5, 3), (9, 5), (9, 1), (7, 6)], "src int, dst int")
+    large, small = detect._stars(edges, True, None), detect._stars(edges, False, None)
+    assert "Union" not in plan_of(large)
+    assert sorted(map(tuple, large.collect())) == [(3, 1), (5, 1), (7, 6), (9, 1), (9, 3)]
+    assert sorted(map(tuple, small.collect())) == [(3, 1), (5, 1), (5, 3), (7, 6), (9, 1)]

@@ -121,22 +121,20 @@ def name_graph(edges: DataFrame) -> DataFrame:
 
 
 def _stars(edges: DataFrame, large: bool, hot_share: float | None) -> DataFrame:
-    """One star round: re-hang neighbours on the smallest node around each centre."""
-    if large:
-        around = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    else:
-        around = edges.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
-    smallest = around.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("low"))
-    smallest = smallest.withColumnRenamed("src", "centre")
-    joined = lookup_join(around, smallest, [(F.col("src"), "centre")], hot_share=hot_share)
+    """One star round: re-hang neighbours on the smallest node around each centre.
+
+    The larger end of an edge is its ``src``, before and after.  So the smallest node around a centre is its least
+    ``dst``, or itself without one, and no edge has to be read in both directions.
+    """
+    smallest = edges.groupBy(F.col("src").alias("centre")).agg(F.min("dst").alias("low"))
     if large:
-        moved = joined.filter(F.col("dst") > F.col("src")).select(F.col("dst").alias("src"), F.col("low").alias("dst"))
-    else:
-        neighbours = joined.select(F.col("dst").alias("src"), F.col("low").alias("dst"))
-        moved = neighbours.unionByName(joined.select("src", F.col("low").alias("dst")))
-    moved = moved.filter(F.col("src") != F.col("dst"))
-    # A large star keeps the number of edges; repeats go once per round, after the small one.
-    return moved if large else moved.distinct()
+        # The larger neighbours of a centre move; the number of edges stays.
+        joined = lookup_join(edges, smallest, [("dst", "centre")], hot_share=hot_share)
+        return joined.select("src", F.coalesce("low", "dst").alias("dst"))
+    # The smaller neighbours and the centre itself move; repeats go once per round, here.
+    joined = lookup_join(edges, smallest, [("src", "centre")], hot_share=hot_share)
+    neighbours = joined.filter(F.col("dst") != F.col("low")).select(F.col("dst").alias("src"), F.col("low").alias("dst"))
+    return neighbours.unionByName(smallest.select(F.col("centre").alias("src"), F.col("low").alias("dst"))).distinct()
 
 
 def components(edges: DataFrame, hot_share: float | None = None) -> DataFrame:
