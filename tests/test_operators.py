@@ -287,3 +287,19 @@ def test_a_star_round_reads_edges_in_one_direction(spark):
     assert "Union" not in plan_of(large)
     assert sorted(map(tuple, large.collect())) == [(3, 1), (5, 1), (7, 6), (9, 1), (9, 3)]
     assert sorted(map(tuple, small.collect())) == [(3, 1), (5, 1), (5, 3), (7, 6), (9, 1)]
+
+
+def test_containment_deals_words_by_their_heads(spark):
+    rng = random.Random(9)
+    names = sorted({"".join(rng.choice("abcé\n") for _ in range(rng.randrange(1, 15))) for _ in range(300)})
+    words = sorted({x[rng.randrange(3) : rng.randrange(4, 12)] for x in names} - {""}) + ["abca" + str(i) for i in range(40)]
+    names += [w + "x" for w in words[-5:]]
+    n, w = (spark.createDataFrame([(x,) for x in set(xs)], f"{c} string") for xs, c in ((names, "name"), (words, "word")))
+    want = sorted((a, b) for a in set(names) for b in set(words) if b in a)
+    # Heads split into parts, shards into blocks; each pair comes once.
+    for sizes in ((50_000, 200_000), (6, 20), (30, 7)):
+        assert sorted(map(tuple, textmatch.containment(n, w, *sizes).collect())) == want
+    # A hundred times as many shards: a name visits no more of them than it has runs, besides that of short words.
+    many = spark.range(2000).select(F.concat(F.col("id").cast("string"), F.lit("-tail")).alias("word"))
+    visits, copies = textmatch._dealt(n, many, 20, 200_000)
+    assert visits.count() <= sum(1 + max(len(x) - 3, 0) for x in set(names)) and copies.count() == 2000
