@@ -656,6 +656,18 @@ def test_documents_are_dealt_before_they_are_widened(spark, small):
         assert moved and all("REPARTITION_BY_NUM" in line for line in moved)
 
 
+def test_versions_are_sorted_before_they_are_widened(spark, small):
+    import workload.fixtures as fx
+    from workload import q_documents
+
+    nested_rows, members = fx.documents(spark, small), fx.member_versions(spark, small, q_documents.all_paths())
+    for df in (q_documents.current(spark, small), documents.applications(nested_rows), documents.applications(members)):
+        tree = plan_of(df)[2].split("== Initial Plan ==")[-1].split("\n")
+        # No sort above the one on the exploded orders: none holds rows with the members, whatever their width.
+        below = [tree[i + 1] for i, line in enumerate(tree) if "Sort [" in line]
+        assert "Generate explode" in below[0] and all("Exchange" in line for line in below[1:])
+
+
 def test_tasks_grow_with_the_documents(spark, small, monkeypatch):
     import workload.fixtures as fx
 
