@@ -668,6 +668,16 @@ def test_versions_are_sorted_before_they_are_widened(spark, small):
         assert "Generate explode" in below[0] and all("Exchange" in line for line in below[1:])
 
 
+def test_full_documents_are_dealt_by_ranges_of_their_key(spark, small):
+    """Neighbouring documents lie together where the wide result is written; no other shuffle."""
+    from workload import q_documents
+
+    for query in (q_documents.applications_full, q_documents.all_versions_full):
+        tree = plan_of(query(spark, small))[2].split("== Initial Plan ==")[-1]
+        moved = [line for line in tree.split("\n") if "Exchange " in line]
+        assert len(moved) == 1 and "Exchange rangepartitioning(_id" in moved[0]
+
+
 def test_tasks_grow_with_the_documents(spark, small, monkeypatch):
     import workload.fixtures as fx
 
