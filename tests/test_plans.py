@@ -678,6 +678,24 @@ def test_full_documents_are_dealt_by_ranges_of_their_key(spark, small):
         assert len(moved) == 1 and "Exchange rangepartitioning(_id" in moved[0]
 
 
+def test_members_share_the_text_of_their_key(spark, small):
+    import workload.fixtures as fx
+    from workload import q_documents
+
+    paths = q_documents.all_paths()
+    rows = fx.member_versions(spark, small, paths).filter("_id = '7' AND __v = 2")
+    row = rows.select("acceptedBid.signLink", "bankAccount.bankName", "utm.domain", "status.sent").first()
+    assert tuple(row) == ("acceptedBid.signLink-7-2", "bankAccount.bankName-7-2", None, True)
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        for query in (q_documents.all_versions_full, q_documents.applications_full):
+            plan = query(spark, small)._jdf.queryExecution().optimizedPlan().toString()
+            # Key and version become text a few times a row, not once a member.
+            assert plan.count(" as string)") < 10
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+
+
 def test_tasks_grow_with_the_documents(spark, small, monkeypatch):
     import workload.fixtures as fx
 
