@@ -678,6 +678,45 @@ def test_full_documents_are_dealt_by_ranges_of_their_key(spark, small):
         assert len(moved) == 1 and "Exchange rangepartitioning(_id" in moved[0]
 
 
+def test_flat_applications_take_few_values_and_whole_columns(spark):
+    """A pick compares the orders once a value, so all members are one; a column with published members only is one piece."""
+    team, lot = "struct<teamLeader:string,team:string>", "struct<type:string,coordinates:string,seed:int>"
+    schema = (
+        "_id string, __v int, operationType string, updatedAt timestamp, time_archived timestamp, originReference string, "
+        f"teamAttributes {team}, random {lot}, acceptedBid struct<acceptedAt:timestamp,date:timestamp,requiredDocs:struct<payslip:string>>, "
+        "paymentStatus struct<date:timestamp,bank:string>"
+    )
+    late = DAY + datetime.timedelta(days=9)
+    rows = [
+        ("a", 1, "update", DAY, DAY, "x?gclid=1", ("l1", "t1"), ("r1", "c1", 1), (DAY, DAY, ("p1",)), (late, "b1")),
+        ("a", 2, "update", DAY, DAY, None, ("l2", None), ("r2", None, 2), (late, late, ("p2",)), (DAY, "b2")),
+        ("a", 3, "delete", DAY, DAY, None, ("l3", "t3"), None, None, None),
+        ("b", 1, "update", None, None, None, None, None, None, None),
+        ("b", 1, "update", None, None, None, None, None, None, None),
+        (None, 1, "update", DAY, DAY, None, ("l4", "t4"), None, (late, DAY, None), (DAY, None)),
+        ("c", 1, None, DAY, DAY, None, ("l5", "t5"), None, None, None),
+    ]
+    flat = documents.applications(spark.createDataFrame(rows, schema))
+    names = ["application_id", "versions", "teamLeader", "team", "randomtype", "payslip", "paymentStatusBank"]
+    got = flat.select(*names, "acceptedAt", "acceptedBidDate", "paymentStatusDate", "companyName").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [
+            # Dates of the first version, the last in which acceptance does not follow payment.
+            ("a", 2, "l2", None, "r2", "p2", "b2", DAY, DAY, late, None),
+            ("b", 1, None, None, None, None, None, None, None, None, None),
+            (None, 1, "l4", "t4", None, None, None, DAY, DAY, DAY, None),
+        ],
+        key=str,
+    )
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        plan = flat._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.count("max_by(") == 4
+    assert "teamAttributes, teamAttributes#" in plan and "acceptedBid, acceptedBid#" in plan and "random, struct(randomtype" in plan
+
+
 def test_members_share_the_text_of_their_key(spark, small):
     import workload.fixtures as fx
     from workload import q_documents
